@@ -1,0 +1,8 @@
+"""Streaming: nothing to build.
+
+The reference's four jobs are batch jobs over files and code lists; there is
+no watermark, trigger, state or late-data handling in them, so this package
+holds no operators.  Every batch operator here is a DataFrame transform and
+can be applied inside ``foreachBatch`` if a deployment wants to feed it
+incrementally.
+"""
