@@ -329,13 +329,14 @@ FROM c WINDOW w AS (PARTITION BY gemeentekind, geslacht, lftkompas, eindjaar)"""
     ], _widen("base", CUBE_IDS, "n_weighted", names))
 
     c2, _ = grain_ctes("g2", "g2")
-    q["cube_municipality"] = with_ctes(["wm", "members", "fx_areas", "fx_dict"], c2 + [
-        CODES_CTE,
-        ("src", "SELECT o.eindjaar AS Jaar, 'gemeente' AS geolevel, c.code AS geoitem, o.geslacht, o.lftkompas, "
-                "o.gewicht5, o.n_weighted FROM g2_out o LEFT JOIN codes c ON o.gemeentekind = c.gemeentenaam "
-                "WHERE o.n_total IS NOT NULL AND o.n_total <> 0"),
-        ("base", _cube_base("src", "n_weighted")),
-    ], _widen("base", CUBE_IDS, "n_weighted", names))
+    for key, rnd in (("cube_municipality", True), ("cube_municipality_raw", False)):
+        q[key] = with_ctes(["wm", "members", "fx_areas", "fx_dict"], c2 + [
+            CODES_CTE,
+            ("src", "SELECT o.eindjaar AS Jaar, 'gemeente' AS geolevel, c.code AS geoitem, o.geslacht, o.lftkompas, "
+                    "o.gewicht5, o.n_weighted FROM g2_out o LEFT JOIN codes c ON o.gemeentekind = c.gemeentenaam "
+                    "WHERE o.n_total IS NOT NULL AND o.n_total <> 0"),
+            ("base", _cube_base("src", "n_weighted")),
+        ], _widen("base", CUBE_IDS, "n_weighted", names, rnd=rnd))
 
     c3, _ = grain_ctes("g3", "g3")
     c4, _ = grain_ctes("g4", "g4")
@@ -366,7 +367,282 @@ SELECT DISTINCT regiokind, (SELECT min(eindjaar) FROM wm) AS jaar_min, (SELECT m
     return q
 
 
+
+
+# ---------------------------------------------------------------- survey
+
+FIXTURE_SQL["svy"] = """
+SELECT vo_wave, vo_gemeente AS g, vo_stratum AS h, vo_weight AS w, var, val FROM (
+  SELECT vo_wave, vo_gemeente, vo_stratum, vo_weight, 'vo_ind_a' AS var, CAST(vo_ind_a AS DOUBLE) AS val FROM fx_survey
+  UNION ALL SELECT vo_wave, vo_gemeente, vo_stratum, vo_weight, 'vo_ind_b',
+         CAST(CASE WHEN vo_ind_b = 9 THEN NULL ELSE vo_ind_b END AS DOUBLE) FROM fx_survey
+  UNION ALL SELECT vo_wave, vo_gemeente, vo_stratum, vo_weight, 'vo_ind_c', CAST(vo_ind_c AS DOUBLE) FROM fx_survey
+  UNION ALL SELECT vo_wave, vo_gemeente, vo_stratum, vo_weight, 'vo_ind_d', CAST(vo_ind_d AS DOUBLE) FROM fx_survey) u"""
+DEPENDS["svy"] = ["fx_survey"]
+FIXTURE_SQL["svy_groups"] = """
+SELECT n_nationkey AS g FROM nation WHERE n_nationkey IN (SELECT vo_gemeente FROM fx_survey)"""
+DEPENDS["svy_groups"] = ["fx_survey"]
+FIXTURE_SQL["svy_lv"] = """
+SELECT l.vo_wave, l.var, l.n_levels, l.v0,
+       (SELECT min(s.val) FROM svy s WHERE s.vo_wave = l.vo_wave AND s.var = l.var AND s.g IS NOT NULL
+          AND s.val > l.v0) AS v1
+FROM (SELECT vo_wave, var, count(DISTINCT val) AS n_levels, min(val) AS v0 FROM svy
+      WHERE val IS NOT NULL AND g IS NOT NULL GROUP BY vo_wave, var) l"""
+DEPENDS["svy_lv"] = ["svy"]
+FIXTURE_SQL["svy_pairs"] = """
+SELECT DISTINCT vo_wave, var, g FROM svy WHERE g IN (SELECT g FROM svy_groups)"""
+DEPENDS["svy_pairs"] = ["svy", "svy_groups"]
+
+RS_CTES = [
+    ("nh", "SELECT vo_wave, var, h, count(*) AS nh FROM svy GROUP BY vo_wave, var, h"),
+    ("design", "SELECT vo_wave, var, sum(nh) AS n_design, count(*) AS n_strata FROM nh GROUP BY vo_wave, var"),
+    # per (wave, var, municipality, stratum): the four cells, weights and squared weights
+    ("hs", """
+SELECT p.vo_wave, p.var, p.g AS m, s.h,
+  coalesce(sum(CASE WHEN s.val = l.v0 AND s.g <> p.g THEN s.w END), 0) AS s00,
+  coalesce(sum(CASE WHEN s.val = l.v1 AND s.g <> p.g THEN s.w END), 0) AS s10,
+  coalesce(sum(CASE WHEN s.val = l.v0 AND s.g = p.g THEN s.w END), 0) AS s01,
+  coalesce(sum(CASE WHEN s.val = l.v1 AND s.g = p.g THEN s.w END), 0) AS s11,
+  coalesce(sum(CASE WHEN s.val = l.v0 AND s.g <> p.g THEN s.w * s.w END), 0) AS q00,
+  coalesce(sum(CASE WHEN s.val = l.v1 AND s.g <> p.g THEN s.w * s.w END), 0) AS q10,
+  coalesce(sum(CASE WHEN s.val = l.v0 AND s.g = p.g THEN s.w * s.w END), 0) AS q01,
+  coalesce(sum(CASE WHEN s.val = l.v1 AND s.g = p.g THEN s.w * s.w END), 0) AS q11
+FROM svy_pairs p JOIN svy s ON s.vo_wave = p.vo_wave AND s.var = p.var
+JOIN svy_lv l ON l.vo_wave = p.vo_wave AND l.var = p.var
+GROUP BY p.vo_wave, p.var, p.g, s.h"""),
+    ("tot", """
+SELECT vo_wave, var, m, sum(s00) AS S00, sum(s10) AS S10, sum(s01) AS S01, sum(s11) AS S11
+FROM hs GROUP BY vo_wave, var, m"""),
+    ("qk", """
+SELECT *, CASE WHEN S00 > 0 THEN 1.0 / S00 ELSE 0 END AS c00, CASE WHEN S10 > 0 THEN -1.0 / S10 ELSE 0 END AS c10,
+          CASE WHEN S01 > 0 THEN -1.0 / S01 ELSE 0 END AS c01, CASE WHEN S11 > 0 THEN 1.0 / S11 ELSE 0 END AS c11
+FROM tot"""),
+    # every stratum of the design, also those without rows of the municipality
+    ("per_h", """
+SELECT q.vo_wave, q.var, q.m, n.h, n.nh,
+  coalesce(q.c00 * q.c00 * hs.q00 + q.c10 * q.c10 * hs.q10 + q.c01 * q.c01 * hs.q01 + q.c11 * q.c11 * hs.q11, 0) AS A,
+  coalesce(q.c00 * hs.s00 + q.c10 * hs.s10 + q.c01 * hs.s01 + q.c11 * hs.s11, 0) AS B
+FROM qk q JOIN nh n ON n.vo_wave = q.vo_wave AND n.var = q.var
+LEFT JOIN hs ON hs.vo_wave = q.vo_wave AND hs.var = q.var AND hs.m = q.m AND hs.h = n.h"""),
+    ("num", """
+SELECT vo_wave, var, m, sum(CAST(nh AS DOUBLE) / (nh - 1) * (A - B * B / nh)) AS num FROM per_h GROUP BY vo_wave, var, m"""),
+    ("rs", """
+SELECT q.vo_wave, q.var, q.m, d.n_design, d.n_strata, l.n_levels, n.num,
+       q.S00 + q.S10 + q.S01 + q.S11 AS W, q.S00, q.S10, q.S01, q.S11,
+       (CASE WHEN q.S00 > 0 THEN 1.0 / q.S00 ELSE 0 END + CASE WHEN q.S10 > 0 THEN 1.0 / q.S10 ELSE 0 END
+        + CASE WHEN q.S01 > 0 THEN 1.0 / q.S01 ELSE 0 END + CASE WHEN q.S11 > 0 THEN 1.0 / q.S11 ELSE 0 END) AS sinv
+FROM qk q JOIN num n ON n.vo_wave = q.vo_wave AND n.var = q.var AND n.m = q.m
+JOIN design d ON d.vo_wave = q.vo_wave AND d.var = q.var
+JOIN svy_lv l ON l.vo_wave = q.vo_wave AND l.var = q.var"""),
+    ("rs2", """
+SELECT *, (S00 / W * S11 / W - S01 / W * S10 / W) * (S00 / W * S11 / W - S01 / W * S10 / W)
+          / ((S00 + S01) / W * (S10 + S11) / W * (S00 + S10) / W * (S01 + S11) / W) AS x2n
+FROM rs"""),
+    ("stats", """
+SELECT vo_wave, var, m AS Gemeentecode, n_design,
+       CASE WHEN n_levels = 2 THEN n_design * x2n END AS x2,
+       CASE WHEN n_levels = 2 THEN n_design * num / (W * sinv) END AS delta,
+       CASE WHEN n_levels = 2 THEN x2n * W * sinv / num END AS f_stat,
+       n_design - n_strata AS nu
+FROM rs2"""),
+]
+
+RESOLVED = "('vo_ind_a', 'vo_ind_b', 'vo_ind_c')"
+
+# normal form of the F(1, nu) tail for large nu: t -> z (A&S 26.7.8), erfc by A&S 7.1.26
+P_APPROX = """
+SELECT *, t * (1.0 - 1.0 / (4.0 * nu)) / sqrt(1.0 + t * t / (2.0 * nu)) / sqrt(2.0) AS x FROM (
+  SELECT *, sqrt(f_stat) AS t FROM stats WHERE var IN {resolved}) a"""
+
+
+def survey_oracles() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["unpivot_indicators"] = with_ctes(["fx_survey"], [], """
+SELECT row_a, row_b, 'vo_ind_a' AS var, vo_ind_a AS val FROM fx_survey
+UNION ALL SELECT row_a, row_b, 'vo_ind_b', CASE WHEN vo_ind_b = 9 THEN NULL ELSE vo_ind_b END FROM fx_survey
+UNION ALL SELECT row_a, row_b, 'vo_ind_c', vo_ind_c FROM fx_survey
+UNION ALL SELECT row_a, row_b, 'vo_ind_d', vo_ind_d FROM fx_survey""")
+
+    q["svy_weighted_share"] = with_ctes(["svy", "svy_groups", "svy_lv", "svy_pairs"], [
+        ("tots", """
+SELECT s.vo_wave, s.var, sum(CASE WHEN s.val = l.v1 THEN s.w END) AS W1, sum(CASE WHEN s.val IS NOT NULL THEN s.w END) AS Wall
+FROM svy s JOIN svy_lv l ON l.vo_wave = s.vo_wave AND l.var = s.var WHERE s.g IS NOT NULL GROUP BY s.vo_wave, s.var"""),
+        ("mine", """
+SELECT p.vo_wave, p.var, p.g, coalesce(sum(CASE WHEN s.val = l.v1 THEN s.w END), 0) AS M1,
+       coalesce(sum(CASE WHEN s.val IS NOT NULL THEN s.w END), 0) AS Mall
+FROM svy_pairs p JOIN svy s ON s.vo_wave = p.vo_wave AND s.var = p.var AND s.g = p.g
+JOIN svy_lv l ON l.vo_wave = p.vo_wave AND l.var = p.var GROUP BY p.vo_wave, p.var, p.g"""),
+    ], """
+SELECT m.vo_wave, m.var, m.g AS Gemeentecode, l.n_levels, l.n_levels = 2 AS is_dichotomous,
+  round(CASE WHEN l.n_levels >= 2 AND m.Mall <> 0 THEN m.M1 / m.Mall END, 4) AS perc_gemeente,
+  round(CASE WHEN l.n_levels >= 2 AND t.Wall - m.Mall <> 0 THEN (coalesce(t.W1, 0) - m.M1) / (t.Wall - m.Mall) END, 4) AS perc_rest
+FROM mine m JOIN svy_lv l ON l.vo_wave = m.vo_wave AND l.var = m.var
+JOIN tots t ON t.vo_wave = m.vo_wave AND t.var = m.var""")
+
+    rs_final = """
+SELECT vo_wave, var, Gemeentecode, n_design, round(x2, 4) AS x2, round(delta, 4) AS delta,
+       round(f_stat, 4) AS f_stat, nu FROM stats WHERE var IN {resolved}""".format(resolved=RESOLVED)
+    q["svy_rao_scott"] = with_ctes(["svy", "svy_groups", "svy_lv", "svy_pairs"], RS_CTES, rs_final)
+
+    shares = [
+        ("tots", """
+SELECT s.vo_wave, s.var, sum(CASE WHEN s.val = l.v1 THEN s.w END) AS W1, sum(CASE WHEN s.val IS NOT NULL THEN s.w END) AS Wall
+FROM svy s JOIN svy_lv l ON l.vo_wave = s.vo_wave AND l.var = s.var WHERE s.g IS NOT NULL GROUP BY s.vo_wave, s.var"""),
+        ("mine", """
+SELECT p.vo_wave, p.var, p.g, coalesce(sum(CASE WHEN s.val = l.v1 THEN s.w END), 0) AS M1,
+       coalesce(sum(CASE WHEN s.val IS NOT NULL THEN s.w END), 0) AS Mall
+FROM svy_pairs p JOIN svy s ON s.vo_wave = p.vo_wave AND s.var = p.var AND s.g = p.g
+JOIN svy_lv l ON l.vo_wave = p.vo_wave AND l.var = p.var GROUP BY p.vo_wave, p.var, p.g"""),
+        ("pv", P_APPROX.format(resolved=RESOLVED)),
+        ("pv2", """
+SELECT *, (1.0 / (1.0 + 0.3275911 * x)) AS tt FROM pv"""),
+        ("pv3", """
+SELECT *, tt * (0.254829592 + tt * (-0.284496736 + tt * (1.421413741 + tt * (-1.453152027 + tt * 1.061405429))))
+          * exp(-x * x) AS p FROM pv2"""),
+        ("dirs", "SELECT * FROM (VALUES ('vo_ind_a', true), ('vo_ind_b', false), ('vo_ind_c', false)) AS d(var, hoger_beter)"),
+        ("joined", """
+SELECT p.vo_wave, p.var, p.Gemeentecode, p.p, d.hoger_beter,
+       CASE WHEN l.n_levels >= 2 AND m.Mall <> 0 THEN m.M1 / m.Mall END AS pg,
+       CASE WHEN l.n_levels >= 2 AND t.Wall - m.Mall <> 0 THEN (coalesce(t.W1, 0) - m.M1) / (t.Wall - m.Mall) END AS pr
+FROM pv3 p JOIN dirs d ON d.var = p.var
+JOIN mine m ON m.vo_wave = p.vo_wave AND m.var = p.var AND m.g = p.Gemeentecode
+JOIN svy_lv l ON l.vo_wave = p.vo_wave AND l.var = p.var
+JOIN tots t ON t.vo_wave = p.vo_wave AND t.var = p.var"""),
+        ("grp", """
+SELECT *, CASE WHEN hoger_beter THEN pg > pr ELSE pr > pg END AS gunstig FROM joined"""),
+    ]
+    q["svy_significance"] = with_ctes(["svy", "svy_groups", "svy_lv", "svy_pairs"], RS_CTES + shares, """
+SELECT CAST(vo_wave AS INT) AS Jaar, 'gemeente' AS geolevel, Gemeentecode AS geoitem, var, gunstig,
+       CASE WHEN p > 0.05 THEN 3 WHEN NOT gunstig AND p < 0.01 THEN 1 WHEN NOT gunstig AND p >= 0.01 THEN 2
+            WHEN gunstig AND p >= 0.01 THEN 4 WHEN gunstig AND p < 0.01 THEN 5 END AS pgroep
+FROM grp""")
+
+    q["parse_direction"] = with_ctes([], [("dt", """
+SELECT 'IND_' || CAST(p_partkey AS VARCHAR) AS code,
+       CASE p_partkey % 4 WHEN 0 THEN 'Hoger = gunstig' WHEN 1 THEN 'Hoger = ongunstig' WHEN 2 THEN 'Hoger = neutraal'
+            ELSE 'Richting ' || p_brand END AS richting FROM part"""),
+        ("dc", r"SELECT code, richting, nullif(regexp_extract(richting, '.*= (\w+)', 1), '') AS richting_code FROM dt")], """
+SELECT code, richting, richting_code,
+       CASE WHEN richting_code = 'gunstig' THEN true WHEN richting_code = 'ongunstig' THEN false END AS hoger_beter FROM dc""")
+    q["codes_present"] = with_ctes(["fx_survey"], [], """
+SELECT n_nationkey AS code, n_name AS naam FROM nation WHERE n_nationkey IN (SELECT vo_gemeente FROM fx_survey)""")
+    q["user_missing_to_null"] = with_ctes(["fx_survey"], [], """
+SELECT row_a, row_b, CASE WHEN vo_ind_b = 9 THEN NULL ELSE vo_ind_b END AS vo_ind_b FROM fx_survey""")
+    return q
+
+
+# ---------------------------------------------------------------- dictionaries, vaccination, relabel, derived
+
+VACCINE_TYPES_SQL = [
+    "DKTP basisimmuun (2 jaar)", "Hib volledig (2 jaar)", "BMR basisimmuun (2 jaar)",
+    "MenC/ACWY basisimmuun (2 jaar)", "Pneumokokken volledig (2 jaar)", "Hepatitis B volledig (2 jaar)",
+    "D(K)TP volledig (10 jaar)", "BMR volledig (10 jaar)", "HPV volledig (14 jaar)",
+    "MenACWY volledig (cohorten 2001-2005)", "MenACWY volledig (15 jaar)", "Geen enkele vaccinatie (2 jaar)",
+    "HPV volledig meisjes (11 jaar)", "HPV volledig jongens (11 jaar)", "D(K)TP voldoende beschermd (5 jaar)",
+]
+
+
+def _sq(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def other_oracles() -> dict[str, str]:
+    q: dict[str, str] = {}
+    d = "(SELECT code, label FROM fx_dict WHERE variable = '{v}'{extra})"
+    q["decode_labels"] = with_ctes(["fx_meas", "fx_dict"], [], f"""
+SELECT m.gemeentekind, m.geslacht, m.lftkompas, m.gewicht5, s.label AS geslacht_label,
+       a.label AS lftkompas_label, k.label AS gewicht5_label
+FROM fx_meas m LEFT JOIN {d.format(v='geslacht', extra='')} s ON m.geslacht = s.code
+LEFT JOIN {d.format(v='lftkompas', extra='')} a ON m.lftkompas = a.code
+LEFT JOIN {d.format(v='gewicht5', extra=' AND ord <= 4')} k ON m.gewicht5 = k.code""")
+    q["recode_codes"] = with_ctes(["fx_meas", "fx_dict"], [], f"""
+SELECT m.geslacht, m.gewicht5, k.label AS gewicht5_label,
+       CASE k.label WHEN 'obesitas' THEN 1 WHEN 'overgewicht' THEN 2 WHEN 'klasse 3' THEN 3 WHEN 'klasse 4' THEN 4 END AS gewicht5_code
+FROM fx_meas m LEFT JOIN {d.format(v='gewicht5', extra='')} k ON m.gewicht5 = k.code""")
+    q["dimension_items"] = with_ctes(["fx_dict", "fx_areas", "members"], [CODES_CTE], """
+SELECT variable AS dimensie, code AS Itemcode, label AS Naam, ord AS Volgnr FROM fx_dict WHERE variable IN ('geslacht', 'lftkompas')
+UNION ALL
+SELECT 'gemeente', code, gemeentenaam, CAST(row_number() OVER (ORDER BY code) AS INT) FROM codes""")
+
+    types = ", ".join(_sq(t) for t in VACCINE_TYPES_SQL)
+    recode = "CASE label " + " ".join(f"WHEN {_sq(t)} THEN {i + 1}" for i, t in enumerate(VACCINE_TYPES_SQL)) + " END"
+    q["vaccination_cube"] = with_ctes(["fx_vacc", "fx_areas", "members"], [
+        ("vl", f"""
+SELECT DISTINCT o_orderpriority AS key,
+       CASE CAST(substring(o_orderpriority, 1, 1) AS INT) WHEN 1 THEN {_sq(VACCINE_TYPES_SQL[0])}
+            WHEN 2 THEN {_sq(VACCINE_TYPES_SQL[3])} WHEN 3 THEN {_sq(VACCINE_TYPES_SQL[6])}
+            WHEN 4 THEN {_sq(VACCINE_TYPES_SQL[9])} ELSE 'Onbekend vaccin' END AS title FROM orders"""),
+        ("keys", "SELECT area_key AS key FROM fx_areas WHERE starts_with(area_key, 'GM') AND title IN (SELECT gemeentekind FROM members)"),
+        ("f", r"""
+SELECT regios, vl.title AS label, CAST(regexp_extract(perioden, '\d+') AS INT) AS Jaar, trim(regios) AS Regio,
+       coalesce(gevaccineerdenzonder_4, gevaccineerdenmet_2) AS g, coalesce(vaccinatiegraadzonder_5, vaccinatiegraadmet_3) AS graad,
+       populatie_1 AS pop, TRY_CAST(trim(substring(regios, 3)) AS INT) AS gemeentecode
+FROM fx_vacc LEFT JOIN vl ON fx_vacc.vaccinaties = vl.key"""),
+        ("u", f"""
+SELECT Jaar, 'gemeente' AS geolevel, gemeentecode AS geoitem, label, g, pop FROM f
+WHERE trim(regios) IN (SELECT key FROM keys) AND label IN ({types}) AND g IS NOT NULL
+UNION ALL SELECT Jaar, 'ggd', 1, label, g, pop FROM f
+WHERE Regio = 'GG0001' AND label IN ({types}) AND g IS NOT NULL AND graad IS NOT NULL
+UNION ALL SELECT Jaar, 'nederland', 1, label, g, pop FROM f
+WHERE Regio = 'NL01' AND label IN ({types}) AND g IS NOT NULL AND graad IS NOT NULL"""),
+    ], f"""
+SELECT Jaar, geolevel, geoitem, {recode} AS RVP_Vaccinatie, round(g, 4) AS RVP_Gevaccineerden,
+       round(pop, 4) AS RVP_Populatie FROM u""")
+    q["period_to_date"] = with_ctes(["fx_vacc"], [], r"""
+SELECT regios, perioden, vaccinaties, CAST(regexp_extract(perioden, '\d+') AS INT) AS jaar,
+       CASE substring(perioden, 5, 2)
+            WHEN 'JJ' THEN make_date(CAST(substring(perioden, 1, 4) AS INT), 1, 1)
+            WHEN 'KW' THEN make_date(CAST(substring(perioden, 1, 4) AS INT), (CAST(substring(perioden, 7, 2) AS INT) - 1) * 3 + 1, 1)
+            WHEN 'MM' THEN make_date(CAST(substring(perioden, 1, 4) AS INT), CAST(substring(perioden, 7, 2) AS INT), 1) END AS perioden_date,
+       CASE substring(perioden, 5, 2) WHEN 'JJ' THEN 'Y' WHEN 'KW' THEN 'Q' WHEN 'MM' THEN 'M' END AS perioden_freq
+FROM fx_vacc""")
+
+    q["pad_and_compose_code"] = with_ctes(["fx_monitor"], [("x", """
+SELECT id, CASE WHEN nog_wijk2020 IS NOT NULL THEN printf('%06d', nog_wijk2020) END AS nog_wijk2020,
+       CASE WHEN gemeentecode IS NOT NULL THEN printf('%04d', gemeentecode) END || wijkcode AS fullcode FROM fx_monitor""")], """
+SELECT id, nog_wijk2020, CASE WHEN length(fullcode) >= 6 THEN fullcode END AS wijkcode_volledig FROM x""")
+    q["clean_labels"] = with_ctes(["fx_varlabels"], [], """
+SELECT variable, regexp_replace(label, '( |).?opgeschoond.?', '', 'i') AS label FROM fx_varlabels""")
+    q["prefix_columns"] = with_ctes(["fx_monitor"], [], """
+SELECT id AS VO_id, nog_wijk2020 AS VO_nog_wijk2020, gemeentecode AS VO_gemeentecode, wijkcode AS VO_wijkcode FROM fx_monitor""")
+    q["resolve_columns"] = with_ctes(["fx_varlabels"], [
+        ("codes", "SELECT lower(replace(p_type, ' ', '')) || CAST(p_partkey * 3 AS VARCHAR) AS code FROM part"),
+        ("pairs", "SELECT DISTINCT c.code, v.variable FROM codes c JOIN fx_varlabels v ON contains(lower(v.variable), lower(c.code))"),
+    ], "SELECT code, variable, count(*) OVER (PARTITION BY code) AS n_matches FROM pairs")
+
+    cube = weight_oracles()["cube_municipality_raw"]
+    # reuse the cube SQL as a sub-select
+    derived = f"""
+SELECT *, g1 + g2 + g3 + g4 AS JG_Gewicht_totaal, g1 + g2 AS JG_Overgewicht FROM (
+  SELECT Jaar, geolevel, geoitem, JG_Geslacht, JG_Lftklasse, JG_Gewicht_1 AS g1, JG_Gewicht_2 AS g2,
+         JG_Gewicht_3 AS g3, JG_Gewicht_4 AS g4 FROM ({cube}) c) x"""
+
+    def share(num: str) -> str:
+        return f"CASE WHEN JG_Gewicht_totaal <> 0 THEN ({num}) / JG_Gewicht_totaal * 100.0 END"
+
+    q["derived_indicators"] = f"""
+SELECT Jaar, geolevel, geoitem, JG_Geslacht, JG_Lftklasse, round(g1, 4) AS JG_Gewicht_1, round(g2, 4) AS JG_Gewicht_2,
+       round(g3, 4) AS JG_Gewicht_3, round(g4, 4) AS JG_Gewicht_4, round(JG_Gewicht_totaal, 4) AS JG_Gewicht_totaal,
+       round({share('g1')}, 4) AS JG_Gewicht_1_perc, round({share('g2')}, 4) AS JG_Gewicht_2_perc,
+       round({share('g3')}, 4) AS JG_Gewicht_3_perc, round({share('g4')}, 4) AS JG_Gewicht_4_perc,
+       round(JG_Overgewicht, 4) AS JG_Overgewicht, round({share('g1 + g2')}, 4) AS JG_Overgewicht_perc
+FROM ({derived}) d"""
+
+    def sup(num: str, thr: str) -> str:
+        return f"round(CASE WHEN {thr} >= 50 THEN {share(num)} END, 4)"
+
+    q["threshold_suppress"] = f"""
+SELECT Jaar, geolevel, geoitem, JG_Geslacht, JG_Lftklasse,
+       {sup('g1', 'JG_Gewicht_totaal')} AS JG_Gewicht_1_perc, {sup('g2', 'JG_Gewicht_totaal')} AS JG_Gewicht_2_perc,
+       {sup('g3', 'JG_Gewicht_totaal')} AS JG_Gewicht_3_perc, {sup('g4', 'JG_Gewicht_totaal')} AS JG_Gewicht_4_perc,
+       {sup('g1 + g2', 'JG_Overgewicht')} AS JG_Overgewicht_perc
+FROM ({derived}) d"""
+    return q
+
+
 def oracles() -> dict[str, str]:
     q = {}
-    q.update(weight_oracles())
+    q.update({k: v for k, v in weight_oracles().items() if not k.endswith("_raw")})
+    q.update(survey_oracles())
+    q.update(other_oracles())
     return q

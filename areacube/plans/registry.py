@@ -180,13 +180,17 @@ def cube_district_q(spark, sf_dir):
     return tidy(W.cube_district(g1, W.districts(fx.area_codes(spark, sf_dir)), dictionary=_dictionary(spark)))
 
 
-@register("cube_municipality")
-def cube_municipality_q(spark, sf_dir):
-    """JN3, RSH1, PRJ10: smoothed counts per municipality, wide."""
+def cube_municipality_raw(spark, sf_dir):
     members = fx.region_members(spark, sf_dir)
     g2 = grain(spark, sf_dir, "g2", members=members)
     codes = W.municipality_codes(fx.area_codes(spark, sf_dir), members)
-    return tidy(W.cube_municipality(g2, codes, dictionary=_dictionary(spark)))
+    return W.cube_municipality(g2, codes, dictionary=_dictionary(spark))
+
+
+@register("cube_municipality")
+def cube_municipality_q(spark, sf_dir):
+    """JN3, RSH1, PRJ10: smoothed counts per municipality, wide."""
+    return tidy(cube_municipality_raw(spark, sf_dir))
 
 
 def subregion_codes(spark, sf_dir):
@@ -242,3 +246,213 @@ def year_bounds_q(spark, sf_dir):
 
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
+
+
+# ---------------------------------------------------------------- survey job
+
+from areacube.operators import survey as svy  # noqa: E402
+from areacube.operators.dictionary import (decode, observed_levels, recode, truncate,  # noqa: E402
+                                           user_missing_to_null)
+from areacube.operators.reshape import lengthen  # noqa: E402
+from areacube.plans import significance as SG  # noqa: E402
+
+DESIGN = SG.SurveyDesign(user_na=fx.SURVEY_USER_NA)
+ALL_INDICATORS = ["vo_ind_a", "vo_ind_b", "vo_ind_c", "vo_ind_d"]
+
+
+def survey_data(spark, sf_dir):
+    return SG.prepared(fx.survey_microdata(spark, sf_dir), DESIGN)
+
+
+def survey_groups(spark, sf_dir):
+    """LBL6: labelled municipalities that occur in the data."""
+    s = fx.survey_microdata(spark, sf_dir)
+    labels = fx.survey_municipalities(spark, sf_dir)
+    return labels.join(s.select(F.col("vo_gemeente").alias("code")), "code", "left_semi") \
+                 .select(F.col("code").alias(DESIGN.group))
+
+
+def resolved_indicators(spark, sf_dir) -> list[str]:
+    dirs = SG.directions(fx.indicator_list(spark))
+    return sorted(set(svy_resolve(survey_data(spark, sf_dir).columns, list(dirs)).values()))
+
+
+def svy_resolve(columns, codes):
+    from areacube.operators.relabel import resolve_code_names
+    return resolve_code_names(columns, codes)
+
+
+@register("unpivot_indicators")
+def unpivot_indicators(spark, sf_dir):
+    """RSH5: wide indicators -> long (respondent, var, val)."""
+    s = user_missing_to_null(fx.survey_microdata(spark, sf_dir), fx.SURVEY_USER_NA)
+    return lengthen(s.select("row_a", "row_b", *ALL_INDICATORS), ["row_a", "row_b"], ALL_INDICATORS)
+
+
+@register("svy_weighted_share")
+def svy_weighted_share(spark, sf_dir):
+    """SVY1-3, SVY8, JN11, SET3, FLT7: weighted share of the second answer in
+    each municipality and in the rest of the region, per wave and indicator."""
+    t = SG.tests(survey_data(spark, sf_dir), ALL_INDICATORS, DESIGN, survey_groups(spark, sf_dir))
+    return tidy(t.select("vo_wave", "var", DESIGN.group, "n_levels", "is_dichotomous",
+                         "perc_gemeente", "perc_rest"))
+
+
+@register("svy_rao_scott")
+def svy_rao_scott(spark, sf_dir):
+    """SVY4: design-corrected chi-square (N, X2, delta, F, nu) per wave, indicator, municipality."""
+    t = SG.tests(survey_data(spark, sf_dir), resolved_indicators(spark, sf_dir), DESIGN,
+                 survey_groups(spark, sf_dir))
+    return tidy(t.select("vo_wave", "var", DESIGN.group, "n_design", "x2", "delta", "f_stat", "nu"))
+
+
+@register("svy_significance")
+def svy_significance(spark, sf_dir):
+    """SVY4-7, UDF4, CND1-2, CND5, MTH3, RSH3: significance group 1-5 per wave."""
+    t = SG.significance(fx.survey_microdata(spark, sf_dir), fx.indicator_list(spark), DESIGN,
+                        survey_groups(spark, sf_dir))
+    return t.select("Jaar", "geolevel", "geoitem", "var", "gunstig", "pgroep")
+
+
+@register("svy_p_value")
+def svy_p_value(spark, sf_dir):
+    """UDF4: the exact F(1, nu) upper tail next to the statistic (rows-only check)."""
+    t = SG.significance(fx.survey_microdata(spark, sf_dir), fx.indicator_list(spark), DESIGN,
+                        survey_groups(spark, sf_dir))
+    return t.select("Jaar", "geoitem", "var", "p", "pgroep")
+
+
+@register("parse_direction")
+def parse_direction_q(spark, sf_dir):
+    """STR5, SVY5, FLT6: direction code and flag (NULL where the job would stop)."""
+    return svy.parse_direction(fx.direction_texts(spark, sf_dir))
+
+
+@register("codes_present")
+def codes_present(spark, sf_dir):
+    """JN8, LBL6, FLT3: the municipality code list limited to codes in the data."""
+    labels = fx.survey_municipalities(spark, sf_dir).withColumn("variable", F.lit("vo_gemeente")) \
+        .select("variable", "code", F.col("naam").alias("label"), F.col("code").alias("ord"))
+    return observed_levels(labels, fx.survey_microdata(spark, sf_dir), "vo_gemeente", "vo_gemeente") \
+        .select("code", F.col("label").alias("naam"))
+
+
+@register("user_missing_to_null")
+def user_missing_q(spark, sf_dir):
+    """LBL4, DM5: user-missing codes become NULL."""
+    s = fx.survey_microdata(spark, sf_dir).select("row_a", "row_b", "vo_ind_b")
+    return user_missing_to_null(s, fx.SURVEY_USER_NA)
+
+
+# ---------------------------------------------------------------- dictionaries
+
+def _meas_dictionary(spark):
+    return truncate(fx.value_dictionary(spark), C.klass, 4)
+
+
+@register("decode_labels")
+def decode_labels(spark, sf_dir):
+    """JN6, JN7, LBL1-3, FCT1: label columns for the coded dimensions."""
+    m = fx.weight_microdata(spark, sf_dir).select(C.municipality, C.sex, C.age, C.klass)
+    return decode(m, _meas_dictionary(spark), {C.sex: "geslacht", C.age: "lftkompas", C.klass: "gewicht5"})
+
+
+@register("recode_codes")
+def recode_codes(spark, sf_dir):
+    """JN5, UDF1: label -> code with a literal mapping; unmatched and NULL -> NULL."""
+    m = decode(fx.weight_microdata(spark, sf_dir).select(C.sex, C.klass), fx.value_dictionary(spark),
+               {C.klass: "gewicht5"})
+    mapping = {label: code for var, code, label, ord_ in fx.VALUE_DICTIONARY if var == C.klass and ord_ <= 4}
+    return recode(m, C.klass + "_label", mapping, out=C.klass + "_code")
+
+
+@register("dimension_items")
+def dimension_items_q(spark, sf_dir):
+    """MET2, SRC7: Itemcode, Naam, Volgnr of the sex and age dimensions and of
+    the municipality level (numbered in code order)."""
+    from pyspark.sql import Window
+    d = fx.value_dictionary(spark).where(F.col("variable").isin(C.sex, C.age))
+    dims = d.select(F.col("variable").alias("dimensie"), F.col("code").alias("Itemcode"),
+                    F.col("label").alias("Naam"), F.col("ord").alias("Volgnr"))
+    codes = W.municipality_codes(fx.area_codes(spark, sf_dir), fx.region_members(spark, sf_dir))
+    muni = codes.select(F.lit("gemeente").alias("dimensie"), F.col("code").alias("Itemcode"),
+                        F.col("gemeentenaam").alias("Naam"),
+                        F.row_number().over(Window.orderBy("code")).cast("int").alias("Volgnr"))
+    return dims.unionByName(muni)
+
+
+# ---------------------------------------------------------------- vaccination job
+
+from areacube.functions import scalars as S  # noqa: E402
+from areacube.plans import vaccination as V  # noqa: E402
+
+
+@register("vaccination_cube")
+def vaccination_cube_q(spark, sf_dir):
+    """SRC3, JN7, CND3, DAT2, STR4, STR10, MTH3, FLT1, FLT3, SET1, SRT1, JN5, D14."""
+    facts = fx.vaccination_facts(spark, sf_dir)
+    return tidy(V.vaccination_cube(facts, fx.member_area_keys(spark, sf_dir), "GG0001", "NL01  ",
+                                   fx.vaccine_labels(spark, sf_dir, V.VACCINE_TYPES)))
+
+
+@register("period_to_date")
+def period_to_date(spark, sf_dir):
+    """DAT3: period code -> first day and frequency letter."""
+    f = fx.vaccination_facts(spark, sf_dir).select("regios", "perioden", "vaccinaties")
+    return f.select("regios", "perioden", "vaccinaties", S.period_year(F.col("perioden")).alias("jaar"),
+                    S.period_date(F.col("perioden")).alias("perioden_date"),
+                    S.period_frequency(F.col("perioden")).alias("perioden_freq"))
+
+
+# ---------------------------------------------------------------- relabel job
+
+from areacube.operators import relabel as RL  # noqa: E402
+
+
+@register("pad_and_compose_code")
+def pad_and_compose_code(spark, sf_dir):
+    """STR11-13, LBL7-8, PRJ9: zero-padded district code and the composed 6-character code."""
+    m = fx.monitor_file(spark, sf_dir)
+    m = RL.pad_district(m, "nog_wijk2020")
+    m = RL.compose_district(m, "gemeentecode", "wijkcode", "wijkcode_volledig")
+    return m.select("id", "nog_wijk2020", "wijkcode_volledig")
+
+
+@register("clean_labels")
+def clean_labels_q(spark, sf_dir):
+    """STR8, LBL5: first occurrence of the cleaned word removed from each label."""
+    return RL.clean_labels(fx.variable_labels(spark, sf_dir))
+
+
+@register("prefix_columns")
+def prefix_columns_q(spark, sf_dir):
+    """PRJ6: every column renamed with the monitor prefix."""
+    return RL.prefix_columns(fx.monitor_file(spark, sf_dir), "VO")
+
+
+@register("resolve_columns")
+def resolve_columns_q(spark, sf_dir):
+    """PRJ7-8, STR6: (code, variable) pairs by case-insensitive containment, with match counts."""
+    return RL.resolve_codes(fx.indicator_codes(spark, sf_dir), fx.variable_labels(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- derived indicators
+
+from areacube.operators.derive import add_derived, suppress, weight_class_indicators  # noqa: E402
+
+
+@register("derived_indicators")
+def derived_indicators(spark, sf_dir):
+    """MET6: totals and shares of the municipality cube, evaluated."""
+    cube = cube_municipality_raw(spark, sf_dir).drop("JG_Gewicht_NA")
+    return tidy(add_derived(cube, weight_class_indicators()))
+
+
+@register("threshold_suppress")
+def threshold_suppress(spark, sf_dir):
+    """MET7: shares hidden where their threshold indicator is below 50."""
+    cube = add_derived(cube_municipality_raw(spark, sf_dir).drop("JG_Gewicht_NA"), weight_class_indicators())
+    rules = {f"JG_Gewicht_{k}_perc": "JG_Gewicht_totaal" for k in C.classes}
+    rules["JG_Overgewicht_perc"] = "JG_Overgewicht"
+    keep = ["Jaar", "geolevel", "geoitem", "JG_Geslacht", "JG_Lftklasse", *rules]
+    return tidy(suppress(cube, rules).select(*keep))

@@ -34,6 +34,7 @@ def build_session(master: str | None = None, app: str = "areacube",
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true")
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", os.environ.get("AREACUBE_DRIVER_MEMORY", "8g")))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -209,3 +209,47 @@ def variable_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("VO_"), F.upper(F.regexp_replace(F.col("p_type"), " ", "")),
                  F.col("p_partkey").cast("string")).alias("variable"),
         label.alias("label"))
+
+
+def vaccine_labels(spark: SparkSession, sf_dir: str, types: list[str]) -> DataFrame:
+    """Code list of the ``vaccinaties`` dimension (key, title).
+
+    Priority ``k`` maps to vaccine type ``3k - 2`` of ``types``; priority 5 gets
+    a type outside the list, so the type filter has something to drop.
+    """
+    o = read_table(spark, sf_dir, "orders", ["o_orderpriority"]).select(
+        F.col("o_orderpriority").alias("key")).distinct()
+    d = F.substring("key", 1, 1).cast("int")
+    names = F.array(*[F.lit(t) for t in types])
+    return o.select("key", F.when(d == 5, F.lit("Onbekend vaccin"))
+                    .otherwise(F.element_at(names, d * 3 - 2)).alias("title"))
+
+
+def member_area_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of the member municipalities in the area code list."""
+    a = area_codes(spark, sf_dir).where(F.col("area_key").startswith("GM"))
+    m = region_members(spark, sf_dir).select(F.col("gemeentekind").alias("title"))
+    return a.join(m, "title", "left_semi").select(F.col("area_key").alias("key"))
+
+
+def survey_municipalities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Value labels of the survey's municipality column (code, naam)."""
+    return read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"]).select(
+        F.col("n_nationkey").alias("code"), F.col("n_name").alias("naam"))
+
+
+def direction_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A long indicator list with every kind of direction text."""
+    p = read_table(spark, sf_dir, "part", ["p_partkey", "p_brand"])
+    k = F.col("p_partkey") % 4
+    text = (F.when(k == 0, F.lit("Hoger = gunstig")).when(k == 1, F.lit("Hoger = ongunstig"))
+            .when(k == 2, F.lit("Hoger = neutraal")).otherwise(F.concat(F.lit("Richting "), F.col("p_brand"))))
+    return p.select(F.concat(F.lit("IND_"), F.col("p_partkey").cast("string")).alias("code"), text.alias("richting"))
+
+
+def indicator_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes to resolve against the variable names of ``variable_labels``:
+    some match one name, some several (prefixes of longer names), some none."""
+    p = read_table(spark, sf_dir, "part", ["p_partkey", "p_type"])
+    return p.select(F.concat(F.lower(F.regexp_replace(F.col("p_type"), " ", "")),
+                             (F.col("p_partkey") * 3).cast("string")).alias("code"))
