@@ -38,6 +38,10 @@ def densify(cells: DataFrame, geo: Sequence[str], dims: Sequence[str], year: str
             max_levels: int = MAX_LEVELS) -> DataFrame:
     """Complete ``cells`` over area x dims x year.
 
+    ``cells`` may be at a finer grain than ``geo + dims + [year]``: the
+    measure is summed, so the roll-up happens in the same aggregate as the
+    gap fill (one exchange instead of two).
+
     geo:        area key columns (e.g. municipality, or the municipality/district
                 pair); the grid holds observed keys plus ``extra_geos``.
     dims:       categorical dimensions expanded to all observed values (NULL too).
@@ -54,10 +58,10 @@ def densify(cells: DataFrame, geo: Sequence[str], dims: Sequence[str], year: str
         F.min(year).alias("__lo"), F.max(year).alias("__hi"))).scalar()
 
     if geo:
-        geos = cells.select(*geo).distinct().withColumn("__gobs", F.lit(True))
+        geos = cells.select(*geo, F.lit(True).alias("__gobs"))
         if extra_geos is not None:
-            geos = (geos.unionByName(extra_geos.select(*geo).withColumn("__gobs", F.lit(False)))
-                    .groupBy(*geo).agg(F.max("__gobs").alias("__gobs")))
+            geos = geos.unionByName(extra_geos.select(*geo, F.lit(False).alias("__gobs")))
+        geos = geos.groupBy(*geo).agg(F.max("__gobs").alias("__gobs"))
     else:
         geos = cells.agg(F.lit(True).alias("__gobs"))
 
@@ -95,9 +99,10 @@ def missing_geo_years(cells: DataFrame, geo: Sequence[str], year: str,
     """
     geo = list(geo)
     bounds = cells.agg(F.struct(F.min(year).alias("lo"), F.max(year).alias("hi"))).scalar()
-    areas = cells.select(*geo).distinct()
+    areas = cells.select(*geo)
     if members is not None:
-        areas = areas.unionByName(members.select(*geo)).distinct()
+        areas = areas.unionByName(members.select(*geo))
+    areas = areas.distinct()
     spine = (areas.withColumn("__b", bounds)
              .select(*geo, F.explode(F.sequence(F.col("__b.lo"), F.col("__b.hi"))).alias(year)))
     seen = cells.select(*geo, year).distinct()

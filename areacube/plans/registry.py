@@ -88,16 +88,14 @@ def missing_geo_years_q(spark, sf_dir):
 @register("densify_zero")
 def densify_zero(spark, sf_dir):
     """DEN1, JN10: zero-filled product of the observed values."""
-    keys = _keys("g2")
-    t = cellops.roll_up(weight_cells(spark, sf_dir), keys)
+    t = weight_cells(spark, sf_dir).select(*_keys("g2"), "n")
     return densify(t, [C.municipality], [C.sex, C.age, C.klass], C.year, zero_fill=True)
 
 
 @register("densify_years")
 def densify_years(spark, sf_dir):
     """DEN2, DEN3, SET2: the grid after stub years and member municipalities."""
-    keys = _keys("g2")
-    t = cellops.roll_up(weight_cells(spark, sf_dir), keys)
+    t = weight_cells(spark, sf_dir).select(*_keys("g2"), "n")
     return densify(t, [C.municipality], [C.sex, C.age, C.klass], C.year, zero_fill=True,
                    extra_geos=fx.region_members(spark, sf_dir), fill_years=True)
 
