@@ -94,8 +94,11 @@ def user_missing_to_null(df: DataFrame, user_na: Mapping[str, Sequence]) -> Data
     exprs: dict[str, Column] = {}
     for col, codes in user_na.items():
         if codes and col in df.columns:
-            exprs[col] = F.when(~F.col(col).isin(*codes) | F.col(col).isNull(), F.col(col))
-    return df.withColumns(exprs) if exprs else df
+            kept = F.when(~F.col(col).isin(*codes) | F.col(col).isNull(), F.col(col))
+            exprs[col] = kept.alias(col, metadata=df.schema[col].metadata)   # labels survive
+    if not exprs:
+        return df
+    return df.select(*[exprs.get(c, F.col(c)) for c in df.columns])
 
 
 def dimension_items(entries: DataFrame, code: str = "code", label: str = "label",
