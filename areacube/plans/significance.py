@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from areacube.operators.dictionary import user_missing_to_null
+from areacube.plans.portal import LEVEL_MUNICIPALITY
 from areacube.operators.relabel import rename_matching, resolve_code_names
 from areacube.operators.survey import (compare_with_rest, p_values, parse_direction,
                                        require_directions, significance_group, survey_sums)
@@ -69,7 +70,7 @@ def significance(df: DataFrame, indicators: DataFrame, d: SurveyDesign,
                                "var string, hoger_beter boolean")
     t = significance_group(t.join(hb, "var"))
     jaar = F.col(d.wave) if (d.wave and year is None) else F.lit(year)
-    return t.select(jaar.cast("int").alias("Jaar"), F.lit("gemeente").alias("geolevel"),
+    return t.select(jaar.cast("int").alias("Jaar"), F.lit(LEVEL_MUNICIPALITY).alias("geolevel"),
                     F.col(d.group).alias("geoitem"), "var", "pgroep", "gunstig", "p",
                     "perc_gemeente", "perc_rest", "hoger_beter", "is_dichotomous")
 

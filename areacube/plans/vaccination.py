@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from areacube.functions.scalars import as_number, from_position, period_year
 from areacube.operators.dictionary import recode
 from areacube.operators.reshape import stack_levels
+from areacube.plans.portal import LEVEL_COUNTRY, LEVEL_MUNICIPALITY, LEVEL_REGION
 
 # The vaccine types of the cube; the code of a type is its position.
 VACCINE_TYPES = [
@@ -72,10 +73,10 @@ def vaccination_cube(facts: DataFrame, municipality_keys: DataFrame, region_key:
     keep = F.col("vaccinaties_label").isin(*VACCINE_TYPES) & F.col("Gevaccineerden").isNotNull()
     cols = ["Jaar", "geoitem", "vaccinaties_label", "Gevaccineerden", "Populatie"]
     levels = {
-        "gemeente": muni.where(keep).withColumn("geoitem", F.col("gemeentecode")).select(*cols),
-        "ggd": top.where(keep & (F.col("Regio") == region_key.strip()) & F.col("Vaccinatiegraad").isNotNull())
+        LEVEL_MUNICIPALITY: muni.where(keep).withColumn("geoitem", F.col("gemeentecode")).select(*cols),
+        LEVEL_REGION: top.where(keep & (F.col("Regio") == region_key.strip()) & F.col("Vaccinatiegraad").isNotNull())
                   .withColumn("geoitem", F.lit(1)).select(*cols),
-        "nederland": top.where(keep & (F.col("Regio") == country_key.strip()) & F.col("Vaccinatiegraad").isNotNull())
+        LEVEL_COUNTRY: top.where(keep & (F.col("Regio") == country_key.strip()) & F.col("Vaccinatiegraad").isNotNull())
                         .withColumn("geoitem", F.lit(1)).select(*cols),
     }
     out = stack_levels(levels).withColumnsRenamed({

@@ -24,6 +24,7 @@ from areacube.operators.densify import densify
 from areacube.operators.dictionary import keep_known_codes
 from areacube.operators.reshape import stack_levels, widen
 from areacube.operators.smooth import share, smoothed_count, trailing_mean
+from areacube.plans.portal import LEVEL_DISTRICT, LEVEL_MUNICIPALITY, LEVEL_REGION, LEVEL_SUBREGION
 from areacube.session import materialize
 
 
@@ -181,7 +182,7 @@ def cube_municipality(g2: DataFrame, codes: DataFrame, c: WeightColumns = COLS,
     """
     t = (g2.where(F.col("n_total").isNotNull() & (F.col("n_total") != 0))
          .join(codes, g2[c.municipality] == codes["gemeentenaam"], "left")
-         .select(F.col(c.year).alias("Jaar"), F.lit("gemeente").alias("geolevel"),
+         .select(F.col(c.year).alias("Jaar"), F.lit(LEVEL_MUNICIPALITY).alias("geolevel"),
                  F.col("code").alias("geoitem"), c.sex, c.age, c.klass, "n_weighted"))
     t = _cube_columns(t, c, "n_weighted", c.classes, dictionary)
     return widen(t, ["Jaar", "geolevel", "geoitem", "JG_Geslacht", "JG_Lftklasse"], c.klass,
@@ -196,7 +197,7 @@ def cube_district(g1: DataFrame, district_dim: DataFrame, c: WeightColumns = COL
     t = (g1.where(F.col("n_total").isNotNull() & (F.col("n_total") != 0))
          .join(d, cond, "left")
          .where(F.col("geoitem").isNotNull())
-         .select(F.col(c.year).alias("Jaar"), F.lit("wijk23").alias("geolevel"), "geoitem",
+         .select(F.col(c.year).alias("Jaar"), F.lit(LEVEL_DISTRICT).alias("geolevel"), "geoitem",
                  c.sex, c.age, c.klass, "n_weighted"))
     t = _cube_columns(t, c, "n_weighted", c.classes, dictionary)
     return widen(t, ["Jaar", "geolevel", "geoitem", "JG_Geslacht", "JG_Lftklasse"], c.klass,
@@ -212,7 +213,7 @@ def cube_absolute(g2: DataFrame, g3: DataFrame, g4: DataFrame, codes: DataFrame,
     sub = (g3.join(subregion_codes, g3[c.subregion] == subregion_codes["regionaam"], "left")
            .select(F.col(c.year).alias("Jaar"), F.col("code").alias("geoitem"), c.sex, c.age, c.klass, "n"))
     nog = g4.select(F.col(c.year).alias("Jaar"), F.lit(1).alias("geoitem"), c.sex, c.age, c.klass, "n")
-    t = stack_levels({"gemeente": muni, "subregio": sub, "ggd": nog})
+    t = stack_levels({LEVEL_MUNICIPALITY: muni, LEVEL_SUBREGION: sub, LEVEL_REGION: nog})
     t = _cube_columns(t, c, "n", c.classes, dictionary)
     return widen(t, ["Jaar", "geolevel", "geoitem", "JG_Geslacht", "JG_Lftklasse"], c.klass,
                  "n", list(c.classes), "JG_Gewicht_{}_abs", include_null=True)

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from areacube.operators.derive import Derived
+from areacube.plans.portal import RELABELLED_PREFIX
 
 
 @dataclass(frozen=True)
@@ -99,7 +100,7 @@ def write_cube(spec: CubeSpec, data: DataFrame, path: str, partition_by: Sequenc
         df.coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}")
 
 
-def write_relabelled(df: DataFrame, folder: str, name: str, prefix: str = "Swing-") -> str:
+def write_relabelled(df: DataFrame, folder: str, name: str, prefix: str = RELABELLED_PREFIX) -> str:
     """SNK4: the relabelled copy next to the input; labels stay in field metadata."""
     out = f"{folder.rstrip('/')}/{prefix}{name}"
     df.write.mode("overwrite").parquet(out)
