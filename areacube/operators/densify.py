@@ -94,17 +94,19 @@ def missing_geo_years(cells: DataFrame, geo: Sequence[str], year: str,
                       members: DataFrame | None = None) -> DataFrame:
     """JN9/AGG9: (area, year) pairs of the ``min..max`` range without any row.
 
-    Areas are the observed ones plus ``members``.  One anti join replaces the
-    reference's nested loops with a row-count test.
+    Areas are the observed ones plus ``members``.  The reference's nested loops
+    with a row-count test become one aggregate: the spine (every area x every
+    year) and the observed pairs are unioned and a pair is missing when no
+    observed row joined its group.  ``cells`` may be at any finer grain.
     """
     geo = list(geo)
     bounds = cells.agg(F.struct(F.min(year).alias("lo"), F.max(year).alias("hi"))).scalar()
     areas = cells.select(*geo)
     if members is not None:
         areas = areas.unionByName(members.select(*geo))
-    areas = areas.distinct()
-    spine = (areas.withColumn("__b", bounds)
-             .select(*geo, F.explode(F.sequence(F.col("__b.lo"), F.col("__b.hi"))).alias(year)))
-    seen = cells.select(*geo, year).distinct()
-    cond = [spine[c].eqNullSafe(seen[c]) for c in geo + [year]]
-    return spine.join(seen, cond, "left_anti")
+    spine = (areas.distinct().withColumn("__b", bounds)
+             .select(*geo, F.explode(F.sequence(F.col("__b.lo"), F.col("__b.hi"))).alias(year),
+                     F.lit(False).alias("__seen")))
+    seen = cells.select(*geo, year, F.lit(True).alias("__seen"))
+    return (spine.unionByName(seen).groupBy(*geo, year).agg(F.max("__seen").alias("__seen"))
+            .where(~F.col("__seen")).drop("__seen"))

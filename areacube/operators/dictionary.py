@@ -1,10 +1,11 @@
 """Value dictionaries: recode, decode, code lists (JN5-JN8, LBL1-LBL4, DM2, DM5).
 
-A dictionary is a long DataFrame ``(variable, code, label, ord)``.  Lookups
-are left joins against it; Spark chooses a broadcast hash join from the
-table's measured size (dictionaries are a handful of rows), and a large code
-list falls back to a shuffled join by itself.  Small literal mappings given
-as Python dicts become a ``map`` expression instead.
+A dictionary is a long DataFrame ``(variable, code, label, ord)``.  A lookup
+turns the entries of one variable into a ``map`` with a single scalar
+subquery (size-checked in the JVM, so what every task holds is bounded) and
+reads it with ``try_element_at``: no join, no shuffle of the data side.
+Mappings too large for that belong in ``recode_by_table`` (a join).  Small
+literal mappings given as Python dicts become a ``map`` literal.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+MAX_ENTRIES = 1_000_000
+
 
 def recode(df: DataFrame, col: str, mapping: Mapping | Iterable[tuple], out: str | None = None) -> DataFrame:
     """JN5/UDF1 with a literal mapping: unmatched -> NULL, NULL -> NULL.
@@ -27,6 +30,14 @@ def recode(df: DataFrame, col: str, mapping: Mapping | Iterable[tuple], out: str
     return df.withColumn(out or col, F.try_element_at(m, F.col(col)))
 
 
+def value_set(df: DataFrame, col: str, max_values: int = MAX_ENTRIES) -> Column:
+    """The distinct non-NULL values of a small code list as one array value
+    (a size-checked scalar subquery); test membership with ``array_contains``."""
+    v = F.collect_set(F.col(col))
+    return df.agg(F.when(F.size(v) > max_values, F.raise_error(F.lit(f"code list over {max_values} values")))
+                  .otherwise(v)).scalar()
+
+
 def recode_by_table(df: DataFrame, col: str, table: DataFrame, key: str, value: str,
                     out: str | None = None) -> DataFrame:
     """JN5 for a mapping held in a table (one row per key expected)."""
@@ -39,6 +50,20 @@ def _entries(dictionary: DataFrame, variable: str) -> DataFrame:
     return dictionary.where(F.col("variable") == variable)
 
 
+def lookup_map(table: DataFrame, key: str, value: str, max_entries: int = MAX_ENTRIES) -> Column:
+    """``key -> value`` of a small table as one map value (a scalar subquery).
+
+    Raises inside the plan if the table has more than ``max_entries`` keys or
+    a key twice (a dictionary must be unambiguous).
+    """
+    entries = F.collect_list(F.struct(F.col(key), F.col(value)))
+    too_big = F.count(F.lit(1)) > max_entries
+    m = table.where(F.col(key).isNotNull()).agg(
+        F.when(too_big, F.raise_error(F.lit(f"lookup table over {max_entries} entries")))
+         .otherwise(F.map_from_entries(entries)).alias("m"))
+    return m.scalar()
+
+
 def decode(df: DataFrame, dictionary: DataFrame, columns: Mapping[str, str],
            suffix: str = "_label") -> DataFrame:
     """JN6/JN7: add ``<col><suffix>`` with the label of each coded column.
@@ -46,35 +71,30 @@ def decode(df: DataFrame, dictionary: DataFrame, columns: Mapping[str, str],
     ``columns`` maps a data column to its dictionary variable.  Codes without a
     label give NULL.
     """
-    for col, var in columns.items():
-        d = _entries(dictionary, var).select(F.col("code").alias("__c"), F.col("label").alias(col + suffix))
-        df = df.join(d, df[col] == d["__c"], "left").drop("__c")
-    return df
+    return df.withColumns({col + suffix: F.try_element_at(lookup_map(_entries(dictionary, var), "code", "label"),
+                                                          F.col(col))
+                           for col, var in columns.items()})
 
 
 def encode(df: DataFrame, dictionary: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """JN5 on labels: replace each label column by its code (unmatched -> NULL)."""
-    for col, var in columns.items():
-        d = _entries(dictionary, var).select(F.col("label").alias("__l"), F.col("code").alias("__c"))
-        df = (df.join(d, df[col] == d["__l"], "left").drop("__l", col)
-              .withColumnRenamed("__c", col))
-    return df
+    return df.withColumns({col: F.try_element_at(lookup_map(_entries(dictionary, var), "label", "code"), F.col(col))
+                           for col, var in columns.items()})
 
 
 def keep_known_codes(df: DataFrame, dictionary: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """The code form of JN5: codes absent from the dictionary become NULL."""
-    for col, var in columns.items():
-        d = _entries(dictionary, var).select(F.col("code").alias("__c")).distinct()
-        df = (df.join(d, df[col] == d["__c"], "left")
-              .withColumn(col, F.col("__c")).drop("__c"))
-    return df
+    return df.withColumns({col: F.when(F.try_element_at(lookup_map(_entries(dictionary, var), "code", "code"),
+                                                         F.col(col)).isNotNull(), F.col(col))
+                           for col, var in columns.items()})
 
 
 def override(dictionary: DataFrame, variable: str, entries: Mapping[str, int]) -> DataFrame:
     """LBL2: replace the entries of one variable (label -> code, order as given)."""
-    spark = dictionary.sparkSession
-    new = spark.createDataFrame([(variable, int(code), label, i + 1) for i, (label, code) in enumerate(entries.items())],
-                                dictionary.schema)
+    from areacube.sources.tables import local_table
+    new = local_table(dictionary.sparkSession,
+                      [(variable, int(code), label, i + 1) for i, (label, code) in enumerate(entries.items())],
+                      dictionary.schema)
     return dictionary.where(F.col("variable") != variable).unionByName(new)
 
 

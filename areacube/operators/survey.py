@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from areacube.functions.fdist import f_upper_udf
+from areacube.operators.dictionary import value_set
 
 
 def _c(name: str) -> Column:
@@ -57,15 +58,6 @@ def survey_sums(df: DataFrame, indicators: Sequence[str], group: str, strata: st
         F.count(F.lit(1)).alias("n"), F.sum(w).alias("s1"), F.sum(w * w).alias("s2"))
 
 
-def _levels(sums: DataFrame, keys: list[str], group: str) -> DataFrame:
-    """Per indicator: number of answer values and the first two (sorted)."""
-    seen = sums.where(_c("val").isNotNull() & _c(group).isNotNull())
-    first = F.min("val").over(Window.partitionBy(*keys))
-    return (seen.withColumn("__v0", first).groupBy(*keys).agg(
-        F.countDistinct("val").alias("n_levels"), F.min("__v0").alias("v0"),
-        F.min(F.when(_c("val") > _c("__v0"), _c("val"))).alias("v1")))
-
-
 def _inv(x: Column) -> Column:
     return F.when(x > 0, F.lit(1.0) / x).otherwise(F.lit(0.0))
 
@@ -79,78 +71,92 @@ def compare_with_rest(sums: DataFrame, group: str, strata: str, by: Sequence[str
     f_stat, nu.  Test columns are NULL unless the indicator has exactly two
     values (D4).  ``groups`` (one column named ``group``) limits the result
     to the municipalities of the code list (LBL6).
+
+    Physical shape: the sums are hash-partitioned once by (by, var); every
+    later step groups or windows by a superset of those keys, so no further
+    exchange is needed until the result (one row per municipality).
     """
     K = list(by) + ["var"]
-    lv = _levels(sums, K, group)
-    x = sums.join(lv, K, "left")
-    is0, is1 = _c("val") == _c("v0"), _c("val") == _c("v1")
     z = F.lit(0.0)
-    hg = x.groupBy(*K, strata, group).agg(
-        F.sum("n").alias("n_all"),
+    s = sums.repartition(*K)
+    wK = Window.partitionBy(*K)
+    seen = _c("val").isNotNull() & _c(group).isNotNull()
+    s = s.withColumn("v0", F.min(F.when(seen, _c("val"))).over(wK))
+    s = s.withColumns({"v1": F.min(F.when(seen & (_c("val") > _c("v0")), _c("val"))).over(wK),
+                       "n_levels": F.size(F.collect_set(F.when(seen, _c("val"))).over(wK))})
+    is0, is1 = _c("val") == _c("v0"), _c("val") == _c("v1")
+    hg = s.groupBy(*K, strata, group).agg(
+        F.sum("n").alias("n_all"), F.max("n_levels").alias("n_levels"),
         F.coalesce(F.sum(F.when(is0, _c("s1"))), z).alias("a1"),
         F.coalesce(F.sum(F.when(is1, _c("s1"))), z).alias("b1"),
         F.coalesce(F.sum(F.when(is0, _c("s2"))), z).alias("a2"),
         F.coalesce(F.sum(F.when(is1, _c("s2"))), z).alias("b2"),
         F.coalesce(F.sum(F.when(_c("val").isNotNull(), _c("s1"))), z).alias("t1"))
 
+    # per stratum: all design rows (NULL group and NULL value included) and region totals
     known = _c(group).isNotNull()
+    wKh = Window.partitionBy(*K, strata)
+    hg = hg.withColumns({"nh": F.sum("n_all").over(wKh),
+                         **{"t" + c: F.coalesce(F.sum(F.when(known, _c(c))).over(wKh), z)
+                            for c in ("a1", "b1", "a2", "b2", "t1")},
+                         "__first": F.row_number().over(wKh.orderBy(F.col(group).asc_nulls_first())) == 1})
     nh = _c("nh")
-    kh = (hg.groupBy(*K, strata).agg(
-            F.sum("n_all").alias("nh"),
-            *[F.coalesce(F.sum(F.when(known, _c(c))), z).alias("t" + c) for c in ("a1", "b1", "a2", "b2", "t1")])
-          .withColumn("fh", F.when(nh <= 1, F.raise_error(F.concat(
-              F.lit("stratum with a single row: "), _c(strata).cast("string"))))
-              .otherwise(nh / (nh - F.lit(1)))))
-    kk = kh.groupBy(*K).agg(
-        F.sum("ta1").alias("W0"), F.sum("tb1").alias("W1"), F.sum("tt1").alias("Wall"),
-        F.sum(_c("fh") * _c("ta2")).alias("U0"), F.sum(_c("fh") * _c("tb2")).alias("U1"),
-        F.sum(_c("fh") / nh * _c("ta1") * _c("ta1")).alias("T00"),
-        F.sum(_c("fh") / nh * _c("ta1") * _c("tb1")).alias("T01"),
-        F.sum(_c("fh") / nh * _c("tb1") * _c("tb1")).alias("T11"),
-        F.sum("nh").alias("n_design"), F.count(F.lit(1)).alias("n_strata"))
-
-    km = hg.where(known).groupBy(*K, group).agg(
-        F.sum("a1").alias("M0"), F.sum("b1").alias("M1"), F.sum("t1").alias("Mall"))
-    if groups is not None:
-        km = km.join(groups.select(group).distinct(), group, "left_semi")
-    km = (km.join(kk, K).join(lv, K)
-          .withColumns({
-              "q0T": -_inv(_c("M0")), "q1T": _inv(_c("M1")),
-              "q0F": _inv(_c("W0") - _c("M0")), "q1F": -_inv(_c("W1") - _c("M1"))}))
-
-    # strata where the municipality has rows: the part that depends on it
-    q = km.select(*K, group, "q0T", "q1T", "q0F", "q1F")
-    local = (hg.where(known).join(kh.select(*K, strata, "nh", "fh", "ta1", "tb1"), K + [strata])
-             .join(q, K + [group]))
+    hg = hg.withColumn("fh", F.when(nh <= 1, F.raise_error(F.concat(
+        F.lit("stratum with a single row: "), _c(strata).cast("string")))).otherwise(nh / (nh - F.lit(1))))
+    # per indicator: sums over strata (one row per stratum counts)
+    one = _c("__first")
+    fn = _c("fh") / nh
+    hg = hg.withColumns({
+        "W0": F.sum(F.when(one, _c("ta1"))).over(wK), "W1": F.sum(F.when(one, _c("tb1"))).over(wK),
+        "Wall": F.sum(F.when(one, _c("tt1"))).over(wK),
+        "U0": F.sum(F.when(one, _c("fh") * _c("ta2"))).over(wK),
+        "U1": F.sum(F.when(one, _c("fh") * _c("tb2"))).over(wK),
+        "T00": F.sum(F.when(one, fn * _c("ta1") * _c("ta1"))).over(wK),
+        "T01": F.sum(F.when(one, fn * _c("ta1") * _c("tb1"))).over(wK),
+        "T11": F.sum(F.when(one, fn * _c("tb1") * _c("tb1"))).over(wK),
+        "n_design": F.sum(F.when(one, nh)).over(wK),
+        "n_strata": F.count(F.when(one, F.lit(1))).over(wK)})
+    # per municipality: its cell sums and the contrast weights q = c / S
+    wKg = Window.partitionBy(*K, group)
+    hg = hg.where(known).withColumns({"M0": F.sum("a1").over(wKg), "M1": F.sum("b1").over(wKg),
+                                      "Mall": F.sum("t1").over(wKg)})
+    hg = hg.withColumns({"q0T": -_inv(_c("M0")), "q1T": _inv(_c("M1")),
+                         "q0F": _inv(_c("W0") - _c("M0")), "q1F": -_inv(_c("W1") - _c("M1"))})
+    # the part of the stratum sum that depends on the municipality (its strata only)
     bh = (_c("q0T") - _c("q0F")) * _c("a1") + (_c("q1T") - _c("q1F")) * _c("b1")
     ah = _c("q0F") * _c("ta1") + _c("q1F") * _c("tb1")
     term = (_c("fh") * ((_c("q0T") ** 2 - _c("q0F") ** 2) * _c("a2") + (_c("q1T") ** 2 - _c("q1F") ** 2) * _c("b2"))
             - _c("fh") / _c("nh") * (F.lit(2.0) * ah * bh + bh * bh))
-    part = local.groupBy(*K, group).agg(F.sum(term).alias("__part"))
+    const = ["n_levels", "W0", "W1", "Wall", "U0", "U1", "T00", "T01", "T11", "n_design", "n_strata",
+             "M0", "M1", "Mall", "q0T", "q1T", "q0F", "q1F"]
+    r = hg.groupBy(*K, group).agg(F.sum(term).alias("__part"), *[F.max(c).alias(c) for c in const])
+    if groups is not None:
+        r = r.where(F.array_contains(value_set(groups, group), _c(group)))
 
-    r = km.join(part, K + [group], "left")
     q0F, q1F = _c("q0F"), _c("q1F")
     num = (q0F * q0F * _c("U0") + q1F * q1F * _c("U1")
            - (q0F * q0F * _c("T00") + F.lit(2.0) * q0F * q1F * _c("T01") + q1F * q1F * _c("T11"))
-           + F.coalesce(_c("__part"), z))
+           + _c("__part"))
     W = _c("W0") + _c("W1")
-    a, b = (_c("W0") - _c("M0")) / W, _c("M0") / W          # v0 out, v0 in
-    c, d = (_c("W1") - _c("M1")) / W, _c("M1") / W          # v1 out, v1 in
-    r0, r1 = _c("W0") / W, _c("W1") / W
-    cin = (_c("M0") + _c("M1")) / W
+    def share_of(x):
+        return F.try_divide(x, W)
+    a, b = share_of(_c("W0") - _c("M0")), share_of(_c("M0"))          # v0 out, v0 in
+    c, d = share_of(_c("W1") - _c("M1")), share_of(_c("M1"))          # v1 out, v1 in
+    r0, r1 = share_of(_c("W0")), share_of(_c("W1"))
+    cin = share_of(_c("M0") + _c("M1"))
     x2n = F.try_divide((a * d - b * c) ** 2, r0 * r1 * (F.lit(1.0) - cin) * cin)
     sinv = _inv(_c("W0") - _c("M0")) + _inv(_c("W1") - _c("M1")) + _inv(_c("M0")) + _inv(_c("M1"))
     two = _c("n_levels") == 2
     N = _c("n_design").cast("double")
-    return r.select(
-        *K, group, "n_levels", two.alias("is_dichotomous"),
+    return r.where(_c("n_levels") > 0).select(
+        *K, group, _c("n_levels").cast("bigint").alias("n_levels"), two.alias("is_dichotomous"),
         F.when(_c("n_levels") >= 2, F.try_divide(_c("M1"), _c("Mall"))).alias("perc_gemeente"),
         F.when(_c("n_levels") >= 2, F.try_divide(_c("W1") - _c("M1"), _c("Wall") - _c("Mall"))).alias("perc_rest"),
-        _c("n_design"),
+        _c("n_design").cast("bigint").alias("n_design"),
         F.when(two, N * x2n).alias("x2"),
         F.when(two, F.try_divide(N * num, W * sinv)).alias("delta"),
         F.when(two, F.try_divide(x2n * W * sinv, num)).alias("f_stat"),
-        (_c("n_design") - _c("n_strata")).alias("nu"))
+        (_c("n_design") - _c("n_strata")).cast("bigint").alias("nu"))
 
 
 def p_values(tests: DataFrame) -> DataFrame:

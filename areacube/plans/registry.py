@@ -81,7 +81,7 @@ def share_in_group(spark, sf_dir):
 @register("missing_geo_years")
 def missing_geo_years_q(spark, sf_dir):
     """JN9, AGG9, DAT4: (municipality, year) pairs without any row."""
-    t = cellops.roll_up(weight_cells(spark, sf_dir), [C.municipality, C.year])
+    t = weight_cells(spark, sf_dir).select(C.municipality, C.year)
     return missing_geo_years(t, [C.municipality], C.year, fx.region_members(spark, sf_dir))
 
 

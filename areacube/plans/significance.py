@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from areacube.operators.dictionary import user_missing_to_null
 from areacube.plans.portal import LEVEL_MUNICIPALITY
+from areacube.sources.tables import local_table
 from areacube.operators.relabel import rename_matching, resolve_code_names
 from areacube.operators.survey import (compare_with_rest, p_values, parse_direction,
                                        require_directions, significance_group, survey_sums)
@@ -66,8 +67,8 @@ def significance(df: DataFrame, indicators: DataFrame, d: SurveyDesign,
     cols = sorted(set(resolved.values()))
     t = p_values(tests(data, cols, d, groups))
     spark = df.sparkSession
-    hb = spark.createDataFrame([(col, dirs[code]) for code, col in resolved.items()],
-                               "var string, hoger_beter boolean")
+    hb = local_table(spark, [(col, dirs[code]) for code, col in resolved.items()],
+                     "var string, hoger_beter boolean")
     t = significance_group(t.join(hb, "var"))
     jaar = F.col(d.wave) if (d.wave and year is None) else F.lit(year)
     return t.select(jaar.cast("int").alias("Jaar"), F.lit(LEVEL_MUNICIPALITY).alias("geolevel"),

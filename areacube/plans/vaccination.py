@@ -1,9 +1,9 @@
 """Job 3: vaccinated count and population per year x area level x vaccine.
 
-One scan of the fact table serves all three levels: municipalities (keys of
-the region's members, a semi join so the key list can be of any size),
-the region and the country (literal keys, pushed to the Parquet reader as
-an ``In`` filter in both padded and unpadded form).
+One scan of the fact table serves all three levels: municipalities (the
+keys of the region's members), the region and the country (literal keys,
+in both padded and unpadded form).  No join: the member keys and the label
+code list are small lookups built once per query.
 """
 
 from __future__ import annotations
@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from areacube.functions.scalars import as_number, from_position, period_year
-from areacube.operators.dictionary import recode
-from areacube.operators.reshape import stack_levels
+from areacube.operators.dictionary import lookup_map, recode
 from areacube.plans.portal import LEVEL_COUNTRY, LEVEL_MUNICIPALITY, LEVEL_REGION
 
 # The vaccine types of the cube; the code of a type is its position.
@@ -39,26 +38,42 @@ def padded(keys: Sequence[str], width: int = KEY_WIDTH) -> list[str]:
     return sorted(set(out))
 
 
+def key_set(keys: DataFrame, max_keys: int = 100_000):
+    """The trimmed keys of a code list as one array value (a size-checked scalar subquery)."""
+    k = F.collect_set(F.trim(F.col(keys.columns[0])))
+    return keys.agg(F.when(F.size(k) > max_keys, F.raise_error(F.lit(f"more than {max_keys} area keys")))
+                    .otherwise(k)).scalar()
+
+
 def read_facts(facts: DataFrame, region: str = "regios", keys: DataFrame | None = None,
                literal_keys: Sequence[str] | None = None) -> DataFrame:
-    """SRC3: facts of the listed areas only."""
+    """SRC3: facts of the listed areas only.
+
+    Literal keys become an ``In`` filter on the raw column (pushed to the
+    Parquet reader); a key table becomes a membership test against its key
+    set.  Both forms together are one filter over one scan.
+    """
+    conds = []
     if literal_keys is not None:
-        facts = facts.where(F.col(region).isin(padded(literal_keys)))
+        conds.append(F.col(region).isin(padded(literal_keys)))
     if keys is not None:
-        k = keys.select(F.trim(F.col(keys.columns[0])).alias("__key"))
-        facts = facts.join(k, F.trim(F.col(region)) == F.col("__key"), "left_semi")
-    return facts
+        conds.append(F.array_contains(key_set(keys), F.trim(F.col(region))))
+    if not conds:
+        return facts
+    cond = conds[0]
+    for c in conds[1:]:
+        cond = cond | c
+    return facts.where(cond)
 
 
 def with_measures(facts: DataFrame, labels: DataFrame | None = None) -> DataFrame:
-    """JN7, DAT2, STR10, CND3, STR1/MTH3: year, trimmed area, merged measures, code."""
-    if labels is not None:
-        lab = labels.select(F.col("key").alias("__k"), F.col("title").alias("vaccinaties_label"))
-        facts = facts.join(lab, facts["vaccinaties"] == lab["__k"], "left").drop("__k")
+    """JN7, DAT2, STR10, CND3, STR1/MTH3: year, trimmed area, label, merged measures, code."""
+    label = (F.try_element_at(lookup_map(labels, "key", "title"), F.col("vaccinaties")) if labels is not None
+             else F.col("vaccinaties"))
     return facts.select(
         period_year(F.col("perioden")).alias("Jaar"),
         F.trim(F.col("regios")).alias("Regio"),
-        "vaccinaties_label",
+        label.alias("vaccinaties_label"),
         F.col("populatie_1").alias("Populatie"),
         F.coalesce("gevaccineerdenzonder_4", "gevaccineerdenmet_2").alias("Gevaccineerden"),
         F.coalesce("vaccinatiegraadzonder_5", "vaccinatiegraadmet_3").alias("Vaccinatiegraad"),
@@ -67,20 +82,22 @@ def with_measures(facts: DataFrame, labels: DataFrame | None = None) -> DataFram
 
 def vaccination_cube(facts: DataFrame, municipality_keys: DataFrame, region_key: str,
                      country_key: str, labels: DataFrame) -> DataFrame:
-    """FLT1, FLT3, SET1, JN5, D14: the long cube with RVP_* columns."""
-    muni = with_measures(read_facts(facts, keys=municipality_keys), labels)
-    top = with_measures(read_facts(facts, literal_keys=[region_key, country_key]), labels)
-    keep = F.col("vaccinaties_label").isin(*VACCINE_TYPES) & F.col("Gevaccineerden").isNotNull()
-    cols = ["Jaar", "geoitem", "vaccinaties_label", "Gevaccineerden", "Populatie"]
-    levels = {
-        LEVEL_MUNICIPALITY: muni.where(keep).withColumn("geoitem", F.col("gemeentecode")).select(*cols),
-        LEVEL_REGION: top.where(keep & (F.col("Regio") == region_key.strip()) & F.col("Vaccinatiegraad").isNotNull())
-                  .withColumn("geoitem", F.lit(1)).select(*cols),
-        LEVEL_COUNTRY: top.where(keep & (F.col("Regio") == country_key.strip()) & F.col("Vaccinatiegraad").isNotNull())
-                        .withColumn("geoitem", F.lit(1)).select(*cols),
-    }
-    out = stack_levels(levels).withColumnsRenamed({
-        "Gevaccineerden": "RVP_Gevaccineerden", "Populatie": "RVP_Populatie",
-        "vaccinaties_label": "RVP_Vaccinatie"})
-    out = recode(out, "RVP_Vaccinatie", VACCINE_CODES)
-    return out.select("Jaar", "geolevel", "geoitem", "RVP_Vaccinatie", "RVP_Gevaccineerden", "RVP_Populatie")
+    """FLT1, FLT3, SET1, JN5, D14: the long cube with RVP_* columns.
+
+    One scan, one filter; the level of a row follows from its key.  Region
+    and country rows also need a coverage value (D14), municipality rows not.
+    """
+    keys = key_set(municipality_keys)
+    f = with_measures(read_facts(facts, keys=municipality_keys, literal_keys=[region_key, country_key]), labels)
+    level = (F.when(F.array_contains(keys, F.col("Regio")), F.lit(LEVEL_MUNICIPALITY))
+             .when(F.col("Regio") == region_key.strip(), F.lit(LEVEL_REGION))
+             .when(F.col("Regio") == country_key.strip(), F.lit(LEVEL_COUNTRY)))
+    f = f.withColumn("geolevel", level)
+    keep = (F.col("vaccinaties_label").isin(*VACCINE_TYPES) & F.col("Gevaccineerden").isNotNull()
+            & ((F.col("geolevel") == LEVEL_MUNICIPALITY) | F.col("Vaccinatiegraad").isNotNull()))
+    out = f.where(keep).select(
+        "Jaar", "geolevel",
+        F.when(F.col("geolevel") == LEVEL_MUNICIPALITY, F.col("gemeentecode")).otherwise(F.lit(1)).alias("geoitem"),
+        F.col("vaccinaties_label").alias("RVP_Vaccinatie"),
+        F.col("Gevaccineerden").alias("RVP_Gevaccineerden"), F.col("Populatie").alias("RVP_Populatie"))
+    return recode(out, "RVP_Vaccinatie", VACCINE_CODES)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from areacube.sources.tables import read_table
+from areacube.sources.tables import local_table, read_table
 
 
 def _year(c: str) -> Column:
@@ -59,7 +59,7 @@ def weight_microdata(spark: SparkSession, sf_dir: str) -> DataFrame:
 def region_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The region's municipality list: every nation name plus one without data."""
     names = read_table(spark, sf_dir, "nation", ["n_name"]).select(F.col("n_name").alias("gemeentekind"))
-    return names.unionByName(spark.createDataFrame([("NATION_NONE",)], "gemeentekind string"))
+    return names.unionByName(local_table(spark, [("NATION_NONE",)], "gemeentekind string"))
 
 
 # The value dictionary of the fixtures (variable, code, label, ord).
@@ -79,7 +79,7 @@ DICT_SCHEMA = T.StructType([
 
 def value_dictionary(spark: SparkSession) -> DataFrame:
     """fx_dict: long form of the value labels (DM2)."""
-    return spark.createDataFrame(VALUE_DICTIONARY, DICT_SCHEMA)
+    return local_table(spark, VALUE_DICTIONARY, DICT_SCHEMA)
 
 
 def area_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,7 +136,7 @@ SURVEY_USER_NA = {"vo_ind_b": [9]}
 
 def indicator_list(spark: SparkSession) -> DataFrame:
     """fx_indicators: codes in mixed case; ``IND_X`` matches no column."""
-    return spark.createDataFrame(INDICATORS, "code string, richting string")
+    return local_table(spark, INDICATORS, "code string, richting string")
 
 
 def vaccination_facts(spark: SparkSession, sf_dir: str) -> DataFrame:

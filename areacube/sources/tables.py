@@ -22,3 +22,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     if columns is not None:
         df = df.select(*columns)
     return df
+
+
+def local_table(spark: SparkSession, rows, schema) -> DataFrame:
+    """A small parameter table (dictionary, indicator list, code list) as an
+    inline table.
+
+    ``createDataFrame`` on a Python list gives an RDD scan of unknown size, so
+    the planner treats it as large and shuffles both sides of every join with
+    it.  An inline table carries its exact size in the plan: joins with it
+    are broadcast hash joins without a hint, bounded by the rows given here.
+    """
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    rows = list(rows)
+    if not rows:
+        return spark.createDataFrame([], schema)
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))

@@ -38,3 +38,18 @@ def test_region_keys_pushed_to_scan(spark, tmp_path):
     f = spark.read.parquet(str(tmp_path / "facts"))
     text = plan_text(V.read_facts(f, literal_keys=["GG0001", "NL01  "]))
     assert "PushedFilters: [In(regios, [GG0001,NL01,NL01  ])]" in text
+
+
+def test_survey_two_exchanges(spark):
+    # the microdata aggregate, then one repartition of the sums by (wave, indicator)
+    assert exchange_count(R.svy_rao_scott(spark, SF_SMALL)) == 2
+
+
+def test_vaccination_cube_has_no_join(spark, tmp_path):
+    facts = fx.vaccination_facts(spark, SF_SMALL)
+    facts.write.parquet(str(tmp_path / "facts"))
+    f = spark.read.parquet(str(tmp_path / "facts"))
+    cube = V.vaccination_cube(f, fx.member_area_keys(spark, SF_SMALL), "GG0001", "NL01  ",
+                              fx.vaccine_labels(spark, SF_SMALL, V.VACCINE_TYPES))
+    main = plan_text(cube).split("===== Subqueries =====")[0]
+    assert "Join" not in main and exchange_count(cube) == 0
