@@ -71,3 +71,8 @@ def period_date(c: Column) -> Column:
 def r_ifelse(cond: Column, yes: Column, no: Column) -> Column:
     """CND1: ``ifelse``: a NULL condition gives NULL."""
     return F.when(cond, yes).when(~cond, no)
+
+
+def nan_to_null(c: Column) -> Column:
+    """PRJ10: NaN becomes NULL (the build itself never produces NaN, see T1-T3)."""
+    return F.nanvl(c, F.lit(None).cast("double"))

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_LEVELS = 100_000
@@ -34,7 +34,7 @@ def _checked(arr, what: str, limit: int):
 
 def densify(cells: DataFrame, geo: Sequence[str], dims: Sequence[str], year: str,
             measure: str = "n", zero_fill: bool = True, extra_geos: DataFrame | None = None,
-            fill_years: bool = False, cluster: Sequence[str] | None = None,
+            fill_years: bool | Column = False, cluster: Sequence[str] | None = None,
             max_levels: int = MAX_LEVELS) -> DataFrame:
     """Complete ``cells`` over area x dims x year.
 
@@ -46,7 +46,8 @@ def densify(cells: DataFrame, geo: Sequence[str], dims: Sequence[str], year: str
                 pair); the grid holds observed keys plus ``extra_geos``.
     dims:       categorical dimensions expanded to all observed values (NULL too).
     year:       integer year; all observed years, or the whole
-                ``min..max`` range when ``fill_years`` (stub years exist).
+                ``min..max`` range when ``fill_years`` (stub years exist);
+                ``fill_years`` may be a boolean column decided in the plan.
     zero_fill:  absent cells of an observed area and year get 0, else NULL.
     cluster:    hash-partitioning columns for the result (default ``geo``).
     """
@@ -69,12 +70,13 @@ def densify(cells: DataFrame, geo: Sequence[str], dims: Sequence[str], year: str
     for d in dims:
         grid = (grid.withColumn("__e", F.explode(F.col("__lv").getField(d)))
                 .withColumn(d, F.col("__e").getField("v")).drop("__e"))
-    if fill_years:
-        span = F.col("__lv.__hi") - F.col("__lv.__lo")
-        years = F.when(span >= max_levels, F.raise_error(F.lit(f"densify: year range over {max_levels}"))) \
-                 .otherwise(F.sequence(F.col("__lv.__lo"), F.col("__lv.__hi")))
-    else:
+    if fill_years is False:
         years = F.col("__lv.__years")
+    else:
+        span = F.col("__lv.__hi") - F.col("__lv.__lo")
+        full = F.when(span >= max_levels, F.raise_error(F.lit(f"densify: year range over {max_levels}"))) \
+                .otherwise(F.sequence(F.col("__lv.__lo"), F.col("__lv.__hi")))
+        years = full if fill_years is True else F.when(fill_years, full).otherwise(F.col("__lv.__years"))
     grid = grid.withColumn(year, F.explode(years))
     if zero_fill:
         seen = F.col("__gobs") & F.array_contains(F.col("__lv.__years"), F.col(year))

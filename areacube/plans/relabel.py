@@ -16,3 +16,25 @@ def relabel(df: DataFrame, prefix: str, district: str = "NOG_Wijk2020",
         df = compose_district(df, municipality, district_part)
     df = clean_field_labels(df)
     return prefix_columns(df, prefix)
+
+
+def relabel_files(spark, paths, prefix: str | None = None) -> list[str]:
+    """SRC6 + SNK4: the same standardisation for every chosen dataset.
+
+    Each dataset has its own schema, so each is its own lazy projection and
+    write (one Spark job per file, no shuffle); the prefix comes from the
+    folder name unless given.
+    """
+    from pathlib import PurePosixPath
+
+    from areacube.operators.relabel import monitor_prefix
+    from areacube.sinks.cube import write_relabelled
+    from areacube.sources.labelled import read_labelled
+
+    written = []
+    for path in paths:
+        p = PurePosixPath(path.rstrip("/"))
+        data, _ = read_labelled(spark, str(p))
+        written.append(write_relabelled(relabel(data, prefix or monitor_prefix(str(p.parent))),
+                                        str(p.parent), p.name))
+    return written

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from areacube.operators.densify import densify
-from areacube.operators.dictionary import keep_known_codes
+from areacube.operators.dictionary import keep_known_codes, value_set
 from areacube.operators.reshape import stack_levels, widen
 from areacube.operators.smooth import share, smoothed_count, trailing_mean
 from areacube.plans.portal import LEVEL_DISTRICT, LEVEL_MUNICIPALITY, LEVEL_REGION, LEVEL_SUBREGION
@@ -106,6 +106,24 @@ def finest_cells(microdata: DataFrame, c: WeightColumns = COLS, checkpoint: bool
     return materialize(cells) if checkpoint else cells
 
 
+def stub_years(cells: DataFrame, g: Grain, members: DataFrame | None, c: WeightColumns = COLS):
+    """Does the reference's stub loop add the years without data to this grain?
+
+    It does whenever the list it loops over is non-empty: the member
+    municipalities (municipality grains), the member municipalities that have
+    districts (district grain), the observed subregions, or -- for the whole
+    region -- always.  Returned as a boolean or a scalar-subquery column.
+    """
+    if not g.member_level:
+        return True
+    if members is None:
+        return False
+    names = value_set(members, c.municipality)
+    if g.geo == (c.municipality,):
+        return F.size(names) > 0
+    return cells.agg(F.max(F.array_contains(names, F.col(c.municipality)))).scalar() == F.lit(True)
+
+
 def grain_table(cells: DataFrame, g: Grain, members: DataFrame | None = None,
                 c: WeightColumns = COLS, zero_fill: bool | None = None) -> DataFrame:
     """Counts, shares and trailing means of one grain (DEN1-3, AGG3-4, WIN1-4).
@@ -117,9 +135,7 @@ def grain_table(cells: DataFrame, g: Grain, members: DataFrame | None = None,
     geo, dims = list(g.geo), list(g.dims)
     keys = geo + dims + [c.year, g.klass]
     t = cells.select(*keys, "n")   # rolled up inside densify's aggregate
-    # Stub years exist whenever the list that drives the stub loop is non-empty:
-    # the member municipalities, or the observed subregions, or (region) always.
-    fill_years = members is not None if g.member_level else True
+    fill_years = stub_years(cells, g, members, c)
     extra = members if (g.member_level and g.geo == (c.municipality,)) else None
     t = densify(t, geo, dims + [g.klass], c.year, zero_fill=zf, extra_geos=extra,
                 fill_years=fill_years, cluster=geo + dims)

@@ -59,3 +59,19 @@ def test_relabel_job(spark, tmp_path):
     back = spark.read.parquet(path)
     assert tuple(back.first()) == ("000005", 3, "01", "000301")
     assert field_labels(back)["VO_Wijkcode"] == "Wijk"
+
+
+def test_relabel_files(spark, tmp_path):
+    from areacube.plans.relabel import relabel_files
+    folder = tmp_path / "Kindermonitor"
+    df = spark.createDataFrame([(5,)], "NOG_Wijk2020 int")
+    write_labelled(df, None, str(folder / "wave1"))
+    out = relabel_files(spark, [str(folder / "wave1")])
+    back = spark.read.parquet(out[0])
+    assert back.columns == ["KM_NOG_Wijk2020"] and back.first()[0] == "000005"
+
+
+def test_nan_to_null(spark):
+    from areacube.functions.scalars import nan_to_null
+    df = spark.createDataFrame([(float("nan"),), (1.0,)], "x double")
+    assert [r.x for r in df.select(nan_to_null(F.col("x")).alias("x")).collect()] == [None, 1.0]

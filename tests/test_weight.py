@@ -81,3 +81,19 @@ def test_cube_columns(spark):
                             "JG_Gewicht_2", "JG_Gewicht_3", "JG_Gewicht_4", "JG_Gewicht_NA"]
     # one row per (year, area, sex, age)
     assert cube.count() == cube.select("Jaar", "geoitem", "JG_Geslacht", "JG_Lftklasse").distinct().count()
+
+
+def test_stub_years_follow_the_member_list(spark):
+    # district grain: years without data are added only if a member municipality has districts
+    cells = spark.createDataFrame([("r", "A", "A-1", 1, 1, 2020, 1, "Ja", 2), ("r", "A", "A-1", 1, 1, 2022, 1, "Ja", 1)],
+                                  "regiokind string, gemeentekind string, wijkkind string, geslacht int, lftkompas int, "
+                                  "eindjaar int, gewicht5 int, tezwaar string, n long")
+    g1 = W.grains()["g1"]
+    none_observed = spark.createDataFrame([("B",)], "gemeentekind string")
+    observed = spark.createDataFrame([("A",)], "gemeentekind string")
+    years = lambda m: sorted(r.eindjaar for r in W.grain_table(cells, g1, members=m).select("eindjaar").distinct().collect())
+    assert years(none_observed) == [2020, 2022]
+    assert years(observed) == [2020, 2021, 2022]
+    empty = spark.createDataFrame([], "gemeentekind string")
+    g2 = W.grains()["g2"]
+    assert sorted(r.eindjaar for r in W.grain_table(cells, g2, members=empty).select("eindjaar").distinct().collect()) == [2020, 2022]
