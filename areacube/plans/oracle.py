@@ -395,7 +395,7 @@ DEPENDS["svy_pairs"] = ["svy", "svy_groups"]
 
 RS_CTES = [
     ("nh", "SELECT vo_wave, var, h, count(*) AS nh FROM svy GROUP BY vo_wave, var, h"),
-    ("design", "SELECT vo_wave, var, sum(nh) AS n_design, count(*) AS n_strata FROM nh GROUP BY vo_wave, var"),
+    ("design", "SELECT vo_wave, var, CAST(sum(nh) AS BIGINT) AS n_design, count(*) AS n_strata FROM nh GROUP BY vo_wave, var"),
     # per (wave, var, municipality, stratum): the four cells, weights and squared weights
     ("hs", """
 SELECT p.vo_wave, p.var, p.g AS m, s.h,
