@@ -129,6 +129,34 @@ def r4(x: str) -> str:
     return f"round({x}, 4)"
 
 
+def _round_to_floor(sql: str) -> str:
+    """Rewrite every ``round(expr, 4)`` as ``floor(expr * 10000 + 0.5) / 10000``
+    (the same IEEE arithmetic as the Spark side, see ``registry.round_half_up``)."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        out.append(sql[i:j])
+        k, depth = j + len("round("), 1
+        start = k
+        comma = None
+        while depth:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                comma = k
+            k += 1
+        inner, places = sql[start:comma], sql[comma + 1:k - 1].strip()
+        n = 10 ** int(places)
+        out.append(f"(floor(({_round_to_floor(inner)}) * {n} + 0.5) / {n})")
+        i = k
+
+
 # Grain definitions for SQL: geo columns, other dims, class column.
 GRAINS = {
     "g1": (["gemeentekind", "wijkkind"], ["geslacht", "lftkompas"], "gewicht5", True, True),
@@ -645,4 +673,4 @@ def oracles() -> dict[str, str]:
     q.update({k: v for k, v in weight_oracles().items() if not k.endswith("_raw")})
     q.update(survey_oracles())
     q.update(other_oracles())
-    return q
+    return {k: _round_to_floor(v) for k, v in q.items()}

@@ -30,9 +30,20 @@ def register(name: str):
     return deco
 
 
+def round_half_up(c, places: int = 4):
+    """``floor(x * 10^k + 0.5) / 10^k`` in plain IEEE arithmetic.
+
+    Spark's ``round`` works on the shortest decimal form of a double, other
+    engines on its binary value, so an exact tie like 6.05125 can round
+    differently; this form gives the same bits in any engine.
+    """
+    k = 10 ** places
+    return (F.floor(c * F.lit(k) + F.lit(0.5)) / F.lit(k)).cast("double")
+
+
 def tidy(df: DataFrame, places: int = 4) -> DataFrame:
     """Round every double column (oracle hygiene)."""
-    return df.select(*[F.round(F.col(f.name), places).alias(f.name)
+    return df.select(*[round_half_up(F.col(f.name), places).alias(f.name)
                        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
                        for f in df.schema.fields])
 
