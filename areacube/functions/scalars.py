@@ -74,5 +74,6 @@ def r_ifelse(cond: Column, yes: Column, no: Column) -> Column:
 
 
 def nan_to_null(c: Column) -> Column:
-    """PRJ10: NaN becomes NULL (the build itself never produces NaN, see T1-T3)."""
+    """PRJ10, UDF2, CND4: NaN becomes NULL natively (the reference used a lambda
+    per column); the build itself never produces NaN, see T1-T3."""
     return F.nanvl(c, F.lit(None).cast("double"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 def share(cells: DataFrame, within: Sequence[str], measure: str = "n",
           total: str | None = "n_total", pct: str = "perc") -> DataFrame:
-    """AGG3/AGG4: group total on every row and the share in percent.
+    """AGG3/AGG4 (MTH1): group total on every row and the share in percent.
 
     ``within`` are the group columns (the cell key minus the class column).
     With ``total=None`` the total is not kept (check-table form).
@@ -31,7 +31,9 @@ def share(cells: DataFrame, within: Sequence[str], measure: str = "n",
 
 def trailing_mean(df: DataFrame, cols: Sequence[str], partition: Sequence[str], order: str,
                   width: int = 4, suffix: str = "_ma") -> DataFrame:
-    """WIN1-WIN3: mean of the current and ``width - 1`` previous rows, NULLs skipped.
+    """WIN1-WIN3 (MTH2, SRT2): mean of the current and ``width - 1`` previous rows,
+    NULLs skipped; the year order is explicit in the window (the reference got it
+    from the sort order of its gap-filled table).
 
     ``rowsBetween`` reproduces the reference's row-based window.  On a grid
     completed by ``densify`` the years are consecutive, so this equals the

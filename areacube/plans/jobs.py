@@ -92,7 +92,7 @@ def weight_job(spark: SparkSession, sf_dir: str, out: str) -> dict[str, DataFram
     write_cube(weight_spec(spark, absolute=True), outputs["absoluut"], f"{out}/absoluut")
     table = W.readable_table(g2, members, _class_labels())
     table.write.mode("overwrite").partitionBy(W.COLS.municipality).parquet(f"{out}/tabel/per_gemeente")
-    g2.drop("n_ma").write.mode("overwrite").parquet(f"{out}/tabel/alle_data")
+    g2.drop("n_ma").write.mode("overwrite").parquet(f"{out}/tabel/alle_data")   # PRJ2
     check = None
     for name in [f"g{i}" for i in range(5, 15)]:
         t = g[name].select(F.lit(name).alias("grain"), *[F.col(c).cast("string").alias(c) for c in g[name].columns

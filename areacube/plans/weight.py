@@ -191,7 +191,7 @@ def _cube_columns(t: DataFrame, c: WeightColumns, value: str, klass_codes: Seque
 
 def cube_municipality(g2: DataFrame, codes: DataFrame, c: WeightColumns = COLS,
                       dictionary: DataFrame | None = None) -> DataFrame:
-    """Smoothed counts per municipality (JN3, FLT1-2, RSH1, PRJ4-5, PRJ10).
+    """Smoothed counts per municipality (JN3, FLT1-2, CND4, RSH1, PRJ4-5, PRJ10).
 
     Cells with an empty or missing total are left out; municipalities without
     a code keep a NULL ``geoitem`` (D13).
