@@ -115,7 +115,7 @@ def significance_job(spark: SparkSession, sf_dir: str, out: str) -> DataFrame:
               .select(F.col("code").alias(design.group)))
     long = SG.significance(survey, fx.indicator_list(spark), design, groups)
     data = long.select("Jaar", "geolevel", "geoitem", "var", "pgroep")
-    variables = [r["var"] for r in data.select("var").distinct().collect()]   # a handful of indicator names
+    variables = sorted(set(SG.indicator_columns(survey, fx.indicator_list(spark), design).values()))
     spec = CubeSpec(variables=[(f"{v}_pgroep", SIGNIFICANCE_NAME, "Geen") for v in variables],
                     indicators=[Indicator(f"{v}_pgroep", SIGNIFICANCE_NAME, "Geen", None, "Numeric", 1)
                                 for v in variables], cube=0, source=SIGNIFICANCE_SOURCE)

@@ -58,6 +58,11 @@ def tests(df: DataFrame, indicator_cols: Sequence[str], d: SurveyDesign,
     return compare_with_rest(sums, d.group, d.strata, by, groups)
 
 
+def indicator_columns(df: DataFrame, indicators: DataFrame, d: SurveyDesign) -> dict[str, str]:
+    """PRJ7 at plan time: indicator code -> data column (schema and indicator list only)."""
+    return resolve_code_names(prepared(df, d).columns, list(directions(indicators)))
+
+
 def significance(df: DataFrame, indicators: DataFrame, d: SurveyDesign,
                  groups: DataFrame | None = None, wave_value=None, year=None) -> DataFrame:
     """The whole job: long result (Jaar, geolevel, geoitem, var, pgroep, ...)."""
