@@ -23,6 +23,9 @@ from areacube.operators.survey import (compare_with_rest, p_values, parse_direct
                                        require_directions, significance_group, survey_sums)
 
 
+MAX_INDICATORS = 10_000
+
+
 @dataclass(frozen=True)
 class SurveyDesign:
     weight: str = "vo_weight"
@@ -47,7 +50,9 @@ def directions(indicators: DataFrame) -> dict[str, bool]:
     The indicator list is a job parameter of a few dozen rows; it is read to
     the driver because it decides which columns the plan selects.
     """
-    rows = require_directions(parse_direction(indicators)).select("code", "hoger_beter").collect()
+    rows = require_directions(parse_direction(indicators)).select("code", "hoger_beter").take(MAX_INDICATORS + 1)
+    if len(rows) > MAX_INDICATORS:
+        raise ValueError(f"indicator list longer than {MAX_INDICATORS} entries")
     return {r["code"]: r["hoger_beter"] for r in rows}
 
 
