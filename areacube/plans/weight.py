@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from areacube.operators.densify import densify
-from areacube.operators.dictionary import keep_known_codes, value_set
+from areacube.operators.dictionary import keep_known_codes, lookup_map, value_set
 from areacube.operators.reshape import stack_levels, widen
 from areacube.operators.smooth import share, smoothed_count, trailing_mean
 from areacube.plans.portal import LEVEL_DISTRICT, LEVEL_MUNICIPALITY, LEVEL_REGION, LEVEL_SUBREGION
@@ -179,6 +179,12 @@ def municipality_codes(areas: DataFrame, members: DataFrame, member_col: str = "
 
 # ---------------------------------------------------------------- cubes
 
+def code_of(codes: DataFrame, name: str, col, code: str = "code"):
+    """JN2-JN4: the code of an area name (a size-checked lookup; a name listed
+    twice stops the job instead of duplicating cube rows, D11)."""
+    return F.try_element_at(lookup_map(codes, name, code), col)
+
+
 def _cube_columns(t: DataFrame, c: WeightColumns, value: str, klass_codes: Sequence[int],
                   dictionary: DataFrame | None) -> DataFrame:
     t = t.select("Jaar", "geolevel", "geoitem", c.sex, c.age, c.klass, value)
@@ -197,9 +203,9 @@ def cube_municipality(g2: DataFrame, codes: DataFrame, c: WeightColumns = COLS,
     a code keep a NULL ``geoitem`` (D13).
     """
     t = (g2.where(F.col("n_total").isNotNull() & (F.col("n_total") != 0))
-         .join(codes, g2[c.municipality] == codes["gemeentenaam"], "left")
          .select(F.col(c.year).alias("Jaar"), F.lit(LEVEL_MUNICIPALITY).alias("geolevel"),
-                 F.col("code").alias("geoitem"), c.sex, c.age, c.klass, "n_weighted"))
+                 code_of(codes, "gemeentenaam", F.col(c.municipality)).alias("geoitem"),
+                 c.sex, c.age, c.klass, "n_weighted"))
     t = _cube_columns(t, c, "n_weighted", c.classes, dictionary)
     return widen(t, ["Jaar", "geolevel", "geoitem", "JG_Geslacht", "JG_Lftklasse"], c.klass,
                  "n_weighted", list(c.classes), "JG_Gewicht_{}", include_null=True)
@@ -208,10 +214,11 @@ def cube_municipality(g2: DataFrame, codes: DataFrame, c: WeightColumns = COLS,
 def cube_district(g1: DataFrame, district_dim: DataFrame, c: WeightColumns = COLS,
                   dictionary: DataFrame | None = None) -> DataFrame:
     """Smoothed counts per district (JN2, D1, D13): unmatched districts are dropped."""
-    d = district_dim.select(F.col("Wijkcode").alias("geoitem"), "Wijknaam", "Gemeentenaam")
-    cond = (g1[c.municipality] == d["Gemeentenaam"]) & (g1[c.district] == d["Wijknaam"])
+    d = district_dim.select(F.struct(F.col("Gemeentenaam").alias("g"), F.col("Wijknaam").alias("w")).alias("k"),
+                            F.col("Wijkcode").alias("v"))
+    key = F.struct(F.col(c.municipality).alias("g"), F.col(c.district).alias("w"))
     t = (g1.where(F.col("n_total").isNotNull() & (F.col("n_total") != 0))
-         .join(d, cond, "left")
+         .withColumn("geoitem", F.try_element_at(lookup_map(d, "k", "v"), key))
          .where(F.col("geoitem").isNotNull())
          .select(F.col(c.year).alias("Jaar"), F.lit(LEVEL_DISTRICT).alias("geolevel"), "geoitem",
                  c.sex, c.age, c.klass, "n_weighted"))
@@ -224,10 +231,10 @@ def cube_absolute(g2: DataFrame, g3: DataFrame, g4: DataFrame, codes: DataFrame,
                   subregion_codes: DataFrame, c: WeightColumns = COLS,
                   dictionary: DataFrame | None = None) -> DataFrame:
     """Counts at three levels in one cube (JN4, SET1, RSH2, D12: empty cells kept)."""
-    muni = (g2.join(codes, g2[c.municipality] == codes["gemeentenaam"], "left")
-            .select(F.col(c.year).alias("Jaar"), F.col("code").alias("geoitem"), c.sex, c.age, c.klass, "n"))
-    sub = (g3.join(subregion_codes, g3[c.subregion] == subregion_codes["regionaam"], "left")
-           .select(F.col(c.year).alias("Jaar"), F.col("code").alias("geoitem"), c.sex, c.age, c.klass, "n"))
+    muni = g2.select(F.col(c.year).alias("Jaar"), code_of(codes, "gemeentenaam", F.col(c.municipality)).alias("geoitem"),
+                     c.sex, c.age, c.klass, "n")
+    sub = g3.select(F.col(c.year).alias("Jaar"), code_of(subregion_codes, "regionaam", F.col(c.subregion)).alias("geoitem"),
+                    c.sex, c.age, c.klass, "n")
     nog = g4.select(F.col(c.year).alias("Jaar"), F.lit(1).alias("geoitem"), c.sex, c.age, c.klass, "n")
     t = stack_levels({LEVEL_MUNICIPALITY: muni, LEVEL_SUBREGION: sub, LEVEL_REGION: nog})
     t = _cube_columns(t, c, "n", c.classes, dictionary)
