@@ -110,9 +110,7 @@ def weight_job(spark: SparkSession, sf_dir: str, out: str) -> dict[str, DataFram
 def significance_job(spark: SparkSession, sf_dir: str, out: str) -> DataFrame:
     design = SG.SurveyDesign(user_na=fx.SURVEY_USER_NA)
     survey = fx.survey_microdata(spark, sf_dir)
-    groups = (fx.survey_municipalities(spark, sf_dir)
-              .join(survey.select(F.col("vo_gemeente").alias("code")), "code", "left_semi")
-              .select(F.col("code").alias(design.group)))
+    groups = fx.survey_municipalities(spark, sf_dir).select(F.col("code").alias(design.group))
     long = SG.significance(survey, fx.indicator_list(spark), design, groups)
     data = long.select("Jaar", "geolevel", "geoitem", "var", "pgroep")
     variables = sorted(set(SG.indicator_columns(survey, fx.indicator_list(spark), design).values()))

@@ -274,11 +274,9 @@ def survey_data(spark, sf_dir):
 
 
 def survey_groups(spark, sf_dir):
-    """LBL6: labelled municipalities that occur in the data."""
-    s = fx.survey_microdata(spark, sf_dir)
-    labels = fx.survey_municipalities(spark, sf_dir)
-    return labels.join(s.select(F.col("vo_gemeente").alias("code")), "code", "left_semi") \
-                 .select(F.col("code").alias(DESIGN.group))
+    """LBL6: the labelled municipalities.  Presence in the data needs no extra
+    pass: only municipalities with rows get a result row at all."""
+    return fx.survey_municipalities(spark, sf_dir).select(F.col("code").alias(DESIGN.group))
 
 
 def resolved_indicators(spark, sf_dir) -> list[str]:

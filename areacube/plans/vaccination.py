@@ -80,15 +80,23 @@ def with_measures(facts: DataFrame, labels: DataFrame | None = None) -> DataFram
         as_number(from_position(F.col("regios"), 3), "int").alias("gemeentecode"))
 
 
-def vaccination_cube(facts: DataFrame, municipality_keys: DataFrame, region_key: str,
+def vaccination_cube(facts: DataFrame, municipality_keys: DataFrame | Sequence[str], region_key: str,
                      country_key: str, labels: DataFrame) -> DataFrame:
     """FLT1, FLT3, SET1, JN5, D14: the long cube with RVP_* columns.
 
     One scan, one filter; the level of a row follows from its key.  Region
     and country rows also need a coverage value (D14), municipality rows not.
+    Member keys given as a list join the literal ``In`` filter that reaches
+    the Parquet reader; given as a table they are a key-set test.
     """
-    keys = key_set(municipality_keys)
-    f = with_measures(read_facts(facts, keys=municipality_keys, literal_keys=[region_key, country_key]), labels)
+    top = [region_key, country_key]
+    if isinstance(municipality_keys, DataFrame):
+        keys = key_set(municipality_keys)
+        f = read_facts(facts, keys=municipality_keys, literal_keys=top)
+    else:
+        keys = F.array(*[F.lit(k.strip()) for k in municipality_keys])
+        f = read_facts(facts, literal_keys=list(municipality_keys) + top)
+    f = with_measures(f, labels)
     level = (F.when(F.array_contains(keys, F.col("Regio")), F.lit(LEVEL_MUNICIPALITY))
              .when(F.col("Regio") == region_key.strip(), F.lit(LEVEL_REGION))
              .when(F.col("Regio") == country_key.strip(), F.lit(LEVEL_COUNTRY)))

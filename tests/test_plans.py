@@ -53,3 +53,20 @@ def test_vaccination_cube_has_no_join(spark, tmp_path):
                               fx.vaccine_labels(spark, SF_SMALL, V.VACCINE_TYPES))
     main = plan_text(cube).split("===== Subqueries =====")[0]
     assert "Join" not in main and exchange_count(cube) == 0
+
+
+def test_literal_member_keys_reach_the_scan(spark, tmp_path):
+    facts = fx.vaccination_facts(spark, SF_SMALL)
+    facts.write.parquet(str(tmp_path / "facts"))
+    f = spark.read.parquet(str(tmp_path / "facts"))
+    labels = fx.vaccine_labels(spark, SF_SMALL, V.VACCINE_TYPES)
+    by_list = V.vaccination_cube(f, ["GM0001", "GM0002"], "GG0001", "NL01  ", labels)
+    assert "PushedFilters: [In(regios, [GG0001,GM0001,GM0002,NL01,NL01  ])]" in plan_text(by_list)
+    keys = spark.createDataFrame([("GM0001",), ("GM0002",)], "key string")
+    by_table = V.vaccination_cube(f, keys, "GG0001", "NL01  ", labels)
+    assert sorted(map(tuple, by_list.collect())) == sorted(map(tuple, by_table.collect()))
+
+
+def test_survey_reads_the_microdata_once(spark):
+    text = plan_text(R.svy_rao_scott(spark, SF_SMALL))
+    assert text.count("lineitem.parquet]") == 1
