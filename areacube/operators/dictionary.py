@@ -33,9 +33,8 @@ def recode(df: DataFrame, col: str, mapping: Mapping | Iterable[tuple], out: str
 def value_set(df: DataFrame, col: str, max_values: int = MAX_ENTRIES) -> Column:
     """The distinct non-NULL values of a small code list as one array value
     (a size-checked scalar subquery); test membership with ``array_contains``."""
-    v = F.collect_set(F.col(col))
-    return df.agg(F.when(F.size(v) > max_values, F.raise_error(F.lit(f"code list over {max_values} values")))
-                  .otherwise(v)).scalar()
+    return bounded(df.select(col).where(F.col(col).isNotNull()), max_values, "code list") \
+        .agg(F.collect_set(F.col(col))).scalar()
 
 
 def recode_by_table(df: DataFrame, col: str, table: DataFrame, key: str, value: str,
@@ -50,6 +49,14 @@ def _entries(dictionary: DataFrame, variable: str) -> DataFrame:
     return dictionary.where(F.col("variable") == variable)
 
 
+def bounded(table: DataFrame, max_rows: int, what: str) -> DataFrame:
+    """``table`` unchanged, or an error as soon as a row is read if it has more
+    than ``max_rows`` rows (counted first, so nothing large is ever gathered)."""
+    n = table.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return table.where(F.when(n > max_rows, F.raise_error(F.lit(f"{what}: more than {max_rows} rows")))
+                       .otherwise(F.lit(True)))
+
+
 def lookup_map(table: DataFrame, key: str, value: str, max_entries: int = MAX_ENTRIES) -> Column:
     """``key -> value`` of a small table as one map value (a scalar subquery).
 
@@ -57,11 +64,8 @@ def lookup_map(table: DataFrame, key: str, value: str, max_entries: int = MAX_EN
     a key twice (a dictionary must be unambiguous).
     """
     entries = F.collect_list(F.struct(F.col(key), F.col(value)))
-    too_big = F.count(F.lit(1)) > max_entries
-    m = table.where(F.col(key).isNotNull()).agg(
-        F.when(too_big, F.raise_error(F.lit(f"lookup table over {max_entries} entries")))
-         .otherwise(F.map_from_entries(entries)).alias("m"))
-    return m.scalar()
+    t = bounded(table.where(F.col(key).isNotNull()), max_entries, "lookup table")
+    return t.agg(F.map_from_entries(entries).alias("m")).scalar()
 
 
 def decode(df: DataFrame, dictionary: DataFrame, columns: Mapping[str, str],

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from areacube.functions.scalars import as_number, from_position, period_year
-from areacube.operators.dictionary import lookup_map, recode
+from areacube.operators.dictionary import bounded, lookup_map, recode
 from areacube.plans.portal import LEVEL_COUNTRY, LEVEL_MUNICIPALITY, LEVEL_REGION
 
 # The vaccine types of the cube; the code of a type is its position.
@@ -40,9 +40,8 @@ def padded(keys: Sequence[str], width: int = KEY_WIDTH) -> list[str]:
 
 def key_set(keys: DataFrame, max_keys: int = 100_000):
     """The trimmed keys of a code list as one array value (a size-checked scalar subquery)."""
-    k = F.collect_set(F.trim(F.col(keys.columns[0])))
-    return keys.agg(F.when(F.size(k) > max_keys, F.raise_error(F.lit(f"more than {max_keys} area keys")))
-                    .otherwise(k)).scalar()
+    t = bounded(keys.select(F.trim(F.col(keys.columns[0])).alias("k")), max_keys, "area keys")
+    return t.agg(F.collect_set("k")).scalar()
 
 
 def read_facts(facts: DataFrame, region: str = "regios", keys: DataFrame | None = None,

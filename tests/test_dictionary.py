@@ -44,3 +44,20 @@ def test_override_and_observed_levels(spark):
 def test_user_missing_to_null(spark):
     df = spark.createDataFrame([(9, 9), (1, 9), (None, 0)], "a int, b int")
     assert rows(user_missing_to_null(df, {"a": [9]})) == [(1, 9), (None, 0), (None, 9)]
+
+
+def test_lookup_size_guard(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from areacube.operators.dictionary import lookup_map, value_set
+    t = spark.range(50).selectExpr("cast(id as string) k", "id v")
+    df = spark.range(1).selectExpr("'3' k")
+    assert df.select(F.try_element_at(lookup_map(t, "k", "v"), F.col("k")).alias("x")).first().x == 3
+    with pytest.raises(Exception, match="more than 10 rows"):
+        df.select(F.try_element_at(lookup_map(t, "k", "v", max_entries=10), F.col("k"))).collect()
+    with pytest.raises(Exception, match="more than 10 rows"):
+        df.select(F.array_contains(value_set(t, "k", max_values=10), F.col("k"))).collect()
+    dup = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
+    with pytest.raises(Exception):
+        df.select(F.try_element_at(lookup_map(dup, "k", "v"), F.col("k"))).collect()

@@ -70,3 +70,26 @@ def test_literal_member_keys_reach_the_scan(spark, tmp_path):
 def test_survey_reads_the_microdata_once(spark):
     text = plan_text(R.svy_rao_scott(spark, SF_SMALL))
     assert text.count("lineitem.parquet]") == 1
+
+
+def test_partial_aggregation_before_raw_shuffles(spark):
+    # a key holding a third of all rows is collapsed in each map task before the exchange
+    cells = W.finest_cells(fx.weight_microdata(spark, SF_SMALL), checkpoint=False)
+    assert "partial_count" in plan_text(cells)
+    from areacube.operators.survey import survey_sums
+    sums = survey_sums(R.survey_data(spark, SF_SMALL), R.ALL_INDICATORS, "Gemeentecode", "vo_stratum",
+                       "vo_weight", ["vo_wave"])
+    text = plan_text(sums)
+    assert "partial_sum" in text and exchange_count(sums) == 1
+
+
+def test_materialize_is_a_reliable_checkpoint(spark):
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from areacube.session import ensure_checkpoint_dir, materialize
+    folder = Path(urlparse(ensure_checkpoint_dir(spark)).path)
+    before = {p for p in folder.rglob("*") if p.is_file()}
+    df = materialize(spark.range(100).selectExpr("id % 7 AS k").groupBy("k").count())
+    assert "Scan ExistingRDD" in plan_text(df) and df.count() == 7
+    assert {p for p in folder.rglob("*") if p.is_file()} - before
