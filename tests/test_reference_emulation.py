@@ -78,10 +78,11 @@ def emulate(data, geo, dims, klass, members, zero_fill=True, stub_geos=None):
     if stubs:
         t = pd.concat([t, pd.DataFrame(stubs)], ignore_index=True)
     t = _product(t, keys).merge(t, on=keys, how="left")
-    t = t.sort_values("eindjaar", kind="stable")
     part = geo + dims + [klass]
+    t = t.sort_values(part + ["eindjaar"], kind="stable").reset_index(drop=True)
     for c in (["n", "perc", "n_total"] if zero_fill else ["n", "perc"]):
-        t[c + "_ma"] = t.groupby(part)[c].transform(lambda s: s.rolling(4, min_periods=1).mean())
+        rolled = t.groupby(part, sort=False)[c].rolling(4, min_periods=1).mean()
+        t[c + "_ma"] = rolled.reset_index(level=list(range(len(part))), drop=True)
     if zero_fill:
         t["n_weighted"] = t["perc_ma"] * t["n_total"] / 100
     return t
