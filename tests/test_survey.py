@@ -128,3 +128,32 @@ def test_parse_and_require_direction(spark):
     assert [r.hoger_beter for r in parse_direction(df).collect()] == [True, False, None, None]
     with pytest.raises(Exception, match="invalid value in Richting"):
         require_directions(parse_direction(df)).collect()
+
+
+def test_significance_end_to_end_against_brute_force(spark):
+    """Whole job on the small fixture: groups 1-5 from numpy's matrix form."""
+    from areacube.plans import registry as R
+    from areacube.sources import fixtures as fx
+    from conftest import SF_SMALL
+    got = {(r.Jaar, r["var"], r.geoitem): (r.pgroep, r.gunstig)
+           for r in R.svy_significance(spark, SF_SMALL).collect()}
+    raw = R.survey_data(spark, SF_SMALL).toPandas()
+    hb = {"vo_ind_a": True, "vo_ind_b": False, "vo_ind_c": False}
+    labelled = {r.code for r in fx.survey_municipalities(spark, SF_SMALL).collect()}
+    want = {}
+    for wave, sub in raw.groupby("vo_wave"):
+        h = sub["vo_stratum"].to_numpy()
+        g = sub["Gemeentecode"].to_numpy()
+        w = sub["vo_weight"].to_numpy(dtype=float)
+        for var in hb:
+            y = sub[var].to_numpy(dtype=float)
+            for m in sorted(set(g) & labelled):
+                x2, delta, f = _matrix_form(h, g, w, y, m)
+                p = f_upper_tail([f], [1], [len(y) - len(set(h))])[0]
+                ok = ~np.isnan(y)
+                share_in = np.average(y[ok & (g == m)], weights=w[ok & (g == m)])
+                share_out = np.average(y[ok & (g != m)], weights=w[ok & (g != m)])
+                fav = share_in > share_out if hb[var] else share_out > share_in
+                grp = 3 if p > 0.05 else (1 if p < 0.01 else 2) if not fav else (5 if p < 0.01 else 4)
+                want[(int(wave), var, int(m))] = (grp, bool(fav))
+    assert got == want
