@@ -15,28 +15,53 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+# Defaults for a cluster session, applied only where the submitted
+# configuration sets nothing.  The big shuffles here are partial aggregates,
+# so their output is cell-sized; the initial partition count is high and AQE
+# coalesces it to the advisory size at run time.
+CLUSTER_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
 def build_session(master: str | None = None, app: str = "areacube",
                   shuffle_partitions: int | None = None) -> SparkSession:
-    """Local/test session with AQE on and UTC time.
+    """A session for the jobs.
 
-    On a cluster ``master`` stays ``None`` and the submitted configuration wins.
+    ``master`` given (local runs, tests, the benchmark): small shuffle
+    partition count, UI off.  ``master`` None (a cluster): the submitted
+    configuration wins and ``CLUSTER_DEFAULTS`` only fill what is unset.
     """
     builder = SparkSession.builder.appName(app)
     if master:
+        cpus = os.environ.get("BENCH_CPUS")
+        parts = shuffle_partitions or int(cpus or 8)
         builder = builder.master(master)
-    cpus = os.environ.get("BENCH_CPUS")
-    parts = shuffle_partitions or int(cpus or 8)
-    builder = (builder
-               .config("spark.sql.shuffle.partitions", str(parts))
-               .config("spark.sql.adaptive.enabled", "true")
-               .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-               .config("spark.sql.adaptive.skewJoin.enabled", "true")
-               .config("spark.sql.session.timeZone", "UTC")
-               .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-               .config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.driver.memory", os.environ.get("AREACUBE_DRIVER_MEMORY", "8g")))
-    spark = builder.getOrCreate()
+        local = {**CLUSTER_DEFAULTS,
+                 "spark.sql.shuffle.partitions": str(parts),
+                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
+                 "spark.sql.files.maxPartitionBytes": "128m",
+                 "spark.ui.enabled": "false",
+                 "spark.ui.showConsoleProgress": "false",
+                 "spark.driver.memory": os.environ.get("AREACUBE_DRIVER_MEMORY", "8g")}
+        for k, v in local.items():
+            builder = builder.config(k, v)
+        spark = builder.getOrCreate()
+    else:
+        spark = builder.getOrCreate()
+        submitted = spark.sparkContext.getConf()
+        for k, v in CLUSTER_DEFAULTS.items():
+            if not submitted.contains(k):
+                spark.conf.set(k, v)
+        if shuffle_partitions:
+            spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
