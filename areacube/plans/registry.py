@@ -13,11 +13,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from areacube.functions import scalars as S
 from areacube.operators import cells as cellops
+from areacube.operators import relabel as RL
+from areacube.operators import survey as svy
 from areacube.operators.densify import densify, missing_geo_years
+from areacube.operators.derive import add_derived, suppress, weight_class_indicators
+from areacube.operators.dictionary import decode, observed_levels, recode, truncate, user_missing_to_null, value_set
+from areacube.operators.reshape import lengthen
 from areacube.operators.smooth import share
+from areacube.plans import significance as SG
+from areacube.plans import vaccination as V
 from areacube.plans import weight as W
 from areacube.sources import fixtures as fx
+from areacube.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -178,7 +187,6 @@ def district_hierarchy(spark, sf_dir):
 
 
 def _dictionary(spark):
-    from areacube.operators.dictionary import truncate
     return truncate(fx.value_dictionary(spark), C.klass, 4)
 
 
@@ -204,7 +212,6 @@ def cube_municipality_q(spark, sf_dir):
 
 def subregion_codes(spark, sf_dir):
     """Subregion name -> code (the region table's key stands in for the code list)."""
-    from areacube.sources.tables import read_table
     return read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"]).select(
         F.col("r_name").alias("regionaam"), (F.col("r_regionkey") + 1).alias("code"))
 
@@ -259,11 +266,6 @@ def queries() -> dict[str, Query]:
 
 # ---------------------------------------------------------------- survey job
 
-from areacube.operators import survey as svy  # noqa: E402
-from areacube.operators.dictionary import (decode, observed_levels, recode, truncate,  # noqa: E402
-                                           user_missing_to_null)
-from areacube.operators.reshape import lengthen  # noqa: E402
-from areacube.plans import significance as SG  # noqa: E402
 
 DESIGN = SG.SurveyDesign(user_na=fx.SURVEY_USER_NA)
 ALL_INDICATORS = ["vo_ind_a", "vo_ind_b", "vo_ind_c", "vo_ind_d"]
@@ -285,8 +287,7 @@ def resolved_indicators(spark, sf_dir) -> list[str]:
 
 
 def svy_resolve(columns, codes):
-    from areacube.operators.relabel import resolve_code_names
-    return resolve_code_names(columns, codes)
+    return RL.resolve_code_names(columns, codes)
 
 
 @register("unpivot_indicators")
@@ -377,22 +378,19 @@ def recode_codes(spark, sf_dir):
 def dimension_items_q(spark, sf_dir):
     """MET2, SRC7: Itemcode, Naam, Volgnr of the sex and age dimensions and of
     the municipality level (numbered in code order)."""
-    from pyspark.sql import Window
     d = fx.value_dictionary(spark).where(F.col("variable").isin(C.sex, C.age))
     dims = d.select(F.col("variable").alias("dimensie"), F.col("code").alias("Itemcode"),
                     F.col("label").alias("Naam"), F.col("ord").alias("Volgnr"))
     codes = W.municipality_codes(fx.area_codes(spark, sf_dir), fx.region_members(spark, sf_dir))
+    order = F.sort_array(value_set(codes, "code"))          # size-checked, no single-task window
     muni = codes.select(F.lit("gemeente").alias("dimensie"), F.col("code").alias("Itemcode"),
                         F.col("gemeentenaam").alias("Naam"),
-                        F.row_number().over(Window.orderBy("code")).cast("int").alias("Volgnr"))
+                        F.array_position(order, F.col("code")).cast("int").alias("Volgnr"))
     return dims.unionByName(muni)
 
 
 # ---------------------------------------------------------------- vaccination job
 
-from areacube.functions import scalars as S  # noqa: E402
-from areacube.plans import vaccination as V  # noqa: E402
-
 
 @register("vaccination_cube")
 def vaccination_cube_q(spark, sf_dir):
@@ -413,8 +411,6 @@ def period_to_date(spark, sf_dir):
 
 # ---------------------------------------------------------------- relabel job
 
-from areacube.operators import relabel as RL  # noqa: E402
-
 
 @register("pad_and_compose_code")
 def pad_and_compose_code(spark, sf_dir):
@@ -445,8 +441,6 @@ def resolve_columns_q(spark, sf_dir):
 
 # ---------------------------------------------------------------- derived indicators
 
-from areacube.operators.derive import add_derived, suppress, weight_class_indicators  # noqa: E402
-
 
 @register("derived_indicators")
 def derived_indicators(spark, sf_dir):
