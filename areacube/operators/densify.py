@@ -53,7 +53,16 @@ def densify(cells: DataFrame, geo: Sequence[str], dims: Sequence[str], year: str
     """
     geo, dims = list(geo), list(dims)
     keys = geo + dims + [year]
-    lv = cells.agg(F.struct(
+    # Guard first (HyperLogLog, constant memory), so a non-categorical column
+    # stops the job before any value set is gathered into one task.
+    ndv = cells.agg(F.struct(*[F.approx_count_distinct(c).alias(c) for c in dims + [year]])).scalar()
+    widest = ndv.getField(year)
+    for d in dims:
+        widest = F.greatest(widest, ndv.getField(d))
+    guarded = cells.where(F.when(widest > max_levels, F.raise_error(F.lit(
+        f"densify: more than {max_levels} values in a dimension; not a categorical dimension")))
+        .otherwise(F.lit(True)))
+    lv = guarded.agg(F.struct(
         *[_checked(F.collect_set(F.struct(F.col(d).alias("v"))), d, max_levels).alias(d) for d in dims],
         _checked(F.collect_set(F.col(year)), year, max_levels).alias("__years"),
         F.min(year).alias("__lo"), F.max(year).alias("__hi"))).scalar()
