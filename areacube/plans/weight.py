@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from areacube.operators.densify import densify
-from areacube.operators.dictionary import keep_known_codes, lookup_map, value_set
+from areacube.operators.dictionary import keep_known_codes, lookup_map
 from areacube.operators.reshape import stack_levels, widen
 from areacube.operators.smooth import share, smoothed_count, trailing_mean
 from areacube.plans.portal import LEVEL_DISTRICT, LEVEL_MUNICIPALITY, LEVEL_REGION, LEVEL_SUBREGION
@@ -118,10 +118,13 @@ def stub_years(cells: DataFrame, g: Grain, members: DataFrame | None, c: WeightC
         return True
     if members is None:
         return False
-    names = value_set(members, c.municipality)
+    m = members.select(c.municipality)
     if g.geo == (c.municipality,):
-        return F.size(names) > 0
-    return cells.agg(F.max(F.array_contains(names, F.col(c.municipality)))).scalar() == F.lit(True)
+        return m.agg(F.count(F.lit(1)) > 0).scalar()
+    # no subquery nested in this one: Spark may merge it with other scalar
+    # subqueries over the same cell table
+    seen = cells.select(c.municipality).join(m, c.municipality, "left_semi")
+    return seen.agg(F.count(F.lit(1)) > 0).scalar()
 
 
 def grain_table(cells: DataFrame, g: Grain, members: DataFrame | None = None,
