@@ -32,10 +32,33 @@ def _checked(arr, what: str, limit: int):
     return F.when(F.size(arr) > limit, F.raise_error(F.lit(msg))).otherwise(arr)
 
 
+def dimension_levels(cells: DataFrame, dims: Sequence[str], year: str,
+                     max_levels: int = MAX_LEVELS) -> DataFrame:
+    """One row, column ``lv``: the observed values of each dimension (NULL
+    included, as ``struct(v)``), the observed years and their bounds.
+
+    The sizes are checked first with HyperLogLog counts (constant memory), so
+    a non-categorical column stops the job before any value set is gathered
+    into one task.  Grains rolled up from one cell table can share this row.
+    """
+    dims = list(dims)
+    ndv = cells.agg(F.struct(*[F.approx_count_distinct(c).alias(c) for c in dims + [year]])).scalar()
+    widest = ndv.getField(year)
+    for d in dims:
+        widest = F.greatest(widest, ndv.getField(d))
+    guarded = cells.where(F.when(widest > max_levels, F.raise_error(F.lit(
+        f"densify: more than {max_levels} values in a dimension; not a categorical dimension")))
+        .otherwise(F.lit(True)))
+    return guarded.agg(F.struct(
+        *[_checked(F.collect_set(F.struct(F.col(d).alias("v"))), d, max_levels).alias(d) for d in dims],
+        _checked(F.collect_set(F.col(year)), year, max_levels).alias("__years"),
+        F.min(year).alias("__lo"), F.max(year).alias("__hi")).alias("lv"))
+
+
 def densify(cells: DataFrame, geo: Sequence[str], dims: Sequence[str], year: str,
             measure: str = "n", zero_fill: bool = True, extra_geos: DataFrame | None = None,
             fill_years: bool | Column = False, cluster: Sequence[str] | None = None,
-            max_levels: int = MAX_LEVELS) -> DataFrame:
+            max_levels: int = MAX_LEVELS, levels: DataFrame | None = None) -> DataFrame:
     """Complete ``cells`` over area x dims x year.
 
     ``cells`` may be at a finer grain than ``geo + dims + [year]``: the
@@ -50,22 +73,14 @@ def densify(cells: DataFrame, geo: Sequence[str], dims: Sequence[str], year: str
                 ``fill_years`` may be a boolean column decided in the plan.
     zero_fill:  absent cells of an observed area and year get 0, else NULL.
     cluster:    hash-partitioning columns for the result (default ``geo``).
+    levels:     the row of ``dimension_levels`` (a superset of ``dims`` is fine),
+                when several grains share one cell table.
     """
     geo, dims = list(geo), list(dims)
     keys = geo + dims + [year]
-    # Guard first (HyperLogLog, constant memory), so a non-categorical column
-    # stops the job before any value set is gathered into one task.
-    ndv = cells.agg(F.struct(*[F.approx_count_distinct(c).alias(c) for c in dims + [year]])).scalar()
-    widest = ndv.getField(year)
-    for d in dims:
-        widest = F.greatest(widest, ndv.getField(d))
-    guarded = cells.where(F.when(widest > max_levels, F.raise_error(F.lit(
-        f"densify: more than {max_levels} values in a dimension; not a categorical dimension")))
-        .otherwise(F.lit(True)))
-    lv = guarded.agg(F.struct(
-        *[_checked(F.collect_set(F.struct(F.col(d).alias("v"))), d, max_levels).alias(d) for d in dims],
-        _checked(F.collect_set(F.col(year)), year, max_levels).alias("__years"),
-        F.min(year).alias("__lo"), F.max(year).alias("__hi"))).scalar()
+    if levels is None:
+        levels = dimension_levels(cells, dims, year, max_levels)
+    lv = levels.select("lv").scalar()
 
     if geo:
         geos = cells.select(*geo, F.lit(True).alias("__gobs"))

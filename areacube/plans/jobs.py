@@ -77,7 +77,8 @@ def weight_job(spark: SparkSession, sf_dir: str, out: str) -> dict[str, DataFram
     areas = fx.area_codes(spark, sf_dir)
     dictionary = truncate(fx.value_dictionary(spark), W.COLS.klass, 4)
     cells = W.finest_cells(fx.weight_microdata(spark, sf_dir))           # the only microdata pass
-    g = {name: W.grain_table(cells, grain, members=members) for name, grain in W.grains().items()}
+    levels = W.shared_levels(cells)                                      # one level row for all grains
+    g = {name: W.grain_table(cells, grain, members=members, levels=levels) for name, grain in W.grains().items()}
     g2 = g["g2"].persist()                                                # feeds three outputs
     codes = W.municipality_codes(areas, members)
     subcodes = (areas.sparkSession.read.parquet(f"{sf_dir.rstrip('/')}/region.parquet")
@@ -104,6 +105,7 @@ def weight_job(spark: SparkSession, sf_dir: str, out: str) -> dict[str, DataFram
         check = t if check is None else check.unionByName(t)
     check.write.mode("overwrite").partitionBy("grain").parquet(f"{out}/controle")
     g2.unpersist()
+    levels.unpersist()
     return outputs
 
 

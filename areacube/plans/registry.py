@@ -155,10 +155,11 @@ def check_tables(spark, sf_dir):
     """g6-g13: the remaining check tables, stacked with a grain column."""
     cells = weight_cells(spark, sf_dir)
     members = fx.region_members(spark, sf_dir)
+    levels = W.shared_levels(cells)
     out = None
     all_cols = W.finest_dims()
     for name in ["g6", "g7", "g8", "g9", "g10", "g11", "g12", "g13"]:
-        t = W.grain_table(cells, W.grains()[name], members=members)
+        t = W.grain_table(cells, W.grains()[name], members=members, levels=levels)
         t = t.select(F.lit(name).alias("grain"),
                      *[F.col(c) if c in t.columns else F.lit(None).cast(cells.schema[c].dataType).alias(c)
                        for c in all_cols if c not in (C.district, C.overweight)],
@@ -221,7 +222,8 @@ def cube_absolute_levels(spark, sf_dir):
     """JN4, SET1, RSH2, D12: counts at municipality, subregion and region level."""
     members = fx.region_members(spark, sf_dir)
     cells = weight_cells(spark, sf_dir)
-    g2, g3, g4 = (W.grain_table(cells, W.grains()[g], members=members) for g in ("g2", "g3", "g4"))
+    levels = W.shared_levels(cells)
+    g2, g3, g4 = (W.grain_table(cells, W.grains()[g], members=members, levels=levels) for g in ("g2", "g3", "g4"))
     codes = W.municipality_codes(fx.area_codes(spark, sf_dir), members)
     return tidy(W.cube_absolute(g2, g3, g4, codes, subregion_codes(spark, sf_dir), dictionary=_dictionary(spark)))
 

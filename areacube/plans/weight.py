@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areacube.operators.densify import densify
+from areacube.operators.densify import densify, dimension_levels
 from areacube.operators.dictionary import keep_known_codes, lookup_map
 from areacube.operators.reshape import stack_levels, widen
 from areacube.operators.smooth import share, smoothed_count, trailing_mean
@@ -127,8 +127,15 @@ def stub_years(cells: DataFrame, g: Grain, members: DataFrame | None, c: WeightC
     return seen.agg(F.count(F.lit(1)) > 0).scalar()
 
 
+def shared_levels(cells: DataFrame, c: WeightColumns = COLS) -> DataFrame:
+    """The checked value sets of every dimension of the cell table, computed once
+    and kept for all grains of a job (a single row)."""
+    return dimension_levels(cells, [c.sex, c.age, c.klass, c.overweight], c.year).persist()
+
+
 def grain_table(cells: DataFrame, g: Grain, members: DataFrame | None = None,
-                c: WeightColumns = COLS, zero_fill: bool | None = None) -> DataFrame:
+                c: WeightColumns = COLS, zero_fill: bool | None = None,
+                levels: DataFrame | None = None) -> DataFrame:
     """Counts, shares and trailing means of one grain (DEN1-3, AGG3-4, WIN1-4).
 
     Base form (zero fill): n, n_total, perc, n_ma, perc_ma, n_total_ma, n_weighted.
@@ -141,7 +148,7 @@ def grain_table(cells: DataFrame, g: Grain, members: DataFrame | None = None,
     fill_years = stub_years(cells, g, members, c)
     extra = members if (g.member_level and g.geo == (c.municipality,)) else None
     t = densify(t, geo, dims + [g.klass], c.year, zero_fill=zf, extra_geos=extra,
-                fill_years=fill_years, cluster=geo + dims)
+                fill_years=fill_years, cluster=geo + dims, levels=levels)
     t = share(t, geo + dims + [c.year], total="n_total" if zf else None)
     if zf:
         t = trailing_mean(t, ["n", "perc", "n_total"], geo + dims + [g.klass], c.year)
