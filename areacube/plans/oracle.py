@@ -477,11 +477,44 @@ FROM rs2"""),
 
 RESOLVED = "('vo_ind_a', 'vo_ind_b', 'vo_ind_c')"
 
-# normal form of the F(1, nu) tail for large nu: t -> z (A&S 26.7.8), erfc by A&S 7.1.26
-P_APPROX = """
-SELECT *, t * (1.0 - 1.0 / (4.0 * nu)) / sqrt(1.0 + t * t / (2.0 * nu)) / sqrt(2.0) AS x FROM (
-  SELECT *, sqrt(f_stat) AS t FROM stats WHERE var IN {resolved}) a"""
-
+# Exact upper tail P(F(1, nu) > f) = I_x(nu/2, 1/2), x = nu / (nu + f): the
+# regularized incomplete beta by its continued fraction (modified Lentz), as a
+# recursive CTE; the symmetry I_x(a, b) = 1 - I_{1-x}(b, a) picks the side
+# where the fraction converges.  Needs ``WITH RECURSIVE``.
+_G = "CASE WHEN abs({e}) < 1e-300 THEN 1e-300 ELSE {e} END"
+PVAL_CTES = [
+    ("pin", f"""
+SELECT vo_wave, var, Gemeentecode, CAST(nu AS DOUBLE) / 2 AS a, CAST(0.5 AS DOUBLE) AS b,
+       CAST(nu AS DOUBLE) / (CAST(nu AS DOUBLE) + f_stat) AS x0
+FROM stats WHERE var IN {RESOLVED} AND f_stat IS NOT NULL"""),
+    ("pinit", """
+SELECT vo_wave, var, Gemeentecode, flip, A, B, X,
+       exp(lgamma(A + B) - lgamma(A) - lgamma(B) + A * ln(X) + B * ln(1 - X)) AS front
+FROM (SELECT vo_wave, var, Gemeentecode, x0 >= (a + 1) / (a + b + 2) AS flip,
+             CASE WHEN x0 >= (a + 1) / (a + b + 2) THEN b ELSE a END AS A,
+             CASE WHEN x0 >= (a + 1) / (a + b + 2) THEN a ELSE b END AS B,
+             CASE WHEN x0 >= (a + 1) / (a + b + 2) THEN 1 - x0 ELSE x0 END AS X FROM pin) s"""),
+    ("cf(vo_wave, var, Gemeentecode, m, c, d, h, done)", f"""
+SELECT vo_wave, var, Gemeentecode, 0, CAST(1 AS DOUBLE), 1 / dd, 1 / dd, false FROM (
+  SELECT vo_wave, var, Gemeentecode, {_G.format(e="1 - (A + B) * X / (A + 1)")} AS dd FROM pinit) z
+UNION ALL
+SELECT vo_wave, var, Gemeentecode, m, c2, d2, h1 * d2 * c2, abs(d2 * c2 - 1) <= 1e-15 FROM (
+  SELECT vo_wave, var, Gemeentecode, m, h1, {_G.format(e="1 + aa2 / c1")} AS c2,
+         1 / {_G.format(e="1 + aa2 * d1")} AS d2 FROM (
+    SELECT vo_wave, var, Gemeentecode, m, d1, c1, h * d1 * c1 AS h1,
+           -(A + m) * (A + B + m) * X / ((A + 2 * m) * (A + 1 + 2 * m)) AS aa2 FROM (
+      SELECT cf.vo_wave, cf.var, cf.Gemeentecode, cf.m + 1 AS m, cf.h, i.A, i.B, i.X,
+             1 / {_G.format(e="1 + l.aa1 * cf.d")} AS d1, {_G.format(e="1 + l.aa1 / cf.c")} AS c1
+      FROM cf JOIN pinit i ON i.vo_wave = cf.vo_wave AND i.var = cf.var AND i.Gemeentecode = cf.Gemeentecode,
+           LATERAL (SELECT (cf.m + 1) * (i.B - (cf.m + 1)) * i.X
+                           / ((i.A - 1 + 2 * (cf.m + 1)) * (i.A + 2 * (cf.m + 1))) AS aa1) l
+      WHERE NOT cf.done AND cf.m < 5000) s1) s2) s3"""),
+    ("pexact", """
+SELECT cf.vo_wave, cf.var, cf.Gemeentecode,
+       CASE WHEN i.flip THEN 1 - i.front * cf.h / i.A ELSE i.front * cf.h / i.A END AS p
+FROM cf JOIN pinit i ON i.vo_wave = cf.vo_wave AND i.var = cf.var AND i.Gemeentecode = cf.Gemeentecode
+WHERE cf.done OR cf.m = 5000"""),
+]
 
 def survey_oracles() -> dict[str, str]:
     q: dict[str, str] = {}
@@ -521,12 +554,9 @@ SELECT p.vo_wave, p.var, p.g, coalesce(sum(CASE WHEN s.val = l.v1 THEN s.w END),
        coalesce(sum(CASE WHEN s.val IS NOT NULL THEN s.w END), 0) AS Mall
 FROM svy_pairs p JOIN svy s ON s.vo_wave = p.vo_wave AND s.var = p.var AND s.g = p.g
 JOIN svy_lv l ON l.vo_wave = p.vo_wave AND l.var = p.var GROUP BY p.vo_wave, p.var, p.g"""),
-        ("pv", P_APPROX.format(resolved=RESOLVED)),
-        ("pv2", """
-SELECT *, (1.0 / (1.0 + 0.3275911 * x)) AS tt FROM pv"""),
         ("pv3", """
-SELECT *, tt * (0.254829592 + tt * (-0.284496736 + tt * (1.421413741 + tt * (-1.453152027 + tt * 1.061405429))))
-          * exp(-x * x) AS p FROM pv2"""),
+SELECT s.vo_wave, s.var, s.Gemeentecode, e.p FROM stats s LEFT JOIN pexact e
+  ON e.vo_wave = s.vo_wave AND e.var = s.var AND e.Gemeentecode = s.Gemeentecode WHERE s.var IN """ + RESOLVED),
         ("dirs", "SELECT * FROM (VALUES ('vo_ind_a', true), ('vo_ind_b', false), ('vo_ind_c', false)) AS d(var, hoger_beter)"),
         ("joined", """
 SELECT p.vo_wave, p.var, p.Gemeentecode, p.p, d.hoger_beter,
@@ -539,11 +569,15 @@ JOIN tots t ON t.vo_wave = p.vo_wave AND t.var = p.var"""),
         ("grp", """
 SELECT *, CASE WHEN hoger_beter THEN pg > pr ELSE pr > pg END AS gunstig FROM joined"""),
     ]
-    q["svy_significance"] = with_ctes(["svy", "svy_groups", "svy_lv", "svy_pairs"], RS_CTES + shares, """
+    groups = """CASE WHEN p > 0.05 THEN 3 WHEN NOT gunstig AND p < 0.01 THEN 1 WHEN NOT gunstig AND p >= 0.01 THEN 2
+            WHEN gunstig AND p >= 0.01 THEN 4 WHEN gunstig AND p < 0.01 THEN 5 END"""
+    ctes = RS_CTES + PVAL_CTES + shares
+    q["svy_significance"] = "WITH RECURSIVE" + with_ctes(["svy", "svy_groups", "svy_lv", "svy_pairs"], ctes, f"""
 SELECT CAST(vo_wave AS INT) AS Jaar, 'gemeente' AS geolevel, Gemeentecode AS geoitem, var, gunstig,
-       CASE WHEN p > 0.05 THEN 3 WHEN NOT gunstig AND p < 0.01 THEN 1 WHEN NOT gunstig AND p >= 0.01 THEN 2
-            WHEN gunstig AND p >= 0.01 THEN 4 WHEN gunstig AND p < 0.01 THEN 5 END AS pgroep
-FROM grp""")
+       {groups} AS pgroep FROM grp""")[len("WITH"):]
+    q["svy_p_value"] = "WITH RECURSIVE" + with_ctes(["svy", "svy_groups", "svy_lv", "svy_pairs"], ctes, f"""
+SELECT CAST(vo_wave AS INT) AS Jaar, Gemeentecode AS geoitem, var, round(p, 4) AS p, {groups} AS pgroep
+FROM grp""")[len("WITH"):]
 
     q["parse_direction"] = with_ctes([], [("dt", """
 SELECT 'IND_' || CAST(p_partkey AS VARCHAR) AS code,

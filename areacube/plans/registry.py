@@ -326,10 +326,10 @@ def svy_significance(spark, sf_dir):
 
 @register("svy_p_value")
 def svy_p_value(spark, sf_dir):
-    """UDF4: the exact F(1, nu) upper tail next to the statistic (rows-only check)."""
+    """UDF4: the exact F(1, nu) upper tail (the pandas UDF) and the group it gives."""
     t = SG.significance(fx.survey_microdata(spark, sf_dir), fx.indicator_list(spark), DESIGN,
                         survey_groups(spark, sf_dir))
-    return t.select("Jaar", "geoitem", "var", "p", "pgroep")
+    return tidy(t.select("Jaar", "geoitem", "var", "p", "pgroep"))
 
 
 @register("parse_direction")
