@@ -6,16 +6,18 @@ Plan shape, whatever the number of grains:
    the finest grain any table needs (a hash aggregate with map-side partials);
 2. that cell table is checkpointed (``materialize``): every grain below rolls
    up from it, so the microdata is never scanned twice;
-3. per grain: roll up, complete the grid (``densify``), share, trailing means,
-   smoothed count -- all on cell-sized data, one exchange for the gap fill
-   that both windows reuse;
+3. per grain: complete the grid (``densify``, whose aggregate also rolls the
+   counts up to the grain), share, trailing means, smoothed count -- all on
+   cell-sized data; two exchanges (area list, gap fill), the gap fill's
+   partitioning reused by both windows; the checked level sets are computed
+   once per cell table (``shared_levels``);
 4. cubes: filter, attach area codes, recode, widen.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,7 +59,6 @@ class Grain:
     zero_fill: bool
     member_level: bool = False   # stubs come from the region's municipality list
     name: str = ""
-    extra: dict = field(default_factory=dict)
 
 
 def grains(c: WeightColumns = COLS) -> dict[str, Grain]:
