@@ -38,6 +38,9 @@ def build_session(master: str | None = None, app: str = "areacube",
     ``master`` given (local runs, tests, the benchmark): small shuffle
     partition count, UI off.  ``master`` None (a cluster): the submitted
     configuration wins and ``CLUSTER_DEFAULTS`` only fill what is unset.
+    Context-level settings cannot change after start-up; a cluster should
+    submit ``spark.cleaner.referenceTracking.cleanCheckpoints=true`` so the
+    checkpointed cell tables are removed when no longer referenced.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -49,6 +52,7 @@ def build_session(master: str | None = None, app: str = "areacube",
                  "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
                  "spark.sql.files.maxPartitionBytes": "128m",
                  "spark.ui.enabled": "false",
+                 "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
                  "spark.ui.showConsoleProgress": "false",
                  "spark.driver.memory": os.environ.get("AREACUBE_DRIVER_MEMORY", "8g")}
         for k, v in local.items():
