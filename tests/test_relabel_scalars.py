@@ -87,3 +87,18 @@ def test_derived_and_suppression(spark):
     assert r[2].JG_Gewicht_1_perc is None
     s = suppress(out, {"JG_Gewicht_1_perc": "JG_Gewicht_totaal"}).collect()
     assert s[0].JG_Gewicht_1_perc == 10.0 and s[1].JG_Gewicht_1_perc is None
+
+
+def test_r_ifelse_null_condition(spark):
+    df = spark.createDataFrame([(True,), (False,), (None,)], "c boolean")
+    got = [r.x for r in df.select(S.r_ifelse(F.col("c"), F.lit(1), F.lit(0)).alias("x")).collect()]
+    assert got == [1, 0, None]
+
+
+def test_cube_for_one_indicator(spark):
+    from areacube.plans.significance import cube_for
+    long = spark.createDataFrame([(2024, "gemeente", 3, "vo_ind_a", 5), (2024, "gemeente", 3, "vo_ind_b", 1)],
+                                 "Jaar int, geolevel string, geoitem int, var string, pgroep int")
+    out = cube_for(long, "vo_ind_a")
+    assert out.columns == ["Jaar", "geolevel", "geoitem", "vo_ind_a_pgroep"]
+    assert [tuple(r) for r in out.collect()] == [(2024, "gemeente", 3, 5)]
