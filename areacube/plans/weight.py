@@ -148,8 +148,10 @@ def grain_table(cells: DataFrame, g: Grain, members: DataFrame | None = None,
     t = cells.select(*keys, "n")   # rolled up inside densify's aggregate
     fill_years = stub_years(cells, g, members, c)
     extra = members if (g.member_level and g.geo == (c.municipality,)) else None
+    # clustered by area: the share window, the trailing-mean window and the
+    # cube's widen all group by supersets of it (a few hundred cells per area)
     t = densify(t, geo, dims + [g.klass], c.year, zero_fill=zf, extra_geos=extra,
-                fill_years=fill_years, cluster=geo + dims, levels=levels)
+                fill_years=fill_years, cluster=geo or dims, levels=levels)
     t = share(t, geo + dims + [c.year], total="n_total" if zf else None)
     if zf:
         t = trailing_mean(t, ["n", "perc", "n_total"], geo + dims + [g.klass], c.year)
@@ -197,8 +199,8 @@ def code_of(codes: DataFrame, name: str, col, code: str = "code"):
 
 
 def _cube_columns(t: DataFrame, c: WeightColumns, value: str, klass_codes: Sequence[int],
-                  dictionary: DataFrame | None) -> DataFrame:
-    t = t.select("Jaar", "geolevel", "geoitem", c.sex, c.age, c.klass, value)
+                  dictionary: DataFrame | None, keep: Sequence[str] = ()) -> DataFrame:
+    t = t.select(*keep, "Jaar", "geolevel", "geoitem", c.sex, c.age, c.klass, value)
     if dictionary is not None:
         # JN5: the reference recodes label -> code with unmatched -> NA.
         t = keep_known_codes(t, dictionary, {c.sex: c.sex, c.age: c.age})
@@ -214,12 +216,14 @@ def cube_municipality(g2: DataFrame, codes: DataFrame, c: WeightColumns = COLS,
     a code keep a NULL ``geoitem`` (D13).
     """
     t = (g2.where(F.col("n_total").isNotNull() & (F.col("n_total") != 0))
-         .select(F.col(c.year).alias("Jaar"), F.lit(LEVEL_MUNICIPALITY).alias("geolevel"),
+         .select(c.municipality, F.col(c.year).alias("Jaar"), F.lit(LEVEL_MUNICIPALITY).alias("geolevel"),
                  code_of(codes, "gemeentenaam", F.col(c.municipality)).alias("geoitem"),
                  c.sex, c.age, c.klass, "n_weighted"))
-    t = _cube_columns(t, c, "n_weighted", c.classes, dictionary)
-    return widen(t, ["Jaar", "geolevel", "geoitem", "JG_Geslacht", "JG_Lftklasse"], c.klass,
-                 "n_weighted", list(c.classes), "JG_Gewicht_{}", include_null=True)
+    t = _cube_columns(t, c, "n_weighted", c.classes, dictionary, keep=[c.municipality])
+    # the area name stays in the key: municipalities without a code are not
+    # merged, and the gap fill's partitioning (by area) serves this aggregate
+    return widen(t, [c.municipality, "Jaar", "geolevel", "geoitem", "JG_Geslacht", "JG_Lftklasse"], c.klass,
+                 "n_weighted", list(c.classes), "JG_Gewicht_{}", include_null=True).drop(c.municipality)
 
 
 def cube_district(g1: DataFrame, district_dim: DataFrame, c: WeightColumns = COLS,
@@ -231,11 +235,12 @@ def cube_district(g1: DataFrame, district_dim: DataFrame, c: WeightColumns = COL
     t = (g1.where(F.col("n_total").isNotNull() & (F.col("n_total") != 0))
          .withColumn("geoitem", F.try_element_at(lookup_map(d, "k", "v"), key))
          .where(F.col("geoitem").isNotNull())
-         .select(F.col(c.year).alias("Jaar"), F.lit(LEVEL_DISTRICT).alias("geolevel"), "geoitem",
-                 c.sex, c.age, c.klass, "n_weighted"))
-    t = _cube_columns(t, c, "n_weighted", c.classes, dictionary)
-    return widen(t, ["Jaar", "geolevel", "geoitem", "JG_Geslacht", "JG_Lftklasse"], c.klass,
-                 "n_weighted", list(c.classes), "JG_Gewicht_{}", include_null=True)
+         .select(c.municipality, c.district, F.col(c.year).alias("Jaar"), F.lit(LEVEL_DISTRICT).alias("geolevel"),
+                 "geoitem", c.sex, c.age, c.klass, "n_weighted"))
+    t = _cube_columns(t, c, "n_weighted", c.classes, dictionary, keep=[c.municipality, c.district])
+    ids = [c.municipality, c.district, "Jaar", "geolevel", "geoitem", "JG_Geslacht", "JG_Lftklasse"]
+    return widen(t, ids, c.klass, "n_weighted", list(c.classes), "JG_Gewicht_{}",
+                 include_null=True).drop(c.municipality, c.district)
 
 
 def cube_absolute(g2: DataFrame, g3: DataFrame, g4: DataFrame, codes: DataFrame,

@@ -93,3 +93,9 @@ def test_materialize_is_a_reliable_checkpoint(spark):
     df = materialize(spark.range(100).selectExpr("id % 7 AS k").groupBy("k").count())
     assert "Scan ExistingRDD" in plan_text(df) and df.count() == 7
     assert {p for p in folder.rglob("*") if p.is_file()} - before
+
+
+def test_cube_reuses_the_gap_fill_partitioning(spark):
+    # area list + gap fill; the share and trailing-mean windows and the widen add none
+    assert exchange_count(R.cube_municipality_q(spark, SF_SMALL)) == 2
+    assert exchange_count(R.cube_district_q(spark, SF_SMALL)) == 2
