@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from areacube.operators.densify import densify, dimension_levels
 from areacube.operators.dictionary import keep_known_codes, lookup_map
-from areacube.operators.reshape import stack_levels, widen
+from areacube.operators.reshape import widen
 from areacube.operators.smooth import share, smoothed_count, trailing_mean
 from areacube.plans.portal import LEVEL_DISTRICT, LEVEL_MUNICIPALITY, LEVEL_REGION, LEVEL_SUBREGION
 from areacube.session import materialize
@@ -198,14 +198,27 @@ def code_of(codes: DataFrame, name: str, col, code: str = "code"):
     return F.try_element_at(lookup_map(codes, name, code), col)
 
 
-def _cube_columns(t: DataFrame, c: WeightColumns, value: str, klass_codes: Sequence[int],
-                  dictionary: DataFrame | None, keep: Sequence[str] = ()) -> DataFrame:
-    t = t.select(*keep, "Jaar", "geolevel", "geoitem", c.sex, c.age, c.klass, value)
+CUBE_IDS = ["Jaar", "geolevel", "geoitem", "JG_Geslacht", "JG_Lftklasse"]
+
+
+def _wide_cube(t: DataFrame, c: WeightColumns, value: str, name: str, dictionary: DataFrame | None,
+               grain_cols: Sequence[str]) -> DataFrame:
+    """Recode and widen one level of a cube (JN5, RSH1/RSH2).
+
+    The grain's own key columns (area, or the fixed dims of the region level)
+    ride along as hidden group keys: the gap fill already partitioned the rows
+    by them, so the widen needs no shuffle, and two areas without a code are
+    never merged into one cube row.
+    """
+    hidden = [f"__k{i}" for i in range(len(grain_cols))]
+    t = t.select(*[F.col(k).alias(h) for k, h in zip(grain_cols, hidden)],
+                 "Jaar", "geolevel", "geoitem", c.sex, c.age, c.klass, value)
     if dictionary is not None:
         # JN5: the reference recodes label -> code with unmatched -> NA.
         t = keep_known_codes(t, dictionary, {c.sex: c.sex, c.age: c.age})
-        t = t.withColumn(c.klass, F.when(F.col(c.klass).isin(*klass_codes), F.col(c.klass)))
-    return t.withColumnsRenamed({c.sex: "JG_Geslacht", c.age: "JG_Lftklasse"})
+        t = t.withColumn(c.klass, F.when(F.col(c.klass).isin(*c.classes), F.col(c.klass)))
+    t = t.withColumnsRenamed({c.sex: "JG_Geslacht", c.age: "JG_Lftklasse"})
+    return widen(t, hidden + CUBE_IDS, c.klass, value, list(c.classes), name, include_null=True).drop(*hidden)
 
 
 def cube_municipality(g2: DataFrame, codes: DataFrame, c: WeightColumns = COLS,
@@ -216,14 +229,9 @@ def cube_municipality(g2: DataFrame, codes: DataFrame, c: WeightColumns = COLS,
     a code keep a NULL ``geoitem`` (D13).
     """
     t = (g2.where(F.col("n_total").isNotNull() & (F.col("n_total") != 0))
-         .select(c.municipality, F.col(c.year).alias("Jaar"), F.lit(LEVEL_MUNICIPALITY).alias("geolevel"),
-                 code_of(codes, "gemeentenaam", F.col(c.municipality)).alias("geoitem"),
-                 c.sex, c.age, c.klass, "n_weighted"))
-    t = _cube_columns(t, c, "n_weighted", c.classes, dictionary, keep=[c.municipality])
-    # the area name stays in the key: municipalities without a code are not
-    # merged, and the gap fill's partitioning (by area) serves this aggregate
-    return widen(t, [c.municipality, "Jaar", "geolevel", "geoitem", "JG_Geslacht", "JG_Lftklasse"], c.klass,
-                 "n_weighted", list(c.classes), "JG_Gewicht_{}", include_null=True).drop(c.municipality)
+         .withColumns({"Jaar": F.col(c.year), "geolevel": F.lit(LEVEL_MUNICIPALITY),
+                       "geoitem": code_of(codes, "gemeentenaam", F.col(c.municipality))}))
+    return _wide_cube(t, c, "n_weighted", "JG_Gewicht_{}", dictionary, [c.municipality])
 
 
 def cube_district(g1: DataFrame, district_dim: DataFrame, c: WeightColumns = COLS,
@@ -233,29 +241,30 @@ def cube_district(g1: DataFrame, district_dim: DataFrame, c: WeightColumns = COL
                             F.col("Wijkcode").alias("v"))
     key = F.struct(F.col(c.municipality).alias("g"), F.col(c.district).alias("w"))
     t = (g1.where(F.col("n_total").isNotNull() & (F.col("n_total") != 0))
-         .withColumn("geoitem", F.try_element_at(lookup_map(d, "k", "v"), key))
-         .where(F.col("geoitem").isNotNull())
-         .select(c.municipality, c.district, F.col(c.year).alias("Jaar"), F.lit(LEVEL_DISTRICT).alias("geolevel"),
-                 "geoitem", c.sex, c.age, c.klass, "n_weighted"))
-    t = _cube_columns(t, c, "n_weighted", c.classes, dictionary, keep=[c.municipality, c.district])
-    ids = [c.municipality, c.district, "Jaar", "geolevel", "geoitem", "JG_Geslacht", "JG_Lftklasse"]
-    return widen(t, ids, c.klass, "n_weighted", list(c.classes), "JG_Gewicht_{}",
-                 include_null=True).drop(c.municipality, c.district)
+         .withColumns({"Jaar": F.col(c.year), "geolevel": F.lit(LEVEL_DISTRICT),
+                       "geoitem": F.try_element_at(lookup_map(d, "k", "v"), key)})
+         .where(F.col("geoitem").isNotNull()))
+    return _wide_cube(t, c, "n_weighted", "JG_Gewicht_{}", dictionary, [c.municipality, c.district])
 
 
 def cube_absolute(g2: DataFrame, g3: DataFrame, g4: DataFrame, codes: DataFrame,
                   subregion_codes: DataFrame, c: WeightColumns = COLS,
                   dictionary: DataFrame | None = None) -> DataFrame:
-    """Counts at three levels in one cube (JN4, SET1, RSH2, D12: empty cells kept)."""
-    muni = g2.select(F.col(c.year).alias("Jaar"), code_of(codes, "gemeentenaam", F.col(c.municipality)).alias("geoitem"),
-                     c.sex, c.age, c.klass, "n")
-    sub = g3.select(F.col(c.year).alias("Jaar"), code_of(subregion_codes, "regionaam", F.col(c.subregion)).alias("geoitem"),
-                    c.sex, c.age, c.klass, "n")
-    nog = g4.select(F.col(c.year).alias("Jaar"), F.lit(1).alias("geoitem"), c.sex, c.age, c.klass, "n")
-    t = stack_levels({LEVEL_MUNICIPALITY: muni, LEVEL_SUBREGION: sub, LEVEL_REGION: nog})
-    t = _cube_columns(t, c, "n", c.classes, dictionary)
-    return widen(t, ["Jaar", "geolevel", "geoitem", "JG_Geslacht", "JG_Lftklasse"], c.klass,
-                 "n", list(c.classes), "JG_Gewicht_{}_abs", include_null=True)
+    """Counts at three levels in one cube (JN4, SET1, RSH2, D12: empty cells kept).
+
+    Each level is widened on its own partitioning, then the wide tables are
+    stacked (levels never share a cube row, so this equals widening the stack).
+    """
+    name = "JG_Gewicht_{}_abs"
+    muni = g2.withColumns({"Jaar": F.col(c.year), "geolevel": F.lit(LEVEL_MUNICIPALITY),
+                           "geoitem": code_of(codes, "gemeentenaam", F.col(c.municipality))})
+    sub = g3.withColumns({"Jaar": F.col(c.year), "geolevel": F.lit(LEVEL_SUBREGION),
+                          "geoitem": code_of(subregion_codes, "regionaam", F.col(c.subregion))})
+    nog = g4.withColumns({"Jaar": F.col(c.year), "geolevel": F.lit(LEVEL_REGION), "geoitem": F.lit(1)})
+    parts = [_wide_cube(muni, c, "n", name, dictionary, [c.municipality]),
+             _wide_cube(sub, c, "n", name, dictionary, [c.subregion]),
+             _wide_cube(nog, c, "n", name, dictionary, [c.sex, c.age])]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def readable_table(g2: DataFrame, members: DataFrame, class_labels: Mapping[int, str],

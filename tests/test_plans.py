@@ -99,3 +99,7 @@ def test_cube_reuses_the_gap_fill_partitioning(spark):
     # area list + gap fill; the share and trailing-mean windows and the widen add none
     assert exchange_count(R.cube_municipality_q(spark, SF_SMALL)) == 2
     assert exchange_count(R.cube_district_q(spark, SF_SMALL)) == 2
+
+
+def test_absolute_cube_widens_each_level_in_place(spark):
+    assert exchange_count(R.cube_absolute_levels(spark, SF_SMALL)) == 6   # 3 grain tables x 2
