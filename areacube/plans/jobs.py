@@ -77,7 +77,7 @@ def weight_job(spark: SparkSession, sf_dir: str, out: str) -> dict[str, DataFram
     areas = fx.area_codes(spark, sf_dir)
     dictionary = truncate(fx.value_dictionary(spark), W.COLS.klass, 4)
     cells = W.finest_cells(fx.weight_microdata(spark, sf_dir))           # the only microdata pass
-    levels = W.shared_levels(cells)                                      # one level row for all grains
+    levels = W.shared_levels(cells).persist()                            # one level row for all grains
     g = {name: W.grain_table(cells, grain, members=members, levels=levels) for name, grain in W.grains().items()}
     g2 = g["g2"].persist()                                                # feeds three outputs
     codes = W.municipality_codes(areas, members)

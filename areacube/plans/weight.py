@@ -129,9 +129,10 @@ def stub_years(cells: DataFrame, g: Grain, members: DataFrame | None, c: WeightC
 
 
 def shared_levels(cells: DataFrame, c: WeightColumns = COLS) -> DataFrame:
-    """The checked value sets of every dimension of the cell table, computed once
-    and kept for all grains of a job (a single row)."""
-    return dimension_levels(cells, [c.sex, c.age, c.klass, c.overweight], c.year).persist()
+    """The checked value sets of every dimension of the cell table (one row) for
+    all grains.  Within one plan Spark reuses the identical subquery; a job
+    with several actions should ``persist`` it."""
+    return dimension_levels(cells, [c.sex, c.age, c.klass, c.overweight], c.year)
 
 
 def grain_table(cells: DataFrame, g: Grain, members: DataFrame | None = None,
