@@ -48,8 +48,14 @@ def with_user_missing(df: DataFrame, codes: Mapping[str, Sequence]) -> DataFrame
                        if c in codes else F.col(c) for c in df.columns])
 
 
-def write_labelled(data: DataFrame, dictionary: DataFrame | None, path: str) -> None:
-    data.write.mode("overwrite").parquet(f"{path}/data")
+def write_labelled(data: DataFrame, dictionary: DataFrame | None, path: str,
+                   partition_by: Sequence[str] = ()) -> None:
+    """Stage a labelled dataset.  ``partition_by`` (e.g. the survey wave) lets a
+    run that filters on it read only the matching folders (partition pruning)."""
+    w = data.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(f"{path}/data")
     if dictionary is not None:
         dictionary.coalesce(1).write.mode("overwrite").parquet(f"{path}/dictionary")
 

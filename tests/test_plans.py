@@ -103,3 +103,14 @@ def test_cube_reuses_the_gap_fill_partitioning(spark):
 
 def test_absolute_cube_widens_each_level_in_place(spark):
     assert exchange_count(R.cube_absolute_levels(spark, SF_SMALL)) == 6   # 3 grain tables x 2
+
+
+def test_wave_filter_prunes_partitions(spark, tmp_path):
+    from areacube.plans import significance as SG
+    from areacube.sources.labelled import read_labelled, write_labelled
+    write_labelled(fx.survey_microdata(spark, SF_SMALL), None, str(tmp_path / "survey"), partition_by=["vo_wave"])
+    data, _ = read_labelled(spark, str(tmp_path / "survey"))
+    one_wave = SG.prepared(data, R.DESIGN, wave_value=1996)
+    text = plan_text(one_wave)
+    assert "PartitionFilters: [isnotnull(vo_wave" in text and "(vo_wave#" in text and "= 1996)" in text
+    assert {r.vo_wave for r in one_wave.select("vo_wave").distinct().collect()} == {1996}
