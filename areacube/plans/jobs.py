@@ -151,3 +151,30 @@ JOBS: dict[str, Callable[[SparkSession, str, str], object]] = {
     "vaccination": vaccination_job,
     "relabel": relabel_job,
 }
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m areacube.plans.jobs <input dir> <output dir> [job ...] [--master M]``
+
+    Without ``--master`` the submitted configuration is used as is (see
+    ``build_session``); ``--master local[8]`` runs locally.
+    """
+    import argparse
+
+    from areacube.session import build_session
+    p = argparse.ArgumentParser(description="run the cube jobs")
+    p.add_argument("input_dir")
+    p.add_argument("output_dir")
+    p.add_argument("jobs", nargs="*", help=f"any of {', '.join(JOBS)} (default: all)")
+    p.add_argument("--master", default=None)
+    a = p.parse_args(argv)
+    spark = build_session(a.master)
+    unknown = sorted(set(a.jobs) - set(JOBS))
+    if unknown:
+        p.error(f"unknown job(s): {', '.join(unknown)}")
+    for name in a.jobs or list(JOBS):
+        JOBS[name](spark, a.input_dir, f"{a.output_dir.rstrip('/')}/{name}")
+
+
+if __name__ == "__main__":
+    main()
