@@ -3,9 +3,10 @@
 Each job reads its inputs once and writes every output from shared,
 lineage-cut intermediates:
 
-* weight:        one pass over the microdata -> checkpointed cells -> 14 grain
-                 tables -> three cube bundles, the readable table partitioned
-                 by municipality, and the check tables;
+* weight:        one pass over the microdata -> checkpointed cells -> the
+                 grain tables -> three cube bundles, the readable table
+                 partitioned by municipality, and the check tables (g5-g13 in
+                 one plan);
 * significance:  one aggregate over the survey -> tests -> one bundle
                  partitioned by indicator;
 * vaccination:   one scan of the facts -> one bundle;
@@ -78,7 +79,8 @@ def weight_job(spark: SparkSession, sf_dir: str, out: str) -> dict[str, DataFram
     dictionary = truncate(fx.value_dictionary(spark), W.COLS.klass, 4)
     cells = W.finest_cells(fx.weight_microdata(spark, sf_dir))           # the only microdata pass
     levels = W.shared_levels(cells).persist()                            # one level row for all grains
-    g = {name: W.grain_table(cells, grain, members=members, levels=levels) for name, grain in W.grains().items()}
+    g = {name: W.grain_table(cells, W.grains()[name], members=members, levels=levels)
+         for name in ("g1", "g2", "g3", "g4", "g14")}
     g2 = g["g2"].persist()                                                # feeds three outputs
     codes = W.municipality_codes(areas, members)
     subcodes = (areas.sparkSession.read.parquet(f"{sf_dir.rstrip('/')}/region.parquet")
@@ -94,16 +96,10 @@ def weight_job(spark: SparkSession, sf_dir: str, out: str) -> dict[str, DataFram
     table = W.readable_table(g2, members, _class_labels())
     table.write.mode("overwrite").partitionBy(W.COLS.municipality).parquet(f"{out}/tabel/per_gemeente")
     g2.drop("n_ma").write.mode("overwrite").parquet(f"{out}/tabel/alle_data")   # PRJ2
-    check = None
-    for name in [f"g{i}" for i in range(5, 15)]:
-        t = g[name].select(F.lit(name).alias("grain"), *[F.col(c).cast("string").alias(c) for c in g[name].columns
-                                                         if c not in ("n", "perc", "n_ma", "perc_ma")],
-                           "n", "perc", "n_ma", "perc_ma")
-        t = t.select("grain", F.to_json(F.struct(*[c for c in t.columns if c not in
-                                                   ("grain", "n", "perc", "n_ma", "perc_ma")])).alias("cell"),
-                     "n", "perc", "n_ma", "perc_ma")
-        check = t if check is None else check.unionByName(t)
-    check.write.mode("overwrite").partitionBy("grain").parquet(f"{out}/controle")
+    # check tables: g5-g13 in one plan, g14 (overweight yes/no) on its own
+    W.check_grains(cells, members, levels=levels).write.mode("overwrite") \
+        .partitionBy("grain").parquet(f"{out}/controle/klassen")
+    g["g14"].write.mode("overwrite").parquet(f"{out}/controle/overgewicht")
     g2.unpersist()
     levels.unpersist()
     return outputs

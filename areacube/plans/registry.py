@@ -152,20 +152,10 @@ def moving_average_no_fill(spark, sf_dir):
 
 @register("check_tables")
 def check_tables(spark, sf_dir):
-    """g6-g13: the remaining check tables, stacked with a grain column."""
+    """g6-g13: the remaining check tables in one plan, stacked with a grain column."""
     cells = weight_cells(spark, sf_dir)
-    members = fx.region_members(spark, sf_dir)
-    levels = W.shared_levels(cells)
-    out = None
-    all_cols = W.finest_dims()
-    for name in ["g6", "g7", "g8", "g9", "g10", "g11", "g12", "g13"]:
-        t = W.grain_table(cells, W.grains()[name], members=members, levels=levels)
-        t = t.select(F.lit(name).alias("grain"),
-                     *[F.col(c) if c in t.columns else F.lit(None).cast(cells.schema[c].dataType).alias(c)
-                       for c in all_cols if c not in (C.district, C.overweight)],
-                     "n", "perc", "n_ma", "perc_ma")
-        out = t if out is None else out.unionByName(t)
-    return tidy(out)
+    names = ("g6", "g7", "g8", "g9", "g10", "g11", "g12", "g13")
+    return tidy(W.check_grains(cells, fx.region_members(spark, sf_dir), names=names))
 
 
 @register("smoothed_count")

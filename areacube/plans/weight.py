@@ -160,6 +160,77 @@ def grain_table(cells: DataFrame, g: Grain, members: DataFrame | None = None,
     return trailing_mean(t, ["n", "perc"], geo + dims + [g.klass], c.year)
 
 
+def check_grains(cells: DataFrame, members: DataFrame | None = None, c: WeightColumns = COLS,
+                 levels: DataFrame | None = None, names=("g5", "g6", "g7", "g8", "g9", "g10", "g11", "g12", "g13")
+                 ) -> DataFrame:
+    """The check tables g5-g13 in one plan (AGG2 + DEN2-3 + AGG4 + WIN1-2, no zero fill).
+
+    No check grain has both sex and age, so one grain-tagged union of the cell
+    table carries a single ``area`` (municipality, subregion or none) and a
+    single ``dim`` (sex, age or none) column.  The grid takes each grain's
+    dimension values from the shared level row with a CASE on the grain, so
+    all eight tables share one area list, one gap fill and both windows:
+    two exchanges instead of two per grain.  Output: grain, the finest
+    columns they use (NULL where not in the grain), n, perc, n_ma, perc_ma.
+    """
+    G, R, S, A, K, Y = c.municipality, c.subregion, c.sex, c.age, c.klass, c.year
+    spec = {name: grains(c)[name] for name in names}
+    for name, g in spec.items():
+        if g.klass != K or len(g.geo) > 1 or len(g.dims) > 1 or g.zero_fill:
+            raise ValueError(f"{name} is not a check grain of this form")
+    area_of = {name: (g.geo[0] if g.geo else None) for name, g in spec.items()}
+    dim_of = {name: (g.dims[0] if g.dims else None) for name, g in spec.items()}
+
+    def tagged(name):
+        a, d = area_of[name], dim_of[name]
+        return cells.select(F.lit(name).alias("grain"),
+                            (F.col(a).cast("string") if a else F.lit(None).cast("string")).alias("area"),
+                            (F.col(d).cast("int") if d else F.lit(None).cast("int")).alias("dim"),
+                            Y, K, "n")
+
+    t = None
+    for name in spec:
+        t = tagged(name) if t is None else t.unionByName(tagged(name))
+
+    def among(col: str, wanted: str):
+        tags = [n for n in spec if (area_of if col == "area" else dim_of)[n] == wanted]
+        return F.col("grain").isin(*tags) if tags else F.lit(False)
+
+    lv = (levels if levels is not None else shared_levels(cells, c)).select("lv").scalar()
+    geos = t.select("grain", "area", F.lit(True).alias("__gobs"))
+    member_grains = [n for n in spec if area_of[n] == G]
+    if members is not None and member_grains:
+        m = members.select(F.col(G).cast("string").alias("area"))
+        for n in member_grains:
+            geos = geos.unionByName(m.select(F.lit(n).alias("grain"), "area", F.lit(False).alias("__gobs")))
+    geos = geos.groupBy("grain", "area").agg(F.max("__gobs").alias("__gobs"))
+
+    none = F.array(F.struct(F.lit(None).cast("int").alias("v")))
+    dim_values = (F.when(among("dim", S), F.col("__lv").getField(S))
+                  .when(among("dim", A), F.col("__lv").getField(A)).otherwise(none))
+    full = F.sequence(F.col("__lv.__lo"), F.col("__lv.__hi"))
+    has_members = (members.agg(F.count(F.lit(1)) > 0).scalar() if members is not None else F.lit(False))
+    years = F.when(among("area", G) & ~has_members, F.col("__lv.__years")).otherwise(full)
+    grid = (geos.withColumn("__lv", lv)
+            .withColumn("__e", F.explode(dim_values)).withColumn("dim", F.col("__e").getField("v"))
+            .withColumn("__k", F.explode(F.col("__lv").getField(K))).withColumn(K, F.col("__k").getField("v"))
+            .withColumn(Y, F.explode(years))
+            .select("grain", "area", "dim", Y, K, F.lit(None).cast("bigint").alias("n")))
+    keys = ["grain", "area", "dim", Y, K]
+    filled = (t.select(*keys, F.col("n").cast("bigint").alias("n")).unionByName(grid)
+              .repartition("grain", "area")
+              .groupBy(*keys).agg(F.sum("n").cast("bigint").alias("n")))
+    out = share(filled, ["grain", "area", "dim", Y], total=None)
+    out = trailing_mean(out, ["n", "perc"], ["grain", "area", "dim", K], Y)
+    return out.select(
+        "grain",
+        F.when(among("area", R), F.col("area")).alias(R),
+        F.when(among("area", G), F.col("area")).alias(G),
+        F.when(among("dim", S), F.col("dim")).alias(S),
+        F.when(among("dim", A), F.col("dim")).alias(A),
+        Y, K, "n", "perc", "n_ma", "perc_ma")
+
+
 # ---------------------------------------------------------------- dimensions
 
 def districts(areas: DataFrame, key: str = "area_key", title: str = "title",

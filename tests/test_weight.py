@@ -97,3 +97,22 @@ def test_stub_years_follow_the_member_list(spark):
     empty = spark.createDataFrame([], "gemeentekind string")
     g2 = W.grains()["g2"]
     assert sorted(r.eindjaar for r in W.grain_table(cells, g2, members=empty).select("eindjaar").distinct().collect()) == [2020, 2022]
+
+
+def test_check_grains_in_one_plan_equal_per_grain_tables(spark, cells, members):
+    from areacube.plans.explain import exchange_count
+    together = W.check_grains(cells, members)
+    assert exchange_count(together) == 2
+    got = {}
+    for r in together.collect():
+        got[(r.grain, r.regiokind, r.gemeentekind, r.geslacht, r.lftkompas, r.eindjaar, r.gewicht5)] = \
+            (r.n, r.perc, r.n_ma, r.perc_ma)
+    want = {}
+    for name in ("g5", "g6", "g7", "g8", "g9", "g10", "g11", "g12", "g13"):
+        for r in W.grain_table(cells, W.grains()[name], members=members).collect():
+            d = r.asDict()
+            want[(name, d.get("regiokind"), d.get("gemeentekind"), d.get("geslacht"), d.get("lftkompas"),
+                  r.eindjaar, r.gewicht5)] = (r.n, r.perc, r.n_ma, r.perc_ma)
+    assert got.keys() == want.keys()
+    for k, v in want.items():
+        assert all((a is None and b is None) or abs(a - b) < 1e-9 for a, b in zip(v, got[k])), k
