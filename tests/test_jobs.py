@@ -20,3 +20,6 @@ def test_jobs_write_bundles(spark, tmp_path):
     r = spark.read.parquet(str(tmp_path / "relabel" / "portal-monitor"))
     assert r.columns[0].startswith("VO_")
     assert spark.read.parquet(str(tmp_path / "weight" / "tabel" / "per_gemeente")).count() > 0
+    checks = spark.read.parquet(str(tmp_path / "weight" / "controle" / "klassen"))
+    assert {r.grain for r in checks.select("grain").distinct().collect()} == {f"g{i}" for i in range(5, 14)}
+    assert spark.read.parquet(str(tmp_path / "weight" / "controle" / "overgewicht")).count() > 0
