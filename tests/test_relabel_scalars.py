@@ -38,13 +38,13 @@ def test_labels_survive_prefix_and_parquet(spark, tmp_path):
 
 
 def test_pad_and_compose(spark):
-    df = spark.createDataFrame([(1234567, 3, "01"), (None, None, "02"), (12, 197, None), (5, 1, "5")],
+    df = spark.createDataFrame([(1234567, 3, "01"), (None, None, "02"), (12, 42, None), (5, 1, "5")],
                                "NOG_Wijk2020 long, Gemeentecode int, Wijkcode string")
     out = compose_district(pad_district(df))
     assert [tuple(r) for r in out.collect()] == [
-        ("1234567", 3, "01", "000301"), (None, None, "02", None), ("000012", 197, None, None), ("000005", 1, "5", None)]
-    text = spark.createDataFrame([("0197", "03")], "Gemeentecode string, Wijkcode string")
-    assert compose_district(text).first().Wijkcode_volledig == "019703"
+        ("1234567", 3, "01", "000301"), (None, None, "02", None), ("000012", 42, None, None), ("000005", 1, "5", None)]
+    text = spark.createDataFrame([("0042", "03")], "Gemeentecode string, Wijkcode string")
+    assert compose_district(text).first().Wijkcode_volledig == "004203"
 
 
 def test_rename_and_resolve(spark):
@@ -68,14 +68,14 @@ def test_resolve_codes_equals_brute_force(spark):
 
 
 def test_scalars(spark):
-    df = spark.createDataFrame([("2020JJ00", "2020-2021", "GM0197", " 12 ", "Hoger = gunstig")],
+    df = spark.createDataFrame([("2020JJ00", "2020-2021", "GM0042", " 12 ", "Hoger = gunstig")],
                                "p string, sj string, k string, num string, r string")
     r = df.select(S.period_year(F.col("p")).alias("y"), S.period_frequency(F.col("p")).alias("f"),
                   S.period_date(F.col("p")).alias("d"), S.school_end_year(F.col("sj")).alias("e"),
                   S.first_digits(F.col("k")).alias("fd"), S.as_number(F.col("num"), "int").alias("n"),
                   S.capture(F.col("r"), r".*= (\w+)").alias("c"),
                   S.capture(F.col("k"), r"= (\w+)").alias("nc")).first()
-    assert (r.y, r.f, str(r.d), r.e, r.fd, r.n, r.c, r.nc) == (2020, "Y", "2020-01-01", 2021, "0197", 12, "gunstig", None)
+    assert (r.y, r.f, str(r.d), r.e, r.fd, r.n, r.c, r.nc) == (2020, "Y", "2020-01-01", 2021, "0042", 12, "gunstig", None)
 
 
 def test_derived_and_suppression(spark):
