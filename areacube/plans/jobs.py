@@ -80,7 +80,7 @@ def weight_job(spark: SparkSession, sf_dir: str, out: str) -> dict[str, DataFram
     cells = W.finest_cells(fx.weight_microdata(spark, sf_dir))           # the only microdata pass
     levels = W.shared_levels(cells).persist()                            # one level row for all grains
     g = {name: W.grain_table(cells, W.grains()[name], members=members, levels=levels)
-         for name in ("g1", "g2", "g3", "g4", "g14")}
+         for name in ("g1", "g2", "g14")}
     g2 = g["g2"].persist()                                                # feeds three outputs
     codes = W.municipality_codes(areas, members)
     subcodes = (areas.sparkSession.read.parquet(f"{sf_dir.rstrip('/')}/region.parquet")
@@ -88,7 +88,7 @@ def weight_job(spark: SparkSession, sf_dir: str, out: str) -> dict[str, DataFram
     outputs = {
         "wijk": W.cube_district(g["g1"], W.districts(areas), dictionary=dictionary),
         "gemeente": W.cube_municipality(g2, codes, dictionary=dictionary),
-        "absoluut": W.cube_absolute(g2, g["g3"], g["g4"], codes, subcodes, dictionary=dictionary),
+        "absoluut": W.cube_absolute(cells, members, codes, subcodes, dictionary=dictionary, levels=levels),
     }
     write_cube(weight_spec(spark), outputs["wijk"], f"{out}/voortschrijdend_wijk")
     write_cube(weight_spec(spark), outputs["gemeente"], f"{out}/voortschrijdend_gemeente")

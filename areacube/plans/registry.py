@@ -209,13 +209,11 @@ def subregion_codes(spark, sf_dir):
 
 @register("cube_absolute_levels")
 def cube_absolute_levels(spark, sf_dir):
-    """JN4, SET1, RSH2, D12: counts at municipality, subregion and region level."""
+    """JN4, SET1, RSH2, D12: counts at municipality, subregion and region level (one plan)."""
     members = fx.region_members(spark, sf_dir)
-    cells = weight_cells(spark, sf_dir)
-    levels = W.shared_levels(cells)
-    g2, g3, g4 = (W.grain_table(cells, W.grains()[g], members=members, levels=levels) for g in ("g2", "g3", "g4"))
     codes = W.municipality_codes(fx.area_codes(spark, sf_dir), members)
-    return tidy(W.cube_absolute(g2, g3, g4, codes, subregion_codes(spark, sf_dir), dictionary=_dictionary(spark)))
+    return tidy(W.cube_absolute(weight_cells(spark, sf_dir), members, codes, subregion_codes(spark, sf_dir),
+                                dictionary=_dictionary(spark)))
 
 
 @register("table_by_municipality")

@@ -319,24 +319,41 @@ def cube_district(g1: DataFrame, district_dim: DataFrame, c: WeightColumns = COL
     return _wide_cube(t, c, "n_weighted", "JG_Gewicht_{}", dictionary, [c.municipality, c.district])
 
 
-def cube_absolute(g2: DataFrame, g3: DataFrame, g4: DataFrame, codes: DataFrame,
+def cube_absolute(cells: DataFrame, members: DataFrame | None, codes: DataFrame,
                   subregion_codes: DataFrame, c: WeightColumns = COLS,
-                  dictionary: DataFrame | None = None) -> DataFrame:
+                  dictionary: DataFrame | None = None, levels: DataFrame | None = None) -> DataFrame:
     """Counts at three levels in one cube (JN4, SET1, RSH2, D12: empty cells kept).
 
-    Each level is widened on its own partitioning, then the wide tables are
-    stacked (levels never share a cube row, so this equals widening the stack).
+    The three levels (municipality, subregion, region: g2, g3, g4) share their
+    dimensions, so they are built in one plan from a level-tagged union of the
+    cell table: one area list, one gap fill, both windows and the widen on
+    that partitioning (two exchanges for the whole cube).
     """
-    name = "JG_Gewicht_{}_abs"
-    muni = g2.withColumns({"Jaar": F.col(c.year), "geolevel": F.lit(LEVEL_MUNICIPALITY),
-                           "geoitem": code_of(codes, "gemeentenaam", F.col(c.municipality))})
-    sub = g3.withColumns({"Jaar": F.col(c.year), "geolevel": F.lit(LEVEL_SUBREGION),
-                          "geoitem": code_of(subregion_codes, "regionaam", F.col(c.subregion))})
-    nog = g4.withColumns({"Jaar": F.col(c.year), "geolevel": F.lit(LEVEL_REGION), "geoitem": F.lit(1)})
-    parts = [_wide_cube(muni, c, "n", name, dictionary, [c.municipality]),
-             _wide_cube(sub, c, "n", name, dictionary, [c.subregion]),
-             _wide_cube(nog, c, "n", name, dictionary, [c.sex, c.age])]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    G, R, S, A, K, Y = c.municipality, c.subregion, c.sex, c.age, c.klass, c.year
+    area_of = {LEVEL_MUNICIPALITY: G, LEVEL_SUBREGION: R, LEVEL_REGION: None}
+    t = None
+    for level, area in area_of.items():
+        part = cells.select(F.lit(level).alias("geolevel"),
+                            (F.col(area).cast("string") if area else F.lit(None).cast("string")).alias("area"),
+                            S, A, Y, K, "n")
+        t = part if t is None else t.unionByName(part)
+    extra = None
+    has_members = F.lit(False)
+    if members is not None:
+        extra = members.select(F.lit(LEVEL_MUNICIPALITY).alias("geolevel"), F.col(G).cast("string").alias("area"))
+        has_members = members.agg(F.count(F.lit(1)) > 0).scalar()
+    # stub years: member list for municipalities, always for subregions and region
+    fill = F.when(F.col("geolevel") == LEVEL_MUNICIPALITY, has_members).otherwise(F.lit(True))
+    geo = ["geolevel", "area"]
+    t = densify(t, geo, [S, A, K], Y, zero_fill=True, extra_geos=extra, fill_years=fill,
+                cluster=geo, levels=levels)
+    t = share(t, geo + [S, A, Y], total="n_total")
+    t = t.withColumns({
+        "Jaar": F.col(Y),
+        "geoitem": (F.when(F.col("geolevel") == LEVEL_MUNICIPALITY, code_of(codes, "gemeentenaam", F.col("area")))
+                    .when(F.col("geolevel") == LEVEL_SUBREGION, code_of(subregion_codes, "regionaam", F.col("area")))
+                    .otherwise(F.lit(1)))})
+    return _wide_cube(t, c, "n", "JG_Gewicht_{}_abs", dictionary, geo)
 
 
 def readable_table(g2: DataFrame, members: DataFrame, class_labels: Mapping[int, str],
