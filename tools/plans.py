@@ -36,6 +36,8 @@ def main() -> None:
             W.grain_table(cells, W.grains()["g2"], members=members),
         "Weight job, municipality cube (grain table + code lookup + widen)":
             R.cube_municipality_q(spark, sf),
+        "Weight job, the three-level absolute cube in one plan (level-tagged union, one gap fill)":
+            R.cube_absolute_levels(spark, sf),
         "Weight job, the nine check tables in one plan (grain-tagged union, one gap fill)":
             W.check_grains(cells, members),
         "Survey job, Rao-Scott statistics (unpivot + sums, one repartition, windows)":
