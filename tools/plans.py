@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import tempfile
 from pathlib import Path
@@ -54,12 +55,17 @@ def main() -> None:
     for title, df in steps.items():
         text = plan_text(df)
         main, _, subs = text.partition("===== Subqueries =====")
-        hosts = [line for line in subs.splitlines() if line.startswith("Subquery:")]
-        out += [f"## {title}", "", f"Shuffle exchanges: {exchange_count(df)}; scalar subqueries: {len(hosts)}",
-                "", "```", main.strip(), "```", ""]
-        if hosts:
-            out += ["Subqueries (size-checked level sets, lookups, counts; plans omitted):", "", "```",
-                    *hosts, "```", ""]
+        first: dict[str, str] = {}
+        for line in subs.splitlines():
+            m = re.search(r"Subquery subquery#(\d+)", line)
+            if line.startswith("Subquery:") and m:
+                first.setdefault(m.group(1), line)
+        out += [f"## {title}", "",
+                f"Shuffle exchanges: {exchange_count(df)}; distinct scalar subqueries: {len(first)} "
+                "(each runs once; the formatted plan lists every reference)", "", "```", main.strip(), "```", ""]
+        if first:
+            out += ["Subqueries (size-checked level sets, lookups, counts), first reference of each:", "", "```",
+                    *first.values(), "```", ""]
     (ROOT / "PLANS.md").write_text("\n".join(out))
     spark.stop()
 
