@@ -15,12 +15,18 @@ is O(1/d2^2).
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The UDF and its helpers travel to the Python workers by value, so the
+# workers need numpy and pandas but not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LARGE_DF = 1.0e5
 _EPS = 1e-15
 _TINY = 1e-300
@@ -57,7 +63,8 @@ def _betacf(a: np.ndarray, b: np.ndarray, x: np.ndarray, max_iter: int = 5000) -
     return h
 
 
-_lgamma = np.frompyfunc(math.lgamma, 1, 1)
+def _lgamma(x: np.ndarray) -> np.ndarray:
+    return np.array([math.lgamma(v) for v in x.ravel()], dtype=float).reshape(x.shape)
 
 
 def betainc(a, b, x) -> np.ndarray:
@@ -71,7 +78,7 @@ def betainc(a, b, x) -> np.ndarray:
     mid = ok & (x > 0) & (x < 1)
     if mid.any():
         am, bm, xm = a[mid], b[mid], x[mid]
-        lbt = (_lgamma(am + bm).astype(float) - _lgamma(am).astype(float) - _lgamma(bm).astype(float)
+        lbt = (_lgamma(am + bm) - _lgamma(am) - _lgamma(bm)
                + am * np.log(xm) + bm * np.log1p(-xm))
         front = np.exp(lbt)
         direct = xm < (am + 1.0) / (am + bm + 2.0)
@@ -85,7 +92,8 @@ def betainc(a, b, x) -> np.ndarray:
     return out
 
 
-_erfc = np.frompyfunc(math.erfc, 1, 1)
+def _erfc(x: np.ndarray) -> np.ndarray:
+    return np.array([math.erfc(v) for v in x.ravel()], dtype=float).reshape(x.shape)
 
 
 def f_upper_tail(f, d1, d2) -> np.ndarray:
@@ -98,7 +106,7 @@ def f_upper_tail(f, d1, d2) -> np.ndarray:
     if big.any():
         t, nu = np.sqrt(f[big]), d2[big]
         z = t * (1.0 - 1.0 / (4.0 * nu)) / np.sqrt(1.0 + t * t / (2.0 * nu))
-        out[big] = _erfc(z / math.sqrt(2.0)).astype(float)
+        out[big] = _erfc(z / math.sqrt(2.0))
     rest = ok & ~big
     if rest.any():
         x = d2[rest] / (d2[rest] + d1[rest] * f[rest])

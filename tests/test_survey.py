@@ -157,3 +157,21 @@ def test_significance_end_to_end_against_brute_force(spark):
                 grp = 3 if p > 0.05 else (1 if p < 0.01 else 2) if not fav else (5 if p < 0.01 else 4)
                 want[(int(wave), var, int(m))] = (grp, bool(fav))
     assert got == want
+
+
+def test_udf_travels_by_value(tmp_path):
+    """Python workers need not import this package (they may run anywhere)."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from areacube.functions.fdist import f_upper_udf
+    blob = tmp_path / "udf.pkl"
+    blob.write_bytes(cloudpickle.dumps(f_upper_udf.func))
+    code = ("import sys, pickle, pandas as pd; sys.path = [p for p in sys.path if 'repo' not in p]; "
+            f"f = pickle.loads(open({str(blob)!r}, 'rb').read()); "
+            "print(round(float(f(pd.Series([4.9646]), pd.Series([1.0]), pd.Series([10.0]))[0]), 4))")
+    out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert out.stdout.strip() == "0.05"
