@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import shingle_join
 from . import substring_dedup as substring
 from .common import read
 
@@ -17,8 +18,13 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(substring.remove_repeats(read(spark, sf_dir, "documents", "doc_id", "text")))
 
 
+def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """4-word shingle sets with Jaccard similarity of 0.85 or more, and their components."""
+    return shingle_join.link_components(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op4_substring_dedup,
+    op4_substring_dedup, op10_shingle_join,
 )}
 
 ORACLE_SQL: dict[str, str] = {}
