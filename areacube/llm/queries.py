@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import shingle_join
+from . import bpe, shingle_join, token_files
 from . import substring_dedup as substring
 from .common import read
 
@@ -18,13 +18,23 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(substring.remove_repeats(read(spark, sf_dir, "documents", "doc_id", "text")))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every text, written as ORC in id order and read back."""
+    return token_files.digest(token_files.written_and_read(read(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded by ranks with a segment tree per piece, and decoded again."""
+    return bpe.digest(bpe.encode_decode(read(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """4-word shingle sets with Jaccard similarity of 0.85 or more, and their components."""
     return shingle_join.link_components(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op4_substring_dedup, op10_shingle_join,
+    op4_substring_dedup, op5_token_files, op9_byte_bpe, op10_shingle_join,
 )}
 
 ORACLE_SQL: dict[str, str] = {}
