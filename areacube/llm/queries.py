@@ -8,11 +8,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, shingle_join, token_files
+from . import bpe, packing, shingle_join, token_files, vector_dedup
 from . import substring_dedup as substring
 from .common import read
 
 
+def op1_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of one label at cosine 0.98 or more, by sorted projection passes."""
+    return vector_dedup.near_duplicates(read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 4096 tokens, each filled with its seed's lexical neighbours."""
+    return packing.digest(packing.pack(read(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """35-word windows that repeat anywhere, removed from every text."""
     return substring.digest(substring.remove_repeats(read(spark, sf_dir, "documents", "doc_id", "text")))
@@ -34,7 +44,7 @@ def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op4_substring_dedup, op5_token_files, op9_byte_bpe, op10_shingle_join,
+    op1_vector_dedup, op3_packing, op4_substring_dedup, op5_token_files, op9_byte_bpe, op10_shingle_join,
 )}
 
 ORACLE_SQL: dict[str, str] = {}
