@@ -51,6 +51,9 @@ NEED, OF = 85, 100
 HOT_SHARE = 0.002
 #: Leaders that one later round compares with the rest of a signature group.
 LEADERS = 32
+#: Texts without a candidate are left out of the second reading by a table of
+#: so many hash values of ids (its bound); those that slip through go at the join.
+SLOTS = 1 << 20
 #: Shingles counted together before the frequent ones are sent.
 COUNT_SLICE = 1 << 22
 
@@ -177,15 +180,23 @@ def signatures(found: np.ndarray, n: np.ndarray, hot: np.ndarray) -> tuple[np.nd
 
 
 def _described(width: int, hot: np.ndarray):
-    """doc_id, set size, node (hash of the whole set), signatures."""
+    """doc_id, set size, node (hash of the whole set), signatures (of the first text of a set that a task meets)."""
     def run(batches):
+        met: set[int] = set()
         for batch in batches:
             for part in slices(batch, "text"):
                 found, n = shingle_sets(Words(part.column("text")), width)
+                node = _nodes(found, n)
+                first = np.zeros(len(n), bool)
+                for i, x in enumerate(node.tolist()):
+                    if x not in met:
+                        met.add(x)
+                        first[i] = True
                 texts, sigs = signatures(found, n, hot)
+                texts, sigs = texts[first[texts]], sigs[first[texts]]
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"), pa.array(n.astype(np.int64)),
-                    pa.array(_nodes(found, n), mask=n == 0),
+                    pa.array(node, mask=n == 0),
                     lists_of(sigs.view(np.int64), np.bincount(texts, minlength=len(n))),
                 ], ["doc_id", "n", "node", "sigs"])
     return run
@@ -283,7 +294,8 @@ def _verified(batches):
 
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    leaders = sets.select(F.col("node").alias("lead"), F.col("shingles").alias("query"))
+    leaders = (sets.join(pairs.select(F.col("lead").alias("node")).distinct(), "node", "left_semi")
+               .select(F.col("node").alias("lead"), F.col("shingles").alias("query")))
     return (pairs.join(sets, "node").join(leaders, "lead").select("lead", "node", "shingles", "query")
             .sortWithinPartitions("lead").mapInArrow(_verified, "a long, b long"))
 
@@ -295,13 +307,17 @@ def link_components(docs: DataFrame, width: int = WIDTH, hot_share: float = HOT_
     kind = "doc_id long, n long, node long, sigs array<long>"
     described = written(docs.mapInArrow(_described(width, hot), kind), "described")
 
-    rows = described.select("node", F.explode("sigs").alias("sig"))
-    ends = rows.groupBy("sig").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead < last")
-    groups = written(rows.join(ends.select("sig", "lead"), "sig").select("sig", "lead", "node").distinct(), "groups")
+    rows = described.where("node is not null").select("node", F.explode("sigs").alias("sig"))
+    group = Window.partitionBy("sig")
+    groups = written(rows.withColumns({"lead": F.min("node").over(group), "last": F.max("node").over(group)})
+                     .where("lead < last").select("sig", "lead", "node").distinct(), "groups")
     pairs = groups.where("node != lead").select("lead", "node").distinct()
 
     who = described.join(groups.select("node").distinct(), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    sets = written(docs.join(who, "doc_id").select("node", "text").mapInArrow(_sets(width), "node long, shingles binary")
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS))
+    slots = who.select(slot.alias("slot")).distinct()                    # at most SLOTS rows
+    few = docs.join(F.broadcast(slots), slot == F.col("slot"), "left_semi")
+    sets = written(few.join(who, "doc_id").select("node", "text").mapInArrow(_sets(width), "node long, shingles binary")
                    .dropDuplicates(["node"]), "sets")
     links = written(_links(pairs, sets), "verified")
     rest = groups.where("node != lead").select("sig", "node")          # compared with their leader
