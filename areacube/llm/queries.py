@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, shingle_join, token_files, vector_dedup
+from . import bpe, language_id, packing, quality_rules, shingle_join, token_files, vector_dedup
 from . import substring_dedup as substring
 from .common import read
 
@@ -18,6 +18,11 @@ def op1_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.near_duplicates(read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text, learned from the labelled rows that are not held out."""
+    return language_id.identify(read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 4096 tokens, each filled with its seed's lexical neighbours."""
     return packing.digest(packing.pack(read(spark, sf_dir, "documents", "doc_id", "text")))
@@ -33,6 +38,11 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(token_files.written_and_read(read(spark, sf_dir, "documents", "doc_id", "text")))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text statistics, the base rule and a decision list learned from the quality labels."""
+    return quality_rules.judged(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded by ranks with a segment tree per piece, and decoded again."""
     return bpe.digest(bpe.encode_decode(read(spark, sf_dir, "documents", "doc_id", "text")))
@@ -44,7 +54,7 @@ def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_vector_dedup, op3_packing, op4_substring_dedup, op5_token_files, op9_byte_bpe, op10_shingle_join,
+    op1_vector_dedup, op2_language_id, op3_packing, op4_substring_dedup, op5_token_files, op7_quality_rules, op9_byte_bpe, op10_shingle_join,
 )}
 
 ORACLE_SQL: dict[str, str] = {}
