@@ -121,7 +121,7 @@ def _marked(rule: list[Condition], x: dict[str, np.ndarray], n: int) -> np.ndarr
     return hit
 
 
-def _grown(x: dict[str, np.ndarray], bad: np.ndarray) -> list[Condition]:
+def _grown(x: dict[str, np.ndarray], bad: np.ndarray, not_first: set[tuple[str, str]]) -> list[Condition]:
     """Conditions added one by one by FOIL gain until only bad rows are marked."""
     rule: list[Condition] = []
     hit = np.ones(len(bad), bool)
@@ -131,6 +131,8 @@ def _grown(x: dict[str, np.ndarray], bad: np.ndarray) -> list[Condition]:
         for name, v in x.items():
             for limit in np.unique(np.quantile(v[hit], np.linspace(0, 1, THRESHOLDS), method="inverted_cdf")):
                 for op, test in OPS.items():
+                    if not rule and (name, op) in not_first:
+                        continue
                     now = hit & test(v, limit)
                     p1, n1 = bad[now].sum(), (~bad[now]).sum()
                     if p1 and p1 + n1 < p + n:
@@ -157,22 +159,30 @@ def _pruned(rule: list[Condition], x: dict[str, np.ndarray], bad: np.ndarray) ->
 
 
 def learn(x: dict[str, np.ndarray], bad: np.ndarray, seed: int = SEED) -> list[list[Condition]]:
-    """Ordered rules that mark bad rows."""
+    """Ordered rules that mark bad rows.
+
+    After a rule that is not accepted, the next one starts with another test;
+    the list ends when every start has been refused.
+    """
     rules: list[list[Condition]] = []
     rng = np.random.default_rng(seed)
     left = np.ones(len(bad), bool)
+    refused: set[tuple[str, str]] = set()
     while bad[left].sum() >= MIN_COVER:
         own = np.flatnonzero(left)
         grow = np.zeros(len(bad), bool)
         grow[rng.permutation(own)[: 2 * len(own) // 3]] = True
         prune = left & ~grow
-        rule = _grown({k: v[grow] for k, v in x.items()}, bad[grow])
+        rule = _grown({k: v[grow] for k, v in x.items()}, bad[grow], refused)
         if not rule:
             break
+        start = rule[0][:2]
         rule, p, n = _pruned(rule, {k: v[prune] for k, v in x.items()}, bad[prune])
         hit = left & _marked(rule, x, len(bad))
         if p < MIN_COVER or p < PRECISION * (p + n) or bad[hit].sum() < PRECISION * hit.sum():
-            break
+            refused.add(start)
+            continue
+        refused.clear()
         rules.append(rule)
         left &= ~hit
     return rules
