@@ -21,7 +21,8 @@ that signature's group, so a group of thousands of copies costs one pair per
 copy.  For each leader, T-occurrence search over its partners' inverted
 lists: the short lists are merged by a heap, the long ones probed by binary
 search (DivideSkip), and partners that reach the required overlap are kept.
-Signature groups that are not one component by then are compared again, a
+First each set meets its least leader only; pairs that are of one component
+by then need no search.  Signature groups that are not one component by then are compared again, a
 bounded number of leaders a round, until no pair of different components is
 left uncompared.  Nothing is capped.
 
@@ -300,6 +301,13 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .sortWithinPartitions("lead").mapInArrow(_verified, "a long, b long"))
 
 
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (lead, node) whose ends are in different components so far."""
+    of_lead = roots.select(F.col("node").alias("lead"), F.col("root").alias("lead_root"))
+    return (pairs.join(roots, "node", "left").join(of_lead, "lead", "left")
+            .where(F.coalesce("root", "node") != F.coalesce("lead_root", "lead")).select("lead", "node"))
+
+
 def link_components(docs: DataFrame, width: int = WIDTH, hot_share: float = HOT_SHARE) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs(doc_id, text)``."""
     docs = docs.select("doc_id", "text")
@@ -317,9 +325,11 @@ def link_components(docs: DataFrame, width: int = WIDTH, hot_share: float = HOT_
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS))
     slots = who.select(slot.alias("slot")).distinct()                    # at most SLOTS rows
     few = docs.join(F.broadcast(slots), slot == F.col("slot"), "left_semi")
-    sets = written(few.join(who, "doc_id").select("node", "text").mapInArrow(_sets(width), "node long, shingles binary")
-                   .dropDuplicates(["node"]), "sets")
-    links = written(_links(pairs, sets), "verified")
+    sets = written(few.join(who, "doc_id").select("node", "text").mapInArrow(_sets(width), "node long, shingles binary"), "sets")
+    # every set with its least leader first: most other pairs are of one component then
+    first = pairs.groupBy("node").agg(F.min("lead").alias("lead"))
+    links = written(_links(first.select("lead", "node"), sets), "verified")
+    links = written(links.unionByName(_links(_apart(pairs.join(first, ["node", "lead"], "left_anti"), components(links)), sets)), "verified")
     rest = groups.where("node != lead").select("sig", "node")          # compared with their leader
     while True:
         roots = components(links)
