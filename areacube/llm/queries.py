@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, language_id, packing, quality_rules, shingle_join, token_files, vector_dedup
+from . import bpe, html_text, language_id, packing, quality_rules, secret_scan, shingle_join, token_files, vector_dedup
 from . import substring_dedup as substring
 from .common import read
 
@@ -38,11 +38,21 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(token_files.written_and_read(read(spark, sf_dir, "documents", "doc_id", "text")))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, by minimum cut."""
+    return html_text.extract(read(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text statistics, the base rule and a decision list learned from the quality labels."""
     return quality_rules.judged(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate secrets of every whole text, judged by a random forest."""
+    return secret_scan.findings(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded by ranks with a segment tree per piece, and decoded again."""
     return bpe.digest(bpe.encode_decode(read(spark, sf_dir, "documents", "doc_id", "text")))
@@ -54,7 +64,8 @@ def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_vector_dedup, op2_language_id, op3_packing, op4_substring_dedup, op5_token_files, op7_quality_rules, op9_byte_bpe, op10_shingle_join,
+    op1_vector_dedup, op2_language_id, op3_packing, op4_substring_dedup, op5_token_files,
+    op6_html_text, op7_quality_rules, op8_secret_scan, op9_byte_bpe, op10_shingle_join,
 )}
 
 ORACLE_SQL: dict[str, str] = {}
