@@ -22,9 +22,10 @@ copy.  For each leader, T-occurrence search over its partners' inverted
 lists: the short lists are merged by a heap, the long ones probed by binary
 search (DivideSkip), and partners that reach the required overlap are kept.
 First each set meets its least leader only; pairs that are of one component
-by then need no search.  Signature groups that are not one component by then are compared again, a
-bounded number of leaders a round, until no pair of different components is
-left uncompared.  Nothing is capped.
+by then need no search, and pairs that set sizes or coarse histograms rule out
+do not get one either.  Signature groups that are not one component by then
+are compared again, a bounded number of leaders a round, until no pair of
+different components is left uncompared.  Nothing is capped.
 
 Equal sets share one node from the start.  Cases: null text or text without
 words: set size 0, linked with nothing, own component.  Repeated ids: rows of
@@ -41,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lists_of, slices, written
+from .common import Scratch, lists_of, slices
 from .components import components
 from .words import U, Words, mixed
 
@@ -55,6 +56,8 @@ LEADERS = 32
 #: Texts without a candidate are left out of the second reading by a table of
 #: so many hash values of ids (its bound); those that slip through go at the join.
 SLOTS = 1 << 20
+#: Hash ranges of the histograms that rule out pairs before their sets are sent.
+BINS = 512
 #: Shingles counted together before the frequent ones are sent.
 COUNT_SLICE = 1 << 22
 
@@ -69,8 +72,13 @@ def shingle_sets(w: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
         whole = np.array([_sequence(h[w.first[i]: w.first[i + 1]]) for i in short], U)
         text = np.concatenate([text, short])
         found = np.concatenate([found, whole])
-    order = np.lexsort((found, text))
-    text, found = text[order], found[order]
+        order = np.argsort(text, kind="stable")
+        text, found = text[order], found[order]
+    end = np.cumsum(np.bincount(text, minlength=len(have)))
+    lo = 0
+    for hi in end.tolist():                # many short sorts are faster than one by two keys
+        found[lo:hi].sort()
+        lo = hi
     if len(found):
         new = np.concatenate(([True], (text[1:] != text[:-1]) | (found[1:] != found[:-1])))
         text, found = text[new], found[new]
@@ -138,9 +146,7 @@ def allowed(n):
 def _part_signatures(value, text, n, band) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For texts dealt at ``band``: (text, signature) of the first D + 1 non-empty parts, and the number of parts per text."""
     k = np.maximum(1, 1 << np.maximum(band - 1, 0)).astype(U)
-    part = (mixed(value ^ U(0x5851F42D4C957F2D)) >> U(32)) * k[text] >> U(32)
-    order = np.lexsort((value, part, text))
-    text, part, value = text[order], part[order], value[order]
+    part = (value >> U(32)) * k[text] >> U(32)         # in order, as each set is sorted
     if not len(text):
         return text, value, np.zeros(len(n), np.int64)
     new = np.concatenate(([True], (text[1:] != text[:-1]) | (part[1:] != part[:-1])))
@@ -158,7 +164,7 @@ def _part_signatures(value, text, n, band) -> tuple[np.ndarray, np.ndarray, np.n
 def signatures(found: np.ndarray, n: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(text, signature) rows of texts with set sizes ``n``."""
     text = np.repeat(np.arange(len(n)), n)
-    cold = ~np.isin(found, hot, assume_unique=False) if len(hot) else np.ones(len(found), bool)
+    cold = hot[np.minimum(np.searchsorted(hot, found), len(hot) - 1)] != found if len(hot) else np.ones(len(found), bool)
     band = np.zeros(len(n), np.int64)
     band[n > 0] = np.frexp(n[n > 0].astype(float))[1] - 1          # floor(log2 n)
     texts, sigs, have = _part_signatures(found[cold], text[cold], n, band)
@@ -203,17 +209,34 @@ def _described(width: int, hot: np.ndarray):
     return run
 
 
+def histogram(shingles: np.ndarray) -> bytes:
+    """How many shingles fall in each of ``BINS`` hash ranges (255: or more).
+    Two sets differ in at least as many shingles as their histograms do."""
+    return np.minimum(np.bincount((shingles >> U(64 - BINS.bit_length() + 1)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
+
+
+def _plausible(batches):
+    """The pairs that neither their sizes nor their histograms rule out."""
+    for batch in batches:
+        n, m = batch.column("n").to_numpy(), batch.column("lead_n").to_numpy()
+        a, b = (np.frombuffer(b"".join(x.as_buffer() for x in batch.column(c)), np.uint8).reshape(-1, BINS).astype(np.int16) for c in ("counts", "lead_counts"))
+        keep = (np.abs(a - b).sum(1) <= allowed(np.minimum(n, m))) & (NEED * n <= OF * m) & (NEED * m <= OF * n)
+        yield pa.RecordBatch.from_arrays([batch.column("lead").filter(pa.array(keep)), batch.column("node").filter(pa.array(keep))], ["lead", "node"])
+
+
 def _sets(width: int):
-    """node, set as bytes, of the texts of nodes that have a candidate (another row of the same id is left out)."""
+    """node, set size, histogram and set as bytes, of the texts of nodes that have a candidate (another row of the same id is left out)."""
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
                 found, n = shingle_sets(Words(part.column("text")), width)
                 end = np.cumsum(n)
                 own = np.flatnonzero(part.column("node").to_numpy() == _nodes(found, n))
+                sets = [found[end[i] - n[i]: end[i]] for i in own]
                 yield pa.RecordBatch.from_arrays([
-                    part.column("node").take(pa.array(own)), pa.array([found[end[i] - n[i]: end[i]].tobytes() for i in own], pa.binary()),
-                ], ["node", "shingles"])
+                    part.column("node").take(pa.array(own)), pa.array(n[own].astype(np.int64)), pa.array([histogram(x) for x in sets], pa.binary()),
+                    pa.array([x.tobytes() for x in sets], pa.binary()),
+                ], ["node", "n", "counts", "shingles"])
     return run
 
 
@@ -294,10 +317,14 @@ def _verified(batches):
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """The pairs (lead, node) that link."""
+    counts = sets.select("node", "n", "counts")
+    of_lead = counts.select(F.col("node").alias("lead"), F.col("n").alias("lead_n"), F.col("counts").alias("lead_counts"))
+    pairs = scratch.written(pairs.join(counts, "node").join(of_lead, "lead").mapInArrow(_plausible, "lead long, node long"), "pairs")
     leaders = (sets.join(pairs.select(F.col("lead").alias("node")).distinct(), "node", "left_semi")
                .select(F.col("node").alias("lead"), F.col("shingles").alias("query")))
-    return (pairs.join(sets, "node").join(leaders, "lead").select("lead", "node", "shingles", "query")
+    return (pairs.join(sets.select("node", "shingles"), "node").join(leaders, "lead").select("lead", "node", "shingles", "query")
             .sortWithinPartitions("lead").mapInArrow(_verified, "a long, b long"))
 
 
@@ -311,13 +338,14 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 def link_components(docs: DataFrame, width: int = WIDTH, hot_share: float = HOT_SHARE) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs(doc_id, text)``."""
     docs = docs.select("doc_id", "text")
+    scratch = Scratch(docs.sparkSession, "shingle-join")
     hot = frequent_shingles(docs, width, hot_share)
     kind = "doc_id long, n long, node long, sigs array<long>"
-    described = written(docs.mapInArrow(_described(width, hot), kind), "described")
+    described = scratch.written(docs.mapInArrow(_described(width, hot), kind), "described")
 
     rows = described.where("node is not null").select("node", F.explode("sigs").alias("sig"))
     group = Window.partitionBy("sig")
-    groups = written(rows.withColumns({"lead": F.min("node").over(group), "last": F.max("node").over(group)})
+    groups = scratch.written(rows.withColumns({"lead": F.min("node").over(group), "last": F.max("node").over(group)})
                      .where("lead < last").select("sig", "lead", "node").distinct(), "groups")
     pairs = groups.where("node != lead").select("lead", "node").distinct()
 
@@ -325,25 +353,25 @@ def link_components(docs: DataFrame, width: int = WIDTH, hot_share: float = HOT_
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS))
     slots = who.select(slot.alias("slot")).distinct()                    # at most SLOTS rows
     few = docs.join(F.broadcast(slots), slot == F.col("slot"), "left_semi")
-    sets = written(few.join(who, "doc_id").select("node", "text").mapInArrow(_sets(width), "node long, shingles binary"), "sets")
+    sets = scratch.written(few.join(who, "doc_id").select("node", "text").mapInArrow(_sets(width), "node long, n long, counts binary, shingles binary"), "sets")
     # every set with its least leader first: most other pairs are of one component then
     first = pairs.groupBy("node").agg(F.min("lead").alias("lead"))
-    links = written(_links(first.select("lead", "node"), sets), "verified")
-    links = written(links.unionByName(_links(_apart(pairs.join(first, ["node", "lead"], "left_anti"), components(links)), sets)), "verified")
+    links = scratch.written(_links(first.select("lead", "node"), sets, scratch), "verified")
+    links = scratch.written(links.unionByName(_links(_apart(pairs.join(first, ["node", "lead"], "left_anti"), components(links, scratch)), sets, scratch)), "verified")
     rest = groups.where("node != lead").select("sig", "node")          # compared with their leader
     while True:
-        roots = components(links)
+        roots = components(links, scratch)
         rest = rest.join(roots, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
         apart = rest.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("sig")
         rank = F.row_number().over(Window.partitionBy("sig").orderBy("node"))
-        ranked = written(rest.join(apart, "sig").withColumn("rank", rank), "apart")
+        ranked = scratch.written(rest.join(apart, "sig").withColumn("rank", rank), "apart")
         if ranked.isEmpty():
             break
         lead = ranked.where(F.col("rank") <= LEADERS).select("sig", F.col("node").alias("lead"), F.col("root").alias("lead_root"), F.col("rank").alias("lead_rank"))
         pairs = ranked.join(lead, "sig").where("rank > lead_rank and root != lead_root").select("lead", "node").distinct()
-        links = written(links.unionByName(_links(pairs, sets)), "verified")
+        links = scratch.written(links.unionByName(_links(pairs, sets, scratch)), "verified")
         rest = ranked.where(F.col("rank") > LEADERS).select("sig", "node")
-    return _named(described, roots)
+    return scratch.result(_named(described, roots))
 
 
 def _named(described: DataFrame, roots: DataFrame) -> DataFrame:
