@@ -42,13 +42,37 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, read again: cuts the
-    lineage, so a lost executor costs a re-read and not a re-run."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+class Scratch:
+    """Intermediate Parquet tables of one operator call, in the shared folder.
+
+    Writing one cuts the lineage, so a lost executor costs a re-read and not a
+    re-run.  A table written under a name again replaces the one before; all
+    but the result go when the result is written.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.base = spark, new_path(spark, name)
+        self.paths: dict[str, str] = {}
+        self.number = 0
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        self.number += 1
+        path = f"{self.base}/{name}-{self.number}"
+        df.write.parquet(path)
+        self.drop(name)
+        self.paths[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            if name in self.paths:
+                path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def result(self, df: DataFrame) -> DataFrame:
+        out = self.written(df, "result")
+        self.drop(*[n for n in self.paths if n != "result"])
+        return out
 
 
 def partitions(spark: SparkSession) -> int:

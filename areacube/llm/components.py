@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import Scratch
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -64,17 +64,18 @@ def _small_star(links: DataFrame) -> DataFrame:
             .where(F.col("node") != F.col("low")).distinct())
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """``links(a, b)`` of longs, in any direction, repeats allowed: one row
     (node, root) per linked node, root the least node of its component.
     Links of a node with itself are ignored; an empty table gives an empty one.
+    The result is the table ``roots`` of ``scratch``.
     """
     a, b = links.columns[:2]
-    now = written(links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("node"), F.least(a, b).alias("low"))
-                  .mapInArrow(_contract, "node long, low long").distinct(), "links")
+    now = scratch.written(links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("node"), F.least(a, b).alias("low"))
+                  .mapInArrow(_contract, "node long, low long").distinct(), "roots")
     before = _state(now)
     while before[0]:
-        now = written(_small_star(_large_star(now)), "links")
+        now = scratch.written(_small_star(_large_star(now)), "roots")
         after = _state(now)
         if after == before:
             break

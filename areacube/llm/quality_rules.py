@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, worker_state, written
+from .common import Scratch, slices, worker_state
 from .words import BYTE_BASE, Words, covered, mixed, prefix_hashes, _tables, U
 
 WINDOW = 8
@@ -213,7 +213,7 @@ def verdict(rules: list[list[Condition]]) -> Column:
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, the statistics, base_failed, kept and the rule that decided, for every row of ``docs(doc_id, text)``."""
-    stats = written(text_statistics(docs), "statistics")
+    stats = Scratch(docs.sparkSession, "quality").written(text_statistics(docs), "statistics")
     rule = verdict(learned_rules(stats, labels))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return stats.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",

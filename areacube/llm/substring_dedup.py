@@ -16,7 +16,7 @@ Cases.  Null or empty text: no words, nothing removed, cleaned text empty.
 Fewer than ``width`` words: nothing removed.  Equal texts: each loses all its
 words if it has a whole window (the contract removes every occurrence).
 Rows with equal ids are treated as separate texts.  Other columns of the
-input are ignored.  Empty table: empty result.
+input are ignored unless carried.  Empty table: empty result.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructType
 
 from .common import as_strings, blocks_for, slices, total_bytes
 from .words import Words, covered
@@ -33,7 +34,8 @@ WIDTH = 35
 BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 12 << 20
 
-RESULT = "doc_id long, n_words long, n_removed long, removed array<struct<start:int,end:int>>, cleaned string"
+SPAN = StructType().add("start", IntegerType()).add("end", IntegerType())
+RESULT = (StructType().add("n_words", LongType()).add("n_removed", LongType()).add("removed", ArrayType(SPAN)).add("cleaned", StringType()))
 
 
 def _block_windows(columns, width: int) -> np.ndarray:
@@ -87,7 +89,7 @@ def _without(w: Words, data: bytes, i: int, gone: np.ndarray) -> tuple[list, str
     return [{"start": a, "end": b} for a, b in spans.tolist()], b"".join(kept).decode("utf-8", "replace")
 
 
-def _cleaned(width: int):
+def _cleaned(width: int, carried: bool):
     def run(key, texts, found):
         far = np.unique(np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in found.column("hashes")])) if found.num_rows else np.zeros(0, np.uint64)
         parts = []
@@ -97,7 +99,7 @@ def _cleaned(width: int):
             parts.append((part, w, at, h))
         own = np.sort(np.concatenate([h for *_, h in parts] or [far[:0]]))
         again = np.union1d(far, own[1:][own[1:] == own[:-1]])
-        out: dict[str, list] = {"doc_id": [], "n_words": [], "n_removed": [], "removed": [], "cleaned": []}
+        out: dict[str, list] = {"n_words": [], "n_removed": [], "removed": [], "cleaned": []}
         for part, w, at, h in parts:
             i = np.searchsorted(again, h)
             i[i == len(again)] = 0
@@ -110,29 +112,31 @@ def _cleaned(width: int):
                 spans, kept = _without(w, data, k, gone) if removed[k] else ([], text)
                 out["removed"].append(spans)
                 out["cleaned"].append(kept)
-            out["doc_id"] += part.column("doc_id").to_pylist()
             out["n_words"] += w.counts().tolist()
             out["n_removed"] += removed.tolist()
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         return pa.table({
-            "doc_id": pa.array(out["doc_id"], pa.int64()), "n_words": pa.array(out["n_words"], pa.int64()),
+            "doc_id": texts.column("doc_id"), **({"carried": texts.column("carried")} if carried else {}), "n_words": pa.array(out["n_words"], pa.int64()),
             "n_removed": pa.array(out["n_removed"], pa.int64()), "removed": pa.array(out["removed"], kind),
             "cleaned": pa.array(out["cleaned"], pa.string()),
         })
     return run
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, n_words, n_removed, removed (intervals of word numbers) and
-    cleaned (the text without them) for every row of ``docs(doc_id, text)``."""
+def remove_repeats(docs: DataFrame, width: int = WIDTH, carry: list[str] = ()) -> DataFrame:
+    """doc_id, n_words, n_removed, removed (intervals of word numbers) and cleaned (the text
+    without them) for every row of ``docs(doc_id, text)``; with ``carry`` also the struct
+    ``carried`` of these columns."""
     spark = docs.sparkSession
     size = total_bytes(docs, "text")
     blocks = blocks_for(spark, size, BLOCK_BYTES)
     buckets = blocks_for(spark, 2 * size, BUCKET_BYTES)      # about 8 bytes for each word of 5 or 6
-    texts = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block")).repartition(blocks, "block")
+    extra = [F.struct(*carry).alias("carried")] if carry else []
+    texts = docs.select("doc_id", "text", *extra, F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block")).repartition(blocks, "block")
     cells = texts.groupBy("block").applyInArrow(_cells(width, buckets), "bucket long, block long, hashes binary")
     found = cells.groupBy("bucket").applyInArrow(_shared, "block long, hashes binary")
-    return texts.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_cleaned(width), RESULT)
+    result = StructType([f for f in texts.schema if f.name in ("doc_id", "carried")] + RESULT.fields)
+    return texts.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_cleaned(width, bool(carry)), result)
 
 
 def digest(cleaned: DataFrame) -> DataFrame:

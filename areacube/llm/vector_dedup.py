@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, written
+from .common import Scratch, partitions
 from .components import components
 
 COSINE = 0.98
@@ -174,16 +174,17 @@ def usable(column: str = "embedding"):
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, passes: int = PASSES, window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of ``vectors(vec_id, embedding, label)``."""
     vectors = vectors.select("vec_id", "embedding", "label")
+    scratch = Scratch(vectors.sparkSession, "vector-dedup")
     good = vectors.where(usable()).where("vec_id is not null").select("vec_id", "embedding", F.col("label").cast("string").alias("label"))
-    classes = written(good.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.countDistinct("vec_id").alias("size")), "classes")
+    classes = scratch.written(good.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.countDistinct("vec_id").alias("size")), "classes")
     kind = "<f4" if dict(vectors.dtypes)["embedding"] == "array<float>" else "<f8"
     ranges = max(partitions(vectors.sparkSession), 1)
     ordered = (classes.select("rep", "label", "embedding").mapInArrow(_keyed(passes, seed, kind), "pass int, label string, dims int, key long, rep long, vector binary")
                .repartitionByRange(ranges, "pass", "label", "dims", "key").sortWithinPartitions("pass", "label", "dims", "key", "rep"))
-    compared = written(ordered.mapInArrow(_compared(window, cosine), OUT), "compared")
+    compared = scratch.written(ordered.mapInArrow(_compared(window, cosine), OUT), "compared")
     ends = compared.where("edge is not null").groupBy("edge").applyInArrow(_over_ends(window, cosine), "a long, b long")
-    links = written(compared.where("edge is null").select("a", "b").unionByName(ends).where("a != b").distinct(), "pairs")
-    roots = components(links)
+    links = scratch.written(compared.where("edge is null").select("a", "b").unionByName(ends).where("a != b").distinct(), "pairs")
+    roots = components(links, scratch)
 
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     size = classes.select(F.col("rep").alias("b"), "size")
@@ -193,5 +194,5 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, passes: int = PA
     per_row = good.join(known, ["label", "embedding"]).select("vec_id", "n_links", "root")
     per_id = per_row.groupBy("vec_id").agg(F.max("n_links").alias("n_links"), F.min("root").alias("root"))
     component = F.coalesce("root", "vec_id")
-    return (vectors.select("vec_id").join(per_id, "vec_id", "left")
-            .select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept")))
+    return scratch.result(vectors.select("vec_id").join(per_id, "vec_id", "left")
+                          .select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept")))

@@ -8,6 +8,7 @@ import numpy as np
 
 from areacube.llm import components as C
 from areacube.llm import shingle_join as J
+from areacube.llm.common import Scratch
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SF = "/root/testdata/sf0.001"
@@ -118,5 +119,5 @@ def test_components(spark):
         if a != b:
             x, y = sorted((find(a), find(b)))
             root[y] = x
-    got = {r.node: r.root for r in C.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r.node: r.root for r in C.components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "t")).collect()}
     assert got == {x: find(x) for x in root if find(x) != x}
