@@ -11,7 +11,6 @@ DataFrame operations only:
 * ``sinks``      - cube bundle writer.
 * ``plans``      - the four jobs composed from the operators, plus the
   query registry used by ``__spark_entry__``.
-* ``streaming``  - intentionally empty: all work is batch.
 """
 
 __version__ = "0.1.0"

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -49,11 +49,11 @@ def count_grains(cells: DataFrame, grains: Mapping[str, Sequence[str]], all_dims
             .agg(F.sum(measure).cast("bigint").alias(measure), name.alias(grain_col)))
 
 
-def year_bounds(df: DataFrame, year: str) -> DataFrame:
-    """AGG5: one row with the first and last year."""
-    return df.agg(F.min(year).alias("jaar_min"), F.max(year).alias("jaar_max"))
+def year_bounds(df: DataFrame, col: str, year: str) -> DataFrame:
+    """AGG5, AGG8: the distinct values of one column with the first and last year of all rows.
 
-
-def distinct_values(df: DataFrame, col: str) -> DataFrame:
-    """AGG8: the distinct values of one column (NULL included)."""
-    return df.select(col).distinct()
+    One pass: bounds per value, then the bounds of these few rows.
+    """
+    each = df.groupBy(col).agg(F.min(year).alias("lo"), F.max(year).alias("hi"))
+    whole = Window.partitionBy(F.lit(1))
+    return each.select(col, F.min("lo").over(whole).alias("jaar_min"), F.max("hi").over(whole).alias("jaar_max"))

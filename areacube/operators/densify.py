@@ -62,8 +62,8 @@ def densify(cells: DataFrame, geo: Sequence[str], dims: Sequence[str], year: str
     """Complete ``cells`` over area x dims x year.
 
     ``cells`` may be at a finer grain than ``geo + dims + [year]``: the
-    measure is summed, so the roll-up happens in the same aggregate as the
-    gap fill (one exchange instead of two).
+    measure is summed first, with map-side partial sums, so a region-level grain
+    (no area key) shuffles a few rows per task and not the cell table.
 
     geo:        area key columns (e.g. municipality, or the municipality/district
                 pair); the grid holds observed keys plus ``extra_geos``.
@@ -78,6 +78,8 @@ def densify(cells: DataFrame, geo: Sequence[str], dims: Sequence[str], year: str
     """
     geo, dims = list(geo), list(dims)
     keys = geo + dims + [year]
+    # partial sums in every map task: what is shuffled is the grain, whatever the cell table's size
+    rolled = cells.groupBy(*keys).agg(F.sum(measure).cast("bigint").alias(measure))
     if levels is None:
         levels = dimension_levels(cells, dims, year, max_levels)
     lv = levels.select("lv").scalar()
@@ -109,7 +111,7 @@ def densify(cells: DataFrame, geo: Sequence[str], dims: Sequence[str], year: str
         fill = F.lit(None).cast("bigint")
     grid = grid.select(*keys, fill.alias(measure))
 
-    both = cells.select(*keys, F.col(measure).cast("bigint").alias(measure)).unionByName(grid)
+    both = rolled.unionByName(grid)
     part = list(cluster) if cluster is not None else geo
     if part:
         both = both.repartition(*part)

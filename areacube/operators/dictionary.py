@@ -1,11 +1,9 @@
 """Value dictionaries: recode, decode, code lists (JN5-JN8, LBL1-LBL4, DM2, DM5).
 
-A dictionary is a long DataFrame ``(variable, code, label, ord)``.  A lookup
-turns the entries of one variable into a ``map`` with a single scalar
-subquery (size-checked in the JVM, so what every task holds is bounded) and
-reads it with ``try_element_at``: no join, no shuffle of the data side.
-Mappings too large for that belong in ``recode_by_table`` (a join).  Small
-literal mappings given as Python dicts become a ``map`` literal.
+A dictionary is a long DataFrame ``(variable, code, label, ord)``.  A lookup is
+a left equi-join on its entries, whose keys are checked to be unique; Spark
+chooses the physical join by the table's size.  Small literal mappings given
+as Python dicts become a ``map`` literal.
 """
 
 from __future__ import annotations
@@ -15,9 +13,6 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_ENTRIES = 1_000_000
-
-
 def recode(df: DataFrame, col: str, mapping: Mapping | Iterable[tuple], out: str | None = None) -> DataFrame:
     """JN5/UDF1 with a literal mapping: unmatched -> NULL, NULL -> NULL.
 
@@ -30,42 +25,30 @@ def recode(df: DataFrame, col: str, mapping: Mapping | Iterable[tuple], out: str
     return df.withColumn(out or col, F.try_element_at(m, F.col(col)))
 
 
-def value_set(df: DataFrame, col: str, max_values: int = MAX_ENTRIES) -> Column:
-    """The distinct non-NULL values of a small code list as one array value
-    (a size-checked scalar subquery); test membership with ``array_contains``."""
-    return bounded(df.select(col).where(F.col(col).isNotNull()), max_values, "code list") \
-        .agg(F.collect_set(F.col(col))).scalar()
-
-
-def recode_by_table(df: DataFrame, col: str, table: DataFrame, key: str, value: str,
-                    out: str | None = None) -> DataFrame:
-    """JN5 for a mapping held in a table (one row per key expected)."""
-    t = table.select(F.col(key).alias("__k"), F.col(value).alias("__v"))
-    j = df.join(t, df[col] == t["__k"], "left").drop("__k")
-    return j.withColumnRenamed("__v", out or col) if out else j.drop(col).withColumnRenamed("__v", col)
-
-
 def _entries(dictionary: DataFrame, variable: str) -> DataFrame:
     return dictionary.where(F.col("variable") == variable)
 
 
-def bounded(table: DataFrame, max_rows: int, what: str) -> DataFrame:
-    """``table`` unchanged, or an error as soon as a row is read if it has more
-    than ``max_rows`` rows (counted first, so nothing large is ever gathered)."""
-    n = table.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return table.where(F.when(n > max_rows, F.raise_error(F.lit(f"{what}: more than {max_rows} rows")))
-                       .otherwise(F.lit(True)))
-
-
-def lookup_map(table: DataFrame, key: str, value: str, max_entries: int = MAX_ENTRIES) -> Column:
-    """``key -> value`` of a small table as one map value (a scalar subquery).
+def lookup(df: DataFrame, table: DataFrame, on: Mapping[str, str], value: str, out: str) -> DataFrame:
+    """JN2-JN7: ``df`` with ``out``, the ``value`` of the table row whose keys match; NULL if none does.
 
-    Raises inside the plan if the table has more than ``max_entries`` keys or
-    a key twice (a dictionary must be unambiguous).
+    ``on`` maps columns of ``df`` to key columns of ``table``.  A key that the
+    table lists twice stops the job instead of duplicating rows (D11).  A
+    plain equi-join: Spark broadcasts the table when it is small.
     """
-    entries = F.collect_list(F.struct(F.col(key), F.col(value)))
-    t = bounded(table.where(F.col(key).isNotNull()), max_entries, "lookup table")
-    return t.agg(F.map_from_entries(entries).alias("m")).scalar()
+    keys = [f"__key{i}" for i in range(len(on))]
+    entries = table.select(*[F.col(k).alias(h) for k, h in zip(on.values(), keys)], F.col(value).alias("__value"))
+    for h in keys:
+        entries = entries.where(F.col(h).isNotNull())
+    message = F.concat(F.lit("listed twice: "), F.concat_ws(", ", *[F.col(h).cast("string") for h in keys]))
+    once = F.when(F.count(F.lit(1)) > 1, F.raise_error(message)).otherwise(F.first("__value"))
+    entries = entries.groupBy(*keys).agg(once.alias("__value"))
+    match = None
+    for c, h in zip(on, keys):
+        same = F.col(c) == F.col(h)
+        match = same if match is None else match & same
+    df = df.drop(out)
+    return df.join(entries, match, "left").select(*df.columns, F.col("__value").alias(out))
 
 
 def decode(df: DataFrame, dictionary: DataFrame, columns: Mapping[str, str],
@@ -75,22 +58,25 @@ def decode(df: DataFrame, dictionary: DataFrame, columns: Mapping[str, str],
     ``columns`` maps a data column to its dictionary variable.  Codes without a
     label give NULL.
     """
-    return df.withColumns({col + suffix: F.try_element_at(lookup_map(_entries(dictionary, var), "code", "label"),
-                                                          F.col(col))
-                           for col, var in columns.items()})
+    for col, var in columns.items():
+        df = lookup(df, _entries(dictionary, var), {col: "code"}, "label", col + suffix)
+    return df
 
 
 def encode(df: DataFrame, dictionary: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """JN5 on labels: replace each label column by its code (unmatched -> NULL)."""
-    return df.withColumns({col: F.try_element_at(lookup_map(_entries(dictionary, var), "label", "code"), F.col(col))
-                           for col, var in columns.items()})
+    order = df.columns
+    for col, var in columns.items():
+        df = lookup(df, _entries(dictionary, var), {col: "label"}, "code", "__code").drop(col).withColumnRenamed("__code", col)
+    return df.select(*order)
 
 
 def keep_known_codes(df: DataFrame, dictionary: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """The code form of JN5: codes absent from the dictionary become NULL."""
-    return df.withColumns({col: F.when(F.try_element_at(lookup_map(_entries(dictionary, var), "code", "code"),
-                                                         F.col(col)).isNotNull(), F.col(col))
-                           for col, var in columns.items()})
+    order = df.columns
+    for col, var in columns.items():
+        df = lookup(df, _entries(dictionary, var), {col: "code"}, "code", "__code").drop(col).withColumnRenamed("__code", col)
+    return df.select(*order)
 
 
 def override(dictionary: DataFrame, variable: str, entries: Mapping[str, int]) -> DataFrame:

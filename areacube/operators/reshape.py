@@ -19,14 +19,18 @@ def widen(df: DataFrame, ids: Sequence[str], names_from: str, values_from: str,
     """RSH1-RSH4: one column per listed value of ``names_from``.
 
     ``name`` is a template (``"JG_Gewicht_{}"``) or a function of the value.
-    Each (ids, value) cell is expected once; the aggregate keeps its value.
+    Each (ids, value) cell may occur once; a second row for it stops the job,
+    as one of the two would be lost.
     """
     fmt = name if callable(name) else (lambda v, _t=name: _t.format(v))
     cols = []
-    for v in values:
-        cols.append(F.max(F.when(F.col(names_from) == F.lit(v), F.col(values_from))).alias(fmt(v)))
+    wanted = [(F.col(names_from) == F.lit(v), fmt(v)) for v in values]
     if include_null:
-        cols.append(F.max(F.when(F.col(names_from).isNull(), F.col(values_from))).alias(fmt(null_name)))
+        wanted.append((F.col(names_from).isNull(), fmt(null_name)))
+    for here, title in wanted:
+        twice = F.raise_error(F.lit(f"widen: two rows for one cell of {title}"))
+        cols.append(F.when(F.count(F.when(here, F.lit(1))) > 1, twice)
+                    .otherwise(F.max(F.when(here, F.col(values_from)))).alias(title))
     return df.groupBy(*ids).agg(*cols)
 
 

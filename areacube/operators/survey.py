@@ -36,7 +36,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from areacube.functions.fdist import f_upper_udf
-from areacube.operators.dictionary import value_set
 
 
 def _c(name: str) -> Column:
@@ -69,7 +68,8 @@ def compare_with_rest(sums: DataFrame, group: str, strata: str, by: Sequence[str
     Result columns: by..., var, group, n_levels, is_dichotomous, perc_gemeente,
     perc_rest (shares of the second answer value), n_design, x2, delta,
     f_stat, nu.  Test columns are NULL unless the indicator has exactly two
-    values (D4).  ``groups`` (one column named ``group``) limits the result
+    values (D4); an indicator that nobody answered keeps its rows, with 0 levels.
+    ``groups`` (one column named ``group``) limits the result
     to the municipalities of the code list (LBL6).
 
     Physical shape: the sums are hash-partitioned once by (by, var); every
@@ -81,9 +81,11 @@ def compare_with_rest(sums: DataFrame, group: str, strata: str, by: Sequence[str
     s = sums.repartition(*K)
     wK = Window.partitionBy(*K)
     seen = _c("val").isNotNull() & _c(group).isNotNull()
-    s = s.withColumn("v0", F.min(F.when(seen, _c("val"))).over(wK))
+    # levels are numbered, not collected: a continuous indicator has many
+    level = F.dense_rank().over(wK.orderBy(F.when(seen, _c("val")).asc_nulls_last()))
+    s = s.withColumns({"v0": F.min(F.when(seen, _c("val"))).over(wK), "__level": F.when(seen, level).otherwise(F.lit(0))})
     s = s.withColumns({"v1": F.min(F.when(seen & (_c("val") > _c("v0")), _c("val"))).over(wK),
-                       "n_levels": F.size(F.collect_set(F.when(seen, _c("val"))).over(wK))})
+                       "n_levels": F.max("__level").over(wK)})
     is0, is1 = _c("val") == _c("v0"), _c("val") == _c("v1")
     hg = s.groupBy(*K, strata, group).agg(
         F.sum("n").alias("n_all"), F.max("n_levels").alias("n_levels"),
@@ -91,14 +93,17 @@ def compare_with_rest(sums: DataFrame, group: str, strata: str, by: Sequence[str
         F.coalesce(F.sum(F.when(is1, _c("s1"))), z).alias("b1"),
         F.coalesce(F.sum(F.when(is0, _c("s2"))), z).alias("a2"),
         F.coalesce(F.sum(F.when(is1, _c("s2"))), z).alias("b2"),
-        F.coalesce(F.sum(F.when(_c("val").isNotNull(), _c("s1"))), z).alias("t1"))
+        F.coalesce(F.sum(F.when(_c("val").isNotNull(), _c("s1"))), z).alias("t1"),
+        F.coalesce(F.sum(F.when(is0, _c("n"))), F.lit(0)).alias("an"),
+        F.coalesce(F.sum(F.when(is1, _c("n"))), F.lit(0)).alias("bn"),
+        F.coalesce(F.sum(F.when(_c("val").isNotNull(), _c("n"))), F.lit(0)).alias("tn"))
 
     # per stratum: all design rows (NULL group and NULL value included) and region totals
     known = _c(group).isNotNull()
     wKh = Window.partitionBy(*K, strata)
     hg = hg.withColumns({"nh": F.sum("n_all").over(wKh),
                          **{"t" + c: F.coalesce(F.sum(F.when(known, _c(c))).over(wKh), z)
-                            for c in ("a1", "b1", "a2", "b2", "t1")},
+                            for c in ("a1", "b1", "a2", "b2", "t1", "an", "bn", "tn")},
                          "__first": F.row_number().over(wKh.orderBy(F.col(group).asc_nulls_first())) == 1})
     nh = _c("nh")
     hg = hg.withColumn("fh", F.when(nh <= 1, F.raise_error(F.concat(
@@ -109,6 +114,8 @@ def compare_with_rest(sums: DataFrame, group: str, strata: str, by: Sequence[str
     hg = hg.withColumns({
         "W0": F.sum(F.when(one, _c("ta1"))).over(wK), "W1": F.sum(F.when(one, _c("tb1"))).over(wK),
         "Wall": F.sum(F.when(one, _c("tt1"))).over(wK),
+        "N0": F.sum(F.when(one, _c("tan"))).over(wK), "N1": F.sum(F.when(one, _c("tbn"))).over(wK),
+        "Nall": F.sum(F.when(one, _c("ttn"))).over(wK),
         "U0": F.sum(F.when(one, _c("fh") * _c("ta2"))).over(wK),
         "U1": F.sum(F.when(one, _c("fh") * _c("tb2"))).over(wK),
         "T00": F.sum(F.when(one, fn * _c("ta1") * _c("ta1"))).over(wK),
@@ -119,19 +126,26 @@ def compare_with_rest(sums: DataFrame, group: str, strata: str, by: Sequence[str
     # per municipality: its cell sums and the contrast weights q = c / S
     wKg = Window.partitionBy(*K, group)
     hg = hg.where(known).withColumns({"M0": F.sum("a1").over(wKg), "M1": F.sum("b1").over(wKg),
-                                      "Mall": F.sum("t1").over(wKg)})
-    hg = hg.withColumns({"q0T": -_inv(_c("M0")), "q1T": _inv(_c("M1")),
-                         "q0F": _inv(_c("W0") - _c("M0")), "q1F": -_inv(_c("W1") - _c("M1"))})
+                                      "Mall": F.sum("t1").over(wKg), "K0": F.sum("an").over(wKg),
+                                      "K1": F.sum("bn").over(wKg), "Kall": F.sum("tn").over(wKg)})
+
+    def rest(total, own, rows, own_rows):
+        # total minus own in floating point: exactly 0 when no row is left
+        return F.when(_c(rows) == _c(own_rows), z).otherwise(_c(total) - _c(own))
+    hg = hg.withColumns({"R0": rest("W0", "M0", "N0", "K0"), "R1": rest("W1", "M1", "N1", "K1")})
+    # the rest's total: the sum of its two cells where there are no others, so that an empty cell gives a share of exactly 0 or 1
+    hg = hg.withColumn("Rall", F.when(_c("N0") + _c("N1") == _c("Nall"), _c("R0") + _c("R1")).otherwise(rest("Wall", "Mall", "Nall", "Kall")))
+    hg = hg.withColumns({"q0T": -_inv(_c("M0")), "q1T": _inv(_c("M1")), "q0F": _inv(_c("R0")), "q1F": -_inv(_c("R1"))})
     # the part of the stratum sum that depends on the municipality (its strata only)
     bh = (_c("q0T") - _c("q0F")) * _c("a1") + (_c("q1T") - _c("q1F")) * _c("b1")
     ah = _c("q0F") * _c("ta1") + _c("q1F") * _c("tb1")
     term = (_c("fh") * ((_c("q0T") ** 2 - _c("q0F") ** 2) * _c("a2") + (_c("q1T") ** 2 - _c("q1F") ** 2) * _c("b2"))
             - _c("fh") / _c("nh") * (F.lit(2.0) * ah * bh + bh * bh))
     const = ["n_levels", "W0", "W1", "Wall", "U0", "U1", "T00", "T01", "T11", "n_design", "n_strata",
-             "M0", "M1", "Mall", "q0T", "q1T", "q0F", "q1F"]
+             "M0", "M1", "Mall", "R0", "R1", "Rall", "q0T", "q1T", "q0F", "q1F"]
     r = hg.groupBy(*K, group).agg(F.sum(term).alias("__part"), *[F.max(c).alias(c) for c in const])
     if groups is not None:
-        r = r.where(F.array_contains(value_set(groups, group), _c(group)))
+        r = r.join(groups.select(group).where(_c(group).isNotNull()).distinct(), group, "left_semi")
 
     q0F, q1F = _c("q0F"), _c("q1F")
     num = (q0F * q0F * _c("U0") + q1F * q1F * _c("U1")
@@ -140,18 +154,18 @@ def compare_with_rest(sums: DataFrame, group: str, strata: str, by: Sequence[str
     W = _c("W0") + _c("W1")
     def share_of(x):
         return F.try_divide(x, W)
-    a, b = share_of(_c("W0") - _c("M0")), share_of(_c("M0"))          # v0 out, v0 in
-    c, d = share_of(_c("W1") - _c("M1")), share_of(_c("M1"))          # v1 out, v1 in
+    a, b = share_of(_c("R0")), share_of(_c("M0"))                     # v0 out, v0 in
+    c, d = share_of(_c("R1")), share_of(_c("M1"))                     # v1 out, v1 in
     r0, r1 = share_of(_c("W0")), share_of(_c("W1"))
     cin = share_of(_c("M0") + _c("M1"))
     x2n = F.try_divide((a * d - b * c) ** 2, r0 * r1 * (F.lit(1.0) - cin) * cin)
-    sinv = _inv(_c("W0") - _c("M0")) + _inv(_c("W1") - _c("M1")) + _inv(_c("M0")) + _inv(_c("M1"))
+    sinv = _inv(_c("R0")) + _inv(_c("R1")) + _inv(_c("M0")) + _inv(_c("M1"))
     two = _c("n_levels") == 2
     N = _c("n_design").cast("double")
-    return r.where(_c("n_levels") > 0).select(
+    return r.select(
         *K, group, _c("n_levels").cast("bigint").alias("n_levels"), two.alias("is_dichotomous"),
         F.when(_c("n_levels") >= 2, F.try_divide(_c("M1"), _c("Mall"))).alias("perc_gemeente"),
-        F.when(_c("n_levels") >= 2, F.try_divide(_c("W1") - _c("M1"), _c("Wall") - _c("Mall"))).alias("perc_rest"),
+        F.when(_c("n_levels") >= 2, F.try_divide(_c("R1"), _c("Rall"))).alias("perc_rest"),
         _c("n_design").cast("bigint").alias("n_design"),
         F.when(two, N * x2n).alias("x2"),
         F.when(two, F.try_divide(N * num, W * sinv)).alias("delta"),

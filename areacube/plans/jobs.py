@@ -1,4 +1,9 @@
-"""The four jobs end to end, writing cube bundles (inputs: the fixture builders).
+"""The four jobs end to end, writing cube bundles.
+
+A job takes its inputs as DataFrames and parameters (one dataclass each), so
+it runs on any source.  ``staged_inputs`` reads them from a folder of staged
+tables, which is what the command line does; ``plans/fixture_inputs.py``
+builds them from the test tables.
 
 Each job reads its inputs once and writes every output from shared,
 lineage-cut intermediates:
@@ -7,15 +12,16 @@ lineage-cut intermediates:
                  grain tables -> three cube bundles, the readable table
                  partitioned by municipality, and the check tables (g5-g13 in
                  one plan);
-* significance:  one aggregate over the survey -> tests -> one bundle
-                 partitioned by indicator;
+* significance:  one aggregate over the survey -> tests -> one bundle per indicator;
 * vaccination:   one scan of the facts -> one bundle;
 * relabel:       one projection -> the relabelled copy.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +32,50 @@ from areacube.plans import significance as SG
 from areacube.plans import vaccination as V
 from areacube.plans import weight as W
 from areacube.plans.relabel import relabel
+from areacube.session import materialize
 from areacube.sinks.cube import CubeSpec, Indicator, derived_indicator, write_cube, write_relabelled
-from areacube.sources import fixtures as fx
+from areacube.sources.labelled import read_indicator_list, read_labelled
+
+
+@dataclass(frozen=True)
+class WeightInputs:
+    """microdata and its value dictionary; the area code list; the region's
+    municipalities (their name in the microdata's municipality column); the
+    subregions (regionaam, code)."""
+    microdata: DataFrame
+    dictionary: DataFrame
+    areas: DataFrame
+    members: DataFrame
+    subregions: DataFrame
+    columns: W.WeightColumns = W.COLS
+
+
+@dataclass(frozen=True)
+class SignificanceInputs:
+    """survey microdata, the indicator list (code, richting), the municipalities (code)."""
+    survey: DataFrame
+    indicators: DataFrame
+    municipalities: DataFrame
+    design: SG.SurveyDesign = SG.SurveyDesign()
+
+
+@dataclass(frozen=True)
+class VaccinationInputs:
+    """facts; the keys of the member municipalities; the labels (key, title) of the vaccine types."""
+    facts: DataFrame
+    member_keys: DataFrame | list[str]
+    labels: DataFrame
+    region_key: str
+    country_key: str
+
+
+@dataclass(frozen=True)
+class RelabelInputs:
+    """a labelled dataset, its name and the monitor's prefix."""
+    data: DataFrame
+    name: str
+    prefix: str
+
 
 # Portal texts of the weight cubes.
 WEIGHT_DIMS = [("JG_Geslacht", "Geslacht"), ("JG_Lftklasse", "Leeftijd in 3 groepen")]
@@ -43,16 +91,17 @@ SIGNIFICANCE_NAME = "Significantie groep"
 SIGNIFICANCE_SOURCE = "Gezondheidsmonitor Volwassenen en Ouderen"
 
 
-def _class_labels(c: W.WeightColumns = W.COLS) -> dict[int, str]:
-    return {code: label for var, code, label, _ in fx.VALUE_DICTIONARY if var == c.klass and code in c.classes}
+def class_labels(dictionary: DataFrame, c: W.WeightColumns = W.COLS) -> dict[int, str]:
+    """LBL1: the labels of the weight classes; they name output columns, so the plan needs them."""
+    rows = dictionary.where((F.col("variable") == c.klass) & F.col("code").isin(*c.classes)).select("code", "label").collect()
+    return {r["code"]: r["label"] for r in sorted(rows, key=lambda r: r["code"])}
 
 
-def weight_spec(spark: SparkSession, absolute: bool = False) -> CubeSpec:
+def weight_spec(dictionary: DataFrame, absolute: bool = False, columns: W.WeightColumns = W.COLS) -> CubeSpec:
     """MET1-MET6 of the weight cubes (the names, not the codes, of the classes: D7)."""
-    labels = _class_labels()
-    d = fx.value_dictionary(spark)
-    items = {code: dimension_items(d.where(F.col("variable") == var)) for (code, _), var in
-             zip(WEIGHT_DIMS, [W.COLS.sex, W.COLS.age])}
+    labels = class_labels(dictionary, columns)
+    items = {code: dimension_items(dictionary.where(F.col("variable") == var)) for (code, _), var in
+             zip(WEIGHT_DIMS, [columns.sex, columns.age])}
     if absolute:
         cls = [f"JG_Gewicht_{k}_abs" for k in labels]
         variables = [(c, f"Aantal personen met {labels[k]}", "Personen") for c, k in zip(cls, labels)]
@@ -73,55 +122,52 @@ def weight_spec(spark: SparkSession, absolute: bool = False) -> CubeSpec:
     return CubeSpec(dims=WEIGHT_DIMS, variables=variables, indicators=ind, source=WEIGHT_SOURCE, dim_items=items)
 
 
-def weight_job(spark: SparkSession, sf_dir: str, out: str) -> dict[str, DataFrame]:
-    members = fx.region_members(spark, sf_dir)
-    areas = fx.area_codes(spark, sf_dir)
-    dictionary = truncate(fx.value_dictionary(spark), W.COLS.klass, 4)
-    cells = W.finest_cells(fx.weight_microdata(spark, sf_dir))           # the only microdata pass
-    levels = W.shared_levels(cells).persist()                            # one level row for all grains
-    g = {name: W.grain_table(cells, W.grains()[name], members=members, levels=levels)
-         for name in ("g1", "g2", "g14")}
-    g2 = g["g2"].persist()                                                # feeds three outputs
-    codes = W.municipality_codes(areas, members)
-    subcodes = (areas.sparkSession.read.parquet(f"{sf_dir.rstrip('/')}/region.parquet")
-                .select(F.col("r_name").alias("regionaam"), (F.col("r_regionkey") + 1).alias("code")))
+def weight_job(spark: SparkSession, inputs: WeightInputs, out: str) -> dict[str, DataFrame]:
+    c, members, areas = inputs.columns, inputs.members, inputs.areas
+    dictionary = truncate(inputs.dictionary, c.klass, len(c.classes))
+    cells = W.finest_cells(inputs.microdata, c)                          # the only microdata pass
+    known = materialize(W.known_cells(cells, dictionary, c))             # what the cubes count
+    levels = W.shared_levels(cells, c).persist()                         # one level row for all check grains
+    g1, g2 = (W.grain_table(known, W.grains(c)[name], members=members, c=c) for name in ("g1", "g2"))
+    g14 = W.grain_table(cells, W.grains(c)["g14"], members=members, c=c, levels=levels)
+    g2 = g2.persist()                                                    # feeds three outputs
+    codes = W.municipality_codes(areas, members, c.municipality)
     outputs = {
-        "wijk": W.cube_district(g["g1"], W.districts(areas), dictionary=dictionary),
-        "gemeente": W.cube_municipality(g2, codes, dictionary=dictionary),
-        "absoluut": W.cube_absolute(cells, members, codes, subcodes, dictionary=dictionary, levels=levels),
+        "wijk": W.cube_district(g1, W.districts(areas), c),
+        "gemeente": W.cube_municipality(g2, codes, c),
+        "absoluut": W.cube_absolute(known, members, codes, inputs.subregions, c),
     }
-    write_cube(weight_spec(spark), outputs["wijk"], f"{out}/voortschrijdend_wijk")
-    write_cube(weight_spec(spark), outputs["gemeente"], f"{out}/voortschrijdend_gemeente")
-    write_cube(weight_spec(spark, absolute=True), outputs["absoluut"], f"{out}/absoluut")
-    table = W.readable_table(g2, members, _class_labels())
-    table.write.mode("overwrite").partitionBy(W.COLS.municipality).parquet(f"{out}/tabel/per_gemeente")
+    write_cube(weight_spec(inputs.dictionary, columns=c), outputs["wijk"], f"{out}/voortschrijdend_wijk")
+    write_cube(weight_spec(inputs.dictionary, columns=c), outputs["gemeente"], f"{out}/voortschrijdend_gemeente")
+    write_cube(weight_spec(inputs.dictionary, True, c), outputs["absoluut"], f"{out}/absoluut")
+    table = W.readable_table(g2, members, class_labels(inputs.dictionary, c), c)
+    table.write.mode("overwrite").partitionBy(c.municipality).parquet(f"{out}/tabel/per_gemeente")
     g2.drop("n_ma").write.mode("overwrite").parquet(f"{out}/tabel/alle_data")   # PRJ2
     # check tables: g5-g13 in one plan, g14 (overweight yes/no) on its own
-    W.check_grains(cells, members, levels=levels).write.mode("overwrite") \
+    W.check_grains(cells, members, c, levels=levels).repartition("grain").write.mode("overwrite") \
         .partitionBy("grain").parquet(f"{out}/controle/klassen")
-    g["g14"].write.mode("overwrite").parquet(f"{out}/controle/overgewicht")
+    g14.write.mode("overwrite").parquet(f"{out}/controle/overgewicht")
     g2.unpersist()
     levels.unpersist()
     return outputs
 
 
-def significance_job(spark: SparkSession, sf_dir: str, out: str) -> DataFrame:
-    design = SG.SurveyDesign(user_na=fx.SURVEY_USER_NA)
-    survey = fx.survey_microdata(spark, sf_dir)
-    groups = fx.survey_municipalities(spark, sf_dir).select(F.col("code").alias(design.group))
-    long = SG.significance(survey, fx.indicator_list(spark), design, groups)
-    data = long.select("Jaar", "geolevel", "geoitem", "var", "pgroep")
-    variables = sorted(set(SG.indicator_columns(survey, fx.indicator_list(spark), design).values()))
-    spec = CubeSpec(variables=[(f"{v}_pgroep", SIGNIFICANCE_NAME, "Geen") for v in variables],
-                    indicators=[Indicator(f"{v}_pgroep", SIGNIFICANCE_NAME, "Geen", None, "Numeric", 1)
-                                for v in variables], cube=0, source=SIGNIFICANCE_SOURCE)
-    write_cube(spec, data, f"{out}/kubus_p", partition_by=["var"])
-    return data
+def significance_job(spark: SparkSession, inputs: SignificanceInputs, out: str) -> DataFrame:
+    """RSH3, SNK2: one bundle per indicator, its data column named as in its metadata."""
+    design = inputs.design
+    groups = inputs.municipalities.select(F.col("code").alias(design.group))
+    long = materialize(SG.significance(inputs.survey, inputs.indicators, design, groups))
+    for v in sorted(set(SG.indicator_columns(inputs.survey, inputs.indicators, design).values())):
+        name = f"{v}_pgroep"
+        spec = CubeSpec(variables=[(name, SIGNIFICANCE_NAME, "Geen")],
+                        indicators=[Indicator(name, SIGNIFICANCE_NAME, "Geen", None, "Numeric", 1)],
+                        cube=0, source=SIGNIFICANCE_SOURCE)
+        write_cube(spec, SG.cube_for(long, v), f"{out}/kubus_{v}")
+    return long
 
 
-def vaccination_job(spark: SparkSession, sf_dir: str, out: str) -> DataFrame:
-    cube = V.vaccination_cube(fx.vaccination_facts(spark, sf_dir), fx.member_area_keys(spark, sf_dir),
-                              "GG0001", "NL01  ", fx.vaccine_labels(spark, sf_dir, V.VACCINE_TYPES))
+def vaccination_job(spark: SparkSession, inputs: VaccinationInputs, out: str) -> DataFrame:
+    cube = V.vaccination_cube(inputs.facts, inputs.member_keys, inputs.region_key, inputs.country_key, inputs.labels)
     items = spark.createDataFrame([(i + 1, t, i + 1) for i, t in enumerate(V.VACCINE_TYPES)],
                                   "Itemcode int, Naam string, Volgnr int")
     ind = [Indicator(c, n, "personen") for c, n, _ in VACC_VARS]
@@ -129,19 +175,48 @@ def vaccination_job(spark: SparkSession, sf_dir: str, out: str) -> DataFrame:
                          "RVP_Gevaccineerden"))
     spec = CubeSpec(dims=VACC_DIMS, variables=VACC_VARS, indicators=ind, source=VACC_SOURCE,
                     dim_items={"RVP_Vaccinatie": items})
-    write_cube(spec, cube.orderBy("geolevel", "Jaar"), f"{out}/vaccinatiegraad")
+    write_cube(spec, cube.sortWithinPartitions("geolevel", "Jaar"), f"{out}/vaccinatiegraad")
     return cube
 
 
-def relabel_job(spark: SparkSession, sf_dir: str, out: str) -> DataFrame:
-    df = fx.monitor_file(spark, sf_dir).withColumnsRenamed(
-        {"nog_wijk2020": "NOG_Wijk2020", "gemeentecode": "Gemeentecode", "wijkcode": "Wijkcode"})
-    df = relabel(df, "VO")
-    write_relabelled(df, out, "monitor")
+def relabel_job(spark: SparkSession, inputs: RelabelInputs, out: str) -> DataFrame:
+    df = relabel(inputs.data, inputs.prefix)
+    write_relabelled(df, out, inputs.name)
     return df
 
 
-JOBS: dict[str, Callable[[SparkSession, str, str], object]] = {
+def staged_inputs(spark: SparkSession, folder: str, job: str):
+    """A job's inputs from staged tables below ``folder``.
+
+    weight: ``microdata`` (labelled: data + dictionary), ``areas``, ``members``, ``subregions``;
+    significance: ``survey`` (labelled), ``indicators.csv`` (Code, Richting), ``municipalities``;
+    vaccination: ``facts``, ``member_keys``, ``labels``, ``parameters.json`` (region_key, country_key);
+    relabel: ``monitor`` (labelled), ``parameters.json`` (prefix).
+    """
+    folder = folder.rstrip("/")
+
+    def table(name: str) -> DataFrame:
+        return spark.read.parquet(f"{folder}/{name}")
+
+    def parameters() -> dict:
+        return json.loads("".join(r[0] for r in spark.read.text(f"{folder}/parameters.json", wholetext=True).collect()))
+    if job == "weight":
+        microdata, dictionary = read_labelled(spark, f"{folder}/microdata")
+        if dictionary is None:
+            raise ValueError(f"{folder}/microdata has no value dictionary")
+        return WeightInputs(microdata, dictionary, table("areas"), table("members"), table("subregions"))
+    if job == "significance":
+        survey, _ = read_labelled(spark, f"{folder}/survey", user_na=True)
+        return SignificanceInputs(survey, read_indicator_list(spark, f"{folder}/indicators.csv"), table("municipalities"))
+    if job == "vaccination":
+        return VaccinationInputs(table("facts"), table("member_keys"), table("labels"), **parameters())
+    if job == "relabel":
+        data, _ = read_labelled(spark, f"{folder}/monitor")
+        return RelabelInputs(data, "monitor", **parameters())
+    raise ValueError(f"unknown job: {job}")
+
+
+JOBS: dict[str, Callable] = {
     "weight": weight_job,
     "significance": significance_job,
     "vaccination": vaccination_job,
@@ -152,6 +227,7 @@ JOBS: dict[str, Callable[[SparkSession, str, str], object]] = {
 def main(argv: list[str] | None = None) -> None:
     """``python -m areacube.plans.jobs <input dir> <output dir> [job ...] [--master M]``
 
+    Each job reads the staged tables of ``<input dir>/<job>`` (see ``staged_inputs``).
     Without ``--master`` the submitted configuration is used as is (see
     ``build_session``); ``--master local[8]`` runs locally.
     """
@@ -169,7 +245,7 @@ def main(argv: list[str] | None = None) -> None:
     if unknown:
         p.error(f"unknown job(s): {', '.join(unknown)}")
     for name in a.jobs or list(JOBS):
-        JOBS[name](spark, a.input_dir, f"{a.output_dir.rstrip('/')}/{name}")
+        JOBS[name](spark, staged_inputs(spark, f"{a.input_dir.rstrip('/')}/{name}", name), f"{a.output_dir.rstrip('/')}/{name}")
 
 
 if __name__ == "__main__":

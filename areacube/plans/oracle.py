@@ -595,6 +595,7 @@ SELECT row_a, row_b, CASE WHEN vo_ind_b = 9 THEN NULL ELSE vo_ind_b END AS vo_in
 
 # ---------------------------------------------------------------- dictionaries, vaccination, relabel, derived
 
+# The vaccine types, as in the vaccination job.
 VACCINE_TYPES_SQL = [
     "DKTP basisimmuun (2 jaar)", "Hib volledig (2 jaar)", "BMR basisimmuun (2 jaar)",
     "MenC/ACWY basisimmuun (2 jaar)", "Pneumokokken volledig (2 jaar)", "Hepatitis B volledig (2 jaar)",
@@ -612,15 +613,17 @@ def other_oracles() -> dict[str, str]:
     q: dict[str, str] = {}
     d = "(SELECT code, label FROM fx_dict WHERE variable = '{v}'{extra})"
     q["decode_labels"] = with_ctes(["fx_meas", "fx_dict"], [], f"""
-SELECT m.gemeentekind, m.geslacht, m.lftkompas, m.gewicht5, s.label AS geslacht_label,
+SELECT m.gemeentekind, m.geslacht, m.lftkompas, m.klasse AS gewicht5, s.label AS geslacht_label,
        a.label AS lftkompas_label, k.label AS gewicht5_label
-FROM fx_meas m LEFT JOIN {d.format(v='geslacht', extra='')} s ON m.geslacht = s.code
+FROM (SELECT *, CASE WHEN gewicht5 = 5 THEN 4 ELSE gewicht5 END AS klasse FROM fx_meas) m
+LEFT JOIN {d.format(v='geslacht', extra='')} s ON m.geslacht = s.code
 LEFT JOIN {d.format(v='lftkompas', extra='')} a ON m.lftkompas = a.code
-LEFT JOIN {d.format(v='gewicht5', extra=' AND ord <= 4')} k ON m.gewicht5 = k.code""")
+LEFT JOIN {d.format(v='gewicht5', extra=' AND ord <= 4')} k ON m.klasse = k.code""")
     q["recode_codes"] = with_ctes(["fx_meas", "fx_dict"], [], f"""
-SELECT m.geslacht, m.gewicht5, k.label AS gewicht5_label,
+SELECT m.geslacht, m.klasse AS gewicht5, k.label AS gewicht5_label,
        CASE k.label WHEN 'obesitas' THEN 1 WHEN 'overgewicht' THEN 2 WHEN 'klasse 3' THEN 3 WHEN 'klasse 4' THEN 4 END AS gewicht5_code
-FROM fx_meas m LEFT JOIN {d.format(v='gewicht5', extra='')} k ON m.gewicht5 = k.code""")
+FROM (SELECT geslacht, CASE WHEN gewicht5 = 5 THEN 4 ELSE gewicht5 END AS klasse FROM fx_meas) m
+LEFT JOIN {d.format(v='gewicht5', extra='')} k ON m.klasse = k.code""")
     q["dimension_items"] = with_ctes(["fx_dict", "fx_areas", "members"], [CODES_CTE], """
 SELECT variable AS dimensie, code AS Itemcode, label AS Naam, ord AS Volgnr FROM fx_dict WHERE variable IN ('geslacht', 'lftkompas')
 UNION ALL
@@ -677,14 +680,14 @@ SELECT id AS VO_id, nog_wijk2020 AS VO_nog_wijk2020, gemeentecode AS VO_gemeente
     derived = f"""
 SELECT *, g1 + g2 + g3 + g4 AS JG_Gewicht_totaal, g1 + g2 AS JG_Overgewicht FROM (
   SELECT Jaar, geolevel, geoitem, JG_Geslacht, JG_Lftklasse, JG_Gewicht_1 AS g1, JG_Gewicht_2 AS g2,
-         JG_Gewicht_3 AS g3, JG_Gewicht_4 AS g4 FROM ({cube}) c) x"""
+         JG_Gewicht_3 AS g3, JG_Gewicht_4 AS g4, JG_Gewicht_NA AS gna FROM ({cube}) c) x"""
 
     def share(num: str) -> str:
         return f"CASE WHEN JG_Gewicht_totaal <> 0 THEN ({num}) / JG_Gewicht_totaal * 100.0 END"
 
     q["derived_indicators"] = f"""
 SELECT Jaar, geolevel, geoitem, JG_Geslacht, JG_Lftklasse, round(g1, 4) AS JG_Gewicht_1, round(g2, 4) AS JG_Gewicht_2,
-       round(g3, 4) AS JG_Gewicht_3, round(g4, 4) AS JG_Gewicht_4, round(JG_Gewicht_totaal, 4) AS JG_Gewicht_totaal,
+       round(g3, 4) AS JG_Gewicht_3, round(g4, 4) AS JG_Gewicht_4, round(gna, 4) AS JG_Gewicht_NA, round(JG_Gewicht_totaal, 4) AS JG_Gewicht_totaal,
        round({share('g1')}, 4) AS JG_Gewicht_1_perc, round({share('g2')}, 4) AS JG_Gewicht_2_perc,
        round({share('g3')}, 4) AS JG_Gewicht_3_perc, round({share('g4')}, 4) AS JG_Gewicht_4_perc,
        round(JG_Overgewicht, 4) AS JG_Overgewicht, round({share('g1 + g2')}, 4) AS JG_Overgewicht_perc

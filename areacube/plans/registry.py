@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +19,7 @@ from areacube.operators import relabel as RL
 from areacube.operators import survey as svy
 from areacube.operators.densify import densify, missing_geo_years
 from areacube.operators.derive import add_derived, suppress, weight_class_indicators
-from areacube.operators.dictionary import decode, observed_levels, recode, truncate, user_missing_to_null, value_set
+from areacube.operators.dictionary import decode, observed_levels, recode, truncate, user_missing_to_null
 from areacube.operators.reshape import lengthen
 from areacube.operators.smooth import share
 from areacube.plans import significance as SG
@@ -181,23 +181,26 @@ def _dictionary(spark):
     return truncate(fx.value_dictionary(spark), C.klass, 4)
 
 
+def known_weight_cells(spark, sf_dir):
+    return W.finest_cells(fx.weight_microdata(spark, sf_dir), dictionary=_dictionary(spark))
+
+
 @register("cube_district")
 def cube_district_q(spark, sf_dir):
     """JN2, FLT1-2, JN5, RSH1, PRJ4-5, D1, D13: smoothed counts per district, wide."""
-    g1 = grain(spark, sf_dir, "g1")
-    return tidy(W.cube_district(g1, W.districts(fx.area_codes(spark, sf_dir)), dictionary=_dictionary(spark)))
+    g1 = W.grain_table(known_weight_cells(spark, sf_dir), W.grains()["g1"], members=fx.region_members(spark, sf_dir))
+    return tidy(W.cube_district(g1, W.districts(fx.area_codes(spark, sf_dir))))
 
 
 def cube_municipality_raw(spark, sf_dir):
     members = fx.region_members(spark, sf_dir)
-    g2 = grain(spark, sf_dir, "g2", members=members)
-    codes = W.municipality_codes(fx.area_codes(spark, sf_dir), members)
-    return W.cube_municipality(g2, codes, dictionary=_dictionary(spark))
+    g2 = W.grain_table(known_weight_cells(spark, sf_dir), W.grains()["g2"], members=members)
+    return W.cube_municipality(g2, W.municipality_codes(fx.area_codes(spark, sf_dir), members))
 
 
 @register("cube_municipality")
 def cube_municipality_q(spark, sf_dir):
-    """JN3, RSH1, PRJ10: smoothed counts per municipality, wide."""
+    """JN3, RSH1: smoothed counts per municipality, wide."""
     return tidy(cube_municipality_raw(spark, sf_dir))
 
 
@@ -212,13 +215,12 @@ def cube_absolute_levels(spark, sf_dir):
     """JN4, SET1, RSH2, D12: counts at municipality, subregion and region level (one plan)."""
     members = fx.region_members(spark, sf_dir)
     codes = W.municipality_codes(fx.area_codes(spark, sf_dir), members)
-    return tidy(W.cube_absolute(weight_cells(spark, sf_dir), members, codes, subregion_codes(spark, sf_dir),
-                                dictionary=_dictionary(spark)))
+    return tidy(W.cube_absolute(known_weight_cells(spark, sf_dir), members, codes, subregion_codes(spark, sf_dir)))
 
 
 @register("table_by_municipality")
 def table_by_municipality(spark, sf_dir):
-    """RSH4, SNK3, FLT4: smoothed shares per member municipality, class labels as columns."""
+    """RSH4, FLT4: smoothed shares per member municipality, class labels as columns."""
     members = fx.region_members(spark, sf_dir)
     g2 = grain(spark, sf_dir, "g2", members=members)
     labels = {code: label for var, code, label, _ in fx.VALUE_DICTIONARY if var == C.klass}
@@ -244,10 +246,7 @@ def class_year_counts(spark, sf_dir):
 def year_bounds_q(spark, sf_dir):
     """AGG5, AGG8: the distinct subregions with the first and last end year."""
     m = W.prepare(fx.weight_microdata(spark, sf_dir))
-    b = cellops.year_bounds(m, C.year).select(F.struct("jaar_min", "jaar_max").alias("b"))
-    return (cellops.distinct_values(m, C.subregion)
-            .withColumn("b", b.scalar())
-            .select(C.subregion, "b.jaar_min", "b.jaar_max"))
+    return cellops.year_bounds(m, C.subregion, C.year)
 
 
 def queries() -> dict[str, Query]:
@@ -306,7 +305,7 @@ def svy_rao_scott(spark, sf_dir):
 
 @register("svy_significance")
 def svy_significance(spark, sf_dir):
-    """SVY4-7, UDF4, CND1-2, CND5, MTH3, RSH3: significance group 1-5 per wave."""
+    """SVY4-7, UDF4, CND1-2, CND5, MTH3: significance group 1-5 per wave."""
     t = SG.significance(fx.survey_microdata(spark, sf_dir), fx.indicator_list(spark), DESIGN,
                         survey_groups(spark, sf_dir))
     return t.select("Jaar", "geolevel", "geoitem", "var", "gunstig", "pgroep")
@@ -350,15 +349,15 @@ def _meas_dictionary(spark):
 
 @register("decode_labels")
 def decode_labels(spark, sf_dir):
-    """JN6, JN7, LBL1-3, FCT1: label columns for the coded dimensions."""
-    m = fx.weight_microdata(spark, sf_dir).select(C.municipality, C.sex, C.age, C.klass)
+    """JN6, JN7, LBL3, FCT2: label columns for the coded dimensions (class 5 merged into 4 first)."""
+    m = W.prepare(fx.weight_microdata(spark, sf_dir)).select(C.municipality, C.sex, C.age, C.klass)
     return decode(m, _meas_dictionary(spark), {C.sex: "geslacht", C.age: "lftkompas", C.klass: "gewicht5"})
 
 
 @register("recode_codes")
 def recode_codes(spark, sf_dir):
     """JN5, UDF1: label -> code with a literal mapping; unmatched and NULL -> NULL."""
-    m = decode(fx.weight_microdata(spark, sf_dir).select(C.sex, C.klass), fx.value_dictionary(spark),
+    m = decode(W.prepare(fx.weight_microdata(spark, sf_dir)).select(C.sex, C.klass), _meas_dictionary(spark),
                {C.klass: "gewicht5"})
     mapping = {label: code for var, code, label, ord_ in fx.VALUE_DICTIONARY if var == C.klass and ord_ <= 4}
     return recode(m, C.klass + "_label", mapping, out=C.klass + "_code")
@@ -372,10 +371,10 @@ def dimension_items_q(spark, sf_dir):
     dims = d.select(F.col("variable").alias("dimensie"), F.col("code").alias("Itemcode"),
                     F.col("label").alias("Naam"), F.col("ord").alias("Volgnr"))
     codes = W.municipality_codes(fx.area_codes(spark, sf_dir), fx.region_members(spark, sf_dir))
-    order = F.sort_array(value_set(codes, "code"))          # size-checked, no single-task window
+    number = F.row_number().over(Window.orderBy("code"))     # one region's code list
     muni = codes.select(F.lit("gemeente").alias("dimensie"), F.col("code").alias("Itemcode"),
                         F.col("gemeentenaam").alias("Naam"),
-                        F.array_position(order, F.col("code")).cast("int").alias("Volgnr"))
+                        number.alias("Volgnr"))
     return dims.unionByName(muni)
 
 
@@ -384,7 +383,7 @@ def dimension_items_q(spark, sf_dir):
 
 @register("vaccination_cube")
 def vaccination_cube_q(spark, sf_dir):
-    """SRC3, JN7, CND3, DAT2, STR4, STR10, MTH3, FLT1, FLT3, SET1, SRT1, JN5, D14."""
+    """SRC3, JN7, CND3, DAT2, STR4, STR10, MTH3, FLT1, FLT3, SET1, JN5, D14."""
     facts = fx.vaccination_facts(spark, sf_dir)
     return tidy(V.vaccination_cube(facts, fx.member_area_keys(spark, sf_dir), "GG0001", "NL01  ",
                                    fx.vaccine_labels(spark, sf_dir, V.VACCINE_TYPES)))
@@ -435,14 +434,14 @@ def resolve_columns_q(spark, sf_dir):
 @register("derived_indicators")
 def derived_indicators(spark, sf_dir):
     """MET6: totals and shares of the municipality cube, evaluated."""
-    cube = cube_municipality_raw(spark, sf_dir).drop("JG_Gewicht_NA")
+    cube = cube_municipality_raw(spark, sf_dir)
     return tidy(add_derived(cube, weight_class_indicators()))
 
 
 @register("threshold_suppress")
 def threshold_suppress(spark, sf_dir):
     """MET7: shares hidden where their threshold indicator is below 50."""
-    cube = add_derived(cube_municipality_raw(spark, sf_dir).drop("JG_Gewicht_NA"), weight_class_indicators())
+    cube = add_derived(cube_municipality_raw(spark, sf_dir), weight_class_indicators())
     rules = {f"JG_Gewicht_{k}_perc": "JG_Gewicht_totaal" for k in C.classes}
     rules["JG_Overgewicht_perc"] = "JG_Overgewicht"
     keep = ["Jaar", "geolevel", "geoitem", "JG_Geslacht", "JG_Lftklasse", *rules]

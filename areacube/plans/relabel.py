@@ -25,16 +25,14 @@ def relabel_files(spark, paths, prefix: str | None = None) -> list[str]:
     write (one Spark job per file, no shuffle); the prefix comes from the
     folder name unless given.
     """
-    from pathlib import PurePosixPath
-
     from areacube.operators.relabel import monitor_prefix
     from areacube.sinks.cube import write_relabelled
     from areacube.sources.labelled import read_labelled
 
     written = []
     for path in paths:
-        p = PurePosixPath(path.rstrip("/"))
-        data, _ = read_labelled(spark, str(p))
-        written.append(write_relabelled(relabel(data, prefix or monitor_prefix(str(p.parent))),
-                                        str(p.parent), p.name))
+        path = path.rstrip("/")                    # a URI keeps its scheme and authority
+        folder, _, name = path.rpartition("/")
+        data, _ = read_labelled(spark, path)
+        written.append(write_relabelled(relabel(data, prefix or monitor_prefix(folder)), folder or ".", name))
     return written

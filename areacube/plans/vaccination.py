@@ -2,8 +2,8 @@
 
 One scan of the fact table serves all three levels: municipalities (the
 keys of the region's members), the region and the country (literal keys,
-in both padded and unpadded form).  No join: the member keys and the label
-code list are small lookups built once per query.
+in both padded and unpadded form).  Member keys given as a list reach the
+Parquet reader; a key table and the label list are equi-joins.
 """
 
 from __future__ import annotations
@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from areacube.functions.scalars import as_number, from_position, period_year
-from areacube.operators.dictionary import bounded, lookup_map, recode
+from areacube.operators.dictionary import lookup, recode
 from areacube.plans.portal import LEVEL_COUNTRY, LEVEL_MUNICIPALITY, LEVEL_REGION
+from areacube.sources.tables import local_table
 
 # The vaccine types of the cube; the code of a type is its position.
 VACCINE_TYPES = [
@@ -38,41 +39,31 @@ def padded(keys: Sequence[str], width: int = KEY_WIDTH) -> list[str]:
     return sorted(set(out))
 
 
-def key_set(keys: DataFrame, max_keys: int = 100_000):
-    """The trimmed keys of a code list as one array value (a size-checked scalar subquery)."""
-    t = bounded(keys.select(F.trim(F.col(keys.columns[0])).alias("k")), max_keys, "area keys")
-    return t.agg(F.collect_set("k")).scalar()
-
-
 def read_facts(facts: DataFrame, region: str = "regios", keys: DataFrame | None = None,
                literal_keys: Sequence[str] | None = None) -> DataFrame:
     """SRC3: facts of the listed areas only.
 
     Literal keys become an ``In`` filter on the raw column (pushed to the
-    Parquet reader); a key table becomes a membership test against its key
-    set.  Both forms together are one filter over one scan.
+    Parquet reader); a key table becomes a semi-join on both spellings of its keys.
     """
-    conds = []
-    if literal_keys is not None:
-        conds.append(F.col(region).isin(padded(literal_keys)))
     if keys is not None:
-        conds.append(F.array_contains(key_set(keys), F.trim(F.col(region))))
-    if not conds:
-        return facts
-    cond = conds[0]
-    for c in conds[1:]:
-        cond = cond | c
-    return facts.where(cond)
+        if literal_keys is not None:
+            top = local_table(facts.sparkSession, [(k,) for k in literal_keys], "k string")
+            keys = keys.select(F.col(keys.columns[0]).alias("k")).unionByName(top)
+        spelt = F.trim(F.col(keys.columns[0]))
+        both = keys.select(F.explode(F.array(spelt, F.rpad(spelt, KEY_WIDTH, " "))).alias(region)).distinct()
+        return facts.join(both, region, "left_semi")
+    return facts if literal_keys is None else facts.where(F.col(region).isin(padded(literal_keys)))
 
 
 def with_measures(facts: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """JN7, DAT2, STR10, CND3, STR1/MTH3: year, trimmed area, label, merged measures, code."""
-    label = (F.try_element_at(lookup_map(labels, "key", "title"), F.col("vaccinaties")) if labels is not None
-             else F.col("vaccinaties"))
+    facts = (lookup(facts, labels, {"vaccinaties": "key"}, "title", "__label") if labels is not None
+             else facts.withColumn("__label", F.col("vaccinaties")))
     return facts.select(
         period_year(F.col("perioden")).alias("Jaar"),
         F.trim(F.col("regios")).alias("Regio"),
-        label.alias("vaccinaties_label"),
+        F.col("__label").alias("vaccinaties_label"),
         F.col("populatie_1").alias("Populatie"),
         F.coalesce("gevaccineerdenzonder_4", "gevaccineerdenmet_2").alias("Gevaccineerden"),
         F.coalesce("vaccinatiegraadzonder_5", "vaccinatiegraadmet_3").alias("Vaccinatiegraad"),
@@ -86,19 +77,17 @@ def vaccination_cube(facts: DataFrame, municipality_keys: DataFrame | Sequence[s
     One scan, one filter; the level of a row follows from its key.  Region
     and country rows also need a coverage value (D14), municipality rows not.
     Member keys given as a list join the literal ``In`` filter that reaches
-    the Parquet reader; given as a table they are a key-set test.
+    the Parquet reader; given as a table they are a semi-join on the raw key.
     """
     top = [region_key, country_key]
     if isinstance(municipality_keys, DataFrame):
-        keys = key_set(municipality_keys)
         f = read_facts(facts, keys=municipality_keys, literal_keys=top)
     else:
-        keys = F.array(*[F.lit(k.strip()) for k in municipality_keys])
         f = read_facts(facts, literal_keys=list(municipality_keys) + top)
     f = with_measures(f, labels)
-    level = (F.when(F.array_contains(keys, F.col("Regio")), F.lit(LEVEL_MUNICIPALITY))
-             .when(F.col("Regio") == region_key.strip(), F.lit(LEVEL_REGION))
-             .when(F.col("Regio") == country_key.strip(), F.lit(LEVEL_COUNTRY)))
+    level = (F.when(F.col("Regio") == region_key.strip(), F.lit(LEVEL_REGION))
+             .when(F.col("Regio") == country_key.strip(), F.lit(LEVEL_COUNTRY))
+             .otherwise(F.lit(LEVEL_MUNICIPALITY)))
     f = f.withColumn("geolevel", level)
     keep = (F.col("vaccinaties_label").isin(*VACCINE_TYPES) & F.col("Gevaccineerden").isNotNull()
             & ((F.col("geolevel") == LEVEL_MUNICIPALITY) | F.col("Vaccinatiegraad").isNotNull()))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from areacube.operators.densify import densify, dimension_levels
-from areacube.operators.dictionary import keep_known_codes, lookup_map
+from areacube.operators.dictionary import keep_known_codes, lookup
 from areacube.operators.reshape import widen
 from areacube.operators.smooth import share, smoothed_count, trailing_mean
 from areacube.plans.portal import LEVEL_DISTRICT, LEVEL_MUNICIPALITY, LEVEL_REGION, LEVEL_SUBREGION
@@ -100,10 +100,14 @@ def finest_dims(c: WeightColumns = COLS) -> list[str]:
     return [c.subregion, c.municipality, c.district, c.sex, c.age, c.year, c.klass, c.overweight]
 
 
-def finest_cells(microdata: DataFrame, c: WeightColumns = COLS, checkpoint: bool = True) -> DataFrame:
-    """The single pass over the microdata: counts at the finest grain."""
+def finest_cells(microdata: DataFrame, c: WeightColumns = COLS, checkpoint: bool = True,
+                 dictionary: DataFrame | None = None) -> DataFrame:
+    """The single pass over the microdata: counts at the finest grain, with
+    unknown codes as NULL (``known_cells``) when a dictionary is given."""
     cells = (prepare(microdata, c).groupBy(*finest_dims(c))
              .agg(F.count(F.lit(1)).alias("n")))
+    if dictionary is not None:
+        cells = known_cells(cells, dictionary, c)
     return materialize(cells) if checkpoint else cells
 
 
@@ -217,7 +221,8 @@ def check_grains(cells: DataFrame, members: DataFrame | None = None, c: WeightCo
             .withColumn(Y, F.explode(years))
             .select("grain", "area", "dim", Y, K, F.lit(None).cast("bigint").alias("n")))
     keys = ["grain", "area", "dim", Y, K]
-    filled = (t.select(*keys, F.col("n").cast("bigint").alias("n")).unionByName(grid)
+    rolled = t.groupBy(*keys).agg(F.sum("n").cast("bigint").alias("n"))      # map-side partial sums
+    filled = (rolled.unionByName(grid)
               .repartition("grain", "area")
               .groupBy(*keys).agg(F.sum("n").cast("bigint").alias("n")))
     out = share(filled, ["grain", "area", "dim", Y], total=None)
@@ -264,18 +269,19 @@ def municipality_codes(areas: DataFrame, members: DataFrame, member_col: str = "
 
 # ---------------------------------------------------------------- cubes
 
-def code_of(codes: DataFrame, name: str, col, code: str = "code"):
-    """JN2-JN4: the code of an area name (a size-checked lookup; a name listed
-    twice stops the job instead of duplicating cube rows, D11)."""
-    return F.try_element_at(lookup_map(codes, name, code), col)
+CUBE_IDS = ["Jaar", "geolevel", "geoitem", "JG_Geslacht", "JG_Lftklasse"]
 
 
-CUBE_IDS = ["Jaar", "geolevel", "geoitem", "JG_Geslacht", "JG_Lftklasse"]
+def known_cells(cells: DataFrame, dictionary: DataFrame, c: WeightColumns = COLS) -> DataFrame:
+    """JN5: codes that the dictionary does not have become NULL, before anything
+    is summed: people with an unknown sex, age or class share one NULL cell and
+    none of them is lost when the cube is widened."""
+    cells = keep_known_codes(cells, dictionary, {c.sex: c.sex, c.age: c.age})
+    return cells.withColumn(c.klass, F.when(F.col(c.klass).isin(*c.classes), F.col(c.klass)))
 
 
-def _wide_cube(t: DataFrame, c: WeightColumns, value: str, name: str, dictionary: DataFrame | None,
-               grain_cols: Sequence[str]) -> DataFrame:
-    """Recode and widen one level of a cube (JN5, RSH1/RSH2).
+def _wide_cube(t: DataFrame, c: WeightColumns, value: str, name: str, grain_cols: Sequence[str]) -> DataFrame:
+    """Widen one level of a cube (RSH1/RSH2).
 
     The grain's own key columns (area, or the fixed dims of the region level)
     ride along as hidden group keys: the gap fill already partitioned the rows
@@ -285,43 +291,32 @@ def _wide_cube(t: DataFrame, c: WeightColumns, value: str, name: str, dictionary
     hidden = [f"__k{i}" for i in range(len(grain_cols))]
     t = t.select(*[F.col(k).alias(h) for k, h in zip(grain_cols, hidden)],
                  "Jaar", "geolevel", "geoitem", c.sex, c.age, c.klass, value)
-    if dictionary is not None:
-        # JN5: the reference recodes label -> code with unmatched -> NA.
-        t = keep_known_codes(t, dictionary, {c.sex: c.sex, c.age: c.age})
-        t = t.withColumn(c.klass, F.when(F.col(c.klass).isin(*c.classes), F.col(c.klass)))
     t = t.withColumnsRenamed({c.sex: "JG_Geslacht", c.age: "JG_Lftklasse"})
     return widen(t, hidden + CUBE_IDS, c.klass, value, list(c.classes), name, include_null=True).drop(*hidden)
 
 
-def cube_municipality(g2: DataFrame, codes: DataFrame, c: WeightColumns = COLS,
-                      dictionary: DataFrame | None = None) -> DataFrame:
+def cube_municipality(g2: DataFrame, codes: DataFrame, c: WeightColumns = COLS) -> DataFrame:
     """Smoothed counts per municipality (JN3, FLT1-2, CND4, RSH1, PRJ4-5, PRJ10).
 
     Cells with an empty or missing total are left out; municipalities without
     a code keep a NULL ``geoitem`` (D13).
     """
     t = (g2.where(F.col("n_total").isNotNull() & (F.col("n_total") != 0))
-         .withColumns({"Jaar": F.col(c.year), "geolevel": F.lit(LEVEL_MUNICIPALITY),
-                       "geoitem": code_of(codes, "gemeentenaam", F.col(c.municipality))}))
-    return _wide_cube(t, c, "n_weighted", "JG_Gewicht_{}", dictionary, [c.municipality])
+         .withColumns({"Jaar": F.col(c.year), "geolevel": F.lit(LEVEL_MUNICIPALITY)}))
+    t = lookup(t, codes, {c.municipality: "gemeentenaam"}, "code", "geoitem")
+    return _wide_cube(t, c, "n_weighted", "JG_Gewicht_{}", [c.municipality])
 
 
-def cube_district(g1: DataFrame, district_dim: DataFrame, c: WeightColumns = COLS,
-                  dictionary: DataFrame | None = None) -> DataFrame:
+def cube_district(g1: DataFrame, district_dim: DataFrame, c: WeightColumns = COLS) -> DataFrame:
     """Smoothed counts per district (JN2, D1, D13): unmatched districts are dropped."""
-    d = district_dim.select(F.struct(F.col("Gemeentenaam").alias("g"), F.col("Wijknaam").alias("w")).alias("k"),
-                            F.col("Wijkcode").alias("v"))
-    key = F.struct(F.col(c.municipality).alias("g"), F.col(c.district).alias("w"))
     t = (g1.where(F.col("n_total").isNotNull() & (F.col("n_total") != 0))
-         .withColumns({"Jaar": F.col(c.year), "geolevel": F.lit(LEVEL_DISTRICT),
-                       "geoitem": F.try_element_at(lookup_map(d, "k", "v"), key)})
-         .where(F.col("geoitem").isNotNull()))
-    return _wide_cube(t, c, "n_weighted", "JG_Gewicht_{}", dictionary, [c.municipality, c.district])
+         .withColumns({"Jaar": F.col(c.year), "geolevel": F.lit(LEVEL_DISTRICT)}))
+    t = lookup(t, district_dim, {c.municipality: "Gemeentenaam", c.district: "Wijknaam"}, "Wijkcode", "geoitem")
+    return _wide_cube(t.where(F.col("geoitem").isNotNull()), c, "n_weighted", "JG_Gewicht_{}", [c.municipality, c.district])
 
 
 def cube_absolute(cells: DataFrame, members: DataFrame | None, codes: DataFrame,
-                  subregion_codes: DataFrame, c: WeightColumns = COLS,
-                  dictionary: DataFrame | None = None, levels: DataFrame | None = None) -> DataFrame:
+                  subregion_codes: DataFrame, c: WeightColumns = COLS, levels: DataFrame | None = None) -> DataFrame:
     """Counts at three levels in one cube (JN4, SET1, RSH2, D12: empty cells kept).
 
     The three levels (municipality, subregion, region: g2, g3, g4) share their
@@ -348,12 +343,12 @@ def cube_absolute(cells: DataFrame, members: DataFrame | None, codes: DataFrame,
     t = densify(t, geo, [S, A, K], Y, zero_fill=True, extra_geos=extra, fill_years=fill,
                 cluster=geo, levels=levels)
     t = share(t, geo + [S, A, Y], total="n_total")
-    t = t.withColumns({
-        "Jaar": F.col(Y),
-        "geoitem": (F.when(F.col("geolevel") == LEVEL_MUNICIPALITY, code_of(codes, "gemeentenaam", F.col("area")))
-                    .when(F.col("geolevel") == LEVEL_SUBREGION, code_of(subregion_codes, "regionaam", F.col("area")))
-                    .otherwise(F.lit(1)))})
-    return _wide_cube(t, c, "n", "JG_Gewicht_{}_abs", dictionary, geo)
+    names = (codes.select(F.lit(LEVEL_MUNICIPALITY).alias("level"), F.col("gemeentenaam").alias("name"), F.col("code").cast("int").alias("code"))
+             .unionByName(subregion_codes.select(F.lit(LEVEL_SUBREGION).alias("level"), F.col("regionaam").alias("name"),
+                                                 F.col("code").cast("int").alias("code"))))
+    t = lookup(t.withColumn("Jaar", F.col(Y)), names, {"geolevel": "level", "area": "name"}, "code", "geoitem")
+    t = t.withColumn("geoitem", F.when(F.col("geolevel") == LEVEL_REGION, F.lit(1)).otherwise(F.col("geoitem")))
+    return _wide_cube(t, c, "n", "JG_Gewicht_{}_abs", geo)
 
 
 def readable_table(g2: DataFrame, members: DataFrame, class_labels: Mapping[int, str],

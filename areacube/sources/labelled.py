@@ -28,10 +28,10 @@ def read_labelled(spark: SparkSession, path: str, schema: T.StructType | None =
     each field's ``metadata["user_na"]`` become NULL (LBL4)."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
     data = reader.parquet(f"{path}/data")
-    try:
+    dictionary = None                              # a dataset without value labels has no such folder
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/dictionary")
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
         dictionary = spark.read.schema(DICTIONARY_SCHEMA).parquet(f"{path}/dictionary")
-    except Exception:  # noqa: BLE001 - a dataset without value labels
-        dictionary = None
     if user_na:
         data = user_missing_to_null(data, user_missing_codes(data))
     return data, dictionary

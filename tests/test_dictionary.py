@@ -1,7 +1,7 @@
 """JN5-JN8, LBL2-LBL4: recode, decode, dictionaries, user-missing codes (T6)."""
 
 from areacube.operators.dictionary import (decode, encode, keep_known_codes, observed_levels, override,
-                                           recode, recode_by_table, truncate, user_missing_to_null)
+                                           recode, truncate, user_missing_to_null)
 from areacube.sources.fixtures import value_dictionary
 from conftest import rows
 
@@ -13,11 +13,6 @@ def test_recode_unmatched_null_and_last_duplicate_wins(spark):
                                key=lambda t: (t[0] is None, t[0] or ""))
 
 
-def test_recode_by_table(spark):
-    df = spark.createDataFrame([("a",), ("q",)], "x string")
-    t = spark.createDataFrame([("a", 10)], "k string, v int")
-    assert rows(recode_by_table(df, "x", t, "k", "v")) == [(10,), (None,)]
-
 
 def test_decode_encode_round_trip(spark):
     d = value_dictionary(spark)
@@ -46,18 +41,14 @@ def test_user_missing_to_null(spark):
     assert rows(user_missing_to_null(df, {"a": [9]})) == [(1, 9), (None, 0), (None, 9)]
 
 
-def test_lookup_size_guard(spark):
+def test_lookup_is_a_join_with_unique_keys(spark):
     import pytest
-    from pyspark.sql import functions as F
-
-    from areacube.operators.dictionary import lookup_map, value_set
-    t = spark.range(50).selectExpr("cast(id as string) k", "id v")
-    df = spark.range(1).selectExpr("'3' k")
-    assert df.select(F.try_element_at(lookup_map(t, "k", "v"), F.col("k")).alias("x")).first().x == 3
-    with pytest.raises(Exception, match="more than 10 rows"):
-        df.select(F.try_element_at(lookup_map(t, "k", "v", max_entries=10), F.col("k"))).collect()
-    with pytest.raises(Exception, match="more than 10 rows"):
-        df.select(F.array_contains(value_set(t, "k", max_values=10), F.col("k"))).collect()
+
+    from areacube.operators.dictionary import lookup
+    t = spark.range(50).selectExpr("cast(id as string) k", "id v").unionByName(spark.createDataFrame([(None, 7)], "k string, v long"))
+    df = spark.createDataFrame([("3", 1), ("x", 2), (None, 3)], "k string, out int")
+    assert rows(lookup(df, t, {"k": "k"}, "v", "found"), "k", "found") == rows(
+        spark.createDataFrame([("3", 3), ("x", None), (None, None)], "k string, found long"))
     dup = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
-    with pytest.raises(Exception):
-        df.select(F.try_element_at(lookup_map(dup, "k", "v"), F.col("k"))).collect()
+    with pytest.raises(Exception, match="listed twice: a"):
+        lookup(spark.createDataFrame([("a",)], "k string"), dup, {"k": "k"}, "v", "found").collect()

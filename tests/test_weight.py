@@ -102,7 +102,7 @@ def test_stub_years_follow_the_member_list(spark):
 def test_check_grains_in_one_plan_equal_per_grain_tables(spark, cells, members):
     from areacube.plans.explain import exchange_count
     together = W.check_grains(cells, members)
-    assert exchange_count(together) == 2
+    assert exchange_count(together) == 3
     got = {}
     for r in together.collect():
         got[(r.grain, r.regiokind, r.gemeentekind, r.geslacht, r.lftkompas, r.eindjaar, r.gewicht5)] = \
@@ -116,3 +116,28 @@ def test_check_grains_in_one_plan_equal_per_grain_tables(spark, cells, members):
     assert got.keys() == want.keys()
     for k, v in want.items():
         assert all((a is None and b is None) or abs(a - b) < 1e-9 for a, b in zip(v, got[k])), k
+
+
+def test_unknown_codes_lose_nobody(spark):
+    """People with unknown sex, age or class share NULL cells; the cube holds everybody."""
+    from areacube.sources import fixtures as fx
+    kids = [("1999-2000", sex, age, klass, "R", "A", "A-W0", None)
+            for sex in (1, 2, None, 9) for age in (1, None, 8) for klass in (1, 4, 5, None, 6) for _ in range(2)]
+    micro = spark.createDataFrame(kids, "schooljaar string, geslacht int, lftkompas int, gewicht5 int, regiokind string, "
+                                        "gemeentekind string, wijkkind string, tezwaar string")
+    cells = W.known_cells(W.finest_cells(micro), fx.value_dictionary(spark))
+    members = spark.createDataFrame([("A",)], "gemeentekind string")
+    codes = spark.createDataFrame([("A", 1)], "gemeentenaam string, code int")
+    sub = spark.createDataFrame([("R", 1)], "regionaam string, code int")
+    cube = W.cube_absolute(cells, members, codes, sub)
+    total = sum(F.coalesce(F.sum(c), F.lit(0)) for c in cube.columns if c.startswith("JG_Gewicht_"))
+    got = {r.geolevel: r.n for r in cube.groupBy("geolevel").agg(total.alias("n")).collect()}
+    assert set(got.values()) == {len(kids)} and len(got) == 3
+
+
+def test_widen_stops_on_a_second_value(spark):
+    import pytest
+    from areacube.operators.reshape import widen
+    df = spark.createDataFrame([("a", 1, 5), ("a", 1, 6)], "id string, k int, v int")
+    with pytest.raises(Exception, match="two rows for one cell"):
+        widen(df, ["id"], "k", "v", [1]).collect()
