@@ -4,7 +4,8 @@ small-star steps (Kiveris et al. 2014) on DataFrames.
 Every step is a minimum per node (an aggregate with map-side partial sums)
 and a join back on the node, so a node with very many links is spread by
 the adaptive skew join; no component is ever gathered in one task or on the
-driver.  The links of one step are written to the shared folder before the next.
+driver.  Between the steps each task replaces the links it holds by their
+spanning stars, which saves both rows and rounds.  The links of one step are written to the shared folder before the next.
 """
 
 from __future__ import annotations
@@ -54,14 +55,18 @@ def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("low").alias("node"), F.col("node").alias("low")))
     least = both.groupBy("node").agg(F.min("low").alias("m")).select(F.col("node").alias("n_"), F.least("node", "m").alias("m"))
     return (both.join(least, F.col("node") == F.col("n_")).where(F.col("low") > F.col("node"))
-            .select(F.col("low").alias("node"), F.col("m").alias("low")).distinct())
+            .select(F.col("low").alias("node"), F.col("m").alias("low")))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     least = links.groupBy("node").agg(F.min("low").alias("m")).select(F.col("node").alias("n_"), "m")
     moved = links.join(least, F.col("node") == F.col("n_")).select(F.col("low").alias("node"), F.col("m").alias("low"))
     return (moved.unionByName(least.select(F.col("n_").alias("node"), F.col("m").alias("low")))
-            .where(F.col("node") != F.col("low")).distinct())
+            .where(F.col("node") != F.col("low")))
+
+
+def _smaller(links: DataFrame) -> DataFrame:
+    return links.mapInArrow(_contract, "node long, low long")
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -72,10 +77,10 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """
     a, b = links.columns[:2]
     now = scratch.written(links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("node"), F.least(a, b).alias("low"))
-                  .mapInArrow(_contract, "node long, low long").distinct(), "roots")
+                  .transform(_smaller).distinct(), "roots")
     before = _state(now)
     while before[0]:
-        now = scratch.written(_small_star(_large_star(now)), "roots")
+        now = scratch.written(_smaller(_small_star(_smaller(_large_star(_smaller(now))))).distinct(), "roots")
         after = _state(now)
         if after == before:
             break

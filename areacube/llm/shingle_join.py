@@ -50,9 +50,9 @@ WIDTH = 4
 #: Similarity as a fraction: intersection / union >= 85 / 100.
 NEED, OF = 85, 100
 #: A shingle in this share of the texts is left out of the parts.
-HOT_SHARE = 0.002
+HOT_SHARE = 0.0005
 #: Leaders that one later round compares with the rest of a signature group.
-LEADERS = 32
+LEADERS = 64
 #: Texts without a candidate are left out of the second reading by a table of
 #: so many hash values of ids (its bound); those that slip through go at the join.
 SLOTS = 1 << 20
@@ -328,6 +328,12 @@ def _links(pairs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
             .sortWithinPartitions("lead").mapInArrow(_verified, "a long, b long"))
 
 
+def _joined(roots: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """The components with more links."""
+    links = scratch.written(links, "links")
+    return roots if links.isEmpty() else components(links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))), scratch)
+
+
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """The pairs (lead, node) whose ends are in different components so far."""
     of_lead = roots.select(F.col("node").alias("lead"), F.col("root").alias("lead_root"))
@@ -356,11 +362,10 @@ def link_components(docs: DataFrame, width: int = WIDTH, hot_share: float = HOT_
     sets = scratch.written(few.join(who, "doc_id").select("node", "text").mapInArrow(_sets(width), "node long, n long, counts binary, shingles binary"), "sets")
     # every set with its least leader first: most other pairs are of one component then
     first = pairs.groupBy("node").agg(F.min("lead").alias("lead"))
-    links = scratch.written(_links(first.select("lead", "node"), sets, scratch), "verified")
-    links = scratch.written(links.unionByName(_links(_apart(pairs.join(first, ["node", "lead"], "left_anti"), components(links, scratch)), sets, scratch)), "verified")
+    roots = components(_links(first.select("lead", "node"), sets, scratch), scratch)
+    roots = _joined(roots, _links(_apart(pairs.join(first, ["node", "lead"], "left_anti"), roots), sets, scratch), scratch)
     rest = groups.where("node != lead").select("sig", "node")          # compared with their leader
     while True:
-        roots = components(links, scratch)
         rest = rest.join(roots, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
         apart = rest.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("sig")
         rank = F.row_number().over(Window.partitionBy("sig").orderBy("node"))
@@ -369,7 +374,7 @@ def link_components(docs: DataFrame, width: int = WIDTH, hot_share: float = HOT_
             break
         lead = ranked.where(F.col("rank") <= LEADERS).select("sig", F.col("node").alias("lead"), F.col("root").alias("lead_root"), F.col("rank").alias("lead_rank"))
         pairs = ranked.join(lead, "sig").where("rank > lead_rank and root != lead_root").select("lead", "node").distinct()
-        links = scratch.written(links.unionByName(_links(pairs, sets, scratch)), "verified")
+        roots = _joined(roots, _links(pairs, sets, scratch), scratch)
         rest = ranked.where(F.col("rank") > LEADERS).select("sig", "node")
     return scratch.result(_named(described, roots))
 
