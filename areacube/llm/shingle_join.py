@@ -10,11 +10,10 @@ edge is dealt in both).  Each differing shingle spoils one part, so among the
 first D + 1 non-empty parts of either set one is identical: a set sends one
 signature for each of those parts, and linked sets share one.  A signature
 stands for several shingles at once, so documents that merely share a
-passage do not meet.  The most frequent shingles (in at least
-``HOT_SHARE`` of the texts; at most mean-set-size / HOT_SHARE exist, whatever the
-corpus) are left out of the parts, which keeps the argument as long as D + 1
-parts remain; sets for which they do not also send the first
-floor(3 n / 20) + 1 shingles of a fixed order, the plain prefix filter.
+passage do not meet.  The most frequent shingles (a list of bounded size) are
+left out of the parts, which keeps the argument as long as D + 1 parts remain;
+sets for which they do not also send the first floor(3 n / 20) + 1 shingles
+of a fixed order, the plain prefix filter.
 
 Search.  Sets that share a signature are compared with the leader (least) of
 that signature's group, so a group of thousands of copies costs one pair per
@@ -49,8 +48,8 @@ from .words import U, Words, mixed
 WIDTH = 4
 #: Similarity as a fraction: intersection / union >= 85 / 100.
 NEED, OF = 85, 100
-#: A shingle in this share of the texts is left out of the parts.
-HOT_SHARE = 0.0005
+#: A shingle in about so many texts is left out of the parts, and so many shingles at most.
+HOT_TEXTS, HOT_LIST = 48, 1 << 20
 #: Leaders that one later round compares with the rest of a signature group.
 LEADERS = 64
 #: Texts without a candidate are left out of the second reading by a table of
@@ -59,7 +58,7 @@ SLOTS = 1 << 20
 #: Hash ranges of the histograms that rule out pairs before their sets are sent.
 BINS = 512
 #: Shingles counted together before the frequent ones are sent.
-COUNT_SLICE = 1 << 22
+COUNT_SLICE = 1 << 21
 
 
 def shingle_sets(w: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,38 +100,44 @@ def _nodes(found: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 # ---- the most frequent shingles -----------------------------------------
 
-def _frequent(width: int, share: float):
-    def send(parts: list, texts: int):
+def _frequent(width: int):
+    """Shingles met at least twice among some thousand texts, with their number."""
+    def send(parts: list):
         value, count = np.unique(np.concatenate(parts), return_counts=True)
-        keep = count >= max(2, share * texts / 4)
-        return pa.RecordBatch.from_arrays([pa.array(value[keep].view(np.int64)), pa.array(count[keep])], ["shingle", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(value[count > 1].view(np.int64)), pa.array(count[count > 1])], ["shingle", "n"])
 
     def run(batches):
-        parts, size, texts = [], 0, 0
+        parts, size = [], 0
         for batch in batches:
             for part in slices(batch, "text"):
-                found, sizes = shingle_sets(Words(part.column("text")), width)
+                found, _ = shingle_sets(Words(part.column("text")), width)
                 parts.append(found)
                 size += len(found)
-                texts += len(sizes)
                 if size >= COUNT_SLICE:
-                    yield send(parts, texts)
-                    parts, size, texts = [], 0, 0
+                    yield send(parts)
+                    parts, size = [], 0
         if parts:
-            yield send(parts, texts)
+            yield send(parts)
     return run
 
 
-def frequent_shingles(docs: DataFrame, width: int, share: float) -> np.ndarray:
-    """Shingles in at least ``share`` of the texts, sorted.
+def frequent_shingles(docs: DataFrame, width: int, least: int, scratch: Scratch) -> np.ndarray:
+    """The most frequent shingles, sorted: those in about ``least`` texts or
+    more, and at most ``HOT_LIST`` of them (the bound of what is sent to every
+    task; beyond it the least number rises).
 
-    At most mean-set-size / share values, however many texts there are: small
-    enough to send to every task.  Only the speed depends on this list, no
-    result does.
+    Only the speed depends on this list, no result does.
     """
-    texts = docs.count()
-    counted = docs.select("text").mapInArrow(_frequent(width, share), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    found = counted.where(F.col("n") >= max(16.0, share * texts)).select("shingle").toPandas()["shingle"]
+    counted = scratch.written(docs.select("text").mapInArrow(_frequent(width), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+                              .where(F.col("n") >= least), "frequent")
+    step = F.floor(4 * F.log2("n"))
+    total, limit = 0, 4 * 64
+    for r in counted.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():     # at most 4 * 64 rows
+        total += r["count"]
+        if total > HOT_LIST:
+            break
+        limit = r["step"]
+    found = counted.where(step >= limit).select("shingle").toPandas()["shingle"]
     return np.sort(found.to_numpy(dtype=np.int64).view(U))
 
 
@@ -341,11 +346,11 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
             .where(F.coalesce("root", "node") != F.coalesce("lead_root", "lead")).select("lead", "node"))
 
 
-def link_components(docs: DataFrame, width: int = WIDTH, hot_share: float = HOT_SHARE) -> DataFrame:
+def link_components(docs: DataFrame, width: int = WIDTH, hot_texts: int = HOT_TEXTS) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs(doc_id, text)``."""
     docs = docs.select("doc_id", "text")
     scratch = Scratch(docs.sparkSession, "shingle-join")
-    hot = frequent_shingles(docs, width, hot_share)
+    hot = frequent_shingles(docs, width, hot_texts, scratch)
     kind = "doc_id long, n long, node long, sigs array<long>"
     described = scratch.written(docs.mapInArrow(_described(width, hot), kind), "described")
 

@@ -67,7 +67,7 @@ def test_against_brute_force(spark):
     rows = list(enumerate(texts)) + [(1000, texts[0]), (1000, texts[0]), (1001, texts[130])]
     want = brute(rows)
     assert joined(spark, rows) == want
-    assert joined(spark, rows, hot_share=0.9) == want
+    assert joined(spark, rows, hot_texts=10**6) == want
 
 
 def test_later_rounds_lose_no_link(spark, monkeypatch):
@@ -77,7 +77,7 @@ def test_later_rounds_lose_no_link(spark, monkeypatch):
     common = [f"c{i}" for i in range(30)]
     texts = [" ".join(common[: rng.randint(15, 30)] + [f"u{rng.randrange(10**6)}" for _ in range(rng.randint(0, 8))]) for _ in range(120)]
     rows = list(enumerate(texts))
-    assert joined(spark, rows, hot_share=0.01) == brute(rows)
+    assert joined(spark, rows, hot_texts=3) == brute(rows)
 
 
 def test_documents_table(spark):
