@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import as_strings, lists_of, slices, worker_state
-from .tokens import UnitCache, space_units
+from .tokens import UnitCache, space_units, stem_of
 
 NONE = np.int64(1) << np.int64(62)
 #: Pieces up to so many bytes are merged side by side.
@@ -189,13 +189,18 @@ class PatternEncoder:
 
         self.bpe = SegmentTreeBpe(read_ranks(path))
         self.find = regex.compile(pattern).findall
-        self.pieces = UnitCache(self.bpe)
+        self.letters_match = self.find(" aÿ.") == [" aÿ", "."] and self.find("Àb,") == ["Àb", ","]
+        self.pieces = UnitCache(lambda pieces, known: self.bpe(pieces))
         self.vocabulary = [self.bpe.token.get(i, b"") for i in range(max(self.bpe.token) + 1)]
 
-    def __call__(self, units: list[str]) -> list[bytes]:
-        cut = [[p.encode() for p in self.find(u)] for u in units]
-        self.pieces([p for c in cut for p in c])          # all missing pieces side by side
-        return [self.pieces(c) for c in cut]
+    def cut(self, unit: str) -> list[bytes]:
+        stem = stem_of(unit)                               # letters, then a stop or comma: two matches of the pattern
+        if stem is not None and self.letters_match:
+            return [p.encode() for p in (stem, unit[len(stem):]) if p]
+        return [p.encode() for p in self.find(unit)]
+
+    def __call__(self, units: list[str], known) -> list[bytes]:
+        return self.pieces([self.cut(u) for u in units])   # all missing pieces side by side
 
 
 def encoder(path: str, pattern: str) -> tuple[UnitCache, PatternEncoder]:
@@ -211,11 +216,7 @@ def _coded(path: str, pattern: str):
         for batch in batches:
             for part in slices(batch, "text"):
                 texts = as_strings(part.column("text")).to_pylist()
-                units = [space_units(t) for t in texts]
-                flat = [u for x in units for u in x]
-                if len(set(flat)) < cache.limit // 2:
-                    cache(flat)                            # all missing units of the slice at once
-                rows = [np.frombuffer(cache(u), "<i4") for u in units]
+                rows = [np.frombuffer(ids, "<i4") for ids in cache([space_units(t) for t in texts])]
                 decoded = [b"".join(map(own.vocabulary.__getitem__, ids.tolist())) for ids in rows]
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"), lists_of(np.concatenate(rows), np.array([len(ids) for ids in rows])), pa.array(decoded, pa.binary()),

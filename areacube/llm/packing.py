@@ -27,7 +27,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_strings, blocks_for, total_bytes
+from .common import as_strings, blocks_for, slices, total_bytes
 from .tokens import word_ids
 
 WINDOW = 4096
@@ -140,7 +140,7 @@ def _packed(path: str, window: int, end: int):
         table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         ids_of = word_ids(path)
         last = np.array([end], "<u4").tobytes()
-        raw = [ids_of(t) + last for t in as_strings(table.column("text")).to_pylist()]
+        raw = [ids + last for part in slices(table, "text") for ids in ids_of(as_strings(part.column("text")).to_pylist())]
         pieces = fill([np.frombuffer(r, "<u4") for r in raw], window)
         doc, start, length, sequence, offset = np.array(pieces, np.int64).reshape(-1, 5).T
         size = np.array([len(r) // 4 for r in raw], np.int64)

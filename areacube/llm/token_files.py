@@ -46,7 +46,7 @@ def _encoded(path: str, end: int):
         before = 0
         for batch in batches:
             for part in slices(batch, "text"):
-                rows = [ids_of(t) + last for t in as_strings(part.column("text")).to_pylist()]
+                rows = [ids + last for ids in ids_of(as_strings(part.column("text")).to_pylist())]
                 n = np.array([len(r) // 4 for r in rows], np.int64)
                 total = before + np.cumsum(n)
                 yield pa.RecordBatch.from_arrays([
@@ -76,7 +76,8 @@ def read_tokens(spark: SparkSession, path: str, where: Column | None = None) ->
     offsets = files.select("file", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("offset"))
     if where is not None:
         rows = rows.where(where)
-    return rows.join(offsets, "file").select("doc_id", (F.col("offset") + F.col("before")).alias("start"), "ids")
+    return rows.join(F.broadcast(offsets), "file").select(          # one row per file
+        "doc_id", (F.col("offset") + F.col("before")).alias("start"), "ids")
 
 
 def _digests(batches):

@@ -10,9 +10,9 @@ their ids are kept per Python worker, in two generations of bounded size.
 
 from __future__ import annotations
 
+import os
 import re
-
-import numpy as np
+from itertools import chain
 
 from .common import worker_state
 
@@ -22,8 +22,6 @@ CACHE_UNITS = 400_000
 #: Two white-space characters side by side: the text is cut with more care.
 DOUBLE = re.compile(r"\s\s|\0")
 CUT = re.compile(r"(?<=\S)(?= \S)")
-#: One run of letters of the Basic Latin and Latin-1 blocks, then at most one stop or comma.
-PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 
 
 def space_units(text: str) -> list[str]:
@@ -34,35 +32,42 @@ def space_units(text: str) -> list[str]:
 
 
 class UnitCache:
-    """unit -> ids as little-endian 32-bit bytes; ``make(units)`` finds missing ones."""
+    """unit -> ids as little-endian 32-bit bytes; ``make(units, known)`` finds missing ones."""
 
     def __init__(self, make, limit: int = CACHE_UNITS):
         self.make, self.limit = make, limit
         self.new: dict = {}
         self.old: dict = {}
 
-    def __call__(self, units: list) -> bytes:
-        ids = list(map(self.new.get, units))
-        if None in ids:
-            missing = dict.fromkeys(u for u, x in zip(units, ids) if x is None)
-            self.add(list(missing))
-            ids = [self.new[u] if x is None else x for u, x in zip(units, ids)]
-        return b"".join(ids)
-
     def get(self, unit):
         x = self.new.get(unit)
         return self.old.get(unit) if x is None else x
 
-    def add(self, missing: list) -> None:
-        if len(self.new) + len(missing) > self.limit and self.new:
-            # what this text needs is found again below: nothing is lost
-            self.old, self.new = self.new, {}
-        if self.old:
-            known = {u: x for u in missing if (x := self.old.get(u)) is not None}
-            missing = [u for u in missing if u not in known]
-            self.new.update(known)
+    def __call__(self, texts: list[list]) -> list[bytes]:
+        """The ids of each text, given as its units."""
+        flat = list(chain.from_iterable(texts))
+        ids = list(map(self.new.get, flat))
+        missing = [i for i, x in enumerate(ids) if x is None]
         if missing:
-            self.new.update(zip(missing, self.make(missing)))
+            found = self.added(list(dict.fromkeys(flat[i] for i in missing)))
+            for i in missing:
+                ids[i] = found[flat[i]]
+        out, at = [], 0
+        for x in texts:
+            out.append(b"".join(ids[at: at + len(x)]))
+            at += len(x)
+        return out
+
+    def added(self, units: list) -> dict:
+        found = {u: x for u in units if (x := self.old.get(u)) is not None}
+        units = [u for u in units if u not in found]
+        for at in range(0, len(units), 20_000):
+            some = units[at: at + 20_000]
+            found.update(zip(some, self.make(some, self.get)))
+        if len(self.new) + len(found) > self.limit and self.new:
+            self.old, self.new = self.new, {}
+        self.new.update(found)
+        return found
 
 
 def byte_letters() -> dict[int, str]:
@@ -73,59 +78,63 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def stem_of(text: str) -> str | None:
+    """A unit that is one run of letters (of the first 256 characters) after at
+    most one space, without the one stop or comma that may follow; else None."""
+    bare = text[1:] if text[:1] == " " else text
+    stem = bare.rstrip(".,")
+    if len(bare) - len(stem) <= 1 and stem.isalpha() and (stem.isascii() or max(stem) <= "ÿ"):
+        return text[: len(text) - (len(bare) - len(stem))]
+    return None
+
+
 class LibraryEncoder:
     """Ids of units by the tokenizers library.
 
-    Plain words go straight to the model of the tokenizer (one piece by the
-    splitting rule, so the result is the same); everything else takes the
-    whole tokenizer.
+    Runs of letters are one piece by the splitting rule, so they go to a
+    tokenizer of the same model without its splitting steps; everything else
+    takes the whole tokenizer.
     """
 
     def __init__(self, path: str, lower: bool):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.model, self.lower = self.tokenizer.model, lower
+        self.whole = Tokenizer.from_file(path)
+        self.whole.encode_special_tokens = True
+        self.pieces, self.lower = Tokenizer(self.whole.model), lower
         self.letters = byte_letters()
-        self.stems: dict[str, list[int]] = {}
-
-    def piece(self, piece: str) -> list[int]:
-        ids = self.stems.get(piece)
-        if ids is None:
-            if len(self.stems) > CACHE_UNITS // 2:
-                self.stems.clear()
-            seen = piece.encode().decode("latin-1").translate(self.letters)
-            ids = self.stems[piece] = [t.id for t in self.model.tokenize(seen)]
-        return ids
-
-    def __call__(self, units: list) -> list[bytes]:
-        out: list = [None] * len(units)
-        rest = []
-        for i, u in enumerate(units):
-            text = u.decode("utf-8") if isinstance(u, bytes) else u
-            m = PLAIN.fullmatch(text)
-            if m is None:
-                rest.append((i, text))
-                continue
-            stem, stop = m.groups()
-            ids = self.piece(stem.lower() if self.lower else stem)
-            if stop:
-                ids = ids + self.piece(stop)
-            out[i] = np.array(ids, "<u4").tobytes()
-        if rest:
-            for (i, _), e in zip(rest, self.tokenizer.encode_batch([t for _, t in rest], add_special_tokens=False)):
-                out[i] = np.array(e.ids, "<u4").tobytes()
-        return out
+        self.bytes = [i.to_bytes(4, "little") for i in range(self.whole.get_vocab_size())]
+        self.stops = dict(zip(("", ".", ","), self.encoded(self.whole, ["", ".", ","])))
+
+    def encoded(self, tokenizer, texts: list[str]) -> list[bytes]:
+        return [b"".join(map(self.bytes.__getitem__, e.ids)) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def __call__(self, units: list, known) -> list[bytes]:
+        raw = bool(units) and isinstance(units[0], bytes)
+        texts = [u.decode("utf-8") for u in units] if raw else units
+        stems = list(map(stem_of, texts))
+        found: dict[str, bytes] = {}
+        for text, stem in zip(texts, stems):
+            if stem is not None and stem not in found:
+                found[stem] = known(stem.encode() if raw else stem) if len(stem) < len(text) else None
+        new = [s for s, x in found.items() if x is None]
+        if new:
+            seen = "\n".join(s.lower() for s in new) if self.lower else "\n".join(new)
+            seen = seen.encode().decode("latin-1").translate(self.letters)
+            found.update(zip(new, self.encoded(self.pieces, seen.split(self.letters[10]))))
+        others = [t for t, s in zip(texts, stems) if s is None]
+        rest = iter(self.encoded(self.whole, others) if others else ())
+        return [next(rest) if s is None else found[s] + self.stops[t[len(s):]] for t, s in zip(texts, stems)]
 
 
 def spaced_ids(path: str):
-    """text -> ids (bytes) for a byte-level vocabulary file of the tokenizers library."""
+    """texts -> their ids (bytes) for a byte-level vocabulary file of the tokenizers library."""
     cache = worker_state(f"spaced {path}", lambda: UnitCache(LibraryEncoder(path, lower=False)))
-    return lambda text: cache(space_units(text))
+    return lambda texts: cache([space_units(t) for t in texts])
 
 
 def word_ids(path: str):
-    """text (str) -> ids (bytes) for a lower-casing vocabulary file that drops white space."""
+    """texts -> their ids (bytes) for a lower-casing vocabulary file that drops white space."""
     cache = worker_state(f"words {path}", lambda: UnitCache(LibraryEncoder(path, lower=True)))
-    return lambda text: cache(text.encode().lower().split())
+    return lambda texts: cache([t.encode().lower().split() for t in texts])
