@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_strings, lists_of, slices, worker_state
+from .common import as_bytes, lists_of, slices, worker_state
 from .tokens import UnitCache, space_units, stem_of
 
 NONE = np.int64(1) << np.int64(62)
@@ -193,13 +193,14 @@ class PatternEncoder:
         self.pieces = UnitCache(lambda pieces, known: self.bpe(pieces))
         self.vocabulary = [self.bpe.token.get(i, b"") for i in range(max(self.bpe.token) + 1)]
 
-    def cut(self, unit: str) -> list[bytes]:
+    def cut(self, unit: bytes) -> list[bytes]:
+        unit = unit.decode("utf-8", "replace")
         stem = stem_of(unit)                               # letters, then a stop or comma: two matches of the pattern
         if stem is not None and self.letters_match:
             return [p.encode() for p in (stem, unit[len(stem):]) if p]
         return [p.encode() for p in self.find(unit)]
 
-    def __call__(self, units: list[str], known) -> list[bytes]:
+    def __call__(self, units: list[bytes], known) -> list[bytes]:
         return self.pieces([self.cut(u) for u in units])   # all missing pieces side by side
 
 
@@ -215,7 +216,7 @@ def _coded(path: str, pattern: str):
         cache, own = encoder(path, pattern)
         for batch in batches:
             for part in slices(batch, "text"):
-                texts = as_strings(part.column("text")).to_pylist()
+                texts = as_bytes(part.column("text"))
                 rows = [np.frombuffer(ids, "<i4") for ids in cache([space_units(t) for t in texts])]
                 decoded = [b"".join(map(own.vocabulary.__getitem__, ids.tolist())) for ids in rows]
                 yield pa.RecordBatch.from_arrays([

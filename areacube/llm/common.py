@@ -109,6 +109,11 @@ def as_strings(column) -> pa.Array:
     return pc.fill_null(column, "") if column.null_count else column
 
 
+def as_bytes(column) -> list[bytes]:
+    """The UTF-8 bytes of every text (null: empty)."""
+    return as_strings(column).cast(pa.binary()).to_pylist()
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string array, and where each text starts (one offset more than texts)."""
     large = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)

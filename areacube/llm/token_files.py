@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import as_strings, blocks_for, lists_of, new_path, slices, total_bytes
+from .common import as_bytes, blocks_for, lists_of, new_path, slices, total_bytes
 from .tokens import spaced_ids
 
 SCHEMA = "doc_id long, file int, before long, n_tokens int, ids array<int>"
@@ -46,7 +46,7 @@ def _encoded(path: str, end: int):
         before = 0
         for batch in batches:
             for part in slices(batch, "text"):
-                rows = [ids + last for ids in ids_of(as_strings(part.column("text")).to_pylist())]
+                rows = [ids + last for ids in ids_of(as_bytes(part.column("text")))]
                 n = np.array([len(r) // 4 for r in rows], np.int64)
                 total = before + np.cumsum(n)
                 yield pa.RecordBatch.from_arrays([

@@ -19,16 +19,17 @@ from .common import worker_state
 #: Units that one of the two cache generations holds.
 CACHE_UNITS = 400_000
 
-#: Two white-space characters side by side: the text is cut with more care.
-DOUBLE = re.compile(r"\s\s|\0")
 CUT = re.compile(r"(?<=\S)(?= \S)")
+#: ASCII white space and separators, and the first bytes of all other white space.
+ONE_SPACE = bytes(32 if chr(b).isspace() and b < 128 else b for b in range(256))
+WIDE_SPACE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
 
 
-def space_units(text: str) -> list[str]:
+def space_units(text: bytes) -> list[bytes]:
     """Cuts a text before each single space that stands between other characters."""
-    if DOUBLE.search(text):
-        return CUT.split(text)
-    return text.replace(" ", "\0 ").split("\0")
+    if b"  " in text.translate(ONE_SPACE) or b"\0" in text or not text.isascii() and any(w in text for w in WIDE_SPACE):
+        return [u.encode() for u in CUT.split(text.decode("utf-8", "replace"))]
+    return text.replace(b" ", b"\0 ").split(b"\0")
 
 
 class UnitCache:
@@ -110,14 +111,13 @@ class LibraryEncoder:
     def encoded(self, tokenizer, texts: list[str]) -> list[bytes]:
         return [b"".join(map(self.bytes.__getitem__, e.ids)) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def __call__(self, units: list, known) -> list[bytes]:
-        raw = bool(units) and isinstance(units[0], bytes)
-        texts = [u.decode("utf-8") for u in units] if raw else units
+    def __call__(self, units: list[bytes], known) -> list[bytes]:
+        texts = [u.decode("utf-8", "replace") for u in units]
         stems = list(map(stem_of, texts))
-        found: dict[str, bytes] = {}
+        found: dict[str, bytes | None] = {}
         for text, stem in zip(texts, stems):
             if stem is not None and stem not in found:
-                found[stem] = known(stem.encode() if raw else stem) if len(stem) < len(text) else None
+                found[stem] = known(stem.encode()) if len(stem) < len(text) else None
         new = [s for s, x in found.items() if x is None]
         if new:
             seen = "\n".join(s.lower() for s in new) if self.lower else "\n".join(new)
@@ -129,12 +129,12 @@ class LibraryEncoder:
 
 
 def spaced_ids(path: str):
-    """texts -> their ids (bytes) for a byte-level vocabulary file of the tokenizers library."""
+    """UTF-8 texts -> their ids (bytes) for a byte-level vocabulary file of the tokenizers library."""
     cache = worker_state(f"spaced {path}", lambda: UnitCache(LibraryEncoder(path, lower=False)))
     return lambda texts: cache([space_units(t) for t in texts])
 
 
 def word_ids(path: str):
-    """texts -> their ids (bytes) for a lower-casing vocabulary file that drops white space."""
+    """UTF-8 texts -> their ids (bytes) for a lower-casing vocabulary file that drops white space."""
     cache = worker_state(f"words {path}", lambda: UnitCache(LibraryEncoder(path, lower=True)))
-    return lambda texts: cache([t.encode().lower().split() for t in texts])
+    return lambda texts: cache([t.lower().split() for t in texts])
