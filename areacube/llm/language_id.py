@@ -5,7 +5,8 @@ trigrams (non-letters are one space), hashed into ``DIMS`` places, weighted by
 IDF and normalised.  Each language has ``CENTROIDS`` centroids, found by
 spherical k-means on a bounded sample of labelled texts.  A text gets the
 language of the centroid of highest cosine; it is rejected when that cosine is
-below the language's limit, a fraction of what its own sample reaches.
+below the language's limit, a fraction of what its own sample reaches, and
+the text is long enough to tell.
 
 Fit.  At most about ``SAMPLE`` texts per language (chosen by a hash of the id
 among rows with a label that are not held out) are turned into vectors by Spark tasks
@@ -14,7 +15,7 @@ but the text enters it.
 
 Cases.  Null text or text without a letter: ``und``, score 0, rejected.  Text
 of letters that no labelled text has: some learned language, low score,
-rejected.  Without labelled rows every text is ``und`` and rejected.  Ties go
+rejected unless very short.  Without labelled rows every text is ``und`` and rejected.  Ties go
 to the first language.  Null id: not held out, never learned from.  Repeated
 ids and extra columns: each row is predicted by itself, others are ignored.
 """
@@ -37,6 +38,8 @@ LANGUAGES = 64
 CENTROIDS = 3
 #: A text is rejected below this fraction of the lowest cosine but one percent of the sample.
 REJECT = 0.25
+#: Texts of fewer trigrams are too short to be judged by their distance and are not rejected.
+MIN_TRIGRAMS = 60
 SEED = 11
 
 
@@ -148,12 +151,13 @@ def _predicted(model: Model):
             lang, score, rejected = ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
             some = [i for i, t in enumerate(texts) if any(map(str.isalpha, t))]
             if some and len(model.centroids):
-                like = weighted(trigram_counts(pa.array([texts[i] for i in some], pa.string())), model.idf) @ model.centroids.T
+                counts = trigram_counts(pa.array([texts[i] for i in some], pa.string()))
+                like = weighted(counts, model.idf) @ model.centroids.T
                 best = np.argmax(like, 1)
                 score[some] = np.clip(like[np.arange(len(some)), best], 0, 1)
-                for i, k in zip(some, model.of[best].tolist()):
+                for i, k, n in zip(some, model.of[best].tolist(), counts.sum(1).tolist()):
                     lang[i] = model.languages[k]
-                    rejected[i] = score[i] < model.least[k]
+                    rejected[i] = n >= MIN_TRIGRAMS and score[i] < model.least[k]
             others = [part.column(n) for n in part.schema.names if n != "text"]
             yield pa.RecordBatch.from_arrays([*others, pa.array(lang, pa.string()), pa.array(score), pa.array(rejected)],
                                              [n for n in part.schema.names if n != "text"] + ["lang_pred", "score", "rejected"])

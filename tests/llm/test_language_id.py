@@ -20,7 +20,7 @@ def test_held_out_accuracy(spark):
 def test_odd_rows(spark):
     words = {"aa": "the of and to in", "bb": "der die und das ist"}
     rows = [(i, " ".join(words[k].split()[(i + j) % 5] for j in range(12)), k, 1) for i in range(60) for k in words]
-    odd = [(1000, None, "aa", 1), (1001, "", None, 1), (1002, "12 34 !", "bb", 1), (1003, "日本語の文", None, 1), (1004, "the " * 40000, None, 1),
+    odd = [(1000, None, "aa", 1), (1001, "", None, 1), (1002, "12 34 !", "bb", 1), (1003, "これは日本語で書かれた文です。" * 4, None, 1), (1004, "the " * 40000, None, 1),
            (1005, "a", None, 1), (None, "das ist die", None, 1), (7, "THE OF AND", "aa", 1), (7, "THE OF AND", "aa", 1)]
     df = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string, score int")
     got = {r.doc_id: r for r in L.identify(df).collect()}
