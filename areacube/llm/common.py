@@ -13,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from areacube.session import ensure_checkpoint_dir
+
 #: Bytes of text that one numpy step handles at a time.
 SLICE_BYTES = 1 << 20
 
@@ -24,18 +26,9 @@ def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Set by the cluster, or by ``areacube.session.ensure_checkpoint_dir`` in
-    local runs; without either the operator stops rather than invent one.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        found = spark.sparkContext._jsc.sc().getCheckpointDir()
-        path = found.get() if found.isDefined() else None
-    if not path:
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return path.rstrip("/")
+    """The folder that driver and executors share: ``spark.checkpoint.dir``;
+    where that is unset, a local session gets one and a cluster stops."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
