@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, lists_of, slices, worker_state
+from .common import as_bytes, lists_of, short_batches, slices, worker_state
 from .tokens import UnitCache, space_units, stem_of
 
 NONE = np.int64(1) << np.int64(62)
@@ -228,7 +228,7 @@ def _coded(path: str, pattern: str):
 def encode_decode(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """doc_id, ids and decoded bytes of every row of ``docs(doc_id, text)``."""
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return docs.select("doc_id", "text").mapInArrow(_coded(path, pattern), "doc_id long, ids array<int>, decoded binary")
+    return short_batches(docs).select("doc_id", "text").mapInArrow(_coded(path, pattern), "doc_id long, ids array<int>, decoded binary")
 
 
 def digest(coded: DataFrame) -> DataFrame:

@@ -68,6 +68,14 @@ class Scratch:
         return out
 
 
+def short_batches(df: DataFrame) -> DataFrame:
+    """Texts are long: Arrow batches of 1,000 rows instead of Spark's default of 10,000 (another setting is kept)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if df.sparkSession.conf.get(key) == "10000":
+        df.sparkSession.conf.set(key, "1000")
+    return df
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

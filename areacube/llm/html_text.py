@@ -33,7 +33,7 @@ from collections import deque
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import as_strings, slices
+from .common import as_strings, short_batches, slices
 
 TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)"
@@ -309,4 +309,4 @@ def _extracted(batches):
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars for every row of ``pages(page_id, url, html)``."""
-    return pages.select("page_id", "url", "html").mapInArrow(_extracted, "page_id long, url string, text string, n_chars long")
+    return short_batches(pages).select("page_id", "url", "html").mapInArrow(_extracted, "page_id long, url string, text string, n_chars long")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_strings, slices, text_buffer, worker_state
+from .common import as_strings, short_batches, slices, text_buffer, worker_state
 from .words import U
 
 DIMS = 4096
@@ -131,7 +131,7 @@ def held_out() -> Column:
 
 def fit(docs: DataFrame, may_learn: Column) -> Model:
     """Learns from rows of ``docs(doc_id, text, lang)`` with a label, a text and ``may_learn``."""
-    known = docs.where(may_learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    known = short_batches(docs).where(may_learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
     chosen = F.lit(False)
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))

@@ -27,7 +27,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, blocks_for, slices, total_bytes
+from .common import as_bytes, blocks_for, short_batches, slices, total_bytes
 from .tokens import word_ids
 
 WINDOW = 4096
@@ -154,7 +154,7 @@ def _packed(path: str, window: int, end: int):
 
 def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, end: int = END_ID) -> DataFrame:
     """One row per piece of ``docs(doc_id, text)``, with its ids (little-endian 32-bit)."""
-    spark = docs.sparkSession
+    spark = short_batches(docs).sparkSession
     shards = blocks_for(spark, total_bytes(docs, "text"), SHARD_BYTES)
     path = vocabulary or public_tokenizers.path("word_bpe_49k.json")
     return (docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard")).repartition(shards, "shard")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, slices, worker_state
+from .common import Scratch, short_batches, slices, worker_state
 from .words import BYTE_BASE, Words, covered, mixed, prefix_hashes, _tables, U
 
 WINDOW = 8
@@ -92,7 +92,7 @@ def _stats(batches):
 
 
 def text_statistics(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text").mapInArrow(_stats, STATS)
+    return short_batches(docs).select("doc_id", "text").mapInArrow(_stats, STATS)
 
 
 def features() -> dict[str, Column]:

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, lists_of, slices
+from .common import Scratch, lists_of, short_batches, slices
 from .components import components
 from .words import U, Words, mixed
 
@@ -148,7 +148,7 @@ def allowed(n):
     return n * (OF - NEED) // NEED
 
 
-def _part_signatures(value, text, n, band) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _part_signatures(value, text, n, band, salt) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For texts dealt at ``band``: (text, signature) of the first D + 1 non-empty parts, and the number of parts per text."""
     k = np.maximum(1, 1 << np.maximum(band - 1, 0)).astype(U)
     part = (value >> U(32)) * k[text] >> U(32)         # in order, as each set is sorted
@@ -159,7 +159,7 @@ def _part_signatures(value, text, n, band) -> tuple[np.ndarray, np.ndarray, np.n
     content = np.add.reduceat(mixed(value ^ U(0x14057B7EF767814F)), at)
     size = np.diff(np.concatenate((at, [len(text)]))).astype(U)
     text, part = text[at], part[at]
-    sig = mixed(content ^ mixed(part * U(0x9E3779B97F4A7C15) + size * U(131) + band[text].astype(U)))
+    sig = mixed(content ^ mixed(part * U(0x9E3779B97F4A7C15) + size * U(131) + band[text].astype(U) + U(salt << 60)))
     have = np.bincount(text, minlength=len(n))
     rank = np.arange(len(text)) - np.repeat(np.cumsum(have) - have, have)
     first = rank <= allowed(n)[text]
@@ -172,14 +172,21 @@ def signatures(found: np.ndarray, n: np.ndarray, hot: np.ndarray) -> tuple[np.nd
     cold = hot[np.minimum(np.searchsorted(hot, found), len(hot) - 1)] != found if len(hot) else np.ones(len(found), bool)
     band = np.zeros(len(n), np.int64)
     band[n > 0] = np.frexp(n[n > 0].astype(float))[1] - 1          # floor(log2 n)
-    texts, sigs, have = _part_signatures(found[cold], text[cold], n, band)
-    rows = [(texts, sigs)]
     edge = (n > 0) & (n * OF >= NEED << (band + 1))                # a partner may be in the next band
-    up = cold & edge[text]
-    more = _part_signatures(found[up], text[up], n, band + 1)
-    rows.append(more[:2])
-    weak = ((have <= allowed(n)) | (edge & (more[2] <= allowed(n)))) & (n > 0)
+
+    def dealt(use, salt):
+        """Signatures of the shingles in use, and which texts have too few parts."""
+        own = _part_signatures(found[use], text[use], n, band, salt)
+        up = use & edge[text]
+        more = _part_signatures(found[up], text[up], n, band + 1, salt)
+        rows.extend((own[:2], more[:2]))
+        return (n > 0) & ((own[2] <= allowed(n)) | (edge & (more[2] <= allowed(n))))
+
+    rows: list = []
+    weak = dealt(cold, 0)
     if weak.any():
+        weak &= dealt(weak[text], 1)                               # all their shingles in parts
+    if weak.any():                                                 # still too few: single shingles
         of = np.flatnonzero(weak[text])
         order = of[np.lexsort((mixed(found[of]), ~cold[of], text[of]))]
         number = n[weak]
@@ -348,7 +355,7 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 def link_components(docs: DataFrame, width: int = WIDTH, hot_texts: int = HOT_TEXTS) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs(doc_id, text)``."""
-    docs = docs.select("doc_id", "text")
+    docs = short_batches(docs).select("doc_id", "text")
     scratch = Scratch(docs.sparkSession, "shingle-join")
     hot = frequent_shingles(docs, width, hot_texts, scratch)
     kind = "doc_id long, n long, node long, sigs array<long>"

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructType
 
-from .common import as_strings, blocks_for, slices, total_bytes
+from .common import as_strings, blocks_for, short_batches, slices, total_bytes
 from .words import Words, covered
 
 WIDTH = 35
@@ -127,7 +127,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, carry: list[str] = ()) -
     """doc_id, n_words, n_removed, removed (intervals of word numbers) and cleaned (the text
     without them) for every row of ``docs(doc_id, text)``; with ``carry`` also the struct
     ``carried`` of these columns."""
-    spark = docs.sparkSession
+    spark = short_batches(docs).sparkSession
     size = total_bytes(docs, "text")
     blocks = blocks_for(spark, size, BLOCK_BYTES)
     buckets = blocks_for(spark, 2 * size, BUCKET_BYTES)      # about 8 bytes for each word of 5 or 6

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import as_bytes, blocks_for, lists_of, new_path, slices, total_bytes
+from .common import as_bytes, blocks_for, lists_of, new_path, short_batches, slices, total_bytes
 from .tokens import spaced_ids
 
 SCHEMA = "doc_id long, file int, before long, n_tokens int, ids array<int>"
@@ -59,7 +59,7 @@ def _encoded(path: str, end: int):
 
 def write_tokens(docs: DataFrame, path: str, vocabulary: str, end: int = END_ID) -> None:
     """Writes the ids of ``docs(doc_id, text)`` as ORC files below ``path``."""
-    spark = docs.sparkSession
+    spark = short_batches(docs).sparkSession
     files = blocks_for(spark, total_bytes(docs, "text"), FILE_BYTES)
     (docs.select("doc_id", "text").repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "text")
      .mapInArrow(_encoded(vocabulary, end), SCHEMA)
