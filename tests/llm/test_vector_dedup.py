@@ -75,3 +75,20 @@ def test_empty_and_extra_columns(spark):
     rows = [(1, [1.0, 2.0], "x", 1, 9), (2, [1.0, 2.0], "x", 2, 9), (3, [1.0, 2.0], "y", 3, 9)]
     assert found(spark, rows, "vec_id long, embedding array<double>, label string, rep int, pass int") == \
         [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True)]
+
+
+def group_and_others(seed, n, others):
+    """A group of near vectors, larger than the windows of all passes reach, among others; and the links of each."""
+    rng = np.random.default_rng(seed)
+    x = np.concatenate([rng.standard_normal(64) + 0.13 * rng.standard_normal((n, 64)), rng.standard_normal((others, 64))]).astype(np.float32)
+    y = x.astype(np.float64)
+    y /= np.sqrt((y * y).sum(1))[:, None]
+    return [(i, v.tolist(), 1) for i, v in enumerate(x)], ((y @ y.T >= 0.98).sum(1) - 1).tolist()
+
+
+def test_group_larger_than_the_windows_has_all_its_links(spark):
+    rows, want = group_and_others(5, 3000, 500)
+    assert min(want[:3000]) > 0
+    got = found(spark, rows)
+    assert sorted((i, n) for i, n, _, _ in got) == list(enumerate(want))
+    assert {c for i, _, c, _ in got if i < 3000} == {0}
