@@ -17,9 +17,10 @@ vectors that do not link crowd around the pair.  Measured figures: README.
 
 Plan.  Equal vectors of a label are one class before the passes, so copies
 cost nothing.  All passes are sorted by one range exchange on (pass, label,
-bits); a hot label is spread over as many ranges as its rows need.  Windows that
-reach over a range's end are compared in a second, small step on the rows
-next to the ends.  A task sends spanning stars of its pairs, not the pairs.
+bits); a hot label is spread over as many ranges as its rows need, and a range
+holds several windows unless the sampled bounds are uneven.  Windows that reach
+over a range's end are compared in a second, small step: the last rows of a
+range meet the rows that follow it, from as many ranges as a window needs.  A task sends spanning stars of its pairs, not the pairs.
 Large components are dealt into salted blocks, and every two blocks of one meet
 in a task of their own, which sends a sum per vector.  The comparisons of one
 component grow with the square of its size; nothing is left out.
@@ -49,6 +50,8 @@ BITS = 62
 SEED = 20240501
 #: Rows compared with their followers in one matrix product.
 STEP = 256
+#: Windows that a range of sorted rows holds at least, by the count of rows.
+WINDOWS = 8
 #: Rows and bytes (in double precision) of a block of a large component, and blocks it has before they grow.
 BLOCK, BLOCK_BYTES, BLOCKS = 256, 8 << 20, 32
 #: Rows of small components that meet in one task call.
@@ -155,13 +158,34 @@ def _compared(window: int, cosine: float):
                     yield _pairs_batch(*_forest(*near(x, rep, window, cosine)))
                 carried = rows[-window:]
         if first:
-            yield edge_rows(first, me - 1, 1)
+            yield edge_rows(first, me, 1)
             yield edge_rows(carried, me, 0)
     return run
 
 
+def ranges_for(rows: int, window: int, most: int) -> int:
+    """So many ranges that each holds several windows."""
+    return max(min(most, rows // (WINDOWS * window)), 1)
+
+
+def _reached(sizes: dict[int, int], window: int) -> list[tuple[int, int, int]]:
+    """(range, edge, rows between) of the edges whose window reaches a later range; an edge is named by the range before it.
+
+    ``sizes``: rows of each range that has some, up to ``window``."""
+    ranges = sorted(sizes)
+    out = []
+    for k, edge in enumerate(ranges):
+        between = 0
+        for later in ranges[k + 1:]:
+            if between >= window:
+                break
+            out.append((later, edge, between))
+            between += sizes[later]
+    return out
+
+
 def _over_ends(window: int, cosine: float):
-    """The last rows of a range against the first of the next one."""
+    """The last rows of a range against those that follow it."""
     def run(key, table):
         rows = sorted(table.to_pylist(), key=lambda r: (r["side"], r["place"]))
         side = [r["side"] for r in rows].index(1) if rows and rows[-1]["side"] == 1 else len(rows)
@@ -249,11 +273,15 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, passes: int = PA
     good = vectors.where(usable()).where("vec_id is not null").select("vec_id", "embedding", F.col("label").cast("string").alias("label"))
     classes = scratch.written(good.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.countDistinct("vec_id").alias("size")), "classes")
     kind = "<f4" if dict(vectors.dtypes)["embedding"] == "array<float>" else "<f8"
-    ranges = max(partitions(vectors.sparkSession), 1)
+    ranges = ranges_for(classes.count() * passes, window, partitions(vectors.sparkSession))
     ordered = (classes.select("rep", "label", "embedding").mapInArrow(_keyed(passes, seed, kind), "pass int, label string, dims int, key long, rep long, vector binary")
-               .repartitionByRange(ranges, "pass", "label", "dims", "key").sortWithinPartitions("pass", "label", "dims", "key", "rep"))
+               .repartitionByRange(ranges, "pass", "label", "dims", "key", "rep").sortWithinPartitions("pass", "label", "dims", "key", "rep"))
     compared = scratch.written(ordered.mapInArrow(_compared(window, cosine), OUT), "compared")
-    ends = compared.where("edge is not null").groupBy("edge").applyInArrow(_over_ends(window, cosine), "a long, b long")
+    edge = compared.where("edge is not null")
+    sizes = {r["edge"]: r["count"] for r in edge.where("side = 1").groupBy("edge").count().collect()}         # one row per range
+    reached = vectors.sparkSession.createDataFrame(_reached(sizes, window), "edge long, to long, between int")
+    after = edge.where("side = 1").join(reached, "edge").withColumns({"edge": F.col("to"), "place": F.col("place") + F.col("between")})
+    ends = edge.where("side = 0").unionByName(after.where(F.col("place") < window).select(edge.columns)).groupBy("edge").applyInArrow(_over_ends(window, cosine), "a long, b long")
     links = compared.where("edge is null").select("a", "b").unionByName(ends)
     roots = components(links, scratch)
     degree = linked_to(classes, roots, scratch, kind, cosine)

@@ -92,3 +92,33 @@ def test_group_larger_than_the_windows_has_all_its_links(spark):
     got = found(spark, rows)
     assert sorted((i, n) for i, n, _, _ in got) == list(enumerate(want))
     assert {c for i, _, c, _ in got if i < 3000} == {0}
+
+
+def test_windows_reach_over_many_short_ranges(spark, monkeypatch):
+    """Ranges of a few rows (forced here; else the class count sets them): the windows give the same pairs as one range does."""
+    rows = made(3, 120)
+    monkeypatch.setattr(V, "linked_to", lambda classes, roots, scratch, kind, cosine: links(scratch))
+
+    def links(scratch):
+        return spark.createDataFrame([], "rep long, others long")
+
+    def pairs(ranges):
+        taken = []
+        monkeypatch.setattr(V, "ranges_for", lambda rows, window, most: ranges)
+        monkeypatch.setattr(V, "_forest", lambda a, b: (a, b))
+        monkeypatch.setattr(V, "components", lambda df, scratch: taken.append({(min(r), max(r)) for r in df.collect()}) or real(df, scratch))
+        found(spark, rows, window=40, passes=2)
+        return taken[0]
+
+    real = V.components
+    one = pairs(1)
+    assert one and pairs(90) == one
+
+
+def test_range_count_follows_the_rows():
+    assert V.ranges_for(24_000, 256, 4000) == 11 and V.ranges_for(10**9, 256, 4000) == 4000 and V.ranges_for(0, 256, 8) == 1
+
+
+def test_edges_reach_as_far_as_the_window():
+    assert V._reached({0: 3, 2: 1, 3: 2, 7: 3}, 3) == [(2, 0, 0), (3, 0, 1), (3, 2, 0), (7, 2, 2), (7, 3, 0)]
+    assert V._reached({5: 2}, 3) == []
