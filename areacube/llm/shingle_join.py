@@ -199,13 +199,14 @@ def signatures(found: np.ndarray, n: np.ndarray, hot: np.ndarray) -> tuple[np.nd
 
 
 def _described(width: int, hot: np.ndarray):
-    """doc_id, set size, node (hash of the whole set), signatures (of the first text of a set that a task meets)."""
+    """The columns but the text, set size, node (hash of the whole set), signatures (of the first text of a set that a task meets)."""
     def run(batches):
         met: set[int] = set()
         for batch in batches:
             for part in slices(batch, "text"):
                 found, n = shingle_sets(Words(part.column("text")), width)
                 node = _nodes(found, n)
+                carried = [c for c in part.schema.names if c != "text"]
                 first = np.zeros(len(n), bool)
                 for i, x in enumerate(node.tolist()):
                     if x not in met:
@@ -214,10 +215,10 @@ def _described(width: int, hot: np.ndarray):
                 texts, sigs = signatures(found, n, hot)
                 texts, sigs = texts[first[texts]], sigs[first[texts]]
                 yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), pa.array(n.astype(np.int64)),
+                    *[part.column(c) for c in carried], pa.array(n.astype(np.int64)),
                     pa.array(node, mask=n == 0),
                     lists_of(sigs.view(np.int64), np.bincount(texts, minlength=len(n))),
-                ], ["doc_id", "n", "node", "sigs"])
+                ], [*carried, "n", "node", "sigs"])
     return run
 
 
@@ -353,12 +354,18 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
             .where(F.coalesce("root", "node") != F.coalesce("lead_root", "lead")).select("lead", "node"))
 
 
-def link_components(docs: DataFrame, width: int = WIDTH, hot_texts: int = HOT_TEXTS) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``docs(doc_id, text)``."""
-    docs = short_batches(docs).select("doc_id", "text")
+def text_hash():
+    return F.xxhash64("text").alias("text_hash")
+
+
+def link_components(docs: DataFrame, width: int = WIDTH, hot_texts: int = HOT_TEXTS, by_text: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of ``docs(doc_id, text)``.
+
+    With ``by_text`` also text_hash and node (the set; null if it is empty), which tell rows of one id apart."""
+    docs = short_batches(docs).select("doc_id", "text", *([text_hash()] if by_text else []))
     scratch = Scratch(docs.sparkSession, "shingle-join")
     hot = frequent_shingles(docs, width, hot_texts, scratch)
-    kind = "doc_id long, n long, node long, sigs array<long>"
+    kind = f"doc_id long, {'text_hash long, ' if by_text else ''}n long, node long, sigs array<long>"
     described = scratch.written(docs.mapInArrow(_described(width, hot), kind), "described")
 
     rows = described.where("node is not null").select("node", F.explode("sigs").alias("sig"))
@@ -398,4 +405,5 @@ def _named(described: DataFrame, roots: DataFrame) -> DataFrame:
     named = least.groupBy("root").agg(F.min("least").alias("component_id"))
     of_node = least.join(named, "root").select("node", "component_id")
     return (described.join(of_node, "node", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
+            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
+                    *[c for c in ("text_hash", "node") if "text_hash" in described.columns]))

@@ -7,7 +7,8 @@ one.  All but the last return the columns of ``documents``.
 
 Odd rows.  Null texts, empty texts and texts without a letter are rejected by
 the language stage; it keeps rows with a null id, lang or source.  Rows with a null id cannot be
-named as copies and stay; of rows with one id and one set of shingles, one stays.
+named as copies and stay; of rows with one id and one set of shingles, one stays;
+rows of one id with different sets are judged each by its own set.
 A text that loses all its words stays as an empty one (its end token is packed).
 """
 
@@ -27,8 +28,12 @@ def recognised_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least id of every group linked by 4-word shingles at 0.85."""
-    least = shingle_join.link_components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(least, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    named = shingle_join.link_components(docs, by_text=True).where("doc_id = component_id")
+    of_set = F.struct("node", F.when(F.col("node").isNull(), F.col("text_hash")))       # a text without shingles is its own
+    least = named.groupBy("doc_id", of_set.alias("set")).agg(F.min("text_hash").alias("text_hash")).select("doc_id", "text_hash")
+    key = ["doc_id", "text_hash"]
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", shingle_join.text_hash()).join(least, key, "left_semi")
+    kept = rows.groupBy(*key).agg(F.min("row").alias("row")).select("row.*")             # equal texts: the least row
     return kept.unionByName(docs.where("doc_id is null"))
 
 

@@ -79,3 +79,12 @@ def test_run(spark):
     got = P.run(spark, SF)
     assert got.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] and got.count() > 0
     assert zlib.crc32(b"") == 0
+
+
+def test_rows_of_one_id_are_judged_by_their_own_text(spark):
+    words = lambda k: " ".join(f"w{k}x{i}" for i in range(30))
+    rows = [(1, words(1), "b"), (2, words(1), "a"), (2, words(2), "a"), (3, words(3), "a"), (3, words(4), "a"), (3, words(4), "b"), (4, "?", "a"), (4, "!", "a"), (None, words(1), "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for parts in (1, 5):
+        got = P.one_of_near_copies(spark, docs.repartition(parts), SF).collect()
+        assert sorted(map(tuple, got), key=str) == sorted([rows[0], rows[2], rows[3], rows[4], rows[6], rows[7], rows[8]], key=str)
