@@ -9,8 +9,8 @@ below the language's limit, a fraction of what its own sample reaches, and
 the text is long enough to tell.
 
 Fit.  At most about ``SAMPLE`` texts per language (chosen by a hash of the id
-among rows with a label that are not held out) are turned into vectors by Spark tasks
-and fitted on the driver.  Prediction reads whole texts of all rows; nothing
+among rows with a label that are not held out) are turned into vectors by Spark tasks;
+every label is learned, each in its own task, and the driver holds the centroids only.  Prediction reads whole texts of all rows; nothing
 but the text enters it.
 
 Cases.  Null text or text without a letter: ``und``, score 0, rejected.  Text
@@ -27,14 +27,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_strings, short_batches, slices, text_buffer, worker_state
+from .common import Scratch, as_strings, short_batches, slices, text_buffer, worker_state
 from .words import U
 
 DIMS = 4096
 #: Labelled texts a language is learned from, about.
 SAMPLE = 600
-#: Languages learned, the most frequent first.
-LANGUAGES = 64
 CENTROIDS = 3
 #: A text is rejected below this fraction of the lowest cosine but one percent of the sample.
 REJECT = 0.25
@@ -105,24 +103,37 @@ def _centroids(x: np.ndarray, k: int, rng) -> np.ndarray:
     return c
 
 
+def _texts_with(batches):
+    """How many of a task's rows have each place."""
+    total = np.zeros(DIMS, np.int64)
+    for batch in batches:
+        for raw in batch.column("counts"):
+            total += np.frombuffer(raw.as_buffer(), "<u2") > 0
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(DIMS, dtype=np.int32)), pa.array(total)], ["place", "texts"])
+
+
+def _learned(idf: np.ndarray):
+    """The rows of one language -> its centroids and least cosine."""
+    def run(key, table):
+        counts = np.stack([np.frombuffer(c, "<u2") for c in sorted(table.column("counts").to_pylist())])
+        own = weighted(counts, idf)
+        own = own[own.any(1)]
+        c = _centroids(own, CENTROIDS, np.random.default_rng(SEED)) if len(own) else np.zeros((1, DIMS))
+        least = REJECT * np.quantile((own @ c.T).max(1), 0.01) if len(own) else 1.0
+        return pa.table({"lang": pa.array([key[0].as_py()], pa.string()), "centroids": pa.array([c.astype("<f8").tobytes()], pa.binary()),
+                         "least": pa.array([least], pa.float64())})
+    return run
+
+
 class Model:
     """languages, idf, centroids (rows), language of each centroid, least cosine of each language."""
 
-    def __init__(self, langs: list[str], counts: np.ndarray):
-        self.languages = sorted(set(langs))
-        rng = np.random.default_rng(SEED)
-        self.idf = np.log((1 + len(langs)) / (1 + (counts > 0).sum(0))) + 1
-        x = weighted(counts, self.idf)
-        rows, of, least = [], [], []
-        for k, lang in enumerate(self.languages):
-            own = x[[i for i, v in enumerate(langs) if v == lang]]
-            own = own[own.any(1)]
-            c = _centroids(own, CENTROIDS, rng) if len(own) else np.zeros((1, DIMS))
-            rows.append(c)
-            of += [k] * len(c)
-            least.append(REJECT * np.quantile((own @ c.T).max(1), 0.01) if len(own) else 1.0)
-        self.centroids = np.concatenate(rows) if rows else np.zeros((0, DIMS))
-        self.of, self.least = np.array(of, int), np.array(least)
+    def __init__(self, idf: np.ndarray, learned: list):
+        learned = sorted(learned, key=lambda r: r["lang"])
+        own = [np.frombuffer(r["centroids"], "<f8").reshape(-1, DIMS) for r in learned]
+        self.idf, self.languages = idf, [r["lang"] for r in learned]
+        self.centroids = np.concatenate(own) if own else np.zeros((0, DIMS))
+        self.of, self.least = np.repeat(np.arange(len(own)), [len(c) for c in own]), np.array([r["least"] for r in learned])
 
 
 def held_out() -> Column:
@@ -132,16 +143,18 @@ def held_out() -> Column:
 def fit(docs: DataFrame, may_learn: Column) -> Model:
     """Learns from rows of ``docs(doc_id, text, lang)`` with a label, a text and ``may_learn``."""
     known = short_batches(docs).where(may_learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    chosen = F.lit(False)
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    for r in counts:
-        chosen = chosen | ((F.col("lang") == r["lang"]) & (place < max(1, int(1_000_000 * min(1.0, SAMPLE / r["count"])))))
-    rows = known.where(chosen).select("text", "lang").mapInArrow(_sampled, "lang string, counts binary").toArrow()
-    langs = rows.column("lang").to_pylist()
-    raw = [np.frombuffer(c.as_buffer(), "<u2") for c in rows.column("counts")]
-    order = sorted(range(len(raw)), key=lambda i: (langs[i], raw[i].tobytes()))
-    return Model([langs[i] for i in order], np.stack([raw[i] for i in order]) if raw else np.zeros((0, DIMS)))
+    share = known.groupBy("lang").agg(F.greatest(F.lit(1), (F.least(F.lit(1.0), F.lit(SAMPLE) / F.count("*")) * 1_000_000).cast("long")).alias("share"))
+    scratch = Scratch(docs.sparkSession, "language-id")
+    rows = known.join(F.broadcast(share), "lang").where(place < F.col("share")).select("text", "lang")       # a number per language
+    rows = scratch.written(rows.mapInArrow(_sampled, "lang string, counts binary"), "sample")
+    texts = np.zeros(DIMS)
+    for r in rows.mapInArrow(_texts_with, "place int, texts long").groupBy("place").agg(F.sum("texts").alias("texts")).collect():
+        texts[r["place"]] = r["texts"]
+    idf = np.log((1 + rows.count()) / (1 + texts)) + 1
+    learned = rows.groupBy("lang").applyInArrow(_learned(idf), "lang string, centroids binary, least double").collect()
+    scratch.drop("sample")
+    return Model(idf, learned)
 
 
 def _predicted(model: Model):

@@ -40,3 +40,15 @@ def test_nothing_to_learn_from(spark):
     assert L.identify(spark.createDataFrame([], kind)).collect() == []
     got = L.identify(spark.createDataFrame([(1, "abc def", None)], kind)).collect()
     assert [(r.lang_pred, r.score, r.rejected) for r in got] == [("und", 0.0, True)]
+
+
+def test_every_label_is_learned(spark):
+    """More labels than any fixed number of them; the last ones are the rarest."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda k, j: letters[k % 26] + letters[k // 26] + letters[(7 * k + j) % 26] + letters[(3 * j + k) % 26]
+    rows = [(1000 * k + i, " ".join(word(k, (i + j) % 9) for j in range(30)), f"l{k:02d}") for k in range(90) for i in range(6 if k >= 60 else 12)]
+    out = L.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).toPandas()
+    label = {d: lang for d, _, lang in rows}
+    seen = out[~out.held_out]
+    assert set(seen.lang_pred) == set(label.values())
+    assert (seen.lang_pred == seen.doc_id.map(label)).mean() > 0.99
