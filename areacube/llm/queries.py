@@ -6,9 +6,12 @@ its table and derives the digest columns of its result.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, html_text, language_id, packing, quality_rules, secret_scan, shingle_join, token_files, vector_dedup
+from . import alignment, bpe, hard_negatives, html_text, kd_shards, language_id, packing, quality_rules, secret_scan, shingle_join
+from . import token_files, vector_dedup
 from . import substring_dedup as substring
 from .common import read
 
@@ -63,9 +66,47 @@ def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.link_components(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of near equal bytes, by a k-d tree over language, source and length."""
+    return kd_shards.digest(kd_shards.kd_shards(read(spark, sf_dir, "documents", "doc_id", "text", *kd_shards.DIMS), shards=16))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two public vocabularies, aligned over every whole text, with the corpus counts of their links."""
+    return alignment.alignment_digest(read(spark, sf_dir, "documents", "doc_id", "text"),
+                                      public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of other labels scored between 0.8 and 1 times a positive's score; every seventh label is set wrong first."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label").withColumn("label", label)
+    return hard_negatives.hard_negatives(rows, anchor=F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_vector_dedup, op2_language_id, op3_packing, op4_substring_dedup, op5_token_files,
     op6_html_text, op7_quality_rules, op8_secret_scan, op9_byte_bpe, op10_shingle_join,
+    op11_kd_shards, op12_token_alignment, op13_hard_negatives,
 )}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op13_hard_negatives": """
+        with v as (
+            select vec_id, cast(case when vec_id % 7 = 0 then (label + 1) % 10 else label end as varchar) as label,
+                   list_transform(embedding, x -> floor(256 * cast(x as double))) as e
+            from embeddings
+            where vec_id is not null and label is not null and embedding is not null
+              and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+        s as (
+            select a.vec_id as anchor_id, r.vec_id, a.label = r.label as same, cast(list_dot_product(a.e, r.e) as bigint) as score
+            from v a join v r on a.vec_id % 100 = 0 and a.vec_id <> r.vec_id and len(a.e) = len(r.e)),
+        p as (
+            select anchor_id, vec_id as positive_id, score as positive_score from s where same
+            qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+        select p.anchor_id, p.positive_id, s.vec_id as negative_id, p.positive_score, s.score as negative_score,
+               cast(row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id) as integer) as rank
+        from p join s on p.anchor_id = s.anchor_id and not s.same
+         and 80 * p.positive_score <= 100 * s.score and s.score <= p.positive_score
+        qualify rank <= 5""",
+}
