@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from itertools import chain
 
 from .common import worker_state
@@ -19,17 +20,23 @@ from .common import worker_state
 #: Units that one of the two cache generations holds.
 CACHE_UNITS = 400_000
 
-CUT = re.compile(r"(?<=\S)(?= \S)")
+#: Before a single space, and on both sides of a single line end, between other characters.
+CUT = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
 #: ASCII white space and separators, and the first bytes of all other white space.
 ONE_SPACE = bytes(32 if chr(b).isspace() and b < 128 else b for b in range(256))
 WIDE_SPACE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
 
 
 def space_units(text: bytes) -> list[bytes]:
-    """Cuts a text before each single space that stands between other characters."""
+    """Cuts a text before each single space, and around each single line end, that stands between other characters."""
     if b"  " in text.translate(ONE_SPACE) or b"\0" in text or not text.isascii() and any(w in text for w in WIDE_SPACE):
         return [u.encode() for u in CUT.split(text.decode("utf-8", "replace"))]
-    return text.replace(b" ", b"\0 ").split(b"\0")
+    return text.replace(b" ", b"\0 ").replace(b"\n", b"\0\n\0").split(b"\0")
+
+
+def word_units(text: bytes) -> list[bytes]:
+    """The words of a text in lower case; as they are where special tokens may stand, which are told by case."""
+    return (text if b"<|" in text else text.lower()).split()
 
 
 class UnitCache:
@@ -79,22 +86,27 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+LETTERS = "( ?[A-Za-zªµºÀ-ÖØ-öø-ÿ]+)"
+STEM = re.compile(LETTERS + "[.,]?")
+#: A run of letters and up to four ASCII characters that are neither letters nor spaces nor the start of a special token.
+WORD = re.compile(LETTERS + r"([^A-Za-z<\s\x00-\x20\x7f-\U0010ffff]{0,4})")
+#: Ends of words that a worker keeps at most.
+TAILS = 50_000
+
+
 def stem_of(text: str) -> str | None:
     """A unit that is one run of letters (of the first 256 characters) after at
     most one space, without the one stop or comma that may follow; else None."""
-    bare = text[1:] if text[:1] == " " else text
-    stem = bare.rstrip(".,")
-    if len(bare) - len(stem) <= 1 and stem.isalpha() and (stem.isascii() or max(stem) <= "ÿ"):
-        return text[: len(text) - (len(bare) - len(stem))]
-    return None
+    m = STEM.fullmatch(text)
+    return m and m[1]
 
 
 class LibraryEncoder:
-    """Ids of units by the tokenizers library.
+    """Ids of units by the tokenizers library, special tokens by their strings included.
 
     Runs of letters are one piece by the splitting rule, so they go to a
-    tokenizer of the same model without its splitting steps; everything else
-    takes the whole tokenizer.
+    tokenizer of the same model without its splitting steps; the few signs
+    behind them are pieces of their own, and everything else takes the whole tokenizer.
     """
 
     def __init__(self, path: str, lower: bool):
@@ -102,30 +114,34 @@ class LibraryEncoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
         self.pieces, self.lower = Tokenizer(self.whole.model), lower
         self.letters = byte_letters()
-        self.bytes = [i.to_bytes(4, "little") for i in range(self.whole.get_vocab_size())]
-        self.stops = dict(zip(("", ".", ","), self.encoded(self.whole, ["", ".", ","])))
+        self.tails = {"": b""}
 
     def encoded(self, tokenizer, texts: list[str]) -> list[bytes]:
-        return [b"".join(map(self.bytes.__getitem__, e.ids)) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def __call__(self, units: list[bytes], known) -> list[bytes]:
         texts = [u.decode("utf-8", "replace") for u in units]
-        stems = list(map(stem_of, texts))
+        words = list(map(WORD.fullmatch, texts))
         found: dict[str, bytes | None] = {}
-        for text, stem in zip(texts, stems):
-            if stem is not None and stem not in found:
-                found[stem] = known(stem.encode()) if len(stem) < len(text) else None
+        for m in words:
+            if m is not None and m[1] not in found:
+                found[m[1]] = known(m[1].encode()) if m[2] else None
         new = [s for s, x in found.items() if x is None]
         if new:
             seen = "\n".join(s.lower() for s in new) if self.lower else "\n".join(new)
             seen = seen.encode().decode("latin-1").translate(self.letters)
             found.update(zip(new, self.encoded(self.pieces, seen.split(self.letters[10]))))
-        others = [t for t, s in zip(texts, stems) if s is None]
+        others = [t for t, m in zip(texts, words) if m is None]
         rest = iter(self.encoded(self.whole, others) if others else ())
-        return [next(rest) if s is None else found[s] + self.stops[t[len(s):]] for t, s in zip(texts, stems)]
+        tails = list({m[2] for m in words if m is not None} - self.tails.keys())
+        if len(self.tails) + len(tails) > TAILS:
+            self.tails = {"": b""}
+            tails = list({m[2] for m in words if m is not None and m[2]})
+        if tails:
+            self.tails.update(zip(tails, self.encoded(self.whole, tails)))
+        return [next(rest) if m is None else found[m[1]] + self.tails[m[2]] for m in words]
 
 
 def spaced_ids(path: str):
@@ -137,4 +153,4 @@ def spaced_ids(path: str):
 def word_ids(path: str):
     """UTF-8 texts -> their ids (bytes) for a lower-casing vocabulary file that drops white space."""
     cache = worker_state(f"words {path}", lambda: UnitCache(LibraryEncoder(path, lower=True)))
-    return lambda texts: cache([t.lower().split() for t in texts])
+    return lambda texts: cache([word_units(t) for t in texts])

@@ -13,7 +13,6 @@ from areacube.llm import packing as K
 
 def check(rows, pieces, window):
     tokenizer = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
     want = defaultdict(list)
     for d, t in rows:
         want[d].append([*tokenizer.encode(t or "", add_special_tokens=False).ids, 2])

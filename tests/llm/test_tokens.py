@@ -16,7 +16,7 @@ from areacube.llm import bpe, token_files, tokens
 
 SF = "/root/testdata/sf0.001"
 ODD = ["", " ", "  ", "\n", "a", " a", "a ", "  a  b ", "a\n b", "a \nb\t\tc", "x\0y z", "é  b", "it's we'll I'M 'tis", "...,, !!",
-       "a" * 700, "ab" * 400 + " z", "　wide　 space", "日本語 テキスト 🙂🙂 é", "1234 5,678.90", "<|endoftext|> x<|endoftext|>",
+       "a" * 700, "ab" * 400 + " z", "　wide　 space", "日本語 テキスト 🙂🙂 é", "1234 5,678.90", "<|endoftext|> x<|endoftext|>", "Foo<|endoftext|> bar\n<|endoftext|>\nB <|startoftext|>X", "<|ENDOFTEXT|> A <|StartOfText|>",
        "tab\tand\x1cfs \x1c x", "​ zero ﻿", "ÀÉ. Öö, ß ÿ ǅ İ Σς", "word,word. Word.\nNext Line.", " " * 50 + "q", "Œuvre ŸÿÝ", "ª º x²"]
 
 
@@ -29,9 +29,8 @@ def sample():
 
 @pytest.mark.parametrize("limit", [3, 400_000])
 def test_units_give_the_librarys_ids(limit):
-    for name, cut, lower in (("byte_bpe_50k.json", tokens.space_units, False), ("word_bpe_49k.json", lambda t: t.lower().split(), True)):
+    for name, cut, lower in (("byte_bpe_50k.json", tokens.space_units, False), ("word_bpe_49k.json", tokens.word_units, True)):
         tokenizer = Tokenizer.from_file(P.path(name))
-        tokenizer.encode_special_tokens = True
         cache = tokens.UnitCache(tokens.LibraryEncoder(P.path(name), lower), limit)
         texts = sample()
         for text, ids in zip(texts, cache([cut(t.encode()) for t in texts[:20]]) + [cache([cut(t.encode())])[0] for t in texts[20:]]):
@@ -68,7 +67,6 @@ def test_queries_match_the_libraries(spark):
     assert got == sorted(want)
 
     tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     got = sorted(tuple(r) for r in token_files.digest(token_files.written_and_read(df)).collect())
     want, start = [], 0
     for d, t, *_ in sorted(rows, key=lambda r: (r[0], r[1] or "")):
