@@ -17,6 +17,9 @@ from areacube.session import ensure_checkpoint_dir
 
 #: Bytes of text that one numpy step handles at a time.
 SLICE_BYTES = 1 << 20
+#: Bytes of one Arrow batch on its way to Python, and the setting of Spark that stands for none chosen.
+BATCH_BYTES = 4 << 20
+DEFAULT_BATCH_BYTES = "67108864b"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -69,10 +72,12 @@ class Scratch:
 
 
 def short_batches(df: DataFrame) -> DataFrame:
-    """Texts are long: Arrow batches of 1,000 rows instead of Spark's default of 10,000 (another setting is kept)."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if df.sparkSession.conf.get(key) == "10000":
-        df.sparkSession.conf.set(key, "1000")
+    """Texts are long: Arrow batches of 1,000 rows instead of Spark's default of 10,000 (another setting is kept), and of few bytes."""
+    conf, key, size = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(key) == "10000":
+        conf.set(key, "1000")
+    if conf.get(size) == DEFAULT_BATCH_BYTES:
+        conf.set(size, str(BATCH_BYTES))
     return df
 
 

@@ -4,8 +4,9 @@ small-star steps (Kiveris et al. 2014) on DataFrames.
 Every step is a minimum per node (an aggregate with map-side partial sums)
 and a join back on the node, so a node with very many links is spread by
 the adaptive skew join; no component is ever gathered in one task or on the
-driver.  Between the steps each task replaces the links it holds by their
-spanning stars, which saves both rows and rounds.  The links of one step are written to the shared folder before the next.
+driver.  After the two steps each task replaces the links it holds by their
+spanning stars, which saves both rows and rounds; that is the one Python step of a round, so a
+core runs one Python worker.  The links of one round are written to the shared folder before the next.
 """
 
 from __future__ import annotations
@@ -38,13 +39,18 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[keep], nodes[root[keep]]
 
 
+def stars(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """The spanning stars of some links."""
+    node, low = _forest(a, b)
+    return pa.RecordBatch.from_arrays([pa.array(node), pa.array(low)], ["node", "low"])
+
+
 def _contract(batches):
     """Each batch of links by its spanning stars: fewer rows, same components."""
     for batch in batches:
         a, b = (batch.column(i).to_numpy() for i in (0, 1))
         if len(a):
-            node, low = _forest(a, b)
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(low)], ["node", "low"])
+            yield stars(a, b)
 
 
 def _state(links: DataFrame) -> tuple:
@@ -76,11 +82,10 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     The result is the table ``roots`` of ``scratch``.
     """
     a, b = links.columns[:2]
-    now = scratch.written(links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("node"), F.least(a, b).alias("low"))
-                  .transform(_smaller).distinct(), "roots")
+    now = scratch.written(links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("node"), F.least(a, b).alias("low")).distinct(), "roots")
     before = _state(now)
     while before[0]:
-        now = scratch.written(_smaller(_small_star(_smaller(_large_star(_smaller(now))))).distinct(), "roots")
+        now = scratch.written(_smaller(_small_star(_large_star(now))).distinct(), "roots")
         after = _state(now)
         if after == before:
             break

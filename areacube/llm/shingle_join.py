@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, lists_of, short_batches, slices
-from .components import components
+from .components import components, stars
 from .words import U, Words, mixed
 
 WIDTH = 4
@@ -58,7 +58,7 @@ SLOTS = 1 << 20
 #: Hash ranges of the histograms that rule out pairs before their sets are sent.
 BINS = 512
 #: Shingles counted together before the frequent ones are sent.
-COUNT_SLICE = 1 << 21
+COUNT_SLICE = 1 << 18
 
 
 def shingle_sets(w: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -314,7 +314,7 @@ def linked_members(query: np.ndarray, members: list[np.ndarray]) -> list[int]:
 
 
 def _verified(batches):
-    """Rows sorted by leader -> links (leader, member); a run of rows of one leader is searched at once."""
+    """Rows sorted by leader -> the spanning stars of the links (leader, member) found; a run of rows of one leader is searched at once."""
     for batch in batches:
         lead, member = batch.column("lead").to_numpy(), batch.column("node").to_numpy()
         shingles, query = batch.column("shingles"), batch.column("query")
@@ -327,24 +327,25 @@ def _verified(batches):
                 for i in linked_members(q, [np.frombuffer(shingles[k].as_buffer(), U) for k in own]):
                     a.append(lead[at])
                     b.append(member[at + i])
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        if a:
+            yield stars(np.array(a, np.int64), np.array(b, np.int64))
 
 
 def _links(pairs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
-    """The pairs (lead, node) that link."""
+    """Links (node, low) with the components of the pairs (lead, node) that link."""
     counts = sets.select("node", "n", "counts")
     of_lead = counts.select(F.col("node").alias("lead"), F.col("n").alias("lead_n"), F.col("counts").alias("lead_counts"))
     pairs = scratch.written(pairs.join(counts, "node").join(of_lead, "lead").mapInArrow(_plausible, "lead long, node long"), "pairs")
     leaders = (sets.join(pairs.select(F.col("lead").alias("node")).distinct(), "node", "left_semi")
                .select(F.col("node").alias("lead"), F.col("shingles").alias("query")))
     return (pairs.join(sets.select("node", "shingles"), "node").join(leaders, "lead").select("lead", "node", "shingles", "query")
-            .sortWithinPartitions("lead").mapInArrow(_verified, "a long, b long"))
+            .sortWithinPartitions("lead").mapInArrow(_verified, "node long, low long"))
 
 
 def _joined(roots: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     """The components with more links."""
     links = scratch.written(links, "links")
-    return roots if links.isEmpty() else components(links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))), scratch)
+    return roots if links.isEmpty() else components(links.unionByName(roots.select("node", F.col("root").alias("low"))), scratch)
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
