@@ -94,10 +94,10 @@ ORACLE_SQL: dict[str, str] = {
     "op13_hard_negatives": """
         with v as (
             select vec_id, cast(case when vec_id % 7 = 0 then (label + 1) % 10 else label end as varchar) as label,
-                   list_transform(embedding, x -> floor(256 * cast(x as double))) as e
+                   list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e
             from embeddings
             where vec_id is not null and label is not null and embedding is not null
-              and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
         s as (
             select a.vec_id as anchor_id, r.vec_id, a.label = r.label as same, cast(list_dot_product(a.e, r.e) as bigint) as score
             from v a join v r on a.vec_id % 100 = 0 and a.vec_id <> r.vec_id and len(a.e) = len(r.e)),
