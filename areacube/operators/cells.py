@@ -8,11 +8,13 @@ rolled up from that cell table, since counts are additive.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from areacube.session import materialize
+
 
 def count_cells(df: DataFrame, dims: Sequence[str], name: str = "n") -> DataFrame:
     """AGG1: ``group_by(dims) %>% summarize(n = n())``; NULL is a group of its own."""
@@ -49,11 +51,22 @@ def count_grains(cells: DataFrame, grains: Mapping[str, Sequence[str]], all_dims
             .agg(F.sum(measure).cast("bigint").alias(measure), name.alias(grain_col)))
 
 
+def observed_pass(df: DataFrame, grouped: Callable[[DataFrame], DataFrame], **metrics: Column) -> tuple[DataFrame, dict]:
+    """One pass over ``df`` that writes ``grouped(df)`` (a reliable checkpoint) and
+    observes ``metrics`` (aggregate columns) over all rows on the way: no second scan, and
+    no shuffle for the metrics.  Minima, maxima and "any row" flags are exact; a
+    count may hold rows of a task that ran twice."""
+    seen = Observation()
+    out = materialize(grouped(df.observe(seen, *[c.alias(name) for name, c in metrics.items()])))
+    return out, seen.get
+
+
 def year_bounds(df: DataFrame, col: str, year: str) -> DataFrame:
     """AGG5, AGG8: the distinct values of one column with the first and last year of all rows.
 
-    One pass: bounds per value, then the bounds of these few rows.
+    One pass: the distinct values are an aggregate, the bounds are observed beside it.
     """
-    each = df.groupBy(col).agg(F.min(year).alias("lo"), F.max(year).alias("hi"))
-    whole = Window.partitionBy(F.lit(1))
-    return each.select(col, F.min("lo").over(whole).alias("jaar_min"), F.max("hi").over(whole).alias("jaar_max"))
+    each, found = observed_pass(df, lambda rows: rows.groupBy(col).agg(F.count(F.lit(1)).alias("n")).select(col),
+                                lo=F.min(year), hi=F.max(year))
+    kind = df.schema[year].dataType
+    return each.select(col, F.lit(found["lo"]).cast(kind).alias("jaar_min"), F.lit(found["hi"]).cast(kind).alias("jaar_max"))

@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,14 +67,14 @@ def prefix_columns(df: DataFrame, prefix: str, sep: str = "_") -> DataFrame:
 
 
 def matching_columns(columns: Sequence[str], code: str) -> list[str]:
-    """STR6: columns whose name contains ``code``, ignoring case."""
-    pat = re.compile(re.escape(code), re.IGNORECASE)
+    """STR6: columns in whose name the pattern ``code`` is found, ignoring case."""
+    pat = re.compile(code, re.IGNORECASE)
     return [c for c in columns if pat.search(c)]
 
 
 def rename_matching(df: DataFrame, part: str, new: str) -> DataFrame:
     """PRJ8: rename the one column whose name contains ``part`` (any case)."""
-    found = matching_columns(df.columns, part)
+    found = matching_columns(df.columns, re.escape(part))
     if len(found) > 1:
         raise ValueError(f"more than one column matches {part!r}: {found}")
     return df.withColumnRenamed(found[0], new) if found else df
@@ -92,28 +92,52 @@ def resolve_code_names(columns: Sequence[str], codes: Sequence[str]) -> dict[str
     return out
 
 
-def resolve_codes(codes: DataFrame, variables: DataFrame, code: str = "code",
-                  variable: str = "variable", max_lengths: int = 1000) -> DataFrame:
-    """PRJ7 as a join: (code, variable) for every variable whose name contains
-    the code (case-insensitive), plus ``n_matches`` per code.
+#: Length of the text pieces that codes and names are joined on.
+GRAM = 3
 
-    Containment becomes an equi-join: each variable name is cut into its
-    substrings of every code length (a handful of lengths, checked), which are
-    joined on (lower text, length).  Work is linear in the total name length,
-    with no nested-loop join.
+# A pattern without its parts that stand for no fixed text: escapes, classes, a character before an optional quantifier, other signs.
+_OPEN = r"\\.|\[\^?\]?[^\]]*\]|[^\\\[\](){}|^$*+?.](?:[*?]|\{[^}]*\})|\{[^}]*\}|[.^$*+?{}]"
+
+
+def _grams(text: Column, lengths: Sequence[int]) -> Column:
+    """All distinct pieces of the given lengths of a text, as an array."""
+    def of(n: int) -> Column:
+        last = F.char_length(text) - n + 1
+        return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(text, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(*[of(n) for n in lengths]))
+
+
+def anchor_text(code: Column) -> Column:
+    """The longest fixed text that every match of a pattern holds (lower case; the code itself if it is
+    plain text).  Empty for patterns with groups or alternatives."""
+    runs = F.split(F.regexp_replace(code, _OPEN, "\u0000"), "\u0000")
+    longest = F.array_max(F.transform(runs, lambda r: F.struct(F.char_length(r).alias("n"), r.alias("r"))))["r"]
+    return F.lower(F.when(code.rlike(r"[(|]"), F.lit("")).otherwise(longest))
+
+
+def resolve_codes(codes: DataFrame, variables: DataFrame, code: str = "code", variable: str = "variable") -> DataFrame:
+    """PRJ7 as a join: (code, variable) for every variable in whose name the code
+    (a pattern, any case) is found, plus ``n_matches`` per code.
+
+    Anchored containment: a name is cut into its distinct pieces of one, two and three
+    characters (rows linear in its length), a code is joined on the one piece of its
+    fixed text that the fewest names hold, and the pair is then verified
+    with the pattern.  A pattern without any fixed text (only classes, groups or alternatives) stops the job.
+    NULL codes and names match nothing.
     """
-    lens = codes.agg(F.collect_set(F.char_length(F.col(code))).alias("l")).select(
-        F.when(F.size("l") > max_lengths, F.raise_error(F.lit("too many code lengths"))).otherwise(F.col("l"))
-    ).scalar()
-    v = (variables.select(F.col(variable)).distinct()
-         .withColumn("__L", F.explode(lens))
-         .where(F.col("__L") <= F.char_length(F.col(variable)))
-         .withColumn("__i", F.explode(F.sequence(F.lit(1), F.char_length(F.col(variable)) - F.col("__L") + 1)))
-         .select(variable, F.lower(F.substring(F.col(variable), F.col("__i"), F.col("__L"))).alias("__s"),
-                 F.col("__L")))
-    c = codes.select(F.col(code), F.lower(F.col(code)).alias("__s"), F.char_length(F.col(code)).alias("__L"))
-    pairs = v.join(c, ["__s", "__L"]).select(code, variable).distinct()
-    return pairs.withColumn("n_matches", F.count(F.lit(1)).over(Window.partitionBy(code)))
+    names = variables.select(F.col(variable)).where(F.col(variable).isNotNull()).distinct()
+    held = names.select(variable, F.explode(_grams(F.lower(F.col(variable)), range(1, GRAM + 1))).alias("__gram"))
+    rarity = held.groupBy("__gram").agg(F.count(F.lit(1)).alias("__names"))
+    anchor = F.col("__anchor")
+    message = F.concat(F.lit("code without fixed text: "), F.col(code))
+    own = (codes.select(code).where(F.col(code).isNotNull()).distinct().withColumn("__anchor", anchor_text(F.col(code)))
+           .withColumn("__anchor", F.when(F.char_length(anchor) == 0, F.raise_error(message)).otherwise(anchor)))
+    pieces = own.select(code, F.explode(F.when(F.char_length(anchor) >= GRAM, _grams(anchor, [GRAM])).otherwise(F.array(anchor))).alias("__gram"))
+    rarest = (pieces.join(rarity, "__gram").groupBy(code)
+              .agg(F.min(F.struct("__names", "__gram"))["__gram"].alias("__gram")))
+    found = rarest.join(held, "__gram").where(F.expr(f"`{variable}` rlike concat('(?iu)', `{code}`)")).select(code, variable)
+    matches = found.groupBy(code).agg(F.count(F.lit(1)).alias("n_matches"))
+    return found.join(matches, code)
 
 
 def pad_district(df: DataFrame, col: str = "NOG_Wijk2020", width: int = 6) -> DataFrame:

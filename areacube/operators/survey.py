@@ -31,11 +31,14 @@ has rows, so no (indicator x municipality x stratum) grid is ever built.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from areacube.functions.fdist import f_upper_udf
+from areacube.session import materialize
 
 
 def _c(name: str) -> Column:
@@ -61,6 +64,26 @@ def _inv(x: Column) -> Column:
     return F.when(x > 0, F.lit(1.0) / x).otherwise(F.lit(0.0))
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner equi-join on keys where NULL equals NULL; the keys once."""
+    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    on = reduce(and_, [_c(k).eqNullSafe(_c(f"__r_{k}")) for k in keys])
+    return left.join(renamed, on).drop(*[f"__r_{k}" for k in keys])
+
+
+def answer_values(sums: DataFrame, keys: Sequence[str], group: str) -> DataFrame:
+    """Per indicator its two least answer values v0 < v1 and the number of its
+    answer values (0 if nobody answered), from the distinct values."""
+    seen = F.when(_c(group).isNotNull(), _c("val"))
+    values = sums.select(*keys, seen.alias("val")).distinct()
+    least = values.groupBy(*keys).agg(F.min("val").alias("v0"), F.count("val").alias("n_levels"))
+    above = null_safe_join(values, least.select(*keys, "v0"), keys).where(_c("val") > _c("v0"))
+    second = above.groupBy(*keys).agg(F.min("val").alias("v1"))
+    renamed = second.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    on = reduce(and_, [_c(k).eqNullSafe(_c(f"__r_{k}")) for k in keys])
+    return least.join(renamed, on, "left").drop(*[f"__r_{k}" for k in keys])
+
+
 def compare_with_rest(sums: DataFrame, group: str, strata: str, by: Sequence[str] = (),
                       groups: DataFrame | None = None) -> DataFrame:
     """SVY2 + SVY4 for every (by, var, group).
@@ -72,22 +95,19 @@ def compare_with_rest(sums: DataFrame, group: str, strata: str, by: Sequence[str
     ``groups`` (one column named ``group``) limits the result
     to the municipalities of the code list (LBL6).
 
-    Physical shape: the sums are hash-partitioned once by (by, var); every
-    later step groups or windows by a superset of those keys, so no further
-    exchange is needed until the result (one row per municipality).
+    Physical shape: two levels of decomposable sums, each an aggregate with
+    map-side partials: per (by, var, stratum), then per (by, var), and per
+    (by, var, municipality); the constants are joined back on these keys.  No
+    step gathers the cells of one indicator, so one indicator that holds all rows is
+    spread like many.  Sums, cells and stratum totals are written once (reliable checkpoints) and read by every step.
     """
     K = list(by) + ["var"]
     z = F.lit(0.0)
-    s = sums.repartition(*K)
-    wK = Window.partitionBy(*K)
-    seen = _c("val").isNotNull() & _c(group).isNotNull()
-    # levels are numbered, not collected: a continuous indicator has many
-    level = F.dense_rank().over(wK.orderBy(F.when(seen, _c("val")).asc_nulls_last()))
-    s = s.withColumns({"v0": F.min(F.when(seen, _c("val"))).over(wK), "__level": F.when(seen, level).otherwise(F.lit(0))})
-    s = s.withColumns({"v1": F.min(F.when(seen & (_c("val") > _c("v0")), _c("val"))).over(wK),
-                       "n_levels": F.max("__level").over(wK)})
+    sums = materialize(sums)
+    kv = answer_values(sums, K, group)
+    s = null_safe_join(sums, kv, K)
     is0, is1 = _c("val") == _c("v0"), _c("val") == _c("v1")
-    hg = s.groupBy(*K, strata, group).agg(
+    hg = materialize(s.groupBy(*K, strata, group).agg(
         F.sum("n").alias("n_all"), F.max("n_levels").alias("n_levels"),
         F.coalesce(F.sum(F.when(is0, _c("s1"))), z).alias("a1"),
         F.coalesce(F.sum(F.when(is1, _c("s1"))), z).alias("b1"),
@@ -96,56 +116,48 @@ def compare_with_rest(sums: DataFrame, group: str, strata: str, by: Sequence[str
         F.coalesce(F.sum(F.when(_c("val").isNotNull(), _c("s1"))), z).alias("t1"),
         F.coalesce(F.sum(F.when(is0, _c("n"))), F.lit(0)).alias("an"),
         F.coalesce(F.sum(F.when(is1, _c("n"))), F.lit(0)).alias("bn"),
-        F.coalesce(F.sum(F.when(_c("val").isNotNull(), _c("n"))), F.lit(0)).alias("tn"))
+        F.coalesce(F.sum(F.when(_c("val").isNotNull(), _c("n"))), F.lit(0)).alias("tn")))
 
     # per stratum: all design rows (NULL group and NULL value included) and region totals
     known = _c(group).isNotNull()
-    wKh = Window.partitionBy(*K, strata)
-    hg = hg.withColumns({"nh": F.sum("n_all").over(wKh),
-                         **{"t" + c: F.coalesce(F.sum(F.when(known, _c(c))).over(wKh), z)
-                            for c in ("a1", "b1", "a2", "b2", "t1", "an", "bn", "tn")},
-                         "__first": F.row_number().over(wKh.orderBy(F.col(group).asc_nulls_first())) == 1})
+    st = hg.groupBy(*K, strata).agg(F.sum("n_all").alias("nh"), *[
+        F.coalesce(F.sum(F.when(known, _c(c))), z).alias("t" + c) for c in ("a1", "b1", "a2", "b2", "t1", "an", "bn", "tn")])
     nh = _c("nh")
-    hg = hg.withColumn("fh", F.when(nh <= 1, F.raise_error(F.concat(
+    st = st.withColumn("fh", F.when(nh <= 1, F.raise_error(F.concat(
         F.lit("stratum with a single row: "), _c(strata).cast("string")))).otherwise(nh / (nh - F.lit(1))))
-    # per indicator: sums over strata (one row per stratum counts)
-    one = _c("__first")
+    st = materialize(st)
+    # per indicator: sums over strata
     fn = _c("fh") / nh
-    hg = hg.withColumns({
-        "W0": F.sum(F.when(one, _c("ta1"))).over(wK), "W1": F.sum(F.when(one, _c("tb1"))).over(wK),
-        "Wall": F.sum(F.when(one, _c("tt1"))).over(wK),
-        "N0": F.sum(F.when(one, _c("tan"))).over(wK), "N1": F.sum(F.when(one, _c("tbn"))).over(wK),
-        "Nall": F.sum(F.when(one, _c("ttn"))).over(wK),
-        "U0": F.sum(F.when(one, _c("fh") * _c("ta2"))).over(wK),
-        "U1": F.sum(F.when(one, _c("fh") * _c("tb2"))).over(wK),
-        "T00": F.sum(F.when(one, fn * _c("ta1") * _c("ta1"))).over(wK),
-        "T01": F.sum(F.when(one, fn * _c("ta1") * _c("tb1"))).over(wK),
-        "T11": F.sum(F.when(one, fn * _c("tb1") * _c("tb1"))).over(wK),
-        "n_design": F.sum(F.when(one, nh)).over(wK),
-        "n_strata": F.count(F.when(one, F.lit(1))).over(wK)})
+    constants = st.groupBy(*K).agg(
+        F.sum("ta1").alias("W0"), F.sum("tb1").alias("W1"), F.sum("tt1").alias("Wall"),
+        F.sum("tan").alias("N0"), F.sum("tbn").alias("N1"), F.sum("ttn").alias("Nall"),
+        F.sum(_c("fh") * _c("ta2")).alias("U0"), F.sum(_c("fh") * _c("tb2")).alias("U1"),
+        F.sum(fn * _c("ta1") * _c("ta1")).alias("T00"), F.sum(fn * _c("ta1") * _c("tb1")).alias("T01"),
+        F.sum(fn * _c("tb1") * _c("tb1")).alias("T11"), F.sum(nh).alias("n_design"), F.count(F.lit(1)).alias("n_strata"))
     # per municipality: its cell sums and the contrast weights q = c / S
-    wKg = Window.partitionBy(*K, group)
-    hg = hg.where(known).withColumns({"M0": F.sum("a1").over(wKg), "M1": F.sum("b1").over(wKg),
-                                      "Mall": F.sum("t1").over(wKg), "K0": F.sum("an").over(wKg),
-                                      "K1": F.sum("bn").over(wKg), "Kall": F.sum("tn").over(wKg)})
+    own = hg.where(known)
+    if groups is not None:
+        own = own.join(groups.select(group).where(_c(group).isNotNull()).distinct(), group, "left_semi")
+    gm = own.groupBy(*K, group).agg(F.max("n_levels").alias("n_levels"), *[
+        F.sum(c).alias(name) for c, name in (("a1", "M0"), ("b1", "M1"), ("t1", "Mall"), ("an", "K0"), ("bn", "K1"), ("tn", "Kall"))])
+    gm = null_safe_join(gm, constants, K)
 
     def rest(total, own, rows, own_rows):
         # total minus own in floating point: exactly 0 when no row is left
         return F.when(_c(rows) == _c(own_rows), z).otherwise(_c(total) - _c(own))
-    hg = hg.withColumns({"R0": rest("W0", "M0", "N0", "K0"), "R1": rest("W1", "M1", "N1", "K1")})
+    gm = gm.withColumns({"R0": rest("W0", "M0", "N0", "K0"), "R1": rest("W1", "M1", "N1", "K1")})
     # the rest's total: the sum of its two cells where there are no others, so that an empty cell gives a share of exactly 0 or 1
-    hg = hg.withColumn("Rall", F.when(_c("N0") + _c("N1") == _c("Nall"), _c("R0") + _c("R1")).otherwise(rest("Wall", "Mall", "Nall", "Kall")))
-    hg = hg.withColumns({"q0T": -_inv(_c("M0")), "q1T": _inv(_c("M1")), "q0F": _inv(_c("R0")), "q1F": -_inv(_c("R1"))})
+    gm = gm.withColumn("Rall", F.when(_c("N0") + _c("N1") == _c("Nall"), _c("R0") + _c("R1")).otherwise(rest("Wall", "Mall", "Nall", "Kall")))
+    gm = gm.withColumns({"q0T": -_inv(_c("M0")), "q1T": _inv(_c("M1")), "q0F": _inv(_c("R0")), "q1F": -_inv(_c("R1"))})
     # the part of the stratum sum that depends on the municipality (its strata only)
+    cells = null_safe_join(own.select(*K, strata, group, "a1", "b1", "a2", "b2"), st.select(*K, strata, "nh", "fh", "ta1", "tb1"), [*K, strata])
+    cells = null_safe_join(cells, gm, [*K, group])
     bh = (_c("q0T") - _c("q0F")) * _c("a1") + (_c("q1T") - _c("q1F")) * _c("b1")
     ah = _c("q0F") * _c("ta1") + _c("q1F") * _c("tb1")
     term = (_c("fh") * ((_c("q0T") ** 2 - _c("q0F") ** 2) * _c("a2") + (_c("q1T") ** 2 - _c("q1F") ** 2) * _c("b2"))
             - _c("fh") / _c("nh") * (F.lit(2.0) * ah * bh + bh * bh))
-    const = ["n_levels", "W0", "W1", "Wall", "U0", "U1", "T00", "T01", "T11", "n_design", "n_strata",
-             "M0", "M1", "Mall", "R0", "R1", "Rall", "q0T", "q1T", "q0F", "q1F"]
-    r = hg.groupBy(*K, group).agg(F.sum(term).alias("__part"), *[F.max(c).alias(c) for c in const])
-    if groups is not None:
-        r = r.join(groups.select(group).where(_c(group).isNotNull()).distinct(), group, "left_semi")
+    const = [c for c in gm.columns if c not in (*K, group)]
+    r = cells.groupBy(*K, group).agg(F.sum(term).alias("__part"), *[F.max(c).alias(c) for c in const])
 
     q0F, q1F = _c("q0F"), _c("q1F")
     num = (q0F * q0F * _c("U0") + q1F * q1F * _c("U1")
@@ -209,8 +221,9 @@ def parse_direction(df: DataFrame, text: str = "richting") -> DataFrame:
     return df.withColumn("richting_code", code).withColumn("hoger_beter", flag)
 
 
-def require_directions(df: DataFrame) -> DataFrame:
+def require_directions(df: DataFrame, text: str = "richting") -> DataFrame:
     """FLT6: stop the job on an unreadable direction (checked inside the plan)."""
-    msg = F.lit("invalid value in Richting; expected 'Hoger = gunstig' or 'Hoger = ongunstig'")
+    msg = F.concat(F.lit("invalid value in Richting: "), F.coalesce(_c(text), F.lit("(empty)")),
+                   F.lit("; expected 'Hoger = gunstig' or 'Hoger = ongunstig'"))
     return df.withColumn("hoger_beter", F.when(_c("hoger_beter").isNull(), F.raise_error(msg))
                          .otherwise(_c("hoger_beter")))

@@ -20,11 +20,14 @@ from areacube.operators import survey as svy
 from areacube.operators.densify import densify, missing_geo_years
 from areacube.operators.derive import add_derived, suppress, weight_class_indicators
 from areacube.operators.dictionary import decode, observed_levels, recode, truncate, user_missing_to_null
+from areacube.operators.formulas import evaluate_indicators
 from areacube.operators.reshape import lengthen
 from areacube.operators.smooth import share
+from areacube.plans import jobs as J
 from areacube.plans import significance as SG
 from areacube.plans import vaccination as V
 from areacube.plans import weight as W
+from areacube.sinks.cube import indicators
 from areacube.sources import fixtures as fx
 from areacube.sources.tables import read_table
 
@@ -62,13 +65,13 @@ def tidy(df: DataFrame, places: int = 4) -> DataFrame:
 C = W.COLS
 
 
-def weight_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return W.finest_cells(fx.weight_microdata(spark, sf_dir))
+def weight_cells(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
+    return W.finest_cells(fx.weight_microdata(spark, sf_dir, gaps))
 
 
-def grain(spark: SparkSession, sf_dir: str, g: str, **kw) -> DataFrame:
+def grain(spark: SparkSession, sf_dir: str, g: str, gaps: bool = False, **kw) -> DataFrame:
     members = kw.pop("members", fx.region_members(spark, sf_dir))
-    return W.grain_table(weight_cells(spark, sf_dir), W.grains()[g], members=members, **kw)
+    return W.grain_table(weight_cells(spark, sf_dir, gaps), W.grains()[g], members=members, **kw)
 
 
 def _keys(g: str) -> list[str]:
@@ -101,7 +104,7 @@ def share_in_group(spark, sf_dir):
 @register("missing_geo_years")
 def missing_geo_years_q(spark, sf_dir):
     """JN9, AGG9, DAT4: (municipality, year) pairs without any row."""
-    t = weight_cells(spark, sf_dir).select(C.municipality, C.year)
+    t = weight_cells(spark, sf_dir, gaps=True).select(C.municipality, C.year)
     return missing_geo_years(t, [C.municipality], C.year, fx.region_members(spark, sf_dir))
 
 
@@ -115,7 +118,7 @@ def densify_zero(spark, sf_dir):
 @register("densify_years")
 def densify_years(spark, sf_dir):
     """DEN2, DEN3, SET2: the grid after stub years and member municipalities."""
-    t = weight_cells(spark, sf_dir).select(*_keys("g2"), "n")
+    t = weight_cells(spark, sf_dir, gaps=True).select(*_keys("g2"), "n")
     return densify(t, [C.municipality], [C.sex, C.age, C.klass], C.year, zero_fill=True,
                    extra_geos=fx.region_members(spark, sf_dir), fill_years=True)
 
@@ -123,31 +126,31 @@ def densify_years(spark, sf_dir):
 @register("moving_average")
 def moving_average(spark, sf_dir):
     """WIN1-WIN4 on the municipality grain (the base table behind two cubes)."""
-    return tidy(grain(spark, sf_dir, "g2"))
+    return tidy(grain(spark, sf_dir, "g2", gaps=True))
 
 
 @register("moving_average_district")
 def moving_average_district(spark, sf_dir):
     """g1: district grain on the observed (municipality, district) pair spine (D1)."""
-    return tidy(grain(spark, sf_dir, "g1"))
+    return tidy(grain(spark, sf_dir, "g1", gaps=True))
 
 
 @register("moving_average_subregion")
 def moving_average_subregion(spark, sf_dir):
     """g3: subregion grain; stub years come from the observed subregions."""
-    return tidy(grain(spark, sf_dir, "g3"))
+    return tidy(grain(spark, sf_dir, "g3", gaps=True))
 
 
 @register("moving_average_region")
 def moving_average_region(spark, sf_dir):
     """g4: whole region, no area column."""
-    return tidy(grain(spark, sf_dir, "g4"))
+    return tidy(grain(spark, sf_dir, "g4", gaps=True))
 
 
 @register("moving_average_no_fill")
 def moving_average_no_fill(spark, sf_dir):
     """WIN2, D10: check-table form (g5): absent cells stay NULL, never 0."""
-    return tidy(grain(spark, sf_dir, "g5"))
+    return tidy(grain(spark, sf_dir, "g5", gaps=True))
 
 
 @register("check_tables")
@@ -161,7 +164,7 @@ def check_tables(spark, sf_dir):
 @register("smoothed_count")
 def smoothed_count_q(spark, sf_dir):
     """WIN4: smoothed count on the subregion grain."""
-    t = grain(spark, sf_dir, "g3")
+    t = grain(spark, sf_dir, "g3", gaps=True)
     return tidy(t.select(*_keys("g3"), "n_total", "perc_ma", "n_weighted"))
 
 
@@ -438,6 +441,33 @@ def derived_indicators(spark, sf_dir):
     return tidy(add_derived(cube, weight_class_indicators()))
 
 
+@register("formulas_municipality")
+def formulas_municipality(spark, sf_dir):
+    """MET5, MET6: the formula texts of the municipality cube's indicator table, evaluated."""
+    table = indicators(J.weight_spec(fx.value_dictionary(spark)), spark)
+    return tidy(evaluate_indicators(cube_municipality_raw(spark, sf_dir), table.where(F.col("Formula").isNotNull())))
+
+
+@register("formulas_absolute")
+def formulas_absolute(spark, sf_dir):
+    """MET5, MET6: the class shares of the absolute cube, from its formula texts."""
+    members = fx.region_members(spark, sf_dir)
+    codes = W.municipality_codes(fx.area_codes(spark, sf_dir), members)
+    cube = W.cube_absolute(known_weight_cells(spark, sf_dir), members, codes, subregion_codes(spark, sf_dir))
+    return tidy(evaluate_indicators(cube, indicators(J.weight_spec(fx.value_dictionary(spark), True), spark)))
+
+
+@register("formulas_vaccination")
+def formulas_vaccination(spark, sf_dir):
+    """MET6: the vaccination rate from its formula text, and indicators that refer to it."""
+    facts = fx.vaccination_facts(spark, sf_dir)
+    cube = V.vaccination_cube(facts, fx.member_area_keys(spark, sf_dir), "GG0001", "NL01  ",
+                              fx.vaccine_labels(spark, sf_dir, V.VACCINE_TYPES))
+    code, _, formula = J.VACC_RATE
+    return tidy(evaluate_indicators(cube, {"RVP_Tekort": f"90-{code}", code: formula, "RVP_Niet": "RVP_Populatie-RVP_Gevaccineerden",
+                                           "RVP_Niet_perc": f"-({code}-1e2)/1", "RVP_Niet_som": "RVP_Niet+RVP_Niet_perc*0"}))
+
+
 @register("threshold_suppress")
 def threshold_suppress(spark, sf_dir):
     """MET7: shares hidden where their threshold indicator is below 50."""

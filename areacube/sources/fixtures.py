@@ -24,11 +24,12 @@ def _gm_code(nationkey: Column) -> Column:
     return F.concat(F.lit("GM"), F.lpad(nationkey.cast("string"), 4, "0"))
 
 
-def weight_microdata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """fx_meas: one row per measured child.
+def weight_microdata(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
+    """fx_meas: one row per measured child, one for each order.
 
-    Year 1997 is missing everywhere, NATION_3 has no rows in 1998, about 1 %
-    of the rows have no weight class, and class 5 occurs (merged into 4 later).
+    About 1 % of the rows have no weight class, and class 5 occurs (merged into
+    4 later).  With ``gaps`` (for the queries about missing years only) year
+    1997 is missing everywhere and NATION_3 has no rows in 1998.
     """
     o = read_table(spark, sf_dir, "orders",
                    ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate"])
@@ -38,8 +39,9 @@ def weight_microdata(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = (o.join(c, o.o_custkey == c.c_custkey)
          .join(n, c.c_nationkey == n.n_nationkey)
          .join(r, n.n_regionkey == r.r_regionkey)
-         .withColumn("y", _year("o_orderdate"))
-         .where((F.col("y") != 1997) & ~((F.col("n_name") == "NATION_3") & (F.col("y") == 1998))))
+         .withColumn("y", _year("o_orderdate")))
+    if gaps:
+        t = t.where((F.col("y") != 1997) & ~((F.col("n_name") == "NATION_3") & (F.col("y") == 1998)))
     missing = (F.col("o_orderkey") % 97) == 0
     prio = F.substring("o_orderpriority", 1, 1)
     return t.select(

@@ -20,7 +20,9 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    """All of the library's queries; the training-data queries may go without (SQL cannot express most)."""
+    from areacube.plans import registry
+    assert set(registry.queries()) <= set(SQL) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

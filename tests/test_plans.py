@@ -41,8 +41,40 @@ def test_region_keys_pushed_to_scan(spark, tmp_path):
 
 
 def test_survey_exchanges(spark):
-    # the microdata aggregate, one repartition of the sums by (wave, indicator), the municipality list
-    assert exchange_count(R.svy_rao_scott(spark, SF_SMALL)) == 3
+    """The microdata is summed once and written; what follows are aggregates and joins of
+    cells on keys finer than (wave, indicator), and no window gathers an indicator."""
+    t = R.svy_rao_scott(spark, SF_SMALL)
+    text = plan_text(t)
+    assert exchange_count(t) == 11 and "Window" not in text and "lineitem" not in text and not has_nested_loop_join(t)
+
+
+def test_one_indicator_with_all_rows_is_spread(spark):
+    """One (wave, indicator) that owns every cell: its cells lie in many partitions of the widest join."""
+    from pyspark.sql import functions as F
+
+    from areacube.operators import survey as svy
+    rows = spark.range(40_000).select((F.col("id") % 400).alias("g"), (F.col("id") % 97).alias("h"), F.lit(1.0).alias("w"),
+                                      ((F.col("id") * 7919) % 13 % 2).cast("double").alias("y"))
+    sums = svy.survey_sums(rows, ["y"], "g", "h", "w")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        where = sums.groupBy("var", "h", "g").count().groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set(key, before)
+    assert len(where) == 8 and max(r["count"] for r in where) < 2 * sum(r["count"] for r in where) / 8
+    assert svy.compare_with_rest(sums, "g", "h").count() == 400
+
+
+def test_year_bounds_are_observed(spark):
+    df = spark.createDataFrame([("a", 2001), ("b", 1999), (None, 2004), ("a", None)], "c string, y int")
+    from areacube.operators.cells import year_bounds
+    out = year_bounds(df, "c", "y")
+    assert "Window" not in plan_text(out)
+    assert sorted(map(tuple, out.collect()), key=str) == [("a", 1999, 2004), ("b", 1999, 2004), (None, 1999, 2004)]
+    assert out.schema["jaar_min"].dataType.simpleString() == "int"
+    assert year_bounds(df.limit(0), "c", "y").collect() == []
 
 
 def test_vaccination_cube_scans_once(spark, tmp_path):
@@ -67,8 +99,10 @@ def test_literal_member_keys_reach_the_scan(spark, tmp_path):
 
 
 def test_survey_reads_the_microdata_once(spark):
-    text = plan_text(R.svy_rao_scott(spark, SF_SMALL))
-    assert text.count("lineitem.parquet]") == 1
+    from areacube.operators.survey import survey_sums
+    sums = survey_sums(R.survey_data(spark, SF_SMALL), R.ALL_INDICATORS, "Gemeentecode", "vo_stratum", "vo_weight", ["vo_wave"])
+    assert plan_text(sums).count("lineitem.parquet]") == 1
+    assert plan_text(R.svy_rao_scott(spark, SF_SMALL)).count("lineitem.parquet]") == 0        # reads the written sums
 
 
 def test_partial_aggregation_before_raw_shuffles(spark):

@@ -67,6 +67,28 @@ def test_resolve_codes_equals_brute_force(spark):
     assert got == want
 
 
+def test_resolve_codes_by_pattern(spark):
+    import re
+    codes = ["a.1", "^vo_", "x+y", "[ab]cd", "colou?r", "z{2}q", r"\\d9", "Ab", "end$", "é", "same", None, "q.*end"]
+    codes = [c and c.replace("\\\\", "\\") for c in codes]
+    names = ["VO_a01", "va_1", "xxy", "bcd", "COLOR", "colour", "zzq", "49", "weekend", "CAFÉ", "same", "SAME", None, "", "q_end"]
+    c = spark.createDataFrame([(x,) for x in codes], "code string")
+    v = spark.createDataFrame([(x,) for x in [*names, "same"]], "variable string")
+    want = [(k, n, sum(bool(re.search(k, m, re.I)) for m in names if m is not None))
+            for k in codes if k for n in names if n is not None and re.search(k, n, re.I)]
+    assert rows(resolve_codes(c, v)) == sorted(want)
+    with pytest.raises(Exception, match="code without fixed text"):
+        resolve_codes(spark.createDataFrame([("(a|b)",)], "code string"), v).collect()
+
+
+def test_code_pieces_are_linear_in_the_names(spark):
+    """Pieces per name: at most three a character, whatever the codes' lengths."""
+    from areacube.operators.relabel import GRAM, _grams
+    df = spark.createDataFrame([("abcdefgh" * 40,), ("x" * 500,), ("ab",), ("",)], "v string")
+    got = df.select("v", F.size(_grams(F.col("v"), range(1, GRAM + 1))).alias("n")).collect()
+    assert all(r.n <= GRAM * len(r.v) for r in got) and [r.n for r in got] == [24, 3, 3, 0]
+
+
 def test_scalars(spark):
     df = spark.createDataFrame([("2020JJ00", "2020-2021", "GM0042", " 12 ", "Hoger = gunstig")],
                                "p string, sj string, k string, num string, r string")
