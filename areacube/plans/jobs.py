@@ -12,7 +12,7 @@ lineage-cut intermediates:
                  grain tables -> three cube bundles, the readable table
                  partitioned by municipality, and the check tables (g5-g13 in
                  one plan);
-* significance:  one aggregate over the survey -> tests -> one bundle per indicator;
+* significance:  one aggregate over the survey -> tests -> the cubes of all indicators in one write;
 * vaccination:   one scan of the facts -> one bundle;
 * relabel:       one projection -> the relabelled copy.
 """
@@ -33,7 +33,8 @@ from areacube.plans import vaccination as V
 from areacube.plans import weight as W
 from areacube.plans.relabel import relabel
 from areacube.session import materialize
-from areacube.sinks.cube import CubeSpec, Indicator, derived_indicator, write_cube, write_relabelled
+from areacube.sinks.cube import (CubeSpec, Indicator, IndicatorCube, derived_indicator, write_cube, write_indicator_cubes,
+                                 write_relabelled)
 from areacube.sources.labelled import read_indicator_list, read_labelled
 
 
@@ -153,16 +154,18 @@ def weight_job(spark: SparkSession, inputs: WeightInputs, out: str) -> dict[str,
 
 
 def significance_job(spark: SparkSession, inputs: SignificanceInputs, out: str) -> DataFrame:
-    """RSH3, SNK2: one bundle per indicator, its data column named as in its metadata."""
+    """RSH3, SNK2: the cubes ``kubus_<indicator>`` of all indicators in one bundle, each data column named as in its metadata."""
     design = inputs.design
     groups = inputs.municipalities.select(F.col("code").alias(design.group))
     long = materialize(SG.significance(inputs.survey, inputs.indicators, design, groups))
+    cubes = []
     for v in sorted(set(SG.indicator_columns(inputs.survey, inputs.indicators, design).values())):
         name = f"{v}_pgroep"
         spec = CubeSpec(variables=[(name, SIGNIFICANCE_NAME, "Geen")],
                         indicators=[Indicator(name, SIGNIFICANCE_NAME, "Geen", None, "Numeric", 1)],
                         cube=0, source=SIGNIFICANCE_SOURCE)
-        write_cube(spec, SG.cube_for(long, v), f"{out}/kubus_{v}")
+        cubes.append(IndicatorCube(f"kubus_{v}", v, {"pgroep": name}, spec))
+    write_indicator_cubes(cubes, long.select("Jaar", "geolevel", "geoitem", "var", "pgroep"), out)
     return long
 
 

@@ -1,5 +1,6 @@
 """SRC1-SRC5, SNK1-SNK4, MET1-MET5: write and read back."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from areacube.operators.relabel import field_labels, with_labels
@@ -47,7 +48,46 @@ def test_cube_bundle(spark, tmp_path):
 def test_partitioned_cube(spark, tmp_path):
     data = spark.createDataFrame([(2020, "a", 1), (2020, "b", 2)], "Jaar int, var string, pgroep int")
     write_cube(CubeSpec(), data, str(tmp_path / "c"), partition_by=["var"])
-    assert sorted(p.name for p in (tmp_path / "c" / "Data").iterdir() if p.name.startswith("var=")) == ["var=a", "var=b"]
+    assert sorted(p.name for p in (tmp_path / "c").glob("v*/Data/var=*")) == ["var=a", "var=b"]
+
+
+def test_a_stopped_write_leaves_the_old_bundle(spark, tmp_path, monkeypatch):
+    from areacube.sinks import cube as C
+    path = str(tmp_path / "c")
+    def data(n):
+        return spark.range(n).select(F.col("id").cast("int").alias("Jaar"))
+    with pytest.raises(FileNotFoundError):
+        read_cube(spark, path)
+    write_cube(CubeSpec(), data(1), path)
+    with monkeypatch.context() as m:
+        m.setattr(C, "indicators", lambda *_: 1 / 0)                  # stops after Data is written
+        with pytest.raises(ZeroDivisionError):
+            write_cube(CubeSpec(), data(2), path)
+    with monkeypatch.context() as m:
+        m.setattr(C.BundleVersion, "commit", lambda *_, **__: 1 / 0)  # stops before the manifest
+        with pytest.raises(ZeroDivisionError):
+            write_cube(CubeSpec(), data(3), path)
+    assert read_cube(spark, path)["Data"].count() == 1
+    for n in (4, 5, 6):
+        write_cube(CubeSpec(), data(n), path)
+        assert read_cube(spark, path)["Data"].count() == n
+    assert sorted(p.name for p in (tmp_path / "c").glob("v*")) == ["v00000003", "v00000004"]
+
+
+def test_indicator_cubes_take_a_fixed_number_of_jobs(spark, tmp_path):
+    from areacube.sinks.cube import IndicatorCube, write_indicator_cubes
+
+    def jobs_of(n):
+        cubes = [IndicatorCube(f"k{i}", f"v{i}", {"pgroep": f"v{i}_pgroep"}, CubeSpec(variables=[(f"v{i}_pgroep", "x", "Geen")])) for i in range(n)]
+        data = spark.range(4 * n).select(F.lit(2024).alias("Jaar"), F.concat(F.lit("v"), (F.col("id") % n).cast("string")).alias("var"), F.col("id").cast("int").alias("pgroep"))
+        spark.sparkContext.setJobGroup(f"cubes-{n}", "")
+        write_indicator_cubes(cubes, data, str(tmp_path / f"c{n}"))
+        spark.sparkContext.setJobGroup("", "")
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"cubes-{n}"))
+    assert jobs_of(2) == jobs_of(12)
+    one = read_cube(spark, str(tmp_path / "c12"), cube="k7")
+    assert one["Data"].columns == ["Jaar", "v7_pgroep"] and sorted(r[1] for r in one["Data"].collect()) == [7, 19, 31, 43]
+    assert [r["Onderwerpcode"] for r in one["Label_var"].collect()] == ["v7_pgroep"] and "var#" in one["Data"]._jdf.queryExecution().toString()
 
 
 def test_relabel_job(spark, tmp_path):
