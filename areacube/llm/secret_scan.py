@@ -36,13 +36,13 @@ FORMATS = {
     "service_key": r"(?:[sr]k_(?:live|test)_[A-Za-z0-9]{16,}|sk-[A-Za-z0-9_-]{20,}|glpat-[A-Za-z0-9_-]{20,}|npm_[A-Za-z0-9]{36})",
     "google_key": r"AIza[0-9A-Za-z_-]{35}",
     "web_token": r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*",
-    "private_key": r"-----BEGIN[A-Z ]{0,20}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]*+-----END[A-Z ]{0,20}PRIVATE KEY-----)?",
+    "private_key": r"-----BEGIN[A-Z ]*PRIVATE KEY-----(?:\s*+(?:[A-Za-z0-9-]++:[^\n]*+\n\s*+)*+[A-Za-z0-9+/=\s]*+-----END[A-Z ]*PRIVATE KEY-----)?",
 }
 NAMES = r"(?i:passwords?|passwd|pwd|passphrase|secret|token|credential|auth|(?:api|access|secret|private|client)[_-]?(?:key|token|secret))"
 ASSIGNED = NAMES + r"[\"']?\s{0,3}(?:[:=]|=>)\s{0,3}[\"']?"
 VALUE = r"[^\s\"',;]{6,}"
-#: 20 or more of these characters with a letter and a digit among them.
-LONG = r"(?=[A-Za-z0-9+/_=-]{0,200}[0-9])(?=[A-Za-z0-9+/_=-]{0,200}[A-Za-z])[A-Za-z0-9+/_=-]{20,}"
+#: A whole run of 20 or more of these characters with a letter and a digit anywhere in it (looked for once a run).
+LONG = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_=-]*[0-9])(?=[A-Za-z0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{20,}"
 CANDIDATE = r"(?<![A-Za-z0-9_])(?:" + "|".join(FORMATS.values()) + "|" + ASSIGNED + VALUE + "|" + LONG + ")"
 
 WORDS = """password passwd secret token access account admin client config default value name user file path data index string number class
