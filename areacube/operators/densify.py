@@ -19,7 +19,7 @@ windows partitioned by supersets of ``cluster`` reuse that exchange.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,6 +55,24 @@ def dimension_levels(cells: DataFrame, dims: Sequence[str], year: str,
         F.min(year).alias("__lo"), F.max(year).alias("__hi")).alias("lv"))
 
 
+def with_dictionary_levels(levels: DataFrame, dictionary: DataFrame, variables: Mapping[str, str]) -> DataFrame:
+    """DEN1, FCT1: the row of ``dimension_levels`` with the levels that the value
+    dictionary (variable, code, ...) gives its factor dims added to the observed ones.
+
+    ``variables`` maps dim -> variable.  A level that nobody has thus enters the
+    grid; a dim whose variable has no entries keeps its observed values.  The
+    dictionary is one row of level sets too (a scalar subquery), never collected.
+    """
+    kinds = {f.name: f.dataType.elementType["v"].dataType for f in levels.schema["lv"].dataType.fields if f.name in variables}
+    entry = {d: F.when((F.col("variable") == var) & F.col("code").isNotNull(), F.struct(F.col("code").cast(kinds[d]).alias("v")))
+             for d, var in variables.items()}
+    given = dictionary.agg(F.struct(*[F.collect_set(e).alias(d) for d, e in entry.items()])).scalar()
+    lv = F.col("lv")
+    for d in variables:
+        lv = lv.withField(d, F.array_union(F.col("lv").getField(d), given.getField(d)))
+    return levels.select(lv.alias("lv"))
+
+
 def densify(cells: DataFrame, geo: Sequence[str], dims: Sequence[str], year: str,
             measure: str = "n", zero_fill: bool = True, extra_geos: DataFrame | None = None,
             fill_years: bool | Column = False, cluster: Sequence[str] | None = None,

@@ -35,7 +35,7 @@ from areacube.plans.relabel import relabel
 from areacube.session import materialize
 from areacube.sinks.cube import (CubeSpec, Indicator, IndicatorCube, derived_indicator, write_cube, write_indicator_cubes,
                                  write_relabelled)
-from areacube.sources.labelled import read_indicator_list, read_labelled
+from areacube.sources.labelled import read_indicator_list, read_labelled, value_labels
 
 
 @dataclass(frozen=True)
@@ -205,8 +205,10 @@ def staged_inputs(spark: SparkSession, folder: str, job: str):
         return json.loads("".join(r[0] for r in spark.read.text(f"{folder}/parameters.json", wholetext=True).collect()))
     if job == "weight":
         microdata, dictionary = read_labelled(spark, f"{folder}/microdata")
-        if dictionary is None:
-            raise ValueError(f"{folder}/microdata has no value dictionary")
+        if dictionary is None:                               # labels in the data's own fields
+            dictionary = value_labels(microdata)
+            if dictionary.isEmpty():
+                raise ValueError(f"{folder}/microdata has no value dictionary")
         return WeightInputs(microdata, dictionary, table("areas"), table("members"), table("subregions"))
     if job == "significance":
         survey, _ = read_labelled(spark, f"{folder}/survey", user_na=True)

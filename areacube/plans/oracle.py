@@ -328,6 +328,16 @@ FROM c WINDOW w AS (PARTITION BY gemeentekind, geslacht, lftkompas, eindjaar)"""
 
     q["densify_zero"] = grid_sql("g2", members=False, fill_years=False)
     q["densify_years"] = grid_sql("g2", members=True, fill_years=True)
+    q["densify_levels"] = with_ctes(["wm"], [
+        ("c", f"SELECT {g2k}, count(*) AS n FROM wm GROUP BY {g2k}"),
+        ("areas", "SELECT DISTINCT gemeentekind FROM c"), ("years", "SELECT DISTINCT eindjaar FROM c"),
+        ("sexes", "SELECT geslacht FROM c UNION SELECT unnest([1, 2, 3, 4])"),
+        ("ages", "SELECT lftkompas FROM c UNION SELECT unnest([1, 2, 3])"),
+        ("classes", "SELECT gewicht5 FROM c UNION SELECT unnest([1, 2, 3, 4, 5])"),
+    ], """SELECT a.gemeentekind, s.geslacht, l.lftkompas, y.eindjaar, k.gewicht5, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM areas a CROSS JOIN sexes s CROSS JOIN ages l CROSS JOIN years y CROSS JOIN classes k
+LEFT JOIN c ON c.gemeentekind = a.gemeentekind AND c.geslacht = s.geslacht AND c.lftkompas = l.lftkompas
+ AND c.eindjaar = y.eindjaar AND c.gewicht5 IS NOT DISTINCT FROM k.gewicht5""")
     q["moving_average"] = grain_sql("g2")
     q["moving_average_district"] = grain_sql("g1")
     q["moving_average_subregion"] = grain_sql("g3")

@@ -17,9 +17,9 @@ from areacube.functions import scalars as S
 from areacube.operators import cells as cellops
 from areacube.operators import relabel as RL
 from areacube.operators import survey as svy
-from areacube.operators.densify import densify, missing_geo_years
+from areacube.operators.densify import densify, dimension_levels, missing_geo_years, with_dictionary_levels
 from areacube.operators.derive import add_derived, suppress, weight_class_indicators
-from areacube.operators.dictionary import decode, observed_levels, recode, truncate, user_missing_to_null
+from areacube.operators.dictionary import decode, observed_levels, override, recode, truncate, user_missing_to_null
 from areacube.operators.formulas import evaluate_indicators
 from areacube.operators.reshape import lengthen
 from areacube.operators.smooth import share
@@ -29,6 +29,7 @@ from areacube.plans import vaccination as V
 from areacube.plans import weight as W
 from areacube.sinks.cube import indicators
 from areacube.sources import fixtures as fx
+from areacube.sources.labelled import value_labels, with_value_labels
 from areacube.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,6 +116,19 @@ def densify_zero(spark, sf_dir):
     return densify(t, [C.municipality], [C.sex, C.age, C.klass], C.year, zero_fill=True)
 
 
+@register("densify_levels")
+def densify_levels(spark, sf_dir):
+    """DEN1, FCT1, LBL1, LBL2: the product over the dictionary's levels, read from the data's own
+    value labels with one variable overridden; levels that nobody has appear with 0."""
+    labels = {v: [(code, label) for var, code, label, _ in fx.VALUE_DICTIONARY if var == v] for v in (C.sex, C.age, C.klass)}
+    data = with_value_labels(fx.weight_microdata(spark, sf_dir), labels)
+    dictionary = override(value_labels(data), C.sex, {"Man": 1, "Vrouw": 2, "Niet": 3, "Anders": 4})
+    t = W.finest_cells(data).select(*_keys("g2"), "n")
+    dims = [C.sex, C.age, C.klass]
+    levels = with_dictionary_levels(dimension_levels(t, dims, C.year), dictionary, {d: d for d in dims})
+    return densify(t, [C.municipality], dims, C.year, zero_fill=True, levels=levels)
+
+
 @register("densify_years")
 def densify_years(spark, sf_dir):
     """DEN2, DEN3, SET2: the grid after stub years and member municipalities."""

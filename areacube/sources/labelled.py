@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from areacube.operators.dictionary import user_missing_to_null
+from areacube.sources.tables import local_table
 
 DICTIONARY_SCHEMA = T.StructType([
     T.StructField("variable", T.StringType()), T.StructField("code", T.IntegerType()),
@@ -66,6 +67,20 @@ def read_indicator_list(spark: SparkSession, path: str) -> DataFrame:
             .select(F.col("Code").alias("code"), F.col("Richting").alias("richting")))
 
 
+def with_value_labels(df: DataFrame, labels: Mapping[str, Sequence[tuple[int, str]]]) -> DataFrame:
+    """DM2 in the data itself: value labels (code, label), in order, as field metadata; they survive a Parquet round trip."""
+    def marked(c: str) -> dict:
+        return {**df.schema[c].metadata, "value_codes": [int(k) for k, _ in labels[c]], "value_labels": [v for _, v in labels[c]]}
+    return df.select(*[F.col(c).alias(c, metadata=marked(c)) if c in labels else F.col(c) for c in df.columns])
+
+
+def value_labels(df: DataFrame) -> DataFrame:
+    """LBL1: the value dictionary (variable, code, label, ord) that the fields of ``df`` carry."""
+    rows = [(f.name, code, label, k + 1) for f in df.schema.fields
+            for k, (code, label) in enumerate(zip(f.metadata.get("value_codes", []), f.metadata.get("value_labels", [])))]
+    return local_table(df.sparkSession, rows, "variable string, code int, label string, ord int")
+
+
 def variable_dictionary(df: DataFrame) -> DataFrame:
     """LBL1 on the schema: (variable, label) of every column."""
     rows = [(f.name, f.metadata.get("label")) for f in df.schema.fields]

@@ -75,3 +75,28 @@ def test_missing_geo_years(spark):
     members = spark.createDataFrame([("M",)], "g string")
     out = missing_geo_years(_cells(spark), ["g"], "y", members)
     assert rows(out) == sorted([("A", 2021), ("B", 2021), ("B", 2022), ("M", 2020), ("M", 2021), ("M", 2022)])
+
+
+def test_dictionary_levels_enter_the_grid(spark):
+    from areacube.operators.densify import densify, dimension_levels, with_dictionary_levels
+    from areacube.operators.dictionary import override
+    from areacube.sources.labelled import value_labels, with_value_labels
+    data = spark.createDataFrame([("a", 1, None, 2000, 5), ("b", 2, 1, 2001, 7)], "g string, s int, k int, y int, n long")
+    data = with_value_labels(data, {"s": [(1, "Man"), (2, "Vrouw")], "k": [(1, "x"), (9, "y")]})
+    dictionary = override(value_labels(data), "s", {"Man": 1, "Niet": 3})
+    levels = with_dictionary_levels(dimension_levels(data, ["s", "k"], "y"), dictionary, {"s": "s", "k": "k"})
+    got = rows(densify(data, ["g"], ["s", "k"], "y", levels=levels))
+    want = [(g, s, k, y, {("a", 1, None, 2000): 5, ("b", 2, 1, 2001): 7}.get((g, s, k, y), 0))
+            for g in "ab" for s in (1, 2, 3) for k in (None, 1, 9) for y in (2000, 2001)]
+    assert got == sorted(want, key=lambda t: tuple((x is None, x if x is not None else 0) for x in t))
+    plain = dimension_levels(data, ["s", "k"], "y")
+    none = with_dictionary_levels(plain, dictionary.where("variable = 'other'"), {"s": "s"})
+    assert rows(densify(data, ["g"], ["s", "k"], "y", levels=none)) == rows(densify(data, ["g"], ["s", "k"], "y", levels=plain))
+
+
+def test_value_labels_survive_parquet(spark, tmp_path):
+    from areacube.sources.labelled import value_labels, with_value_labels
+    df = with_value_labels(spark.createDataFrame([(1, "x")], "s int, t string"), {"s": [(2, "Vrouw"), (1, "Man")]})
+    df.write.parquet(str(tmp_path / "d"))
+    assert rows(value_labels(spark.read.parquet(str(tmp_path / "d")))) == [("s", 1, "Man", 2), ("s", 2, "Vrouw", 1)]
+    assert value_labels(df.select("t")).collect() == []
