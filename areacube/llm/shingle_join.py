@@ -8,19 +8,26 @@ D = floor(3 n / 17) shingles, n = |A| or |B|.  Shingles are dealt into K
 parts by hash, the same K for all sizes of a band (a set close below a band
 edge is dealt in both).  Each differing shingle spoils one part, so among the
 first D + 1 non-empty parts of either set one is identical: a set sends one
-signature for each of those parts, and linked sets share one.  A signature
-stands for several shingles at once, so documents that merely share a
-passage do not meet.  The most frequent shingles (a list of bounded size) are
-left out of the parts, which keeps the argument as long as D + 1 parts remain;
-sets for which they do not also send the first floor(3 n / 20) + 1 shingles
-of a fixed order, the plain prefix filter.
-
-Search.  Sets that share a signature are compared with the leader (least) of
-that signature's group, so a group of thousands of copies costs one pair per
+signature for each of those parts, and linked sets share one.  K is little
+above D + 1, so a signature stands for some five shingles at once and
+documents that merely share a passage seldom meet.  The most frequent
+shingles (a list of bounded size) are left out of the parts; the other ones
+are called cold.  The argument holds while D + 1 parts remain.  A set with
+fewer sends its first D + 1 single cold shingles.  If it has at most D of
+them, it can link with such a set without a common cold one; then all
+cold shingles of both (c and d) differ, c + d <= D, and at most D - c of the
+frequent ones do: it also sends the first D - c + 1 parts of its frequent
+shingles, or, where these are too few, those among the first
+floor(3 n / 20) + 1 shingles of a fixed order, the plain prefix filter.
+In a group of frequent shingles, pairs whose cold shingles are
+too many to link are not compared.
+
+Search.  Sets that share a signature are compared with the leader (fewest cold
+shingles) of that signature's group, so a group of thousands of copies costs one pair per
 copy.  For each leader, T-occurrence search over its partners' inverted
 lists: the short lists are merged by a heap, the long ones probed by binary
 search (DivideSkip), and partners that reach the required overlap are kept.
-First each set meets its least leader only; pairs that are of one component
+First each set meets its lightest leader only; pairs that are of one component
 by then need no search, and pairs that set sizes or coarse histograms rule out
 do not get one either.  Signature groups that are not one component by then
 are compared again, a bounded number of leaders a round, until no pair of
@@ -148,58 +155,77 @@ def allowed(n):
     return n * (OF - NEED) // NEED
 
 
-def _part_signatures(value, text, n, band, salt) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For texts dealt at ``band``: (text, signature) of the first D + 1 non-empty parts, and the number of parts per text."""
-    k = np.maximum(1, 1 << np.maximum(band - 1, 0)).astype(U)
-    part = (value >> U(32)) * k[text] >> U(32)         # in order, as each set is sorted
+#: Sizes at which the bands of set sizes begin, two an octave, and the parts
+#: of each band: a tenth more than the largest set of the band needs.
+BANDS = np.unique(np.ceil(2.0 ** (np.arange(80) / 2)).astype(np.int64))
+PARTS = np.maximum(1, (allowed(BANDS[1:] - 1) + 1) * 11 // 10)
+
+
+def _part_signatures(value, text, n, most, band, salt) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For texts dealt at ``band`` (None: each shingle is a part): (text, signature) of the first ``most`` + 1 non-empty parts, and the number of parts per text."""
     if not len(text):
         return text, value, np.zeros(len(n), np.int64)
+    part = value if band is None else (value >> U(32)) * PARTS[band].astype(U)[text] >> U(32)         # in order, as each set is sorted
     new = np.concatenate(([True], (text[1:] != text[:-1]) | (part[1:] != part[:-1])))
     at = np.flatnonzero(new)
     content = np.add.reduceat(mixed(value ^ U(0x14057B7EF767814F)), at)
     size = np.diff(np.concatenate((at, [len(text)]))).astype(U)
     text, part = text[at], part[at]
-    sig = mixed(content ^ mixed(part * U(0x9E3779B97F4A7C15) + size * U(131) + band[text].astype(U) + U(salt << 60)))
+    dealt = U(0) if band is None else band[text].astype(U)
+    sig = mixed(content ^ mixed(part * U(0x9E3779B97F4A7C15) + size * U(131) + dealt + U(salt << 60)))
     have = np.bincount(text, minlength=len(n))
     rank = np.arange(len(text)) - np.repeat(np.cumsum(have) - have, have)
-    first = rank <= allowed(n)[text]
+    first = rank <= most[text]
     return text[first], sig[first], have
 
 
-def signatures(found: np.ndarray, n: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text, signature) rows of texts with set sizes ``n``."""
+def signatures(found: np.ndarray, n: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, signature) rows of texts with set sizes ``n``, and how many of
+    each text's shingles are not frequent.  The last bit of a signature tells
+    whether it is one of frequent shingles."""
     text = np.repeat(np.arange(len(n)), n)
     cold = hot[np.minimum(np.searchsorted(hot, found), len(hot) - 1)] != found if len(hot) else np.ones(len(found), bool)
-    band = np.zeros(len(n), np.int64)
-    band[n > 0] = np.frexp(n[n > 0].astype(float))[1] - 1          # floor(log2 n)
-    edge = (n > 0) & (n * OF >= NEED << (band + 1))                # a partner may be in the next band
+    n_cold = np.bincount(text[cold], minlength=len(n))
+    band = np.maximum(np.searchsorted(BANDS, n, side="right") - 1, 0)
+    edge = (n > 0) & (n * OF >= NEED * BANDS[band + 1])            # a partner may be in the next band
+    rows: list = []
+
+    def send(texts, sigs, frequent):
+        rows.append((texts, sigs & ~U(1) | U(frequent)))
 
-    def dealt(use, salt):
-        """Signatures of the shingles in use, and which texts have too few parts."""
-        own = _part_signatures(found[use], text[use], n, band, salt)
+    def dealt(use, most, salt, frequent):
+        """Sends the parts of the shingles in use; which texts have too few."""
+        own = _part_signatures(found[use], text[use], n, most, band, salt)
         up = use & edge[text]
-        more = _part_signatures(found[up], text[up], n, band + 1, salt)
-        rows.extend((own[:2], more[:2]))
-        return (n > 0) & ((own[2] <= allowed(n)) | (edge & (more[2] <= allowed(n))))
+        more = _part_signatures(found[up], text[up], n, most, band + 1, salt)
+        send(*own[:2], frequent)
+        send(*more[:2], frequent)
+        return (n > 0) & ((own[2] <= most) | (edge & (more[2] <= most)))
 
-    rows: list = []
-    weak = dealt(cold, 0)
+    most = allowed(n)
+    weak = dealt(cold, most, 0, False)
     if weak.any():
-        weak &= dealt(weak[text], 1)                               # all their shingles in parts
-    if weak.any():                                                 # still too few: single shingles
+        use = weak[text] & cold
+        send(*_part_signatures(found[use], text[use], n, most, None, 1)[:2], False)
+        weak &= n_cold <= most
+    if weak.any():                                                 # may link without a common cold shingle
+        weak &= dealt(weak[text] & ~cold, most - n_cold, 2, True)
+    if weak.any():                                                 # too few parts: single shingles
         of = np.flatnonzero(weak[text])
         order = of[np.lexsort((mixed(found[of]), ~cold[of], text[of]))]
         number = n[weak]
         rank = np.arange(len(order)) - np.repeat(np.cumsum(number) - number, number)
         order = order[rank <= (n * (OF - NEED) // OF)[text[order]]]
-        rows.append((text[order], mixed(found[order] ^ U(0xA3EC647659359ACD))))
+        order = order[~cold[order]]
+        send(text[order], mixed(found[order] ^ U(0xA3EC647659359ACD)), True)
     texts = np.concatenate([r[0] for r in rows])
     order = np.argsort(texts, kind="stable")
-    return texts[order], np.concatenate([r[1] for r in rows])[order]
+    return texts[order], np.concatenate([r[1] for r in rows])[order], n_cold
 
 
 def _described(width: int, hot: np.ndarray):
-    """The columns but the text, set size, node (hash of the whole set), signatures (of the first text of a set that a task meets)."""
+    """The columns but the text, set size, node (hash of the whole set), weight
+    (2^32 x cold shingles + set size), signatures (of the first text of a set that a task meets)."""
     def run(batches):
         met: set[int] = set()
         for batch in batches:
@@ -212,13 +238,13 @@ def _described(width: int, hot: np.ndarray):
                     if x not in met:
                         met.add(x)
                         first[i] = True
-                texts, sigs = signatures(found, n, hot)
+                texts, sigs, n_cold = signatures(found, n, hot)
                 texts, sigs = texts[first[texts]], sigs[first[texts]]
                 yield pa.RecordBatch.from_arrays([
                     *[part.column(c) for c in carried], pa.array(n.astype(np.int64)),
-                    pa.array(node, mask=n == 0),
+                    pa.array(node, mask=n == 0), pa.array(n_cold.astype(np.int64) << 32 | n),
                     lists_of(sigs.view(np.int64), np.bincount(texts, minlength=len(n))),
-                ], [*carried, "n", "node", "sigs"])
+                ], [*carried, "n", "node", "weight", "sigs"])
     return run
 
 
@@ -355,6 +381,28 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
             .where(F.coalesce("root", "node") != F.coalesce("lead_root", "lead")).select("lead", "node"))
 
 
+def _cold(weight):
+    return F.shiftright(weight, 32)
+
+
+def _size(weight):
+    return F.col(weight).bitwiseAND(F.lit(0xFFFFFFFF))
+
+
+def _frequent_sig():
+    return F.col("sig").bitwiseAND(F.lit(1)) == 1
+
+
+def _may_link():
+    """Whether a set and a leader of its group may link, by their sizes; in a
+    group of frequent shingles their cold shingles all differ (pairs with a
+    common one meet in another group)."""
+    a, b = _size("weight"), _size("lead_weight")
+    cold_a, cold_b = _cold("weight"), _cold("lead_weight")
+    differ = F.when(_frequent_sig(), cold_a + cold_b + F.abs(a - cold_a - b + cold_b)).otherwise(F.abs(a - b))
+    return differ * (NEED + OF) <= (a + b) * (OF - NEED)
+
+
 def text_hash():
     return F.xxhash64("text").alias("text_hash")
 
@@ -366,36 +414,42 @@ def link_components(docs: DataFrame, width: int = WIDTH, hot_texts: int = HOT_TE
     docs = short_batches(docs).select("doc_id", "text", *([text_hash()] if by_text else []))
     scratch = Scratch(docs.sparkSession, "shingle-join")
     hot = frequent_shingles(docs, width, hot_texts, scratch)
-    kind = f"doc_id long, {'text_hash long, ' if by_text else ''}n long, node long, sigs array<long>"
+    kind = f"doc_id long, {'text_hash long, ' if by_text else ''}n long, node long, weight long, sigs array<long>"
     described = scratch.written(docs.mapInArrow(_described(width, hot), kind), "described")
 
-    rows = described.where("node is not null").select("node", F.explode("sigs").alias("sig"))
-    group = Window.partitionBy("sig")
-    groups = scratch.written(rows.withColumns({"lead": F.min("node").over(group), "last": F.max("node").over(group)})
-                     .where("lead < last").select("sig", "lead", "node").distinct(), "groups")
-    pairs = groups.where("node != lead").select("lead", "node").distinct()
+    rows = described.where("node is not null").select("node", "weight", F.explode("sigs").alias("sig"))
+    several = rows.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.min("weight").alias("least")).where("lo < hi").select("sig", "least")
+    groups = scratch.written(rows.join(several, "sig").distinct(), "groups")
+    lead = (groups.where("weight = least").groupBy("sig", F.col("weight").alias("lead_weight")).agg(F.min("node").alias("lead")))
+    rest = groups.select("sig", "node", "weight")
+    pairs = rest.join(lead, "sig").where("node != lead").where(_may_link()).select("lead", "lead_weight", "node").distinct()
 
     who = described.join(groups.select("node").distinct(), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS))
     slots = who.select(slot.alias("slot")).distinct()                    # at most SLOTS rows
     few = docs.join(F.broadcast(slots), slot == F.col("slot"), "left_semi")
     sets = scratch.written(few.join(who, "doc_id").select("node", "text").mapInArrow(_sets(width), "node long, n long, counts binary, shingles binary"), "sets")
-    # every set with its least leader first: most other pairs are of one component then
-    first = pairs.groupBy("node").agg(F.min("lead").alias("lead"))
+    # every set with its lightest leader first: most other pairs are of one component then
+    first = pairs.groupBy("node").agg(F.min(F.struct("lead_weight", "lead")).alias("first")).select("node", "first.lead")
     roots = components(_links(first.select("lead", "node"), sets, scratch), scratch)
-    roots = _joined(roots, _links(_apart(pairs.join(first, ["node", "lead"], "left_anti"), roots), sets, scratch), scratch)
-    rest = groups.where("node != lead").select("sig", "node")          # compared with their leader
+    others = pairs.select("lead", "node").join(first, ["node", "lead"], "left_anti")
+    roots = _joined(roots, _links(_apart(others, roots), sets, scratch), scratch)
+    rest = rest.join(lead, "sig").where("node != lead").select("sig", "node", "weight")          # compared with their leader
     while True:
-        rest = rest.join(roots, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
-        apart = rest.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("sig")
-        rank = F.row_number().over(Window.partitionBy("sig").orderBy("node"))
-        ranked = scratch.written(rest.join(apart, "sig").withColumn("rank", rank), "apart")
-        if ranked.isEmpty():
+        rest = rest.join(roots, "node", "left").select("sig", "node", "weight", F.coalesce("root", "node").alias("root"))
+        spread = rest.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("weight").alias("least"), F.max(_size("weight")).alias("most"))
+        apart = spread.where("lo < hi").where(~_frequent_sig() | (2 * _cold("least") * (NEED + OF) <= 2 * F.col("most") * (OF - NEED))).select("sig")
+        rest = scratch.written(rest.join(apart, "sig"), "apart")
+        if rest.isEmpty():
             break
-        lead = ranked.where(F.col("rank") <= LEADERS).select("sig", F.col("node").alias("lead"), F.col("root").alias("lead_root"), F.col("rank").alias("lead_rank"))
-        pairs = ranked.join(lead, "sig").where("rank > lead_rank and root != lead_root").select("lead", "node").distinct()
+        rank = F.row_number().over(Window.partitionBy("sig").orderBy("weight", "node"))
+        lead = scratch.written(rest.withColumn("rank", rank).where(F.col("rank") <= LEADERS)
+                               .select("sig", F.col("node").alias("lead"), F.col("weight").alias("lead_weight"), F.col("root").alias("lead_root")), "leaders")
+        after = "(weight > lead_weight or weight = lead_weight and node > lead)"
+        pairs = rest.join(lead, "sig").where(after).where("root != lead_root").where(_may_link()).select("lead", "node").distinct()
         roots = _joined(roots, _links(pairs, sets, scratch), scratch)
-        rest = ranked.where(F.col("rank") > LEADERS).select("sig", "node")
+        last = lead.groupBy("sig").agg(F.max("lead_weight").alias("lead_weight")).join(lead, ["sig", "lead_weight"]).groupBy("sig", "lead_weight").agg(F.max("lead").alias("lead"))
+        rest = rest.join(last, "sig").where(after).select("sig", "node", "weight")
     return scratch.result(_named(described, roots))
 
 
