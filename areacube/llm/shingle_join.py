@@ -403,6 +403,18 @@ def _may_link():
     return differ * (NEED + OF) <= (a + b) * (OF - NEED)
 
 
+def _open(rest: DataFrame) -> DataFrame:
+    """The rows (sig, node, weight, root) of groups of more than one component;
+    in groups of frequent shingles only those sets that may link with the one
+    of fewest cold shingles of another component."""
+    light = rest.groupBy("sig", "root").agg(F.min(_cold("weight")).alias("light"))
+    best = light.groupBy("sig").agg(F.min(F.struct("light", "root")).alias("best")).select("sig", F.col("best.light").alias("lightest"), F.col("best.root").alias("its_root"))
+    other = light.join(best, "sig").where("root != its_root").groupBy("sig", "lightest", "its_root").agg(F.min("light").alias("other"))
+    partner = F.when(F.col("root") == F.col("its_root"), F.col("other")).otherwise(F.col("lightest"))
+    fits = (_cold("weight") + partner) * NEED <= _size("weight") * (OF - NEED)
+    return rest.join(other, "sig").where(~_frequent_sig() | fits).select("sig", "node", "weight", "root")
+
+
 def text_hash():
     return F.xxhash64("text").alias("text_hash")
 
@@ -437,19 +449,19 @@ def link_components(docs: DataFrame, width: int = WIDTH, hot_texts: int = HOT_TE
     rest = rest.join(lead, "sig").where("node != lead").select("sig", "node", "weight")          # compared with their leader
     while True:
         rest = rest.join(roots, "node", "left").select("sig", "node", "weight", F.coalesce("root", "node").alias("root"))
-        spread = rest.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("weight").alias("least"), F.max(_size("weight")).alias("most"))
-        apart = spread.where("lo < hi").where(~_frequent_sig() | (2 * _cold("least") * (NEED + OF) <= 2 * F.col("most") * (OF - NEED))).select("sig")
-        rest = scratch.written(rest.join(apart, "sig"), "apart")
+        rest = scratch.written(_open(rest), "apart")
         if rest.isEmpty():
             break
-        rank = F.row_number().over(Window.partitionBy("sig").orderBy("weight", "node"))
-        lead = scratch.written(rest.withColumn("rank", rank).where(F.col("rank") <= LEADERS)
-                               .select("sig", F.col("node").alias("lead"), F.col("weight").alias("lead_weight"), F.col("root").alias("lead_root")), "leaders")
-        after = "(weight > lead_weight or weight = lead_weight and node > lead)"
-        pairs = rest.join(lead, "sig").where(after).where("root != lead_root").where(_may_link()).select("lead", "node").distinct()
+        # sets of the group's small components lead: the largest one needs none once they are through
+        order = F.struct("many", "weight", "node")
+        ranked = rest.join(rest.groupBy("sig", "root").agg(F.count("*").alias("many")), ["sig", "root"])
+        rank = F.row_number().over(Window.partitionBy("sig").orderBy("many", "weight", "node"))
+        lead = scratch.written(ranked.withColumn("rank", rank).where(F.col("rank") <= LEADERS)
+                               .select("sig", F.col("node").alias("lead"), F.col("weight").alias("lead_weight"), F.col("root").alias("lead_root"), order.alias("lead_order")), "leaders")
+        pairs = ranked.join(lead, "sig").where(order > F.col("lead_order")).where("root != lead_root").where(_may_link()).select("lead", "node").distinct()
         roots = _joined(roots, _links(pairs, sets, scratch), scratch)
-        last = lead.groupBy("sig").agg(F.max("lead_weight").alias("lead_weight")).join(lead, ["sig", "lead_weight"]).groupBy("sig", "lead_weight").agg(F.max("lead").alias("lead"))
-        rest = rest.join(last, "sig").where(after).select("sig", "node", "weight")
+        last = lead.groupBy("sig").agg(F.max("lead_order").alias("last"))
+        rest = ranked.join(last, "sig").where(order > F.col("last")).select("sig", "node", "weight")
     return scratch.result(_named(described, roots))
 
 
