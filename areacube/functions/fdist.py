@@ -1,110 +1,102 @@
-"""Upper tail of the F distribution (UDF4), the only Python function on data.
-
-Spark has no F or incomplete-beta function, so the p-value of the survey
-test is computed by an Arrow-batched pandas UDF.  It runs once per
-(indicator, municipality) result row, after all aggregation.
-
-``P(F(d1, d2) > f) = I_x(d2/2, d1/2)`` with ``x = d2 / (d2 + d1 f)``, the
-regularized incomplete beta function, evaluated by its continued fraction
-(modified Lentz) and the symmetry ``I_x(a, b) = 1 - I_{1-x}(b, a)``.  The
-fraction needs about sqrt(d2) terms; it is one method for every d2, and a
-value that does not converge is an error.
+"""Upper tail of the F distribution (UDF4) as a Column expression.
+
+Spark has no F or incomplete-beta function.  ``P(F(d1, d2) > f)`` is
+``I_x(d2/2, d1/2)`` with ``x = d2 / (d2 + d1 f)``, the regularized incomplete
+beta function, evaluated by its continued fraction (modified Lentz) and the
+symmetry ``I_x(a, b) = 1 - I_{1-x}(b, a)``.  The fraction is one higher-order
+``aggregate`` over the numbers of its terms, the gamma functions are a
+Stirling series: nothing leaves the JVM.
+
+The fraction needs about sqrt(max(d1, d2)) terms where it is used; that many
+times ``ROOTS`` are offered, terms after convergence cost one comparison, and
+a value that does not converge is an error.  The difference of log-gammas is
+formed directly, so large ``d2`` lose no digits.
 """
 
 from __future__ import annotations
 
 import math
-import sys
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# The UDF and its helpers travel to the Python workers by value, so the
-# workers need numpy and pandas but not this package on their path.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _EPS = 1e-15
 _TINY = 1e-300
-
-
-def _betacf(a: np.ndarray, b: np.ndarray, x: np.ndarray, max_iter: int = 1_000_000) -> np.ndarray:
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c = np.ones_like(x)
-    d = 1.0 - qab * x / qap
-    d = np.where(np.abs(d) < _TINY, _TINY, d)
-    d = 1.0 / d
-    h = d.copy()
-    active = np.ones(x.shape, dtype=bool)
-    for m in range(1, max_iter + 1):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = np.where(np.abs(d) < _TINY, _TINY, d)
-        c = 1.0 + aa / c
-        c = np.where(np.abs(c) < _TINY, _TINY, c)
-        d = 1.0 / d
-        h = np.where(active, h * d * c, h)
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = np.where(np.abs(d) < _TINY, _TINY, d)
-        c = 1.0 + aa / c
-        c = np.where(np.abs(c) < _TINY, _TINY, c)
-        d = 1.0 / d
-        delta = d * c
-        h = np.where(active, h * delta, h)
-        active &= np.abs(delta - 1.0) > _EPS
-        if not active.any():
-            return h
-    raise ArithmeticError(f"F tail: no convergence in {max_iter} terms")
-
-
-def _lgamma(x: np.ndarray) -> np.ndarray:
-    return np.array([math.lgamma(v) for v in x.ravel()], dtype=float).reshape(x.shape)
-
-
-def betainc(a, b, x) -> np.ndarray:
-    """Regularized incomplete beta ``I_x(a, b)`` for arrays (NaN where undefined)."""
-    a, b, x = (np.asarray(v, dtype=float) for v in (a, b, x))
-    a, b, x = np.broadcast_arrays(a, b, x)
-    out = np.full(x.shape, np.nan)
-    ok = (a > 0) & (b > 0) & (x >= 0) & (x <= 1)
-    out[ok & (x == 0)] = 0.0
-    out[ok & (x == 1)] = 1.0
-    mid = ok & (x > 0) & (x < 1)
-    if mid.any():
-        am, bm, xm = a[mid], b[mid], x[mid]
-        lbt = (_lgamma(am + bm) - _lgamma(am) - _lgamma(bm)
-               + am * np.log(xm) + bm * np.log1p(-xm))
-        front = np.exp(lbt)
-        direct = xm < (am + 1.0) / (am + bm + 2.0)
-        res = np.empty_like(xm)
-        if direct.any():
-            res[direct] = front[direct] * _betacf(am[direct], bm[direct], xm[direct]) / am[direct]
-        flip = ~direct
-        if flip.any():
-            res[flip] = 1.0 - front[flip] * _betacf(bm[flip], am[flip], 1.0 - xm[flip]) / bm[flip]
-        out[mid] = res
-    return out
-
-
-def f_upper_tail(f, d1, d2) -> np.ndarray:
-    """``P(F(d1, d2) > f)``; NaN where an input is missing or invalid."""
-    f, d1, d2 = (np.asarray(v, dtype=float) for v in (f, d1, d2))
-    f, d1, d2 = np.broadcast_arrays(f, d1, d2)
-    out = np.full(f.shape, np.nan)
-    ok = np.isfinite(f) & (f >= 0) & (d1 > 0) & (d2 > 0)
-    if ok.any():
-        x = d2[ok] / (d2[ok] + d1[ok] * f[ok])
-        out[ok] = betainc(d2[ok] / 2.0, d1[ok] / 2.0, x)
-    return out
-
-
-@F.pandas_udf(T.DoubleType())
-def f_upper_udf(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
-    """Column form of :func:`f_upper_tail` (NULL in, NULL out)."""
-    p = f_upper_tail(f.to_numpy(dtype=float, na_value=np.nan), d1.to_numpy(dtype=float, na_value=np.nan),
-                     d2.to_numpy(dtype=float, na_value=np.nan))
-    return pd.Series(p).where(~np.isnan(p), None)
+#: Terms offered: ROOTS * sqrt(max(a, b)) + LEAST.
+ROOTS, LEAST = 8, 200
+#: Steps by which a gamma function's argument is raised before its series is used.
+SHIFT = 10
+
+
+def _stirling(x: Column) -> Column:
+    """log Gamma(x) - ((x - 1/2) log x - x + log(2 pi)/2), for x of SHIFT or more (to 1e-15)."""
+    # The coefficients of the Stirling series.
+    coefficients = [1 / 12, -1 / 360, 1 / 1260, -1 / 1680, 1 / 1188, -691 / 360360]
+    u = F.lit(1.0) / (x * x)
+    total = F.lit(coefficients[-1])
+    for c in reversed(coefficients[:-1]):
+        total = total * u + F.lit(c)
+    return total / x
+
+
+def log_gamma(x: Column) -> Column:
+    """log Gamma(x) for x > 0."""
+    y = x + F.lit(float(SHIFT))
+    steps = sum((F.log(x + F.lit(float(i))) for i in range(1, SHIFT)), F.log(x))
+    return (y - 0.5) * F.log(y) - y + F.lit(0.5 * math.log(2 * math.pi)) + _stirling(y) - steps
+
+
+def log_gamma_step(p: Column, q: Column) -> Column:
+    """log Gamma(p + q) - log Gamma(p) for p, q > 0, without the cancellation of two large logarithms."""
+    y = p + F.lit(float(SHIFT))
+    steps = sum((F.log1p(q / (p + F.lit(float(i)))) for i in range(1, SHIFT)), F.log1p(q / p))
+    return q * F.log(y + q) + (y - 0.5) * F.log1p(q / y) - q + _stirling(y + q) - _stirling(y) - steps
+
+
+def _guarded(x: Column) -> Column:
+    return F.when(F.abs(x) < _TINY, F.lit(_TINY)).otherwise(x)
+
+
+def beta_fraction(a: Column, b: Column, x: Column) -> Column:
+    """The continued fraction of the incomplete beta function for x < (a + 1) / (a + b + 2)."""
+    top = (F.lit(ROOTS) * F.ceil(F.sqrt(F.greatest(a, b))) + LEAST).cast("int")
+
+    def step(acc: Column, j: Column) -> Column:
+        m = F.floor(j / 2).cast("double")
+        at = a + F.lit(2.0) * m
+        odd = -(a + m) * (a + b + m) * x / (at * (at + 1.0))
+        even = m * (b - m) * x / ((at - 1.0) * at)
+        coefficient = F.when(j % 2 == 1, odd).otherwise(even)
+        d = F.lit(1.0) / _guarded(F.lit(1.0) + coefficient * acc["d"])
+        c = _guarded(F.lit(1.0) + coefficient / acc["c"])
+        return F.when(acc["done"], acc).otherwise(F.struct(
+            c.alias("c"), d.alias("d"), (acc["h"] * d * c).alias("h"),
+            ((j % 2 == 1) & (j > 1) & (F.abs(d * c - 1.0) <= _EPS)).alias("done")))
+
+    start = F.struct(F.lit(1.0 / _TINY).alias("c"), F.lit(1.0).alias("d"), F.lit(1.0).alias("h"), F.lit(False).alias("done"))
+    return F.aggregate(F.sequence(F.lit(1), top), start, step,
+                       lambda acc: F.when(acc["done"], acc["h"]).otherwise(F.raise_error(F.lit("F tail: no convergence")).cast("double")))
+
+
+def f_upper(f: Column, d1: Column, d2: Column) -> Column:
+    """``P(F(d1, d2) > f)``; NULL where an input is NULL, NaN or infinite, f < 0, or a degree of freedom is not positive."""
+    f, d1, d2 = (c.cast("double") for c in (f, d1, d2))
+    inf = F.lit(float("inf"))
+    fine = (f >= 0) & (f < inf) & (d1 > 0) & (d1 < inf) & (d2 > 0) & (d2 < inf)         # NaN is larger than inf in Spark
+    a, b, t = d2 / 2.0, d1 / 2.0, F.try_divide(d1 * f, d2)
+    x, y = F.lit(1.0) / (t + 1.0), t / (t + 1.0)
+    direct = x < (a + 1.0) / (a + b + 2.0)
+
+    def pick(u: Column, v: Column) -> Column:
+        return F.when(direct, u).otherwise(v)
+    # named once: a lambda evaluates an expression of the row anew at every mention
+    row = F.struct(a.alias("a"), b.alias("b"), t.alias("t"), direct.alias("direct"),
+                   pick(a, b).alias("u"), pick(b, a).alias("v"), pick(x, y).alias("z"))
+
+    def tail(r: Column) -> Column:
+        p, q = F.greatest(r["a"], r["b"]), F.least(r["a"], r["b"])
+        front = F.exp(log_gamma_step(p, q) - log_gamma(q) - (r["a"] + r["b"]) * F.log1p(r["t"]) + r["b"] * F.log(r["t"]))
+        part = front * beta_fraction(r["u"], r["v"], r["z"]) / r["u"]
+        return F.transform(F.array(F.struct(part.alias("part"), r["direct"].alias("direct"))),
+                           lambda s: F.when(s["direct"], s["part"]).otherwise(F.lit(1.0) - s["part"]))[0]
+    return F.when(fine & (t == 0), F.lit(1.0)).when(fine, F.transform(F.array(row), tail)[0])

@@ -37,7 +37,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from areacube.functions.fdist import f_upper_udf
+from areacube.functions.fdist import f_upper
 from areacube.session import materialize
 
 
@@ -187,7 +187,7 @@ def compare_with_rest(sums: DataFrame, group: str, strata: str, by: Sequence[str
 
 def p_values(tests: DataFrame) -> DataFrame:
     """SVY4 / UDF4: ``p = P(F(1, nu) > f_stat)`` (NULL where the test is undefined)."""
-    return tests.withColumn("p", f_upper_udf(_c("f_stat"), F.lit(1.0), _c("nu").cast("double")))
+    return tests.withColumn("p", f_upper(_c("f_stat"), F.lit(1.0), _c("nu").cast("double")))
 
 
 def significance_group(df: DataFrame, higher_better: str = "hoger_beter", p: str = "p") -> DataFrame:
