@@ -13,7 +13,7 @@ lineage-cut intermediates:
                  partitioned by municipality, and the check tables (g5-g13 in
                  one plan);
 * significance:  one aggregate over the survey -> tests -> the cubes of all indicators in one write;
-* vaccination:   one scan of the facts -> one bundle;
+* vaccination:   one scan of the facts -> one bundle, its data in order;
 * relabel:       one projection -> the relabelled copy.
 """
 
@@ -35,6 +35,7 @@ from areacube.plans.relabel import relabel
 from areacube.session import materialize
 from areacube.sinks.cube import (CubeSpec, Indicator, IndicatorCube, derived_indicator, write_cube, write_indicator_cubes,
                                  write_relabelled)
+from areacube.sinks.ordered import in_order
 from areacube.sources.labelled import read_indicator_list, read_labelled, value_labels
 
 
@@ -178,7 +179,7 @@ def vaccination_job(spark: SparkSession, inputs: VaccinationInputs, out: str) ->
                          "RVP_Gevaccineerden"))
     spec = CubeSpec(dims=VACC_DIMS, variables=VACC_VARS, indicators=ind, source=VACC_SOURCE,
                     dim_items={"RVP_Vaccinatie": items})
-    write_cube(spec, cube.sortWithinPartitions("geolevel", "Jaar"), f"{out}/vaccinatiegraad")
+    write_cube(spec, in_order(materialize(cube), ["Jaar", "geolevel", "geoitem"]), f"{out}/vaccinatiegraad")
     return cube
 
 

@@ -668,6 +668,7 @@ WHERE Regio = 'NL01' AND label IN ({types}) AND g IS NOT NULL AND graad IS NOT N
     ], f"""
 SELECT Jaar, geolevel, geoitem, {recode} AS RVP_Vaccinatie, round(g, 4) AS RVP_Gevaccineerden,
        round(pop, 4) AS RVP_Populatie FROM u""")
+    q["vaccination_cube_keyed"] = q["vaccination_cube_ordered"] = q["vaccination_cube"]
     q["period_to_date"] = with_ctes(["fx_vacc"], [], r"""
 SELECT regios, perioden, vaccinaties, CAST(regexp_extract(perioden, '\d+') AS INT) AS jaar,
        CASE substring(perioden, 5, 2)

@@ -7,6 +7,7 @@ the result can be compared with the SQL in ``oracle.py``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -27,8 +28,11 @@ from areacube.plans import jobs as J
 from areacube.plans import significance as SG
 from areacube.plans import vaccination as V
 from areacube.plans import weight as W
+from areacube.session import ensure_checkpoint_dir, materialize
 from areacube.sinks.cube import indicators
+from areacube.sinks.ordered import write_ordered
 from areacube.sources import fixtures as fx
+from areacube.sources.keyed import write_keyed
 from areacube.sources.labelled import value_labels, with_value_labels
 from areacube.sources.tables import read_table
 
@@ -61,6 +65,11 @@ def tidy(df: DataFrame, places: int = 4) -> DataFrame:
                        for f in df.schema.fields])
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder for a query's staged table, in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/staged-{uuid.uuid4().hex}/{name}"
+
+
 # ---------------------------------------------------------------- weight job
 
 C = W.COLS
@@ -406,6 +415,26 @@ def vaccination_cube_q(spark, sf_dir):
                                    fx.vaccine_labels(spark, sf_dir, V.VACCINE_TYPES)))
 
 
+@register("vaccination_cube_keyed")
+def vaccination_cube_keyed_q(spark, sf_dir):
+    """SRC3: the cube from facts staged by key range; the key table names the ranges to read while the query runs."""
+    path = scratch(spark, "facts")
+    write_keyed(fx.vaccination_facts(spark, sf_dir), path)
+    return tidy(V.vaccination_cube(spark.read.parquet(path), fx.member_area_keys(spark, sf_dir), "GG0001", "NL01  ",
+                                   fx.vaccine_labels(spark, sf_dir, V.VACCINE_TYPES)))
+
+
+@register("vaccination_cube_ordered")
+def vaccination_cube_ordered_q(spark, sf_dir):
+    """SRT1: the cube written in the order of year and area, and read back."""
+    facts = fx.vaccination_facts(spark, sf_dir)
+    cube = V.vaccination_cube(facts, fx.member_area_keys(spark, sf_dir), "GG0001", "NL01  ",
+                              fx.vaccine_labels(spark, sf_dir, V.VACCINE_TYPES))
+    path = scratch(spark, "ordered")
+    write_ordered(materialize(cube), path, ["Jaar", "geolevel", "geoitem"])
+    return tidy(spark.read.parquet(path))
+
+
 @register("period_to_date")
 def period_to_date(spark, sf_dir):
     """DAT3: period code -> first day and frequency letter."""

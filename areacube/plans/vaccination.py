@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from areacube.functions.scalars import as_number, from_position, period_year
 from areacube.operators.dictionary import lookup, recode
 from areacube.plans.portal import LEVEL_COUNTRY, LEVEL_MUNICIPALITY, LEVEL_REGION
+from areacube.sources.keyed import both_spellings as padded  # noqa: F401
+from areacube.sources.keyed import of_keys
 from areacube.sources.tables import local_table
 
 # The vaccine types of the cube; the code of a type is its position.
@@ -28,32 +30,20 @@ VACCINE_TYPES = [
 ]
 VACCINE_CODES = {name: i + 1 for i, name in enumerate(VACCINE_TYPES)}
 
-KEY_WIDTH = 6
-
-
-def padded(keys: Sequence[str], width: int = KEY_WIDTH) -> list[str]:
-    """Both spellings of each key, so an exact ``In`` filter can be pushed down (T7)."""
-    out = []
-    for k in keys:
-        out += [k.strip(), k.strip().ljust(width)]
-    return sorted(set(out))
-
-
 def read_facts(facts: DataFrame, region: str = "regios", keys: DataFrame | None = None,
                literal_keys: Sequence[str] | None = None) -> DataFrame:
     """SRC3: facts of the listed areas only.
 
     Literal keys become an ``In`` filter on the raw column (pushed to the
-    Parquet reader); a key table becomes a semi-join on both spellings of its keys.
+    Parquet reader); a key table becomes a semi-join on both spellings of its
+    keys.  Facts staged by ``write_keyed`` are read only in the keys' folders, in both forms.
     """
     if keys is not None:
         if literal_keys is not None:
             top = local_table(facts.sparkSession, [(k,) for k in literal_keys], "k string")
             keys = keys.select(F.col(keys.columns[0]).alias("k")).unionByName(top)
-        spelt = F.trim(F.col(keys.columns[0]))
-        both = keys.select(F.explode(F.array(spelt, F.rpad(spelt, KEY_WIDTH, " "))).alias(region)).distinct()
-        return facts.join(both, region, "left_semi")
-    return facts if literal_keys is None else facts.where(F.col(region).isin(padded(literal_keys)))
+        return of_keys(facts, keys, region)
+    return facts if literal_keys is None else of_keys(facts, literal_keys, region)
 
 
 def with_measures(facts: DataFrame, labels: DataFrame | None = None) -> DataFrame:
