@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 
 from .common import Scratch
 
+#: Links that one task contracts.
+TASK_ROWS = 1 << 18
+
 
 def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The links (node, least node) of the components of one batch of links."""
@@ -53,8 +56,14 @@ def _contract(batches):
             yield stars(a, b)
 
 
-def _state(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count("*"), F.bit_xor(F.xxhash64("node", "low"))).first())
+def _state(links: DataFrame) -> tuple[int, int]:
+    """The number of (distinct) links, and of nodes that keep them from being stars around least nodes:
+    those with two lower ones, or with a lower and a higher one."""
+    ends = links.select(F.col("node").alias("id"), F.lit(1).alias("up")).unionByName(links.select(F.col("low").alias("id"), F.lit(0).alias("up")))
+    found = ends.groupBy("id").agg(F.sum("up").alias("ups"), F.min("up").alias("least"))
+    wrong = (F.col("ups") > 1) | ((F.col("ups") == 1) & (F.col("least") == 0))
+    rows, bad = found.agg(F.coalesce(F.sum("ups"), F.lit(0)), F.count(F.when(wrong, 1))).first()
+    return rows, bad
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -71,23 +80,22 @@ def _small_star(links: DataFrame) -> DataFrame:
             .where(F.col("node") != F.col("low")))
 
 
-def _smaller(links: DataFrame) -> DataFrame:
-    return links.mapInArrow(_contract, "node long, low long")
+def _smaller(links: DataFrame, rows: int) -> DataFrame:
+    """Contracted in as many tasks as the rows need, two a core at least: many small batches would contract little."""
+    tasks = max(2 * links.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+    return links.coalesce(tasks).mapInArrow(_contract, "node long, low long")
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """``links(a, b)`` of longs, in any direction, repeats allowed: one row
     (node, root) per linked node, root the least node of its component.
     Links of a node with itself are ignored; an empty table gives an empty one.
-    The result is the table ``roots`` of ``scratch``.
+    Rounds end when the links are stars.  The result is the table ``roots`` of ``scratch``.
     """
     a, b = links.columns[:2]
     now = scratch.written(links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("node"), F.least(a, b).alias("low")).distinct(), "roots")
-    before = _state(now)
-    while before[0]:
-        now = scratch.written(_smaller(_small_star(_large_star(now))).distinct(), "roots")
-        after = _state(now)
-        if after == before:
-            break
-        before = after
+    rows, bad = _state(now)
+    while bad:
+        now = scratch.written(_smaller(_small_star(_large_star(now)), rows).distinct(), "roots")
+        rows, bad = _state(now)
     return now.select("node", F.col("low").alias("root"))

@@ -57,8 +57,8 @@ WIDTH = 4
 NEED, OF = 85, 100
 #: A shingle in about so many texts is left out of the parts, and so many shingles at most.
 HOT_TEXTS, HOT_LIST = 48, 1 << 20
-#: Leaders that one later round compares with the rest of a signature group.
-LEADERS = 64
+#: Leaders that the first later round compares with the rest of a signature group, and their growth from round to round.
+LEADERS, LEADERS_GROW = 64, 4
 #: Texts without a candidate are left out of the second reading by a table of
 #: so many hash values of ids (its bound); those that slip through go at the join.
 SLOTS = 1 << 20
@@ -447,6 +447,7 @@ def link_components(docs: DataFrame, width: int = WIDTH, hot_texts: int = HOT_TE
     others = pairs.select("lead", "node").join(first, ["node", "lead"], "left_anti")
     roots = _joined(roots, _links(_apart(others, roots), sets, scratch), scratch)
     rest = rest.join(lead, "sig").where("node != lead").select("sig", "node", "weight")          # compared with their leader
+    leading = LEADERS
     while True:
         rest = rest.join(roots, "node", "left").select("sig", "node", "weight", F.coalesce("root", "node").alias("root"))
         rest = scratch.written(_open(rest), "apart")
@@ -456,12 +457,13 @@ def link_components(docs: DataFrame, width: int = WIDTH, hot_texts: int = HOT_TE
         order = F.struct("many", "weight", "node")
         ranked = rest.join(rest.groupBy("sig", "root").agg(F.count("*").alias("many")), ["sig", "root"])
         rank = F.row_number().over(Window.partitionBy("sig").orderBy("many", "weight", "node"))
-        lead = scratch.written(ranked.withColumn("rank", rank).where(F.col("rank") <= LEADERS)
+        lead = scratch.written(ranked.withColumn("rank", rank).where(F.col("rank") <= leading)
                                .select("sig", F.col("node").alias("lead"), F.col("weight").alias("lead_weight"), F.col("root").alias("lead_root"), order.alias("lead_order")), "leaders")
         pairs = ranked.join(lead, "sig").where(order > F.col("lead_order")).where("root != lead_root").where(_may_link()).select("lead", "node").distinct()
         roots = _joined(roots, _links(pairs, sets, scratch), scratch)
         last = lead.groupBy("sig").agg(F.max("lead_order").alias("last"))
         rest = ranked.join(last, "sig").where(order > F.col("last")).select("sig", "node", "weight")
+        leading *= LEADERS_GROW                   # rounds follow the logarithm of a group's size
     return scratch.result(_named(described, roots))
 
 
