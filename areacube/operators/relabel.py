@@ -92,21 +92,37 @@ def resolve_code_names(columns: Sequence[str], codes: Sequence[str]) -> dict[str
     return out
 
 
-#: Length of the text pieces that codes and names are joined on.
+#: Texts of up to so many characters are joined on as a whole, longer ones on their pieces of the largest power of two that fits.
 GRAM = 3
 
 # A pattern without its parts that stand for no fixed text: escapes, classes, a character before an optional quantifier, other signs.
 _OPEN = r"\\.|\[\^?\]?[^\]]*\]|[^\\\[\](){}|^$*+?.](?:[*?]|\{[^}]*\})|\{[^}]*\}|[.^$*+?{}]"
 
 
-def _grams(text: Column, lengths: Sequence[int]) -> Column:
+def _grams(text: Column, lengths: Sequence[int | Column]) -> Column:
     """All distinct pieces of the given lengths of a text, as an array."""
-    def of(n: int) -> Column:
+    def of(n: int | Column) -> Column:
         last = F.char_length(text) - n + 1
         return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(text, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
     return F.array_distinct(F.concat(*[of(n) for n in lengths]))
 
 
+def _power(length: Column) -> Column:
+    """The exponent of the largest power of two that is not above a length (above 0)."""
+    return F.char_length(F.bin(length.cast("long"))) - 1
+
+
+def _piece_length(length: Column) -> Column:
+    """The length of the pieces that a text of a length (above 0) is joined on."""
+    return F.when(length <= GRAM, length).otherwise(F.pow(F.lit(2), _power(length)).cast("int"))
+
+
+def _piece_lengths(length: Column) -> Column:
+    """All lengths of pieces that are not above a length, as an array."""
+    powers = F.transform(F.sequence(F.lit(2), _power(length)), lambda k: F.pow(F.lit(2), k).cast("int"))
+    return F.when(length <= GRAM, F.sequence(F.lit(1), length)).otherwise(F.concat(F.sequence(F.lit(1), F.lit(GRAM)), powers))
+
+
 def anchor_text(code: Column) -> Column:
     """The longest fixed text that every match of a pattern holds (lower case; the code itself if it is
     plain text).  Empty for patterns with groups or alternatives."""
@@ -119,25 +135,35 @@ def resolve_codes(codes: DataFrame, variables: DataFrame, code: str = "code", va
     """PRJ7 as a join: (code, variable) for every variable in whose name the code
     (a pattern, any case) is found, plus ``n_matches`` per code.
 
-    Anchored containment: a name is cut into its distinct pieces of one, two and three
-    characters (rows linear in its length), a code is joined on the one piece of its
-    fixed text that the fewest names hold, and the pair is then verified
-    with the pattern.  A pattern without any fixed text (only classes, groups or alternatives) stops the job.
+    Anchored containment: a code's fixed text is cut into its distinct pieces of one length,
+    more than half of that text (all of it up to ``GRAM`` characters); a name is cut likewise,
+    for each such length that some code has.  A code is joined on the one of its pieces that
+    the fewest names hold (pieces go by their hashes), and the pair is then verified with the pattern.
+    Cutting multiplies rows, which size estimates miss, so these joins sort and do not broadcast.
+    A pattern without any fixed text (only classes, groups or alternatives) stops the job.
     NULL codes and names match nothing.
     """
-    names = variables.select(F.col(variable)).where(F.col(variable).isNotNull()).distinct()
-    held = names.select(variable, F.explode(_grams(F.lower(F.col(variable)), range(1, GRAM + 1))).alias("__gram"))
-    rarity = held.groupBy("__gram").agg(F.count(F.lit(1)).alias("__names"))
-    anchor = F.col("__anchor")
+    anchor, text, size, piece = F.col("__anchor"), F.col("__text"), F.col("__size"), ["__size", "__piece"]
     message = F.concat(F.lit("code without fixed text: "), F.col(code))
+
+    def cut(df: DataFrame, key: str, of: Column) -> DataFrame:
+        grams = df.select(key, "__size", F.explode(_grams(of, [size])).alias("__gram"))
+        return grams.select(key, "__size", F.xxhash64("__gram").alias("__piece"))
+
     own = (codes.select(code).where(F.col(code).isNotNull()).distinct().withColumn("__anchor", anchor_text(F.col(code)))
-           .withColumn("__anchor", F.when(F.char_length(anchor) == 0, F.raise_error(message)).otherwise(anchor)))
-    pieces = own.select(code, F.explode(F.when(F.char_length(anchor) >= GRAM, _grams(anchor, [GRAM])).otherwise(F.array(anchor))).alias("__gram"))
-    rarest = (pieces.join(rarity, "__gram").groupBy(code)
-              .agg(F.min(F.struct("__names", "__gram"))["__gram"].alias("__gram")))
-    found = rarest.join(held, "__gram").where(F.expr(f"`{variable}` rlike concat('(?iu)', `{code}`)")).select(code, variable)
+           .withColumn("__anchor", F.when(F.char_length(anchor) == 0, F.raise_error(message)).otherwise(anchor))
+           .withColumn("__size", _piece_length(F.char_length(anchor))))
+    sizes = own.select("__size").distinct()                              # at most GRAM + 29 rows
+    names = (variables.select(variable).distinct().withColumn("__text", F.lower(F.col(variable))).where(F.char_length(text) > 0)
+             .select("*", F.explode(_piece_lengths(F.char_length(text))).alias("__size")).join(F.broadcast(sizes), "__size"))
+    held = cut(names, variable, text)
+    rarity = held.groupBy(*piece).agg(F.count(F.lit(1)).alias("__names"))
+    rarest = (cut(own, code, anchor).hint("merge").join(rarity, piece).groupBy(code, "__size")
+              .agg(F.min(F.struct("__names", "__piece"))["__piece"].alias("__piece")))
+    found = rarest.join(held.hint("merge"), piece).where(F.expr(f"`{variable}` rlike concat('(?iu)', `{code}`)")).select(code, variable)
+    found = found.distinct()                                             # two pieces of one hash
     matches = found.groupBy(code).agg(F.count(F.lit(1)).alias("n_matches"))
-    return found.join(matches, code)
+    return found.hint("merge").join(matches, code)
 
 
 def pad_district(df: DataFrame, col: str = "NOG_Wijk2020", width: int = 6) -> DataFrame:

@@ -32,6 +32,12 @@ def test_resolve_codes_is_an_equi_join(spark):
     assert not has_nested_loop_join(R.resolve_columns_q(spark, SF_SMALL))
 
 
+def test_resolve_codes_broadcasts_piece_lengths_only(spark):
+    """Size estimates miss the rows that cutting adds: neither codes' nor names' pieces go through the driver."""
+    plan = R.resolve_columns_q(spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("BroadcastHashJoin") == plan.count("BroadcastHashJoin [__size") and plan.count("SortMergeJoin [__size") >= 2
+
+
 def test_region_keys_pushed_to_scan(spark, tmp_path):
     facts = fx.vaccination_facts(spark, SF_SMALL)
     facts.write.parquet(str(tmp_path / "facts"))

@@ -89,6 +89,20 @@ def test_code_pieces_are_linear_in_the_names(spark):
     assert all(r.n <= GRAM * len(r.v) for r in got) and [r.n for r in got] == [24, 3, 3, 0]
 
 
+def test_long_codes_join_on_more_than_half_of_their_text(spark):
+    from areacube.operators.relabel import _piece_length, _piece_lengths
+    df = spark.createDataFrame([(n,) for n in (1, 2, 3, 4, 7, 8, 15, 16, 31, 32, 33)], "n int")
+    got = {r.n: (r.one, r.all) for r in df.select("n", _piece_length(F.col("n")).alias("one"), _piece_lengths(F.col("n")).alias("all")).collect()}
+    assert [got[n][0] for n in sorted(got)] == [1, 2, 3, 4, 4, 8, 8, 16, 16, 32, 32]
+    assert got[2][1] == [1, 2] and got[4][1] == [1, 2, 3, 4] and got[31][1] == [1, 2, 3, 4, 8, 16]
+    # names of many codes' common pieces, codes of every length, one within another
+    base = "standardpolishedtin"
+    codes, names = [base[:k] + str(i) for k in (1, 4, 9, 19) for i in range(0, 60, 3)], [f"VO_{base.upper()}{i}" for i in range(200)]
+    out = rows(resolve_codes(spark.createDataFrame([(c,) for c in codes], "code string"), spark.createDataFrame([(n,) for n in names], "variable string")))
+    found = {c: [n for n in names if c in n.lower()] for c in codes}
+    assert out == sorted((c, n, len(f)) for c, f in found.items() for n in f)
+
+
 def test_scalars(spark):
     df = spark.createDataFrame([("2020JJ00", "2020-2021", "GM0042", " 12 ", "Hoger = gunstig")],
                                "p string, sj string, k string, num string, r string")
