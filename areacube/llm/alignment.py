@@ -197,8 +197,8 @@ def _of_texts(aligner: Aligner, cache: UnitCache, texts: list[bytes]) -> list[li
 
 def _align(a_path: str, b_path: str):
     def run(batches):
-        aligner = worker_state(f"aligner {a_path} {b_path}", lambda: Aligner(a_path, b_path))
-        cache = worker_state(f"aligned {a_path} {b_path}", lambda: UnitCache(aligner, CACHE_PARTS))
+        aligner = worker_state(f"aligner {a_path} {b_path}", lambda: Aligner(a_path, b_path), "alignment")
+        cache = worker_state(f"aligned {a_path} {b_path}", lambda: UnitCache(aligner, CACHE_PARTS), "alignment")
         for batch in batches:
             for part in slices(batch, "text"):
                 texts = _of_texts(aligner, cache, as_bytes(part.column("text")))

@@ -208,7 +208,7 @@ def encoder(path: str, pattern: str) -> tuple[UnitCache, PatternEncoder]:
     def make():
         own = PatternEncoder(path, pattern)
         return UnitCache(own), own
-    return worker_state(f"ranks {path}", make)
+    return worker_state(f"ranks {path}", make, "bpe")
 
 
 def _coded(path: str, pattern: str):

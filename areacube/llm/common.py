@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import sys
 import types
 import uuid
@@ -95,10 +97,27 @@ def blocks_for(spark: SparkSession, size: int, each: int) -> int:
     return max(-(-size // each), min(partitions(spark), 64), 1)
 
 
-def worker_state(key: str, make):
-    """What a Python worker keeps from task to task (tokenizers, caches), by key."""
+def give_back() -> None:
+    """Free memory that the allocators of a Python worker keep goes back to the machine."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        with contextlib.suppress(AttributeError):              # only glibc has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+
+def worker_state(key: str, make, large: str | None = None):
+    """What a Python worker keeps from task to task (tables, tokenizers, caches), by key.
+
+    Workers outlive a stage, so large state (of the named owner) goes as soon as
+    the worker is asked for any state that is not that owner's."""
     name = "_areacube_llm_worker"
     store = sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+    kept = store.setdefault("large", {})
+    if kept and large not in kept:
+        kept.clear()
+        give_back()
+    if large is not None:
+        store = kept.setdefault(large, {})
     if key not in store:
         store[key] = make()
     return store[key]

@@ -146,11 +146,11 @@ class LibraryEncoder:
 
 def spaced_ids(path: str):
     """UTF-8 texts -> their ids (bytes) for a byte-level vocabulary file of the tokenizers library."""
-    cache = worker_state(f"spaced {path}", lambda: UnitCache(LibraryEncoder(path, lower=False)))
+    cache = worker_state(f"spaced {path}", lambda: UnitCache(LibraryEncoder(path, lower=False)), "spaced")
     return lambda texts: cache([space_units(t) for t in texts])
 
 
 def word_ids(path: str):
     """UTF-8 texts -> their ids (bytes) for a lower-casing vocabulary file that drops white space."""
-    cache = worker_state(f"words {path}", lambda: UnitCache(LibraryEncoder(path, lower=True)))
+    cache = worker_state(f"words {path}", lambda: UnitCache(LibraryEncoder(path, lower=True)), "words")
     return lambda texts: cache([word_units(t) for t in texts])

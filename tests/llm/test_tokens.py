@@ -37,6 +37,19 @@ def test_units_give_the_librarys_ids(limit):
             assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, (name, text[:60])
 
 
+def test_large_state_goes_when_another_operator_asks():
+    import weakref
+
+    from areacube.llm.common import worker_state
+    small = worker_state("test small", dict)
+    cache = weakref.ref(worker_state("test units", set, "one"))
+    assert worker_state("test units", set, "one") is cache() and worker_state("test more", dict, "one") == {} and cache() is not None
+    assert worker_state("test small", dict) is small and cache() is None
+    cache = weakref.ref(worker_state("test units", set, "one"))
+    worker_state("test units", set, "two")
+    assert cache() is None
+
+
 def tiktoken_encoding():
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_50k.tiktoken"), "rb"))}
     return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
