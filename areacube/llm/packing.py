@@ -27,7 +27,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, blocks_for, short_batches, slices, total_bytes
+from .common import blocks_for, short_batches, slices, total_bytes
 from .tokens import word_ids
 
 WINDOW = 4096
@@ -138,9 +138,8 @@ PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, seq
 def _packed(path: str, window: int, end: int):
     def run(key, table):
         table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-        ids_of = word_ids(path)
-        last = np.array([end], "<u4").tobytes()
-        raw = [ids + last for part in slices(table, "text") for ids in ids_of(as_bytes(part.column("text")))]
+        ids_of = word_ids(path, np.array([end], "<u4").tobytes())
+        raw = [ids for part in slices(table, "text") for ids in ids_of(part.column("text"))]
         pieces = fill([np.frombuffer(r, "<u4") for r in raw], window)
         doc, start, length, sequence, offset = np.array(pieces, np.int64).reshape(-1, 5).T
         size = np.array([len(r) // 4 for r in raw], np.int64)

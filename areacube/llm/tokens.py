@@ -15,7 +15,11 @@ import re
 from array import array
 from itertools import chain
 
-from .common import worker_state
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from .common import as_strings, worker_state
 
 #: Units that one of the two cache generations holds.
 CACHE_UNITS = 400_000
@@ -53,19 +57,35 @@ class UnitCache:
 
     def __call__(self, texts: list[list]) -> list[bytes]:
         """The ids of each text, given as its units."""
-        flat = list(chain.from_iterable(texts))
-        ids = list(map(self.new.get, flat))
-        missing = [i for i, x in enumerate(ids) if x is None]
-        if missing:
-            found = self.added(list(dict.fromkeys(flat[i] for i in missing)))
-            for i in missing:
-                ids[i] = found[flat[i]]
+        ids = self.each(list(chain.from_iterable(texts)))
         out, at = [], 0
         for x in texts:
             out.append(b"".join(ids[at: at + len(x)]))
             at += len(x)
         return out
 
+    def each(self, units: list) -> list[bytes]:
+        """The ids of each unit."""
+        ids = list(map(self.new.get, units))
+        missing = [i for i, x in enumerate(ids) if x is None]
+        if missing:
+            found = self.added(list(dict.fromkeys(units[i] for i in missing)))
+            for i in missing:
+                ids[i] = found[units[i]]
+        return ids
+
+    def of_lists(self, texts: pa.Array, end: bytes = b"") -> list[bytes]:
+        """The ids of each text and the end, given as an Arrow list of its units; each different unit is looked up once."""
+        flat = texts.flatten().dictionary_encode()
+        units = flat.dictionary.to_numpy(zero_copy_only=False).tolist()          # faster than to_pylist
+        ids = pa.array(self.each(units), pa.large_binary()).take(flat.indices)
+        at = np.zeros(len(texts) + 1, np.int64)
+        np.cumsum(pc.list_value_length(texts).to_numpy(zero_copy_only=False), out=at[1:])
+        _, offsets, data = ids.buffers()
+        at = np.frombuffer(offsets, np.int64)[at + ids.offset].tolist()
+        data = memoryview(data or b"")
+        return [b"".join((data[a:b], end)) for a, b in zip(at[:-1], at[1:])]
+
     def added(self, units: list) -> dict:
         found = {u: x for u in units if (x := self.old.get(u)) is not None}
         units = [u for u in units if u not in found]
@@ -144,13 +164,20 @@ class LibraryEncoder:
         return [next(rest) if m is None else found[m[1]] + self.tails[m[2]] for m in words]
 
 
+def word_lists(texts: pa.Array) -> pa.Array:
+    """The ``word_units`` of each of many texts, as Arrow lists; an empty unit may come first or last."""
+    texts = texts.cast(pa.large_string())
+    lower = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+    return pc.ascii_split_whitespace(lower).cast(pa.list_(pa.large_binary()))
+
+
 def spaced_ids(path: str):
     """UTF-8 texts -> their ids (bytes) for a byte-level vocabulary file of the tokenizers library."""
     cache = worker_state(f"spaced {path}", lambda: UnitCache(LibraryEncoder(path, lower=False)), "spaced")
     return lambda texts: cache([space_units(t) for t in texts])
 
 
-def word_ids(path: str):
-    """UTF-8 texts -> their ids (bytes) for a lower-casing vocabulary file that drops white space."""
+def word_ids(path: str, end: bytes = b""):
+    """Column of texts -> their ids (bytes) and the end, for a lower-casing vocabulary file that drops white space."""
     cache = worker_state(f"words {path}", lambda: UnitCache(LibraryEncoder(path, lower=True)), "words")
-    return lambda texts: cache([word_units(t) for t in texts])
+    return lambda column: cache.of_lists(word_lists(as_strings(column)), end)

@@ -37,6 +37,30 @@ def test_units_give_the_librarys_ids(limit):
             assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, (name, text[:60])
 
 
+def test_arrow_lists_hold_the_units():
+    import pyarrow as pa
+    texts = [t for t in sample() if "\0" not in t]
+    for some in (texts, ODD, [], ["x\0y z", "", "a b"]):
+        column = pa.array(some, pa.string())
+        assert [[u for u in x if u] for x in tokens.word_lists(column).to_pylist()] == [tokens.word_units(t.encode()) for t in some]
+
+
+def test_each_different_unit_is_looked_up_once():
+    import pyarrow as pa
+    asked = []
+
+    class Cache(tokens.UnitCache):
+        def each(self, units):
+            asked.extend(units)
+            return super().each(units)
+
+    cache = Cache(lambda units, known: [u + b"..." for u in units])
+    lists = pa.array([[b"a", b"b", b"a"], [], [b"b"] * 50, [b""]], pa.list_(pa.large_binary()))
+    want = [b"a...b...a...", b"", b"b..." * 50, b"..."]
+    assert cache.of_lists(lists, b"|") == [x + b"|" for x in want] and sorted(asked) == [b"", b"a", b"b"]
+    assert cache.of_lists(lists.slice(2)) == want[2:] and cache.of_lists(lists.slice(0, 0)) == []
+
+
 def test_large_state_goes_when_another_operator_asks():
     import weakref
 
