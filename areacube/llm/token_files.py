@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import as_bytes, blocks_for, lists_of, new_path, short_batches, slices, total_bytes
+from .common import blocks_for, lists_of, new_path, short_batches, slices, total_bytes
 from .tokens import spaced_ids
 
 SCHEMA = "doc_id long, file int, before long, n_tokens int, ids array<int>"
@@ -40,13 +40,12 @@ END_ID = 0
 
 def _encoded(path: str, end: int):
     def run(batches):
-        ids_of = spaced_ids(path)
+        ids_of = spaced_ids(path, np.array([end], "<u4").tobytes())
         file = TaskContext.get().partitionId()
-        last = np.array([end], "<u4").tobytes()
         before = 0
         for batch in batches:
             for part in slices(batch, "text"):
-                rows = [ids + last for ids in ids_of(as_bytes(part.column("text")))]
+                rows = ids_of(part.column("text"))
                 n = np.array([len(r) // 4 for r in rows], np.int64)
                 total = before + np.cumsum(n)
                 yield pa.RecordBatch.from_arrays([

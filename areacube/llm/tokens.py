@@ -31,11 +31,18 @@ ONE_SPACE = bytes(32 if chr(b).isspace() and b < 128 else b for b in range(256))
 WIDE_SPACE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
 
 
+def _cut(text: bytes) -> bytes:
+    """A text that holds no zero byte, with one at each place where it is cut into units."""
+    if b"  " in text.translate(ONE_SPACE) or not text.isascii() and any(w in text for w in WIDE_SPACE):
+        return CUT.sub("\0", text.decode("utf-8", "replace")).encode()
+    return text.replace(b" ", b"\0 ").replace(b"\n", b"\0\n\0")
+
+
 def space_units(text: bytes) -> list[bytes]:
     """Cuts a text before each single space, and around each single line end, that stands between other characters."""
-    if b"  " in text.translate(ONE_SPACE) or b"\0" in text or not text.isascii() and any(w in text for w in WIDE_SPACE):
+    if b"\0" in text:
         return [u.encode() for u in CUT.split(text.decode("utf-8", "replace"))]
-    return text.replace(b" ", b"\0 ").replace(b"\n", b"\0\n\0").split(b"\0")
+    return _cut(text).split(b"\0")
 
 
 def word_units(text: bytes) -> list[bytes]:
@@ -164,6 +171,14 @@ class LibraryEncoder:
         return [next(rest) if m is None else found[m[1]] + self.tails[m[2]] for m in words]
 
 
+def space_lists(texts: pa.Array) -> pa.Array:
+    """The ``space_units`` of each of many texts, as Arrow lists."""
+    texts = texts.cast(pa.large_binary())
+    if pc.any(pc.match_substring(texts, "\0")).as_py():
+        return pa.array([space_units(t) for t in texts.to_pylist()], pa.list_(pa.large_binary()))
+    return pc.split_pattern(pa.array([_cut(t) for t in texts.to_pylist()], pa.large_binary()), "\0")
+
+
 def word_lists(texts: pa.Array) -> pa.Array:
     """The ``word_units`` of each of many texts, as Arrow lists; an empty unit may come first or last."""
     texts = texts.cast(pa.large_string())
@@ -171,10 +186,10 @@ def word_lists(texts: pa.Array) -> pa.Array:
     return pc.ascii_split_whitespace(lower).cast(pa.list_(pa.large_binary()))
 
 
-def spaced_ids(path: str):
-    """UTF-8 texts -> their ids (bytes) for a byte-level vocabulary file of the tokenizers library."""
+def spaced_ids(path: str, end: bytes = b""):
+    """Column of texts -> their ids (bytes) and the end, for a byte-level vocabulary file of the tokenizers library."""
     cache = worker_state(f"spaced {path}", lambda: UnitCache(LibraryEncoder(path, lower=False)), "spaced")
-    return lambda texts: cache([space_units(t) for t in texts])
+    return lambda column: cache.of_lists(space_lists(as_strings(column)), end)
 
 
 def word_ids(path: str, end: bytes = b""):

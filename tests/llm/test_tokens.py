@@ -42,6 +42,7 @@ def test_arrow_lists_hold_the_units():
     texts = [t for t in sample() if "\0" not in t]
     for some in (texts, ODD, [], ["x\0y z", "", "a b"]):
         column = pa.array(some, pa.string())
+        assert tokens.space_lists(column).to_pylist() == [tokens.space_units(t.encode()) for t in some]
         assert [[u for u in x if u] for x in tokens.word_lists(column).to_pylist()] == [tokens.word_units(t.encode()) for t in some]
 
 
