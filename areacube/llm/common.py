@@ -163,6 +163,19 @@ def slices(batch, column: str, limit: int = SLICE_BYTES) -> Iterator:
         lo = hi
 
 
+def gathered(batches: Iterator, limit: int) -> Iterator:
+    """Record batches of up to ``limit`` bytes out of smaller ones; a larger one comes alone."""
+    held, size = [], 0
+    for batch in batches:
+        if held and size + batch.nbytes > limit:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 def lists_of(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     """A list array with ``counts[i]`` of the values in row i."""
     at = np.zeros(len(counts) + 1, np.int32)

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import blocks_for, lists_of, new_path, short_batches, slices, total_bytes
+from .common import blocks_for, gathered, lists_of, new_path, short_batches, slices, total_bytes
 from .tokens import spaced_ids
 
 SCHEMA = "doc_id long, file int, before long, n_tokens int, ids array<int>"
@@ -36,6 +36,8 @@ STRIPE_BYTES = 16 << 20
 #: Bytes of text that one file holds, about.
 FILE_BYTES = 16 << 20
 END_ID = 0
+#: Bytes of text that are encoded at a time: the more, the fewer look-ups of repeated units.
+SLICE_BYTES = 8 << 20
 
 
 def _encoded(path: str, end: int):
@@ -43,8 +45,8 @@ def _encoded(path: str, end: int):
         ids_of = spaced_ids(path, np.array([end], "<u4").tobytes())
         file = TaskContext.get().partitionId()
         before = 0
-        for batch in batches:
-            for part in slices(batch, "text"):
+        for batch in gathered(batches, SLICE_BYTES):
+            for part in slices(batch, "text", SLICE_BYTES):
                 rows = ids_of(part.column("text"))
                 n = np.array([len(r) // 4 for r in rows], np.int64)
                 total = before + np.cumsum(n)

@@ -13,7 +13,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,11 @@ CUT = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
 ONE_SPACE = bytes(32 if chr(b).isspace() and b < 128 else b for b in range(256))
 WIDE_SPACE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
 
+#: The UTF-8 bytes of a run of letters (of the first 256 characters) after at most one space.
+RUN = r"\A ?(?:[A-Za-z]|\xc2[\xaa\xb5\xba]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+\z"
+#: ASCII signs that are pieces of their own behind a letter; the start and end of a special token are none.
+SIGNS = "!\"#$%&'()*+,-./:;=?@[\\]^_`{}~"
+
 
 def _cut(text: bytes) -> bytes:
     """A text that holds no zero byte, with one at each place where it is cut into units."""
@@ -50,6 +55,32 @@ def word_units(text: bytes) -> list[bytes]:
     return (text if b"<|" in text else text.lower()).split()
 
 
+def without_signs(units: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The units (large binary), where signs stand behind a run of letters as two values, and the first value of each (one number more)."""
+    _, offsets, data = units.buffers()
+    if not len(units) or data is None:
+        return units, np.arange(len(units) + 1)
+    at = np.frombuffer(offsets, np.int64)[units.offset: units.offset + len(units) + 1]
+    stems = pc.ascii_rtrim(units.view(pa.large_string()), SIGNS).view(pa.large_binary())
+    ends = at[:-1] + pc.binary_length(stems).to_numpy(zero_copy_only=False)
+    two = pc.match_substring_regex(stems, RUN).to_numpy(zero_copy_only=False) & (ends < at[1:])
+    first = np.arange(len(at))
+    first[1:] += np.cumsum(two)
+    cuts = np.empty(first[-1] + 1, np.int64)
+    cuts[first] = at
+    cuts[first[:-1][two] + 1] = ends[two]
+    return pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), data]), first
+
+
+def joined(values: pa.Array, first: np.ndarray) -> pa.Array:
+    """Large binary values joined from each first one to the next."""
+    _, offsets, data = values.buffers()
+    if not len(values) or data is None:
+        return pa.array([b""] * (len(first) - 1), pa.large_binary())
+    at = np.frombuffer(offsets, np.int64)[values.offset + first]
+    return pa.Array.from_buffers(pa.large_binary(), len(first) - 1, [None, pa.py_buffer(at), data])
+
+
 class UnitCache:
     """unit -> ids as little-endian 32-bit bytes; ``make(units, known)`` finds missing ones."""
 
@@ -82,10 +113,14 @@ class UnitCache:
         return ids
 
     def of_lists(self, texts: pa.Array, end: bytes = b"") -> list[bytes]:
-        """The ids of each text and the end, given as an Arrow list of its units; each different unit is looked up once."""
+        """The ids of each text and the end, given as an Arrow list of its units; each different unit is looked up once,
+        the signs behind a run of letters as a unit of their own."""
         flat = texts.flatten().dictionary_encode()
-        units = flat.dictionary.to_numpy(zero_copy_only=False).tolist()          # faster than to_pylist
-        ids = pa.array(self.each(units), pa.large_binary()).take(flat.indices)
+        parts, first = without_signs(flat.dictionary)
+        parts = parts.dictionary_encode()
+        units = parts.dictionary.to_numpy(zero_copy_only=False).tolist()          # faster than to_pylist
+        ids = pa.array(self.each(units), pa.large_binary()).take(parts.indices)
+        ids = joined(ids, first).take(flat.indices)
         at = np.zeros(len(texts) + 1, np.int64)
         np.cumsum(pc.list_value_length(texts).to_numpy(zero_copy_only=False), out=at[1:])
         _, offsets, data = ids.buffers()
@@ -115,10 +150,6 @@ def byte_letters() -> dict[int, str]:
 
 LETTERS = "( ?[A-Za-zªµºÀ-ÖØ-öø-ÿ]+)"
 STEM = re.compile(LETTERS + "[.,]?")
-#: A run of letters and up to four ASCII characters that are neither letters nor spaces nor the start of a special token.
-WORD = re.compile(LETTERS + r"([^A-Za-z<\s\x00-\x20\x7f-\U0010ffff]{0,4})")
-#: Ends of words that a worker keeps at most.
-TAILS = 50_000
 
 
 def stem_of(text: str) -> str | None:
@@ -132,8 +163,9 @@ class LibraryEncoder:
     """Ids of units by the tokenizers library, special tokens by their strings included.
 
     Runs of letters are one piece by the splitting rule, so they go to a
-    tokenizer of the same model without its splitting steps; the few signs
-    behind them are pieces of their own, and everything else takes the whole tokenizer.
+    tokenizer of the same model without its splitting steps, as the words of
+    one text: one result for many.  Where a word's ids end is told by the
+    bytes that its tokens hold.  Everything else takes the whole tokenizer.
     """
 
     def __init__(self, path: str, lower: bool):
@@ -143,32 +175,30 @@ class LibraryEncoder:
         self.whole = Tokenizer.from_file(path)
         self.pieces, self.lower = Tokenizer(self.whole.model), lower
         self.letters = byte_letters()
-        self.tails = {"": b""}
-
-    def encoded(self, tokenizer, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        vocab, suffix = self.whole.get_vocab(with_added_tokens=False), self.whole.model.end_of_word_suffix or ""
+        self.any_byte = all(c + x in vocab for c in self.letters.values() for x in ("", suffix))    # else a byte may have no token
+        self.sizes = np.zeros(max(vocab.values()) + 1, np.int64)
+        for token, k in vocab.items():
+            self.sizes[k] = len(token.removesuffix(suffix))
+
+    def of_runs(self, runs: list[bytes]) -> list[bytes]:
+        seen = b"\n".join(runs)
+        if self.lower:
+            seen = seen.decode().lower().encode()
+        words = seen.decode("latin-1").translate(self.letters).split(self.letters[10])
+        ids = np.array(self.pieces.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4")
+        ends = np.cumsum(list(map(len, words)))
+        at = [0, *(np.searchsorted(np.cumsum(self.sizes[ids]), ends) * 4 + 4).tolist()]
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip(at[:-1], at[1:])]
 
     def __call__(self, units: list[bytes], known) -> list[bytes]:
-        texts = [u.decode("utf-8", "replace") for u in units]
-        words = list(map(WORD.fullmatch, texts))
-        found: dict[str, bytes | None] = {}
-        for m in words:
-            if m is not None and m[1] not in found:
-                found[m[1]] = known(m[1].encode()) if m[2] else None
-        new = [s for s, x in found.items() if x is None]
-        if new:
-            seen = "\n".join(s.lower() for s in new) if self.lower else "\n".join(new)
-            seen = seen.encode().decode("latin-1").translate(self.letters)
-            found.update(zip(new, self.encoded(self.pieces, seen.split(self.letters[10]))))
-        others = [t for t, m in zip(texts, words) if m is None]
-        rest = iter(self.encoded(self.whole, others) if others else ())
-        tails = list({m[2] for m in words if m is not None} - self.tails.keys())
-        if len(self.tails) + len(tails) > TAILS:
-            self.tails = {"": b""}
-            tails = list({m[2] for m in words if m is not None and m[2]})
-        if tails:
-            self.tails.update(zip(tails, self.encoded(self.whole, tails)))
-        return [next(rest) if m is None else found[m[1]] + self.tails[m[2]] for m in words]
+        is_run = pc.match_substring_regex(pa.array(units, pa.large_binary()), RUN).to_pylist() if self.any_byte else [False] * len(units)
+        runs, others = list(compress(units, is_run)), [u for u, x in zip(units, is_run) if not x]
+        found = iter(self.of_runs(runs) if runs else ())
+        texts = [u.decode("utf-8", "replace") for u in others]
+        rest = (array("I", e.ids).tobytes() for e in self.whole.encode_batch_fast(texts, add_special_tokens=False))
+        return [next(found if x else rest) for x in is_run]
 
 
 def space_lists(texts: pa.Array) -> pa.Array:

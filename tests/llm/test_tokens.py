@@ -62,6 +62,60 @@ def test_each_different_unit_is_looked_up_once():
     assert cache.of_lists(lists.slice(2)) == want[2:] and cache.of_lists(lists.slice(0, 0)) == []
 
 
+SIGNED = [b" word", b" word.", b" word,", b"word", b" word.,!!", b"word'", b"it's.", b"(word).", b"[PAD]", b"abc12.", b"...", b" .", b"",
+          b"\xc3\xa9t\xc3\xa9?", b"\xc3\x97.", b"x\xff.", b"<|endoftext|>.", b"word<|endoftext|>", b"WORD.\n\n", b"\xc3\x89T\xc3\x89!", b"a\xc3."]
+
+
+def test_a_word_is_looked_up_once_whatever_signs_follow():
+    import pyarrow as pa
+    asked = []
+
+    class Cache(tokens.UnitCache):
+        def each(self, units):
+            asked.extend(units)
+            return super().each(units)
+
+    cache = Cache(lambda units, known: [b"[%s]" % u for u in units])
+    lists = pa.array([SIGNED[:5], [], SIGNED[3:4] + SIGNED[13:14]], pa.list_(pa.large_binary()))
+    assert cache.of_lists(lists, b"|") == [b"[ word][ word][.][ word][,][word][ word][.,!!]|", b"|", b"[word][\xc3\xa9t\xc3\xa9][?]|"]
+    assert sorted(asked) == sorted([b" word", b"word", b".", b",", b".,!!", b"\xc3\xa9t\xc3\xa9", b"?"])
+    parts, first = tokens.without_signs(pa.array([b"cut", *SIGNED], pa.large_binary()).slice(1))
+    parts = parts.to_pylist()
+    assert [b"".join(parts[a:b]) for a, b in zip(first[:-1], first[1:])] == SIGNED
+    two = [u for u, n in zip(SIGNED, np.diff(first)) if n == 2]
+    assert two == [b" word.", b" word,", b" word.,!!", b"word'", b"\xc3\xa9t\xc3\xa9?", b"\xc3\x89T\xc3\x89!"]
+
+
+@pytest.mark.parametrize("name, lower", [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
+def test_the_library_gives_many_words_in_one_result(name, lower):
+    import pyarrow as pa
+    tokenizer, encoder = Tokenizer.from_file(P.path(name)), tokens.LibraryEncoder(P.path(name), lower)
+    asked = []
+
+    class Pieces:
+        def encode_batch_fast(self, texts, **kw):
+            asked.append(len(texts))
+            return own.encode_batch_fast(texts, **kw)
+
+    own, encoder.pieces = encoder.pieces, Pieces()
+    cache = tokens.UnitCache(encoder)
+    units = SIGNED if not lower else [u.strip() for u in SIGNED]
+    got = cache.of_lists(pa.array([[u] for u in units], pa.list_(pa.large_binary())))
+    assert asked == [1]
+    for u, ids in zip(units, got):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(u.decode("utf-8", "replace"), add_special_tokens=False).ids, u
+
+
+def test_batches_are_gathered_up_to_their_bytes():
+    import pyarrow as pa
+
+    from areacube.llm.common import gathered
+    batches = [pa.record_batch({"n": pa.array(range(k), pa.int64())}) for k in (2, 3, 0, 9, 1, 1, 4)]
+    got = list(gathered(iter(batches), 48))
+    assert [b.num_rows for b in got] == [5, 9, 6] and pa.Table.from_batches(got) == pa.Table.from_batches(batches).combine_chunks()
+    assert list(gathered(iter(()), 48)) == []
+
+
 def test_large_state_goes_when_another_operator_asks():
     import weakref
 
