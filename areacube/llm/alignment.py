@@ -11,9 +11,13 @@ token.  Inside a group every A token is linked with every B token; the links
 are expanded from the distinct ids of the group with their numbers.
 
 Neither vocabulary has a piece that runs from another character into a
-following space or over a line end, so texts are cut there (``space_units``) and the parts
+following space, over a line end, or from a letter into a sign behind it, so texts are cut there
+(``space_lists``, ``without_signs``) and the different parts of a slice of texts
 are coalesced side by side, thousands at once; each Python worker keeps the parts
-it has met, a bounded number.  A text whose parts do not give back its bytes is
+it has met, a bounded number, as columns (``Records``), and texts gather theirs by number.
+Runs of letters go to either tokenizer many at a time, with one result; the parts' ends are told by
+the bytes of the tokens, and runs that these do not give back go once more one by one.
+A text whose parts do not give back its bytes is
 aligned once more as a whole, and has no tokens if that fails too.
 
 Corpus counts: an id pair's count is the number of documents that hold it
@@ -31,18 +35,26 @@ space may be as long as its text.  An empty table gives no rows; extra columns a
 from __future__ import annotations
 
 import os
+import re
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, as_bytes, lists_of, short_batches, slices, worker_state
-from .tokens import UnitCache, byte_letters, space_units
-
-#: Parts that one of the two cache generations of a worker holds.
-CACHE_PARTS = 200_000
+from .tokens import RUN, SIGNS, byte_letters, space_lists, without_signs
+
+#: Parts, and bytes of their records, that a worker keeps; beyond that those of the last slice of texts.
+CACHE_PARTS = 400_000
+CACHE_BYTES = 64 << 20
+#: Parts that are aligned at a time.
+MADE_AT_ONCE = 20_000
+#: Bytes of text that one step handles, and rows of one batch of results.
+TEXT_BYTES = 4 << 20
+ROWS_OUT = 250
 #: Pairs that are sent to every task, at most (17 bytes each).
 HOT_PAIRS = 1 << 18
 #: A pair of ids is one long: A's id above so many bits, B's below.
@@ -82,8 +94,40 @@ def linked(group_a: np.ndarray, a: np.ndarray, group_b: np.ndarray, b: np.ndarra
     return ga[of], a[of] << SHIFT | b[at], na[of] * nb[at]
 
 
+def spans(first: np.ndarray, have: np.ndarray) -> np.ndarray:
+    """first[i], first[i] + 1, ... (``have[i]`` numbers) for every i, one after the other."""
+    return np.arange(have.sum()) + np.repeat(first - (np.cumsum(have) - have), have)
+
+
+class Records:
+    """What many parts come to: numbers (n_a, n_b, n_groups, n_links), the text of the groups,
+    rows (pair, times), ``have`` of them a part; not good where the tokens do not give back the part."""
+
+    def __init__(self, numbers: np.ndarray, text: pa.Array, rows: np.ndarray, have: np.ndarray, good: np.ndarray):
+        self.numbers, self.text, self.rows, self.have, self.good = numbers, text, rows, have, good
+        self.first = np.cumsum(have) - have
+
+    @classmethod
+    def not_good(cls, n: int) -> Records:
+        return cls(np.zeros((n, 4), np.int64), pa.array([""] * n, pa.large_string()), np.zeros((0, 2), np.int64), np.zeros(n, np.int64), np.zeros(n, bool))
+
+    @classmethod
+    def joined(cls, parts: list[Records]) -> Records:
+        return cls(np.concatenate([x.numbers for x in parts]), pa.concat_arrays([x.text for x in parts]), *[np.concatenate([getattr(x, c) for x in parts]) for c in ("rows", "have", "good")])
+
+    def take(self, at: np.ndarray) -> Records:
+        return Records(self.numbers[at], self.text.take(pa.array(at)), self.rows[spans(self.first[at], self.have[at])], self.have[at], self.good[at])
+
+    def __len__(self) -> int:
+        return len(self.have)
+
+    @property
+    def nbytes(self) -> int:
+        return self.numbers.nbytes + self.text.nbytes + self.rows.nbytes
+
+
 class Aligner:
-    """Records of parts: (numbers, groups, pairs) as bytes; None where the tokens do not give back the part."""
+    """Parts -> their ``Records``."""
 
     def __init__(self, a_path: str, b_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -92,7 +136,8 @@ class Aligner:
 
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
-        byte_of = {c: bytes([b]) for b, c in byte_letters().items()}
+        self.a_pieces, self.letters = Tokenizer(self.a.model), byte_letters()
+        byte_of = {c: bytes([b]) for b, c in self.letters.items()}
         words = sorted(self.a.get_vocab(with_added_tokens=False).items(), key=lambda x: x[1])
         self.a_bytes = [b""] * (max(i for _, i in words) + 1)
         for word, i in words:
@@ -100,30 +145,79 @@ class Aligner:
         self.b = SentencePieceProcessor(model_file=b_path)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        self.cut = not any("\n" in p or "▁" in p.lstrip("▁") for i, p in enumerate(pieces) if not self.b.is_byte(i))
+        own = [p for i, p in enumerate(pieces) if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))]
+        self.cut = not any("\n" in p or "▁" in p.lstrip("▁") for p in own)
+        self.cut_signs = self.cut and not any(re.search(f"[A-Za-zªµºÀ-ÖØ-öø-ÿ][{re.escape(SIGNS)}]", p) for p in own)
         self.line_end = len(self.b.encode("\n"))
         if max(len(self.a_bytes), len(self.b_bytes)) > 1 << SHIFT:
             raise ValueError("a vocabulary has more ids than a pair can hold")
         self.a_len, self.b_len = (np.array([len(x) for x in xs], np.int64) for xs in (self.a_bytes, self.b_bytes))
-        self.names = [str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
-
-    def parts(self, text: bytes) -> list[bytes]:
-        whole = b" " + text
-        return [u for u in space_units(whole) if u] if self.cut else [whole]
-
-    def __call__(self, parts: list[bytes], _known=None) -> list:
+        ids = [str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
+        self.names = pa.array([mark + i for mark in ("", ";", "|", ",") for i in ids], pa.large_string())
+        self.ids = len(ids)
+
+    def parts(self, texts: pa.Array) -> pa.Array:
+        """The parts of a space and each text (large binary), as Arrow lists; none of an empty text."""
+        whole = pc.if_else(pc.equal(pc.binary_length(texts), 0), b"", pc.binary_join_element_wise(pa.scalar(b" ", pa.large_binary()), texts, pa.scalar(b"", pa.large_binary())))
+        lists = space_lists(whole) if self.cut else lists_of(whole, np.ones(len(whole), np.int64))
+        flat, have = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        some = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0
+        if not some.all():
+            flat, have = flat.filter(pa.array(some)), np.bincount(np.repeat(np.arange(len(have)), have)[some], minlength=len(have))
+        return lists_of(flat, have)
+
+    def __call__(self, parts: list[bytes]) -> Records:
+        return Records.joined([self.some(parts[at: at + MADE_AT_ONCE]) for at in range(0, len(parts), MADE_AT_ONCE)] or [Records.not_good(0)])
+
+    def some(self, parts: list[bytes]) -> Records:
+        if not self.cut:
+            return self.one_by_one(parts)
+        is_run = pc.match_substring_regex(pa.array(parts, pa.large_binary()), RUN).to_numpy(zero_copy_only=False)
+        runs, others = (np.flatnonzero(x) for x in (is_run, ~is_run))
+        own = [parts[i] for i in runs.tolist()]
+        found = (self.of_runs(own) or self.one_by_one(own)) if own else Records.not_good(0)
+        if not len(others):
+            return found
+        return Records.joined([found, self.one_by_one([parts[i] for i in others.tolist()])]).take(np.argsort(np.concatenate([runs, others])))
+
+    def of_runs(self, runs: list[bytes]) -> Records | None:
+        """Runs of letters, as the words of one text for either side; None if the tokens do not give them back."""
+        words = b"\n".join(runs).decode("latin-1").translate(self.letters).split(self.letters[10])
+        a = np.array(self.a_pieces.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0].ids, np.int64)
+        between = [b"" if r[0] == 32 else b"\n" for r in runs]
+        between[0] = b"\n"                                   # B's own space stands before it
+        text = b"".join(chain.from_iterable(zip(between, runs)))
+        b = np.array(self.b.encode(text.decode()), np.int64)
+        size, gap = (np.array(list(map(len, x)), np.int64) for x in (runs, between))
+        end_a, end_b = np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b])
+        if b"".join(map(self.a_bytes.__getitem__, a.tolist())) != b"".join(runs) or b"".join(map(self.b_bytes.__getitem__, b.tolist())) != b" " + text:
+            return None
+        ends = np.cumsum(size)
+        upto_a = np.searchsorted(end_a, ends) + 1
+        lasts = 1 + np.cumsum(size + gap)                     # of runs in B's bytes
+        upto_b = np.searchsorted(end_b, lasts) + 1
+        from_b = np.searchsorted(end_b, lasts - size) + 1
+        if (end_a[upto_a - 1] != ends).any() or (end_b[upto_b - 1] != lasts).any() or (end_b[from_b - 1] != lasts - size).any():
+            return None
+        n_b = upto_b - from_b
+        return self.aligned(a, np.diff(upto_a, prepend=0), b[spans(from_b, n_b)], n_b)
+
+    def one_by_one(self, parts: list[bytes]) -> Records:
         texts = [p.decode("utf-8", "replace") for p in parts]
         a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
         # B adds a space: a part gives its own for it, or stands behind a line end, whose tokens go again
         own = [t[0] == " " and t != " " for t in texts]
         b = self.b.encode([t[1:] if x else "\n" + t for x, t in zip(own, texts)], num_threads=1)
         b = [ids if x else ids[self.line_end:] for x, ids in zip(own, b)]
-        good = range(len(parts)) if self.all_given_back(parts, a, b) else [i for i, p in enumerate(parts) if self.all_given_back([p], a[i: i + 1], b[i: i + 1])]
-        out: list = [None] * len(parts)
-        if good:
-            for i, record in zip(good, self.aligned([a[i] for i in good], [b[i] for i in good])):
-                out[i] = record
-        return out
+        good = np.arange(len(parts)) if self.all_given_back(parts, a, b) else np.array([i for i, p in enumerate(parts) if self.all_given_back([p], a[i: i + 1], b[i: i + 1])], np.int64)
+        if not len(good):
+            return Records.not_good(len(parts))
+        a, b = ([x[i] for i in good.tolist()] for x in (a, b))
+        n_a, n_b = (np.array(list(map(len, x)), np.int64) for x in (a, b))
+        found = self.aligned(*chain.from_iterable((np.array(list(chain.from_iterable(x)), np.int64), n) for x, n in ((a, n_a), (b, n_b))))
+        at = np.full(len(parts), len(good))
+        at[good] = np.arange(len(good))
+        return found if len(good) == len(parts) else Records.joined([found, Records.not_good(1)]).take(at)
 
     def all_given_back(self, parts: list[bytes], a: list[list[int]], b: list[list[int]]) -> bool:
         """Whether both sides' tokens join to every part."""
@@ -135,10 +229,8 @@ class Aligner:
                 return False
         return True
 
-    def aligned(self, a: list[list[int]], b: list[list[int]]):
-        """Parts side by side on one axis of bytes, where the first ends the second begins."""
-        n_a, n_b = (np.array([len(x) for x in xs], np.int64) for xs in (a, b))
-        a, b = (np.array(list(chain.from_iterable(xs)), np.int64) for xs in (a, b))
+    def aligned(self, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> Records:
+        """Parts side by side on one axis of bytes, where the first ends the second begins; n_a, n_b: ids of each part."""
         end_a, end_b = np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b])
         group = coalesced(np.concatenate([end_a - self.a_len[a], end_b - self.b_len[b]]), np.concatenate([end_a, end_b]))
         group_a, group_b = group[: len(a)], group[len(a):]
@@ -148,79 +240,108 @@ class Aligner:
         part_of[group_a] = part_a
         of, pair, times = linked(group_a, a, group_b, b, groups)
         of = part_of[of]
-        numbers = np.stack([n_a, n_b, np.bincount(part_of, minlength=len(n_a)), np.bincount(of, times, len(n_a)).astype(np.int64)], axis=1)
-        rows = np.stack([pair, times], axis=1)
-        upto = np.cumsum(np.bincount(of, minlength=len(n_a)))
-        texts = self.written(np.concatenate([a, b]), group, len(a), part_of)
-        numbers, rows, at = numbers.tobytes(), rows.tobytes(), 0
-        for i, (text, end) in enumerate(zip(texts, (16 * upto).tolist())):           # 4 numbers of 8 bytes a part, 2 a pair
-            yield numbers[32 * i: 32 * i + 32], text, rows[at: end]
-            at = end
-
-    def written(self, ids: np.ndarray, group: np.ndarray, n_a: int, part_of: np.ndarray) -> list[str]:
+        have = np.bincount(of, minlength=len(n_a))
+        upto = np.concatenate([[0], np.cumsum(times)])[np.concatenate([[0], np.cumsum(have)])]
+        numbers = np.stack([n_a, n_b, np.bincount(part_of, minlength=len(n_a)), np.diff(upto)], axis=1)
+        return Records(numbers, self.written(np.concatenate([a, b]), group, len(a), part_of, n_a + n_b), np.stack([pair, times], axis=1), have, np.ones(len(n_a), bool))
+
+    def written(self, ids: np.ndarray, group: np.ndarray, n_a: int, part_of: np.ndarray, have: np.ndarray) -> pa.Array:
         """``a1,a2|b1;a3|b2`` of every part: groups in order, in each A's ids and then B's."""
         order = np.argsort(group, kind="stable")                       # A's tokens lie before B's
         group, side, ids = group[order], order >= n_a, ids[order]
-        between = np.full(len(order), 3)
-        between[1:][side[1:] & ~side[:-1]] = 2
-        between[1:][group[1:] != group[:-1]] = 1
+        mark = np.full(len(order), 3)
+        mark[1:][side[1:] & ~side[:-1]] = 2
+        mark[1:][group[1:] != group[:-1]] = 1
         part = part_of[group]
-        between[1:][part[1:] != part[:-1]] = 0
-        between[0] = 0
-        marks, names = "\n;|,", self.names
-        return "".join([marks[k] + names[i] for k, i in zip(between.tolist(), ids.tolist())])[1:].split("\n")
-
-
-def _records(cache: UnitCache, parts: list[bytes]) -> list:
-    found = list(map(cache.new.get, parts))
-    missing = [i for i, x in enumerate(found) if x is None]
-    if missing:
-        made = cache.added(list(dict.fromkeys(parts[i] for i in missing)))
-        for i in missing:
-            found[i] = made[parts[i]]
-    return found
-
-
-def _of_texts(aligner: Aligner, cache: UnitCache, texts: list[bytes]) -> list[list]:
-    """The records of each text; none for a text without tokens."""
-    parts = [aligner.parts(t) if t else [] for t in texts]
-    flat, at, out = _records(cache, list(chain.from_iterable(parts))), 0, []
-    for text, own in zip(texts, parts):
-        records = flat[at: at + len(own)]
-        at += len(own)
-        if None in records:                     # once more as a whole
-            records = aligner([b" " + text])
-            records = [] if None in records else records
-        out.append(records)
-    return out
+        mark[1:][part[1:] != part[:-1]] = 0
+        mark[0] = 0
+        return pc.binary_join(lists_of(self.names.take(pa.array(mark * self.ids + ids)), have), pa.scalar("", pa.large_string()))
+
+
+class UnitCache:
+    """Records of the parts that a worker has met, in columns of bounded size."""
+
+    def __init__(self, make: Aligner, limit: int = CACHE_PARTS, most: int = CACHE_BYTES):
+        self.make, self.limit, self.most = make, limit, most
+        self.at: dict[bytes, int] = {}
+        self.kept = Records.not_good(0)
+
+    def __call__(self, parts: list[bytes]) -> tuple[Records, np.ndarray]:
+        """Records, and the number among them of each of the different parts."""
+        at = list(map(self.at.get, parts))
+        missing = [i for i, x in enumerate(at) if x is None]
+        if missing:
+            new, numbers = [parts[i] for i in missing], range(len(self.kept), len(self.kept) + len(missing))
+            self.kept = Records.joined([self.kept, self.make(new)])
+            self.at.update(zip(new, numbers))
+            for i, k in zip(missing, numbers):
+                at[i] = k
+        records, at = self.kept, np.array(at, np.int64)
+        if len(records) > self.limit or records.nbytes > self.most:
+            self.kept, self.at = records.take(at), dict(zip(parts, range(len(parts))))
+        return records, at
+
+
+def _parts(aligner: Aligner, cache: UnitCache, texts: pa.Array) -> tuple[Records, np.ndarray, np.ndarray]:
+    """Records, and of all parts of the texts in order: the text and the number of the record; none for a text without tokens."""
+    lists = aligner.parts(texts)
+    have = lists.value_lengths().to_numpy(zero_copy_only=False)
+    flat = lists.flatten().dictionary_encode()
+    units, first = without_signs(flat.dictionary) if aligner.cut_signs else (flat.dictionary, np.arange(len(flat.dictionary) + 1))
+    units = units.dictionary_encode()
+    records, at = cache(units.dictionary.to_numpy(zero_copy_only=False).tolist())
+    unit = flat.indices.to_numpy(zero_copy_only=False)
+    each = np.diff(first)[unit]
+    text = np.repeat(np.repeat(np.arange(len(have)), have), each)
+    at = at[units.indices.to_numpy(zero_copy_only=False)][spans(first[unit], each)]
+    good = records.good[at]
+    if not good.all():                                     # once more as a whole
+        again = np.unique(text[~good])
+        more = aligner.one_by_one([b" " + t for t in texts.take(pa.array(again)).to_pylist()])
+        kept = ~np.isin(text, again)
+        text, at = np.concatenate([text[kept], again[more.good]]), np.concatenate([at[kept], len(records) + np.flatnonzero(more.good)])
+        order = np.argsort(text, kind="stable")
+        records, text, at = Records.joined([records, more]), text[order], at[order]
+    return records, text, at
+
+
+def _of_texts(aligner: Aligner, cache: UnitCache, texts: list[bytes]) -> list[tuple[bytes, bytes, bytes, bytes]]:
+    """Of each text: the four numbers, the text of its groups, its distinct pairs in order, and the times of each."""
+    n = len(texts)
+    records, text, at = _parts(aligner, cache, pa.array(texts, pa.large_binary()))
+    parts = np.bincount(text, minlength=n)
+    groups = pc.binary_join(lists_of(records.text.take(pa.array(at)), parts), pa.scalar(";", pa.large_string())).cast(pa.large_binary()).to_pylist()
+    sums = np.zeros((len(at) + 1, 4), np.int64)
+    np.cumsum(records.numbers[at], axis=0, out=sums[1:])
+    numbers = np.diff(sums[np.concatenate([[0], np.cumsum(parts)])], axis=0)
+    have = records.have[at]
+    rows = records.rows[spans(records.first[at], have)]
+    key = np.repeat(text, have) << 2 * SHIFT | rows[:, 0]
+    order = np.argsort(key)
+    key, times = key[order], rows[order, 1]
+    new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+    times = np.add.reduceat(times, new) if len(new) else times
+    key = key[new]
+    upto = (8 * np.concatenate([[0], np.cumsum(np.bincount(key >> 2 * SHIFT, minlength=n))])).tolist()
+    pairs, times = (key & ((1 << 2 * SHIFT) - 1)).tobytes(), times.tobytes()
+    return [(x.tobytes(), g, pairs[lo:hi], times[lo:hi]) for x, g, lo, hi in zip(numbers, groups, upto[:-1], upto[1:])]
 
 
 def _align(a_path: str, b_path: str):
     def run(batches):
         aligner = worker_state(f"aligner {a_path} {b_path}", lambda: Aligner(a_path, b_path), "alignment")
-        cache = worker_state(f"aligned {a_path} {b_path}", lambda: UnitCache(aligner, CACHE_PARTS), "alignment")
+        cache = worker_state(f"aligned {a_path} {b_path}", lambda: UnitCache(aligner), "alignment")
         for batch in batches:
-            for part in slices(batch, "text"):
-                texts = _of_texts(aligner, cache, as_bytes(part.column("text")))
-                n = np.array([len(x) for x in texts])
-                flat = list(chain.from_iterable(texts))
-                doc = np.repeat(np.arange(len(n)), n)
-                numbers = np.zeros((len(n), 4), np.int64)
-                np.add.at(numbers, doc, np.frombuffer(b"".join(r[0] for r in flat), np.int64).reshape(-1, 4))
-                rows = np.frombuffer(b"".join(r[2] for r in flat), np.int64).reshape(-1, 2)
-                doc = np.repeat(doc, [len(r[2]) // 16 for r in flat])
-                key = doc << 2 * SHIFT | rows[:, 0]
-                order = np.argsort(key)
-                key, times = key[order], rows[order, 1]
-                new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
-                times = np.add.reduceat(times, new) if len(new) else times
-                key = key[new]
-                have = np.bincount(key >> 2 * SHIFT, minlength=len(n))
-                yield pa.RecordBatch.from_arrays([
-                    part.column("row"), part.column("doc_id"), *[pa.array(numbers[:, k]) for k in range(4)],
-                    pa.array([";".join([r[1] for r in x]) for x in texts], pa.string()),
-                    lists_of(key & ((1 << 2 * SHIFT) - 1), have), lists_of(times, have),
-                ], ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "times"])
+            for part in slices(batch, "text", TEXT_BYTES):
+                found = _of_texts(aligner, cache, as_bytes(part.column("text")))
+                for lo in range(0, len(found), ROWS_OUT):
+                    numbers, groups, pairs, times = zip(*found[lo: lo + ROWS_OUT])
+                    numbers = np.frombuffer(b"".join(numbers), np.int64).reshape(-1, 4)
+                    have = np.array([len(x) // 8 for x in pairs])
+                    yield pa.RecordBatch.from_arrays([
+                        *[part.column(c).slice(lo, ROWS_OUT) for c in ("row", "doc_id")], *[pa.array(numbers[:, k]) for k in range(4)],
+                        pa.array(groups, pa.string()), *[lists_of(np.frombuffer(b"".join(x), np.int64), have) for x in (pairs, times)],
+                    ], ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "times"])
     return run
 
 

@@ -99,3 +99,30 @@ def test_small_cache_repeated_and_empty(spark):
     assert L.alignment_digest(none, A, B).collect() == []
     twice = spark.createDataFrame([(None, "one two"), (3, "one two"), (3, "one two")], "doc_id long, text string")
     assert sorted(r.count_sum for r in L.alignment_digest(twice, A, B).collect()) == [6, 6, 6]
+
+
+def test_words_are_aligned_once_whatever_signs_follow_and_many_at_a_time():
+    aligner, made, single = L.Aligner(A, B), [], []
+    one_by_one = aligner.one_by_one
+    aligner.one_by_one = lambda parts: single.extend(parts) or one_by_one(parts)
+
+    def make(parts, *_):
+        made.extend(parts)
+        return aligner(parts)
+    cache = L.UnitCache(make)
+    texts = [b"a word, a word. word! other", b"one word; x9", b"", b"word\nword"]
+    got = L._of_texts(aligner, cache, texts)
+    assert sorted(made) == sorted({b" a", b" word", b"word", b",", b".", b"!", b";", b" other", b" one", b" x9", b"\n"})
+    assert sorted(single) == sorted({b",", b".", b"!", b";", b" x9", b"\n"})
+    plain = L.Aligner(A, B)
+    plain.of_runs, plain.cut_signs = lambda runs: None, False                     # each part by itself, words with their signs
+    assert L._of_texts(plain, L.UnitCache(plain), texts) == got
+
+
+def test_records_kept_are_bounded():
+    aligner = L.Aligner(A, B)
+    texts = [f"w{i} x{i}y z".encode() for i in range(300)]
+    for cache in (L.UnitCache(aligner, 50), L.UnitCache(aligner, most=2000)):
+        got = [x for i in range(0, 300, 5) for x in L._of_texts(aligner, cache, texts[i: i + 5])]
+        assert len(cache.kept) == len(cache.at) <= 60
+        assert got == L._of_texts(aligner, L.UnitCache(aligner), texts)
