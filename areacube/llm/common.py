@@ -109,11 +109,12 @@ def worker_state(key: str, make, large: str | None = None):
     """What a Python worker keeps from task to task (tables, tokenizers, caches), by key.
 
     Workers outlive a stage, so large state (of the named owner) goes as soon as
-    the worker is asked for any state that is not that owner's."""
+    the worker is asked for any state that is not that owner's; free memory goes
+    then too, and when an owner comes."""
     name = "_areacube_llm_worker"
     store = sys.modules.setdefault(name, types.ModuleType(name)).__dict__
     kept = store.setdefault("large", {})
-    if kept and large not in kept:
+    if large not in kept and (kept or large is not None):
         kept.clear()
         give_back()
     if large is not None:

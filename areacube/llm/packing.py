@@ -33,6 +33,8 @@ from .tokens import word_ids
 WINDOW = 4096
 END_ID = 2
 SHARD_BYTES = 2 << 20
+#: Bytes of text whose different words are looked up at a time: mostly those of a whole shard.
+LOOKUP_BYTES = 4 << 20
 K1, B = 1.2, 0.75
 #: Terms of a seed that are looked up: those of the highest weight.
 QUERY_TERMS = 32
@@ -139,7 +141,7 @@ def _packed(path: str, window: int, end: int):
     def run(key, table):
         table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         ids_of = word_ids(path, np.array([end], "<u4").tobytes())
-        raw = [ids for part in slices(table, "text") for ids in ids_of(part.column("text"))]
+        raw = [ids for part in slices(table, "text", LOOKUP_BYTES) for ids in ids_of(part.column("text"))]
         pieces = fill([np.frombuffer(r, "<u4") for r in raw], window)
         doc, start, length, sequence, offset = np.array(pieces, np.int64).reshape(-1, 5).T
         size = np.array([len(r) // 4 for r in raw], np.int64)

@@ -57,8 +57,8 @@ def _runs(text: np.ndarray, value: np.ndarray) -> np.ndarray:
 
 def statistics(w: Words) -> list[np.ndarray]:
     """Per text: words, code points in words, symbols, repeated lines, words in repeated windows, lines with words, capitals."""
-    tables = worker_state("word-tables", _tables)
-    mark = worker_state("symbol-table", lambda: np.isin(np.arange(256), list(SYMBOLS.encode())))
+    tables = worker_state("word-tables", _tables, "word hashes")
+    mark = worker_state("symbol-table", lambda: np.isin(np.arange(256), list(SYMBOLS.encode())), "word hashes")
     n_words = w.counts()
     word_chars = _per_text(~tables["space"][w.buf] & (w.buf & 0xC0 != 0x80), w.at)
     symbols = _per_text(mark[w.buf], w.at)

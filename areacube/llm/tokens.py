@@ -23,6 +23,8 @@ from .common import as_strings, worker_state
 
 #: Units that one of the two cache generations holds.
 CACHE_UNITS = 400_000
+#: The same of words, whose workers hold a shard's index too.
+CACHE_WORDS = 150_000
 
 #: Before a single space, and on both sides of a single line end, between other characters.
 CUT = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
@@ -224,5 +226,5 @@ def spaced_ids(path: str, end: bytes = b""):
 
 def word_ids(path: str, end: bytes = b""):
     """Column of texts -> their ids (bytes) and the end, for a lower-casing vocabulary file that drops white space."""
-    cache = worker_state(f"words {path}", lambda: UnitCache(LibraryEncoder(path, lower=True)), "words")
+    cache = worker_state(f"words {path}", lambda: UnitCache(LibraryEncoder(path, lower=True), CACHE_WORDS), "words")
     return lambda column: cache.of_lists(word_lists(as_strings(column)), end)

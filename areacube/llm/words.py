@@ -35,7 +35,7 @@ def _tables() -> dict:
 
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i < n (at least)."""
-    have = worker_state(f"powers-{base}", dict)
+    have = worker_state(f"powers-{base}", dict, "word hashes")
     if len(have.get("up", ())) < n:
         size = max(n, 1 << 16)
         for name, b in (("up", base), ("down", pow(base, -1, 1 << 64))):
@@ -65,7 +65,7 @@ class Words:
     """
 
     def __init__(self, column):
-        tables = worker_state("word-tables", _tables)
+        tables = worker_state("word-tables", _tables, "word hashes")
         self.buf, self.at = text_buffer(as_strings(column))
         n = len(self.buf)
         gap = tables["space"][self.buf]
@@ -85,7 +85,7 @@ class Words:
 
     def hashes(self, lower: bool = False) -> np.ndarray:
         """One 64-bit hash per word; ``lower``: as if A-Z were a-z."""
-        tables = worker_state("word-tables", _tables)
+        tables = worker_state("word-tables", _tables, "word hashes")
         sums, down = prefix_hashes(tables["lower" if lower else "values"][self.buf], BYTE_BASE)
         h = (sums[self.end] - sums[self.start]) * down[self.start]
         return mixed(h ^ (self.end - self.start).astype(U) * U(0xA0761D6478BD642F))

@@ -129,6 +129,25 @@ def test_large_state_goes_when_another_operator_asks():
     assert cache() is None
 
 
+def test_workers_give_back_memory_when_packing_comes(monkeypatch):
+    import sys
+
+    from areacube.llm import common, words
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    words.prefix_hashes(np.ones(3, np.uint64), words.BYTE_BASE)
+    kept = sys.modules["_areacube_llm_worker"].large
+    assert list(kept) == ["word hashes"]
+    path = P.path("word_bpe_49k.json")
+    given.clear()
+    tokens.word_ids(path)
+    assert list(kept) == ["words"] and given == [1]                                # the tables of word hashes went
+    assert kept["words"][f"words {path}"].limit == tokens.CACHE_WORDS < tokens.CACHE_UNITS
+    kept.clear()
+    tokens.word_ids(path)
+    assert given == [1, 1]                                                          # also after an operator that kept nothing
+
+
 def tiktoken_encoding():
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_50k.tiktoken"), "rb"))}
     return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
